@@ -5,13 +5,28 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tagweave.llm import exact_dedup, quality_rules, sharding, url_filters
+from tagweave.llm import exact_dedup, quality_rules, secret_scans, sharding, token_counts, url_filters
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _tokenizer(name: str) -> str:
+    """Where the public tokenizers' files are on the driver."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.count_tokens(_table(spark, sf_dir, "documents"), _tokenizer("piece_bpe_32k.model"))
+
+
+def op2_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scans.digests(secret_scans.scan(_table(spark, sf_dir, "documents")))
+
+
 def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(_table(spark, sf_dir, "documents"))
 
@@ -31,6 +46,8 @@ def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_token_counts": op1_token_counts,
+    "op2_secret_scans": op2_secret_scans,
     "op6_sharding": op6_sharding,
     "op7_quality_rules": op7_quality_rules,
     "op9_exact_dedup": op9_exact_dedup,
@@ -40,6 +57,31 @@ QUERIES = {
 WORD = r"[^\x20\x09-\x0D]+"
 _BOILERPLATE = "|".join(quality_rules.BOILERPLATE)
 
+_quoted = lambda x: x.replace("'", "''")
+_RULES = [*secret_scans.BASE, *secret_scans.MORE]
+#: The texts between matches and the matches in turn give the matches' places.
+OP2_SQL = rf"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+m AS ({" UNION ALL ".join(
+    f"SELECT doc_id, {n} AS ord, '{r.kind}' AS kind, {r.least} AS least, "
+    f"list_transform(regexp_extract_all(t, '{_quoted(r.pattern)}'), lambda x: length(x)) AS lens, "
+    f"list_transform(regexp_extract_all(t, '{_quoted(r.pattern)}', {r.group}), lambda x: length(x)) AS sizes, "
+    f"list_transform(regexp_split_to_array(t, '{_quoted(r.pattern)}'), lambda x: length(x)) AS gaps "
+    f"FROM d WHERE regexp_matches(t, '{_quoted(r.pattern)}')" for n, r in enumerate(_RULES))}),
+p AS (SELECT *, unnest(range(1, len(lens) + 1)) AS i FROM m),
+s AS (
+  SELECT doc_id, ord, kind, list_sum(gaps[1:i]) + coalesce(list_sum(lens[1:i - 1]), 0) AS a, lens[i] AS n
+  FROM p WHERE sizes[i] >= least),
+g AS (
+  SELECT doc_id, count(*) FILTER (ord = 0) AS n_assign, count(*) FILTER (ord = 1) AS n_access, count(*) FILTER (ord = 2) AS n_hex,
+         string_agg(kind || ':' || a::BIGINT || ':' || (a + n)::BIGINT, ',' ORDER BY a, ord) FILTER (ord < {len(secret_scans.BASE)}) AS base,
+         string_agg(kind || ':' || a::BIGINT || ':' || (a + n)::BIGINT, ',' ORDER BY a, ord) AS spans
+  FROM s GROUP BY doc_id)
+SELECT doc_id, coalesce(n_assign, 0)::BIGINT AS n_assign, coalesce(n_access, 0)::BIGINT AS n_access,
+       coalesce(n_hex, 0)::BIGINT AS n_hex, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM d LEFT JOIN g USING (doc_id)
+"""
+
 OP7_SQL = rf"""
 WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
 w AS (
@@ -102,4 +144,4 @@ SELECT page_id, host, path, canonical, rule, canonical IN (SELECT url FROM l) AS
 FROM q
 """
 
-SQL = {"op7_quality_rules": OP7_SQL, "op9_exact_dedup": OP9_SQL, "op10_url_filters": OP10_SQL}
+SQL = {"op2_secret_scans": OP2_SQL, "op7_quality_rules": OP7_SQL, "op9_exact_dedup": OP9_SQL, "op10_url_filters": OP10_SQL}
