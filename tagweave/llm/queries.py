@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tagweave.llm import exact_dedup, quality_rules, secret_scans, sharding, token_counts, url_filters
+from tagweave.llm import exact_dedup, packing, quality_rules, secret_scans, sentencepiece_codec, sharding, token_counts, url_filters
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -27,6 +27,16 @@ def op2_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scans.digests(secret_scans.scan(_table(spark, sf_dir, "documents")))
 
 
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = packing.pieces(_table(spark, sf_dir, "documents"), _tokenizer("word_bpe_49k.json"))
+    return packing.pack(cut)
+
+
+def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded = sentencepiece_codec.encode(_table(spark, sf_dir, "documents"), _tokenizer("piece_bpe_32k.model"))
+    return coded.select("doc_id", "n_tokens", "ids_crc32", "round_trip", "mismatches")
+
+
 def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(_table(spark, sf_dir, "documents"))
 
@@ -48,6 +58,8 @@ def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_token_counts": op1_token_counts,
     "op2_secret_scans": op2_secret_scans,
+    "op4_packing": op4_packing,
+    "op5_sentencepiece": op5_sentencepiece,
     "op6_sharding": op6_sharding,
     "op7_quality_rules": op7_quality_rules,
     "op9_exact_dedup": op9_exact_dedup,
