@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tagweave.llm import exact_dedup, packing, quality_rules, secret_scans, sentencepiece_codec, sharding, token_counts, url_filters
+from tagweave.llm import exact_dedup, near_dedup, packing, quality_rules, secret_scans, sentencepiece_codec, sharding, token_counts, url_filters
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -27,6 +27,10 @@ def op2_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scans.digests(secret_scans.scan(_table(spark, sf_dir, "documents")))
 
 
+def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_dedup(_table(spark, sf_dir, "documents"))
+
+
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = packing.pieces(_table(spark, sf_dir, "documents"), _tokenizer("word_bpe_49k.json"))
     return packing.pack(cut)
@@ -58,6 +62,7 @@ def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_token_counts": op1_token_counts,
     "op2_secret_scans": op2_secret_scans,
+    "op3_near_dedup": op3_near_dedup,
     "op4_packing": op4_packing,
     "op5_sentencepiece": op5_sentencepiece,
     "op6_sharding": op6_sharding,
