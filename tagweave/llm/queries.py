@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tagweave.llm import exact_dedup, near_dedup, packing, quality_rules, secret_scans, sentencepiece_codec, sharding, token_counts, url_filters
+from tagweave.llm import exact_dedup, license_scans, near_dedup, packing, quality_rules, secret_scans, sentencepiece_codec, sharding, token_counts, url_filters
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -49,6 +49,10 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(_table(spark, sf_dir, "documents"))
 
 
+def op8_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scans.scan(_table(spark, sf_dir, "documents"))
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(_table(spark, sf_dir, "documents"))
 
@@ -67,6 +71,7 @@ QUERIES = {
     "op5_sentencepiece": op5_sentencepiece,
     "op6_sharding": op6_sharding,
     "op7_quality_rules": op7_quality_rules,
+    "op8_license_scans": op8_license_scans,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_url_filters": op10_url_filters,
 }
@@ -133,6 +138,30 @@ SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_s
 FROM y
 """
 
+def _standing(phrase: str) -> str:
+    words = phrase.split()
+    return "list_filter(range(1, len(w) + 1), lambda i: " + " AND ".join(f"w[i + {k}] = '{x}'" for k, x in enumerate(words)) + ")"
+
+
+_T = license_scans.TEMPLATES
+_found = lambda n, t: f"(len(p{n}) > 0" + "".join(f" AND len({_standing(k)}) > 0" for k in t.keys) + ")"
+_labels = lambda base: "array_to_string(list_sort(list_distinct(list_filter([" + ", ".join(
+    f"CASE WHEN f{n} THEN '{t.label}' END" for n, t in enumerate(_T) if t.base or not base
+) + "], lambda x: x IS NOT NULL))), ',')"
+_base_places = "flatten([" + ", ".join(f"p{n}" for n, t in enumerate(_T) if t.base) + "])"
+OP8_SQL = rf"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM documents),
+p AS (SELECT doc_id, w, {", ".join(f"{_standing(t.words)} AS p{n}" for n, t in enumerate(_T))} FROM d),
+f AS (SELECT *, {", ".join(f"{_found(n, t)} AS f{n}" for n, t in enumerate(_T))}, {_base_places} AS b FROM p)
+SELECT doc_id, len(w)::BIGINT AS n_words, len(b)::BIGINT AS n_base, (list_min(b) - 1)::BIGINT AS first_word, (list_max(b) - 1)::BIGINT AS last_word,
+       {_labels(True)} AS base_labels, {_labels(False)} AS labels,
+       round(1 - {" * ".join(f"(CASE WHEN f{n} THEN 1 - {t.weight}::DOUBLE ELSE 1 END)" for n, t in enumerate(_T))}, 6)::DOUBLE AS score
+FROM f
+"""
+
 OP9_SQL = r"""
 WITH d AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS t FROM documents),
 g AS (SELECT t, min(doc_id) AS keep_id, count(*) AS group_size FROM d GROUP BY t)
@@ -161,4 +190,4 @@ SELECT page_id, host, path, canonical, rule, canonical IN (SELECT url FROM l) AS
 FROM q
 """
 
-SQL = {"op2_secret_scans": OP2_SQL, "op7_quality_rules": OP7_SQL, "op9_exact_dedup": OP9_SQL, "op10_url_filters": OP10_SQL}
+SQL = {"op2_secret_scans": OP2_SQL, "op7_quality_rules": OP7_SQL, "op8_license_scans": OP8_SQL, "op9_exact_dedup": OP9_SQL, "op10_url_filters": OP10_SQL}
