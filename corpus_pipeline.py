@@ -1,28 +1,75 @@
-"""The corpus pipeline: quality rules, exact dedup, near-dedup, secret scans, packing."""
+"""The corpus pipeline: quality rules, exact dedup, near-dedup, secret scans, packing.
+
+Each stage takes (spark, docs, sf_dir), works on all documents that the one before kept, and
+returns documents again; the last returns the packed pieces. ``run`` writes each stage's result
+to the shared folder and reads it back, so a lost executor costs one stage's work at most.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tagweave.llm import exact_dedup, quality_rules
+from tagweave.llm import exact_dedup, near_dedup, packing, quality_rules, queries, secret_scans
+from tagweave.llm.common import materialize
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
+def _restored(judged: DataFrame) -> DataFrame:
+    return judged.select(*[F.col(f"kept_{c}").alias(c) for c in COLUMNS])
+
+
+def _those(docs: DataFrame, verdicts: DataFrame) -> DataFrame:
+    """The documents whose verdict is kept; a document without an id has nothing to be found by and stays."""
+    gone = verdicts.where("not kept and doc_id is not null").select(F.col("doc_id").alias("gone"))
+    return docs.join(gone, F.col("doc_id") == F.col("gone"), "left_anti").select(*COLUMNS)
+
+
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules keep, as they are."""
-    judged = quality_rules.judge(docs, keep=COLUMNS)
-    return judged.where("kept").select(*[F.col(f"kept_{c}").alias(c) for c in COLUMNS])
+    return _restored(quality_rules.judge(docs, keep=COLUMNS).where("kept"))
+
+
+def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of equal texts."""
+    return _those(docs, exact_dedup.exact_dedup(docs))
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies: five-word shingles, similarity of 0.8 or more."""
+    return _those(docs, near_dedup.near_dedup(docs, width=5))
+
+
+def hide_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, with a mark in place of each secret."""
+    found = secret_scans.scan(docs, keep=COLUMNS)
+    whole = F.when(F.size("found") == 0, F.col("kept_text")).otherwise(secret_scans.redacted())
+    chars = F.when(F.size("found") == 0, F.col("kept_n_chars")).otherwise(F.length(secret_scans.redacted()).cast("long"))
+    return _restored(found.withColumns({"kept_text": whole, "kept_n_chars": chars}))
+
+
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of all documents, packed into sequences of at most 2048 tokens."""
+    return packing.pack(packing.pieces(docs, queries.tokenizer_file("word_bpe_49k.json")))
 
 
-STAGES = [("quality rules", keep_good)]
+STAGES = [
+    ("quality rules", keep_good),
+    ("exact dedup", drop_copies),
+    ("near dedup", drop_near_copies),
+    ("secret scans", hide_secrets),
+    ("packing", pack_sequences),
+]
+#: Packing and near-dedup can't be put in SQL; tests hold the pipeline against a brute-force version.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the documents of ``sf_dir``."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
+    for n, (_, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
+        if n + 1 < len(STAGES):
+            docs = materialize(docs, f"stage-{n}")
     return docs

@@ -12,7 +12,7 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _tokenizer(name: str) -> str:
+def tokenizer_file(name: str) -> str:
     """Where the public tokenizers' files are on the driver."""
     import public_tokenizers
 
@@ -20,7 +20,7 @@ def _tokenizer(name: str) -> str:
 
 
 def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return token_counts.count_tokens(_table(spark, sf_dir, "documents"), _tokenizer("piece_bpe_32k.model"))
+    return token_counts.count_tokens(_table(spark, sf_dir, "documents"), tokenizer_file("piece_bpe_32k.model"))
 
 
 def op2_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -32,12 +32,12 @@ def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cut = packing.pieces(_table(spark, sf_dir, "documents"), _tokenizer("word_bpe_49k.json"))
+    cut = packing.pieces(_table(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"))
     return packing.pack(cut)
 
 
 def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
-    coded = sentencepiece_codec.encode(_table(spark, sf_dir, "documents"), _tokenizer("piece_bpe_32k.model"))
+    coded = sentencepiece_codec.encode(_table(spark, sf_dir, "documents"), tokenizer_file("piece_bpe_32k.model"))
     return coded.select("doc_id", "n_tokens", "ids_crc32", "round_trip", "mismatches")
 
 
