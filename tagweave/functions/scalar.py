@@ -109,13 +109,15 @@ def map_lerp(a: Column, b: Column, t: Column) -> Column:
 
 def convex_combination(maps: list[Column], weights: list[Column]) -> Column:
     """Weighted sum of maps of numbers."""
-    scaled = [F.transform_values(m, lambda _, x, w=w: x * w) for m, w in zip(maps, weights, strict=True)]
+    by = lambda w: lambda _, x: x * w
+    scaled = [F.transform_values(m, by(w)) for m, w in zip(maps, weights, strict=True)]
     return reduce(lambda a, b: F.map_zip_with(a, b, lambda _, x, y: x + y), scaled)
 
 
 def linvec(*parts: tuple[Column, list[float]]) -> Column:
     """Linear combination of constant vectors."""
-    terms = [F.transform(F.array(*map(F.lit, v)), lambda x, c=c: x * c) for c, v in parts]
+    by = lambda c: lambda x: x * c
+    terms = [F.transform(F.array(*map(F.lit, v)), by(c)) for c, v in parts]
     return reduce(lambda a, b: F.zip_with(a, b, lambda x, y: x + y), terms)
 
 

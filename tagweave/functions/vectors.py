@@ -69,11 +69,11 @@ def box(mins: Column, maxs: Column) -> Column:
 
 
 def box_union(a: Column, b: Column) -> Column:
-    return box(F.zip_with(a["mins"], b["mins"], F.least), F.zip_with(a["maxs"], b["maxs"], F.greatest))
+    return box(F.zip_with(a["mins"], b["mins"], lambda x, y: F.least(x, y)), F.zip_with(a["maxs"], b["maxs"], lambda x, y: F.greatest(x, y)))
 
 
 def box_intersection(a: Column, b: Column) -> Column:
-    return box(F.zip_with(a["mins"], b["mins"], F.greatest), F.zip_with(a["maxs"], b["maxs"], F.least))
+    return box(F.zip_with(a["mins"], b["mins"], lambda x, y: F.greatest(x, y)), F.zip_with(a["maxs"], b["maxs"], lambda x, y: F.least(x, y)))
 
 
 def box_empty(a: Column) -> Column:

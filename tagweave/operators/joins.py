@@ -21,7 +21,7 @@ def asof(left: DataFrame, right: DataFrame, by: list[str], time: str, columns: l
     group, linear in the rows, where a range join would make a row for every earlier one.
     """
     put = F.struct(F.col(time).alias(time), *[F.col(c).alias(c) for c in columns])
-    kind = left.select(put.alias("x")).schema["x"].dataType
+    kind = right.select(put.alias("x")).schema["x"].dataType
     rows = left.select(*by, F.col(time).alias("_t"), F.lit(0 if strict else 1).alias("_side"), F.struct(*left.columns).alias("_row"), F.lit(None).cast(kind).alias("_right"))
     marks = right.select(*by, F.col(time).alias("_t"), F.lit(1 if strict else 0).alias("_side"), F.lit(None).cast(rows.schema["_row"].dataType).alias("_row"), put.alias("_right"))
     w = Window.partitionBy(*by).orderBy("_t", "_side").rowsBetween(Window.unboundedPreceding, 0)

@@ -81,7 +81,9 @@ def normals(pixels: DataFrame, by: list[str]) -> DataFrame:
     right = F.lead("xyz").over(Window.partitionBy(*by, "y").orderBy("x"))
     down = F.lead("xyz").over(Window.partitionBy(*by, "x").orderBy("y"))
     step = lambda to: F.zip_with(to, F.col("xyz"), lambda a, b: a - b)
-    return pixels.withColumns({"_r": right, "_d": down}).withColumn("normal", normalized(cross(step(F.col("_d")), step(F.col("_r"))))).drop("_r", "_d")
+    return pixels.withColumns({"_r": right, "_d": down}).withColumn(
+        "normal", F.when(F.col("_r").isNotNull() & F.col("_d").isNotNull(), normalized(cross(step(F.col("_d")), step(F.col("_r")))))
+    ).drop("_r", "_d")
 
 
 def boxes_in_view(boxes: DataFrame) -> DataFrame:

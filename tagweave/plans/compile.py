@@ -229,7 +229,7 @@ def volume_of(dims: Column, option: int | tuple[int, ...]) -> Column:
 
 def box_distance(a_lows: Column, a_highs: Column, b_lows: Column, b_highs: Column) -> Column:
     """Euclidean distance between boxes; 0 where they touch or meet."""
-    gaps = F.zip_with(F.zip_with(a_lows, b_highs, lambda x, y: x - y), F.zip_with(b_lows, a_highs, lambda x, y: x - y), F.greatest)
+    gaps = F.zip_with(F.zip_with(a_lows, b_highs, lambda x, y: x - y), F.zip_with(b_lows, a_highs, lambda x, y: x - y), lambda x, y: F.greatest(x, y))
     return F.sqrt(F.aggregate(gaps, F.lit(0.0), lambda s, g: s + F.greatest(g, F.lit(0.0)) * F.greatest(g, F.lit(0.0))))
 
 
