@@ -73,7 +73,7 @@ class Compiler:
         if isinstance(s, L.Scene):
             return self.db.active()
         if isinstance(s, L.Item):
-            at = self.loop(s.variable).select(s.variable).distinct()
+            at = self.at(s.variable)
             return at.join(self.db.objects, F.col(s.variable) == F.col("name"))
         if isinstance(s, L.AnyTagged):
             own = self.members(s.objs)
@@ -104,7 +104,11 @@ class Compiler:
         edges = self.db.relations
         edges = edges.where(implies_column(s.relation, edges)).select("src", "dst")
         child, parent = s.objs.free(), s.parents.free()
-        ends = self.members(s.parents).select(F.col("name").alias("parent_name"), *[F.col(k).alias(f"p_{k}") for k in sorted(parent)])
+        if isinstance(s.parents, L.Item):  # its name is all that is asked for
+            ends = self.at(s.parents.variable)
+            ends = ends.select(F.col(s.parents.variable).alias("parent_name"), F.col(s.parents.variable).alias(f"p_{s.parents.variable}"))
+        else:
+            ends = self.members(s.parents).select(F.col("name").alias("parent_name"), *[F.col(k).alias(f"p_{k}") for k in sorted(parent)])
         heads = edges.join(ends, F.col("dst") == F.col("parent_name")).select("src", *[f"p_{k}" for k in sorted(parent)])
         own = self.members(s.objs)
         on = own["name"] == F.col("src")
@@ -136,6 +140,11 @@ class Compiler:
         s = self.loops[variable]
         return self.members(s).select(*sorted(s.free()), F.col("name").alias(variable))
 
+    def at(self, variable: str) -> DataFrame:
+        """The entities that the variable stands for, once each."""
+        rows = self.loop(variable).select(variable)
+        return rows.distinct() if self.loops[variable].free() else rows  # members of a set are distinct
+
     def closed(self, keys: frozenset[str]) -> frozenset[str]:
         more = frozenset().union(keys, *[self.loops[k].free() for k in keys])
         return keys if more == keys else self.closed(more)
