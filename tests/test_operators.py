@@ -150,9 +150,16 @@ def test_geometry(spark):
     pairs = spark.createDataFrame([("a", [1.0, 0.0], [1.0, 0.0], [1.0, 0.0]), ("b", [1.0, 0.0], [-1.0, 0.0], [-1.0, 0.0])], "name string, axis array<double>, direction array<double>, normal array<double>")
     assert {r.name: r.score for r in G.focus_score(pairs).collect()} == {"a": 0, "b": 1} and G.angle_alignment(pairs).first().score == 1
     room = spark.createDataFrame([("l", [0.0, 2.0, 2.0, 1.0, 1.0, 0.0], [0.0, 0.0, 1.0, 1.0, 2.0, 2.0])], "room string, xs array<double>, ys array<double>")
-    assert G.convexity(room).first().convexity == pytest.approx(3 / 3.5)
+    assert G.convexity(room).first().convexity == pytest.approx(3.5 / 3)
+    plans = spark.createDataFrame([("l", [0.0, 4.0, 4.0, 1.0, 1.0, 0.0], [0.0, 0.0, 3.0, 3.0, 4.0, 4.0]), ("s", [3.0, 6.0, 6.0, 3.0], [2.0, 2.0, 5.0, 5.0])], "room string, xs array<double>, ys array<double>")
+    assert G.grid_cells(plans, 0.5).where("room = 'l'").count() == 13 * 4 and G.intersection_area(plans, 0.5).first().area == 1.0
+    narrow = {r.room: r.narrowness for r in G.narrowness(plans, 1.0, 3.0).collect()}
+    assert narrow["s"] == 0 and narrow["l"] == 4.0  # the arm of width 1 goes at both steps, with 2 of outline each
     walls = spark.createDataFrame([("a", "x", 1.0, 0.0, 3.0), ("b", "x", 1.0, 2.0, 5.0), ("c", "y", 1.0, 0.0, 9.0)], "room string, axis string, at double, low double, high double")
-    assert G.shared_edges(walls).first()[:] == ("a", "b", 1.0)
+    assert G.shared_edges(walls).first()[:] == ("a", "b", 1.0) and G.shared_vertices(walls).first().vertices == 2
+    centres = spark.createDataFrame([("r", 0.0, 0.0), ("a", 1.0, 0.0), ("b", 1.0, 1.0)], "room string, x double, y double")
+    angles = {r.room: r.angle for r in G.access_angle(centres, spark.createDataFrame([("a", "b"), ("b", "a")], "a string, b string"), "r").collect()}
+    assert angles["r"] == 0 and angles["a"] == pytest.approx(math.pi / 2, abs=1e-3) and angles["b"] == pytest.approx(math.pi / 4, abs=1e-3)
     rooms = spark.createDataFrame([(10.0,), (5.0,)], "area double")
     asked = spark.createDataFrame([("a", "b", False), ("a", "x", True)], "a string, b string, exterior boolean")
     assert G.coherence(rooms, asked, spark.createDataFrame([("b", "a")], "a string, b string"), 16.0).first().violations == 3
