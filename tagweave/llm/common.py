@@ -88,6 +88,34 @@ def slices(batch, column: str, most_bytes: int = 8 << 20):
         start = end
 
 
+class Kept:
+    """Results of costly work on words, for a bounded number of distinct ones: two generations, of which the older goes.
+
+    Words that keep coming back move to the new generation, so only rare ones are worked on again.
+    """
+
+    def __init__(self, most: int):
+        self.most = most
+        self.now: dict = {}
+        self.before: dict = {}
+
+    def fill(self, words: set, work, at_once: int = 20_000) -> None:
+        """Have ``now`` hold all of ``words``; ``work`` gives the results of a list of them."""
+        new = words.difference(self.now)
+        if len(self.now) + len(new) > self.most:
+            self.before, self.now, new = self.now, {}, words
+        known, unknown = self.before, []
+        for w in new:
+            found = known.get(w)
+            if found is None:
+                unknown.append(w)
+            else:
+                self.now[w] = found
+        for k in range(0, len(unknown), at_once):
+            part = unknown[k : k + at_once]
+            self.now.update(zip(part, work(part), strict=True))
+
+
 def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     """Connected components of the undirected edges (a, b): rows (node, component), the smallest node reachable.
 
@@ -96,9 +124,10 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     logarithmic number of rounds. Every round is written to the shared folder. A hub
     joins its neighbours by aggregation (min of a group), never by collecting them.
     """
-    current = materialize(
-        edges.select(F.greatest("a", "b").alias("hi"), F.least("a", "b").alias("lo")).where("hi <> lo").distinct(), "edges"
-    )
+    state = lambda e: tuple(e.agg(F.count("*"), F.bit_xor(F.xxhash64("hi", "lo"))).first())
+    pairs = edges.select(F.greatest("a", "b").alias("hi"), F.least("a", "b").alias("lo")).where("hi <> lo").distinct()
+    current = materialize(pairs, "edges")
+    before = state(current)
     for _ in range(rounds):
         both = current.select(F.col("hi").alias("n"), F.col("lo").alias("m")).union(current.select("lo", "hi"))
         least = both.groupBy("n").agg(F.least(F.min("m"), F.col("n")).alias("least"))
@@ -114,11 +143,10 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
             )
         )
         after = materialize(linked.where("hi <> lo").distinct(), "edges")
-        moved = after.exceptAll(current).limit(1).count() + current.exceptAll(after).limit(1).count()
         discard(large)
         discard(current)
-        current = after
-        if not moved:
+        current, last, before = after, before, state(after)
+        if before == last:
             break
     else:
         raise RuntimeError("components did not settle")
