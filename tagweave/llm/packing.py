@@ -12,6 +12,9 @@ bins, a fixed number, and the rest are done. Every task handles a bounded number
 
 from __future__ import annotations
 
+import json
+import os
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -20,7 +23,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tagweave.llm.common import materialize, slices, whole_text
+from tagweave.llm.common import Kept, materialize, slices, whole_text
+from tagweave.llm.merging import RankMerger
 
 ITEM = "struct<doc_id: bigint, piece: int, start: bigint, length: bigint, ids_crc32: bigint, offset: bigint>"
 ITEM_ARROW = pa.struct(
@@ -29,32 +33,74 @@ ITEM_ARROW = pa.struct(
 BINS = f"unit bigint, sequence_id bigint, fill int, open boolean, items array<{ITEM}>"
 #: Items of a unit in the first round; units that are packed together in a later one; bins that a unit passes on.
 UNIT, FAN_IN, PASSED_ON = 100_000, 8, 256
-#: Ids of so many distinct words are kept in each Python worker.
-MOST_KEPT = 700_000
+#: Ids of so many distinct words are kept in each Python worker, and as many from before.
+MOST_KEPT = 200_000
+#: Words of plain Latin letters, with ASCII marks after the last perhaps: the tokenizer always cuts between a letter and
+#: a run of marks, and has nothing to normalise here but the case.
+PLAIN = re.compile(rb"((?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])*)([.,*$%&#|!?;:)]*)")
 
 
 class WordEncoder:
-    """Ids of texts under a tokenizer that drops white space and never reaches across it, word by word."""
+    """Ids of texts under a byte-level BPE tokenizer that drops white space and never reaches across it, word by word.
+
+    Plain words are merged many at a time by the tokenizer's own table of merges; all others, and every word if the
+    tokenizer isn't of the kind that this is known to be right for, go through the library.
+    """
 
     def __init__(self, tokenizer_json: str):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # the tasks are what runs in parallel
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(tokenizer_json)
-        self.ids: dict[bytes, bytes] = {}
+        self.ids = Kept(MOST_KEPT)
+        spec = json.loads(tokenizer_json)
+        model, suffix = spec["model"], spec["model"].get("end_of_word_suffix") or ""
+        steps = [x["type"] for x in (spec["normalizer"] or {}).get("normalizers", [])]
+        self.plain = model["type"] == "BPE" and suffix != "" and steps == ["NFC", "Replace", "Lowercase"] and not model.get("dropout") and not model.get("ignore_merges")
+        if self.plain:
+            vocab, merges = model["vocab"], [m if isinstance(m, list) else m.split(" ") for m in model["merges"]]
+            left, right, made = ([vocab[f(m)] for m in merges] for f in (lambda m: m[0], lambda m: m[1], "".join))
+            self.merger = RankMerger(left, right, made, list(range(len(merges))), len(vocab))
+            # byte-level vocabularies write the printable bytes as themselves and the others from U+0100 on
+            shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+            names = {b: chr(b) for b in shown} | {b: chr(256 + n) for n, b in enumerate(b for b in range(256) if b not in shown)}
+            self.inner, self.final = (np.array([vocab[names[b] + end] for b in range(256)], np.int32) for end in ("", suffix))
 
     def encode(self, texts: list[bytes]) -> Iterator[bytes]:
         """Little-endian 32-bit ids of each UTF-8 text."""
         split = [t.split() for t in texts]  # bytes: ASCII white space only
-        new = set().union(*split).difference(self.ids)
-        if len(self.ids) + len(new) > MOST_KEPT:
-            self.ids, new = {}, set().union(*split)
-        words = list(new)
-        found = self.tokenizer.encode_batch_fast([w.decode() for w in words], add_special_tokens=False)
-        self.ids.update((w, np.array(e.ids, "<u4").tobytes()) for w, e in zip(words, found, strict=True))
-        get = self.ids.__getitem__
+        self.ids.fill(set().union(*split), self.encode_words, 100_000)
+        get = self.ids.now.__getitem__
         for words in split:
             yield b"".join(map(get, words))
 
+    def encode_words(self, words: list[bytes]) -> list[bytes]:
+        """Ids of each word."""
+        found = [PLAIN.fullmatch(w) if self.plain else None for w in words]
+        other = [w for w, m in zip(words, found, strict=True) if m is None]
+        by_library: list[bytes] = []
+        for k in range(0, len(other), 5_000):
+            batch = self.tokenizer.encode_batch_fast([w.decode() for w in other[k : k + 5_000]], add_special_tokens=False)
+            by_library += [np.array(e.ids, "<u4").tobytes() for e in batch]
+        if len(other) == len(words):
+            return by_library
+        # the letters and the marks of each word are a sequence each; empty ones are none
+        sequences = [s for m in found if m is not None for s in m.groups()]
+        lengths = np.fromiter(map(len, sequences), np.int64, len(sequences))
+        data = np.frombuffer(b"".join(sequences), np.uint8).copy()
+        capital = (data >= 65) & (data <= 90)
+        capital[1:] |= (data[:-1] == 0xC3) & (data[1:] >= 0x80) & (data[1:] <= 0x9E)
+        data[capital] += 32
+        symbols = self.inner[data]
+        ends = np.cumsum(lengths)[lengths > 0] - 1
+        symbols[ends] = self.final[data[ends]]
+        survivors, part = self.merger.merge(symbols, np.repeat(np.arange(len(sequences), dtype=np.int32), lengths))
+        at = (4 * np.searchsorted(part, np.arange(0, len(sequences) + 1, 2))).tolist()
+        raw = survivors.astype("<u4").tobytes()
+        merged = iter([raw[a:b] for a, b in zip(at[:-1], at[1:], strict=True)])
+        rest = iter(by_library)
+        return [next(rest) if m is None else next(merged) for m in found]
+
 
 _encoders: dict[int, WordEncoder] = {}
 

@@ -8,7 +8,6 @@ no sequence has a pair that is a piece. The symbols that survive are counted.
 
 from __future__ import annotations
 
-import heapq
 from collections.abc import Iterator
 
 import numpy as np
@@ -16,15 +15,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tagweave.llm.common import slices, whole_text
+from tagweave.llm.common import Kept, slices, whole_text
+from tagweave.llm.merging import NEVER, RankMerger
 
 NORMAL, UNKNOWN, CONTROL, BYTE = 1, 2, 3, 6
 MARK = "▁"
-NEVER = np.int32(2**31 - 1)
-#: Sequences of more symbols than this are merged one by one with a heap: a round for each merge would be too many.
-LONG = 512
-#: Counts of so many distinct pre-tokens are kept in each Python worker.
-MOST_KEPT = 1_000_000
+#: Counts of so many distinct pre-tokens are kept in each Python worker, and as many from before.
+MOST_KEPT = 500_000
 
 
 class PieceCounter:
@@ -55,46 +52,19 @@ class PieceCounter:
             self.char_id[ord(c)] = self.ids[c]
         # a symbol that is no piece (a lone character) falls back to its UTF-8 bytes; the unknown one is weighed by its own
         self.weight = np.array([1 if p in pieces else len(p.encode()) for p in names] + [0], np.int64)
-        keys, made, rank = [], [], []
+        left, right, made, rank = [], [], [], []
         for p, score in pieces.items():
             for k in range(1, len(p)):
                 if (a := self.ids.get(p[:k])) is not None and (b := self.ids.get(p[k:])) is not None:
-                    keys.append(a * (self.unknown + 1) + b)
+                    left.append(a)
+                    right.append(b)
                     made.append(self.ids[p])
                     rank.append(ranks[score])
-        self._hash(np.array(keys, np.int64), np.array(made, np.int32), np.array(rank, np.int32))
-        self.counts: dict[str, int] = {}
-
-    def _hash(self, keys: np.ndarray, made: np.ndarray, rank: np.ndarray) -> None:
-        """An open-addressing table of the pairs, with room enough that most probes hit at once."""
-        self.bits = max(4, int(len(keys) * 8).bit_length())
-        size = 1 << self.bits
-        self.keys = np.full(size, -1, np.int64)
-        self.made, self.rank = np.zeros(size, np.int32), np.full(size, NEVER, np.int32)
-        at = self._slot(keys)
-        left = np.arange(len(keys))
-        while len(left):
-            free = self.keys[at[left]] == -1
-            chosen = left[free]
-            slots, first = np.unique(at[chosen], return_index=True)
-            won = chosen[first]
-            self.keys[slots], self.made[slots], self.rank[slots] = keys[won], made[won], rank[won]
-            left = np.setdiff1d(left, won)
-            at[left] = (at[left] + 1) & (size - 1)
-
-    def _slot(self, keys: np.ndarray) -> np.ndarray:
-        with np.errstate(over="ignore"):
-            return ((keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - self.bits)).astype(np.int64)
-
-    def _find(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        """Slots of the pairs in the table; a slot that is free where there is no such pair."""
-        keys = a.astype(np.int64) * (self.unknown + 1) + b
-        at = self._slot(keys)
-        wrong = np.flatnonzero((self.keys[at] != keys) & (self.keys[at] != -1))
-        while len(wrong):
-            at[wrong] = (at[wrong] + 1) & ((1 << self.bits) - 1)
-            wrong = wrong[(self.keys[at[wrong]] != keys[wrong]) & (self.keys[at[wrong]] != -1)]
-        return at
+        self.merger = RankMerger(left, right, made, rank, self.unknown + 1)
+        beside = {self.ids[p[k]] * (self.unknown + 1) + self.ids[p[k + 1]] for p in pieces for k in range(len(p) - 1)}
+        #: Pairs of characters that stand side by side in some piece.
+        self.beside = np.array(sorted(beside), np.int64)
+        self.counts = Kept(MOST_KEPT)
 
     def count_sequences(self, words: list[str]) -> np.ndarray:
         """Tokens of each pre-token."""
@@ -109,94 +79,19 @@ class PieceCounter:
         if lost.any():  # never merged: count their bytes now
             c = code[lost]
             np.add.at(out, of[lost], 1 + (c > 0x7F) + (c > 0x7FF) + (c > 0xFFFF).astype(np.int64))
-        rank = np.full(len(code), NEVER, np.int32)
-        if len(code) > 1:
-            rank[:-1] = np.where(of[:-1] == of[1:], self.rank[self._find(symbols[:-1], symbols[1:])], NEVER)
+        rank = self.merger.ranks(symbols, of)
         # where no piece has two neighbours side by side, no merge reaches across: shorter sequences
         cut = np.ones(len(code), bool)
         cut[1:] = rank[:-1] == NEVER
-        if len(code) > 1:
-            cut[1:] &= ~self._beside(symbols[:-1], symbols[1:]) | (of[:-1] != of[1:])
-        part = np.cumsum(cut, dtype=np.int32) - 1
-        self._merge(symbols, rank, part, of[cut], out)
+        cut[1:] &= (of[:-1] != of[1:]) | ~self._beside(symbols[:-1], symbols[1:])
+        survivors, part = self.merger.merge(symbols, np.cumsum(cut, dtype=np.int32) - 1, rank)
+        np.add.at(out, of[cut][part], self.weight[survivors])
         return out
 
     def _beside(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        """Whether the two characters stand side by side in some piece."""
-        if not hasattr(self, "_pairs"):
-            names = list(self.ids)
-            found = {self.ids[p[k]] * (self.unknown + 1) + self.ids[p[k + 1]] for p in names for k in range(len(p) - 1)}
-            self._pairs = np.array(sorted(found), np.int64)
         keys = a.astype(np.int64) * (self.unknown + 1) + b
-        at = np.minimum(np.searchsorted(self._pairs, keys), len(self._pairs) - 1)
-        return self._pairs[at] == keys
-
-    def _merge(self, symbols: np.ndarray, rank: np.ndarray, part: np.ndarray, owner: np.ndarray, out: np.ndarray) -> None:
-        """Merge all parts to their end and add the weights of the surviving symbols to ``out`` at the parts' owners."""
-        long = np.flatnonzero(np.bincount(part) > LONG)
-        if len(long):
-            mine = np.isin(part, long)
-            starts = np.flatnonzero(np.diff(part[mine], prepend=-1))
-            for s, p in zip(np.split(symbols[mine], starts[1:]), long.tolist(), strict=True):
-                out[owner[p]] += self._merge_long(s)
-            symbols, rank, part = symbols[~mine], rank[~mine], part[~mine]
-        while len(symbols):
-            starts = np.flatnonzero(np.diff(part, prepend=-1))
-            lengths = np.diff(np.append(starts, len(part)))
-            least = np.minimum.reduceat(rank, starts)
-            over = least == NEVER
-            if over.any():  # these have no pair left
-                done = np.repeat(over, lengths)
-                np.add.at(out, owner[part[done]], self.weight[symbols[done]])
-                symbols, rank, part = symbols[~done], rank[~done], part[~done]
-                starts = np.flatnonzero(np.diff(part, prepend=-1))
-                lengths, least = lengths[~over], least[~over]
-                if not len(symbols):
-                    break
-            hit = np.flatnonzero(rank == np.repeat(least, lengths))
-            hit = hit[np.diff(part[hit], prepend=-1) != 0]  # the leftmost of each sequence
-            symbols[hit] = self.made[self._find(symbols[hit], symbols[hit + 1])]
-            stay = np.ones(len(symbols), bool)
-            stay[hit + 1] = False
-            at = np.cumsum(stay)[hit] - 1
-            symbols, rank, part = symbols[stay], rank[stay], part[stay]
-            for places in (at, at - 1):  # the merged symbol's pairs with the next and the one before
-                places = places[(places >= 0) & (places < len(symbols))]
-                inner = places[places + 1 < len(symbols)]
-                same = part[inner] == part[inner + 1]
-                rank[places] = np.where(np.isin(places, inner[~same]) | (places + 1 >= len(symbols)), NEVER, rank[places])
-                inner = inner[same]
-                rank[inner] = self.rank[self._find(symbols[inner], symbols[inner + 1])]
-
-    def _merge_long(self, symbols: np.ndarray) -> int:
-        """One long sequence, by a heap of its pairs: the same order of merges."""
-        own, n = symbols.tolist(), len(symbols)
-        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        keys = self._table()
-        base = self.unknown + 1
-        heap = [(*keys[k], i, own[i], own[i + 1]) for i in range(n - 1) if (k := own[i] * base + own[i + 1]) in keys]
-        heapq.heapify(heap)
-        while heap:
-            _, made, i, a, b = heapq.heappop(heap)
-            j = after[i] if own[i] == a else n
-            if j >= n or own[j] != b:
-                continue
-            own[i], own[j] = made, -1
-            after[i] = after[j]
-            if after[j] < n:
-                before[after[j]] = i
-                if (k := made * base + own[after[j]]) in keys:
-                    heapq.heappush(heap, (*keys[k], i, made, own[after[j]]))
-            if (h := before[i]) >= 0 and (k := own[h] * base + made) in keys:
-                heapq.heappush(heap, (*keys[k], h, own[h], made))
-        kept = np.array([s for s in own if s >= 0])
-        return int(self.weight[kept].sum())
-
-    def _table(self) -> dict[int, tuple[int, int]]:
-        if not hasattr(self, "_pairs_of"):
-            held = np.flatnonzero(self.keys >= 0)
-            self._pairs_of = dict(zip(self.keys[held].tolist(), zip(self.rank[held].tolist(), self.made[held].tolist(), strict=True), strict=True))
-        return self._pairs_of
+        at = np.minimum(np.searchsorted(self.beside, keys), len(self.beside) - 1)
+        return self.beside[at] == keys
 
     def pretokens(self, text: str) -> Iterator[list[str]]:
         """Lists of pre-tokens that make up the text with its spaces marked, line by line where no piece holds a line's end."""
@@ -220,13 +115,8 @@ class PieceCounter:
     def count_all(self, texts: list[str]) -> list[int]:
         """Tokens of each text."""
         split = [list(self.pretokens(t)) for t in texts]
-        new = set().union(*[w for lines in split for w in lines]).difference(self.counts)
-        if len(self.counts) + len(new) > MOST_KEPT:
-            self.counts = {}
-            new = set().union(*[w for lines in split for w in lines])
-        words = list(new)
-        self.counts.update(zip(words, self.count_sequences(words).tolist(), strict=True))
-        get = self.counts.__getitem__
+        self.counts.fill(set().union(*[w for lines in split for w in lines]), lambda words: self.count_sequences(words).tolist(), 200_000)
+        get = self.counts.now.__getitem__
         return [len(lines) - 1 + sum(sum(map(get, words)) for words in lines) if lines else 0 for lines in split]
 
 
