@@ -16,12 +16,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tagweave.llm.common import slices, whole_text
+from tagweave.llm.common import Kept, slices, whole_text
 
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNIGRAM, BPE = 1, 2
 MARK = "▁"
-MOST_KEPT = 700_000
+#: Ids of so many distinct pre-tokens are kept in each Python worker, and as many from before.
+MOST_KEPT = 300_000
 SCHEMA = "doc_id long, n_tokens long, ids binary, ids_crc32 long, round_trip boolean, mismatches long"
 
 
@@ -82,8 +83,7 @@ class Codec:
             model = proto.SerializeToString()
         self.tokenizer, self.library = rebuild(model), sentencepiece.SentencePieceProcessor(model_proto=model)
         self.line_cuts = self.cuts and not any("\n" in p.piece for p in proto.pieces)
-        self.ids: dict[str, bytes] = {}
-        self.differ: dict[str, int] = {}
+        self.ids = Kept(MOST_KEPT)
         #: UTF-8 bytes of each id, for decoding: a byte piece is its byte, a control piece nothing.
         self.bytes_of = [
             bytes([int(p.piece[3:5], 16)]) if p.type == BYTE else b"" if p.type == CONTROL else p.piece.replace(MARK, " ").encode() for p in proto.pieces
@@ -116,19 +116,17 @@ class Codec:
     def encode(self, texts: list[str]) -> Iterator[tuple[bytes, int]]:
         """(little-endian 32-bit ids, pre-tokens where the two libraries differ) of each text."""
         split = [self.parts(t) for t in texts]
-        new = set().union(*split).difference(self.ids)
-        if len(self.ids) + len(new) > MOST_KEPT:
-            self.ids, self.differ, new = {}, {}, set().union(*split)
-        words = list(new)
-        rebuilt = self.tokenizer.encode_batch_fast(words, add_special_tokens=False)
-        exact = self.library.encode(words, num_threads=2)
-        for w, e, ids in zip(words, rebuilt, exact, strict=True):
-            if e.ids != ids:
-                self.differ[w] = 1
-            self.ids[w] = np.array(ids, "<u4").tobytes()
-        get, differ = self.ids.__getitem__, self.differ
+        self.ids.fill(set().union(*split), self.encode_parts)
+        get = self.ids.now.__getitem__
         for parts in split:
-            yield b"".join(map(get, parts)), (sum(differ.get(w, 0) for w in parts) if differ else 0)
+            found = list(map(get, parts))
+            yield b"".join([ids for ids, _ in found]), sum([differ for _, differ in found])
+
+    def encode_parts(self, parts: list[str]) -> list[tuple[bytes, bool]]:
+        """(ids, whether the two libraries differ) of each pre-token; the library's own ids stand."""
+        rebuilt = self.tokenizer.encode_batch_fast(parts, add_special_tokens=False)
+        exact = self.library.encode(parts, num_threads=2)
+        return [(np.array(ids, "<u4").tobytes(), e.ids != ids) for e, ids in zip(rebuilt, exact, strict=True)]
 
     def decode(self, ids: bytes) -> bytes:
         """UTF-8 of the text that the ids stand for."""
