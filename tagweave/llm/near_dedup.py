@@ -5,7 +5,8 @@ sets walk from node to node: a node picks one or two of the token places at rand
 sets move on to the children that their tokens at those places name, so that similar sets keep
 meeting. Small nodes compare all their sets by their tokens. A large node compares its sets with
 one of them, its pivot; sets that are nearly the pivot's copies need go no further, as whatever
-is close to them is close to the pivot too; the others branch on.
+is close to them is close to the pivot too; the others branch on, until comparing all sets of all
+nodes that are left takes a bounded number of comparisons a set. Those are then made, in blocks.
 
 That gives candidate links, of which each node keeps a spanning forest. Their components are then
 verified on the full sets, recomputed from the texts: one task holds a component, or one of
@@ -27,11 +28,14 @@ from pyspark.sql import functions as F
 
 from tagweave.llm.common import components, materialize, slices, string_buffer, whole_text
 
-TOKENS, TREES, LEVELS = 64, 12, 6
+#: After LEVELS levels whatever is left in large nodes is compared, however much it is.
+TOKENS, TREES, LEVELS = 64, 12, 12
 #: After so many levels, and again after as many more, nodes of one component are taken out.
 SETTLED = 3
 #: Largest node that is compared exhaustively.
 SMALL = 48
+#: Large nodes are compared exhaustively once that takes so many comparisons for each set of the input; sets in a block.
+COMPARISONS, CELL = 4096, 1024
 #: Estimates from TOKENS tokens (standard error 0.05 at 0.8): candidates, and sets that a pivot stands for.
 CANDIDATE, STANDS_FOR = 0.6, 0.9
 #: Sets and bytes of text that one verification task holds, and pivots in each block of a large component.
@@ -189,6 +193,41 @@ def _compare_small(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         yield result(links(*held))
 
 
+def _compare_cell(table: pa.Table) -> pa.Table:
+    """Rows of two blocks (or twice one) of a node: a spanning forest of the candidate links between the blocks."""
+    block, reps = table["block"].to_numpy(), table["rep"].to_numpy()
+    tokens = np.frombuffer(b"".join(table["tokens"].to_pylist()), np.uint32).reshape(-1, TOKENS)
+    x, y = (np.flatnonzero(block == table[side][0].as_py()) for side in ("low", "high"))
+    pairs = []
+    if len(x) and len(y):
+        same, across = np.zeros((len(x), len(y)), np.uint8), np.ascontiguousarray(tokens[y].T)
+        for k in range(TOKENS):
+            same += tokens[x, k][:, None] == across[k]
+        alike = same >= CANDIDATE * TOKENS
+        new_x, new_y = np.ones(len(x), bool), np.ones(len(y), bool)
+        for k in np.flatnonzero(alike.any(1)).tolist():
+            at = [k] if new_x[k] else []
+            new_x[k] = False
+            while len(at):  # from side to side, until the group brings no more
+                there = np.flatnonzero(alike[at].any(0) & new_y)
+                new_y[there] = False
+                at = np.flatnonzero(alike[:, there].any(1) & new_x)
+                new_x[at] = False
+                pairs += [(int(reps[x[k]]), int(m)) for m in np.concatenate((reps[y[there]], reps[x[at]])) if m != reps[x[k]]]
+    a, b = zip(*pairs, strict=True) if pairs else ((), ())
+    return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+
+def _compare_large(nodes: DataFrame, sketches: DataFrame) -> DataFrame:
+    """Rows (path, rep, left) of nodes of ``left`` sets -> candidate links (a, b): all pairs of a node, two blocks of it in a task."""
+    dealt = nodes.withColumn("blocks", F.ceil(F.col("left") / CELL).cast("long"))
+    dealt = dealt.withColumn("block", F.pmod(F.xxhash64(F.lit("block"), "rep"), F.col("blocks")))
+    dealt = dealt.select("path", "rep", "block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("other"))
+    dealt = dealt.select("path", "rep", "block", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"))
+    cells = dealt.join(sketches, "rep").select("path", "low", "high", "block", "rep", "tokens")
+    return cells.groupBy("path", "low", "high").applyInArrow(_compare_cell, "a long, b long")
+
+
 def _likeness(rows: DataFrame) -> DataFrame:
     """Add ``alike``, the share of places where ``tokens`` and ``pivot_tokens`` agree."""
 
@@ -221,28 +260,35 @@ def candidate_links(sketches: DataFrame) -> DataFrame:
     roots = F.transform(F.sequence(F.lit(0), F.lit(TREES - 1)), lambda t: F.xxhash64(F.lit("tree"), t))
     walking = sketches.select(F.explode(roots).alias("path"), "rep", "tokens")
     links, levels = [], []
+    most = COMPARISONS * sketches.count()
     for level in range(LEVELS):
         at = _children(walking)
         sizes = at.groupBy("path").agg(F.count("*").alias("n"), F.min_by("rep", F.xxhash64("path", "rep")).alias("pivot")).where("n > 1")
         at = materialize(at.join(sizes, "path"), "nodes")
         levels.append(at.where(F.col("n") <= SMALL).groupBy("path").agg(F.sort_array(F.collect_list("rep")).alias("reps")).select("reps"))
         large = at.where(F.col("n") > SMALL)
-        if level == LEVELS - 1 or large.isEmpty():
-            # what is still large after the last level has its links to pivots from the levels before
+        if large.isEmpty():
             break
         pivots = sketches.select(F.col("rep").alias("pivot"), F.col("tokens").alias("pivot_tokens")).join(large.select("pivot").distinct(), "pivot")
         met = large.join(sketches, "rep").join(pivots, "pivot")
         judged = materialize(_likeness(met), "judged")
         links.append(judged.where((F.col("alike") >= CANDIDATE) & (F.col("rep") != F.col("pivot"))).select(F.col("pivot").alias("a"), F.col("rep").alias("b")))
+        goes_on = (F.col("alike") < STANDS_FOR) | (F.col("rep") == F.col("pivot"))
         # a node all of whose sets are candidates of its pivot has no link left to find: they are one component already
-        unlike = judged.where(F.col("alike") < CANDIDATE).select("path").distinct()
-        on = judged.where((F.col("alike") < STANDS_FOR) | (F.col("rep") == F.col("pivot"))).join(unlike, "path", "left_semi").select("path", "rep")
+        nodes = judged.groupBy("path").agg(F.count_if(goes_on).alias("left"), F.min("alike").alias("least")).where(F.col("least") < CANDIDATE)
+        on = judged.where(goes_on).select("path", "rep").join(nodes.select("path", "left"), "path")
         if level % SETTLED == SETTLED - 1:
             # nor has a node whose sets are of one component by the links of all nodes so far
             groups = components(_united(links))
             of = on.join(groups, F.col("rep") == F.col("node"), "left").select("path", F.coalesce("component", "rep").alias("component"))
             mixed = of.groupBy("path").agg(F.min("component").alias("least"), F.max("component").alias("most")).where("least < most")
             on = on.join(mixed.select("path"), "path", "left_semi")
+        on = materialize(on, "left")
+        asked = on.agg(F.sum((F.col("left") - 1) / 2)).first()[0] or 0
+        if asked <= most or level == LEVELS - 1:
+            # nothing large is dropped: the rest is compared as it is
+            links.append(_compare_large(on, sketches))
+            break
         walking = on.select("path", "rep").join(sketches, "rep").select("path", "rep", "tokens")
     nodes = _united(levels).distinct().select(F.xxhash64("reps").alias("node"), F.explode("reps").alias("rep"))
     nodes = nodes.join(sketches, "rep").select("node", "rep", "tokens")

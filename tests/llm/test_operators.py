@@ -4,6 +4,8 @@ import hashlib
 import re
 import zlib
 from collections import Counter, defaultdict
+from functools import reduce
+from operator import xor
 
 import numpy as np
 import pytest
@@ -191,6 +193,58 @@ def test_near_dedup_of_a_large_group(spark, monkeypatch):
     assert got == want
 
 
+def kerdock_words():
+    """The 4096 words of 64 bits of the Kerdock code: any two agree at 36 places at most."""
+
+    def times(a, b):  # in the field of 32 elements
+        out = 0
+        for k in range(5):
+            out ^= (a << k) * (b >> k & 1)
+        for k in (8, 7, 6, 5):
+            out ^= (0b100101 << (k - 5)) * (out >> k & 1)
+        return out
+
+    def power(a, n):
+        out = 1
+        for _ in range(n):
+            out = times(out, a)
+        return out
+
+    field = range(32)
+    trace = [reduce(xor, [power(a, 1 << k) for k in range(5)]) for a in field]
+    forms = [[trace[power(times(a, x), 3)] ^ trace[power(times(a, x), 5)] ^ (e & trace[times(a, x)]) for e in (0, 1) for x in field] for a in field]
+    lines = [[trace[times(b, x)] ^ (c & e) ^ d for e in (0, 1) for x in field] for b in field for c in (0, 1) for d in (0, 1)]
+    return (np.array(forms, np.uint32)[:, None] ^ np.array(lines, np.uint32)).reshape(-1, 64)
+
+
+def test_near_dedup_of_a_large_node_without_likeness(spark):
+    """Sets that share half of their tokens with all others stay in large nodes; each has one copy at 52 of 64."""
+    words = kerdock_words()
+    agree = (words[:256] @ words.T) + ((1 - words[:256]) @ (1 - words.T))
+    assert len(words) == 4096 and np.sort(agree, axis=1)[:, -2].max() <= 36 < near_dedup.CANDIDATE * 64
+    copies, rng = words.copy(), np.random.default_rng(5)
+    for n, row in enumerate(copies):
+        row[rng.choice(64, 12, replace=False)] = 1000 + 12 * n + np.arange(12)
+    tokens = np.concatenate((words, copies)) + np.uint32(1 << 20)
+    sketches = spark.createDataFrame([(n, t.tobytes()) for n, t in enumerate(tokens)], "rep long, tokens binary").cache()
+    found = {(min(r.a, r.b), max(r.a, r.b)) for r in near_dedup.candidate_links(sketches).collect()}
+    planted = {(n, n + 4096) for n in range(4096)}
+    assert found <= planted and len(found) >= 0.99 * len(planted)
+
+
+def test_near_dedup_compares_all_blocks_of_a_node(spark, monkeypatch):
+    """What is left is compared whole, over several blocks."""
+    monkeypatch.setattr(near_dedup, "CELL", 16)
+    rng = np.random.default_rng(6)
+    words = rng.integers(0, 1 << 30, (200, 64), np.uint32)
+    words[:, :30] = 7  # alike at 30 of 64 places
+    words[100:, 30:52] = words[:100, 30:52]
+    rows = spark.createDataFrame([(n, t.tobytes()) for n, t in enumerate(words)], "rep long, tokens binary")
+    nodes = rows.select(F.lit(1).cast("long").alias("path"), "rep", F.lit(200).cast("long").alias("left"))
+    got = near_dedup._compare_large(nodes, rows).collect()
+    assert sorted({(min(r.a, r.b), max(r.a, r.b)) for r in got}) == [(n, n + 100) for n in range(100)]
+
+
 def test_packing(docs, empty):
     from tokenizers import Tokenizer
 
