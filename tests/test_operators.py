@@ -83,6 +83,14 @@ def test_matching(spark):
     assert got == {"KitchenTable": "kitchen_tables", "Zzz": None}
 
 
+def test_interval_overlap_of_the_whole_table(spark, sf):
+    from tagweave.queries import QUERIES
+
+    rows = [(r.p_partkey, r.p_retailprice, r.p_retailprice + r.p_size / 10.0) for r in spark.read.parquet(f"{sf}/part.parquet").collect()]
+    want = sorted((a, b) for a, low, high in rows for b, low_b, high_b in rows if low <= high_b and low_b <= high and a < b)
+    assert sorted(tuple(r) for r in QUERIES["bbox_overlap_join"](spark, sf).collect()) == want
+
+
 def test_windows(spark):
     tasks = spark.createDataFrame([(1, 1, "succeeded", None), (1, 2, "failed", "prev_succeeded"), (1, 3, "x", "prev_failed"), (1, 4, "x", "prev_succeeded")], "s int, n int, state string, cond string")
     got = {r.n: (r.may_run, r.fatal) for r in W.sequential_gate(tasks, "s", "n", "state", "cond").collect()}
