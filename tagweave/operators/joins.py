@@ -137,6 +137,7 @@ def best_match(left: DataFrame, right: DataFrame, key: str, least: float = 80.0)
     Likeness is 200 * (longest common subsequence) / (sum of lengths), over snake-cased names. Names are compared only
     if they share two characters in a row (ends count as characters): a pair of 80 % or more always does, as its
     insertions and deletions are too few to break all of them. The subsequence runs as an Arrow function: no built-in counts it.
+    A name with an equal one on the right takes that, as no other is as like; only the names without are searched for.
     """
     from tagweave.functions.scalar import snake_case
 
@@ -157,9 +158,12 @@ def best_match(left: DataFrame, right: DataFrame, key: str, least: float = 80.0)
     grams = lambda c: F.array_distinct(F.transform(F.sequence(F.lit(1), F.length(c) + 1), lambda k: F.substring(F.concat(F.lit("^"), c, F.lit("$")), k, F.lit(2))))
     a = left.select(F.col(key).alias("a"), snake_case(F.col(key)).alias("a_name"))
     b = right.select(F.col(key).alias("b"), snake_case(F.col(key)).alias("b_name"))
+    equal = b.groupBy(F.col("b_name").alias("same")).agg(F.max("b").alias("b")).where(F.lit(least <= 100.0))
+    same = a.distinct().join(equal, F.col("a_name") == F.col("same")).select("a", F.struct("b", F.lit(100.0).alias("score")).alias("m"))
+    a = a.join(equal, F.col("a_name") == F.col("same"), "left_anti")
     shared = a.withColumn("g", F.explode(grams(F.col("a_name")))).join(b.withColumn("g", F.explode(grams(F.col("b_name")))), "g").drop("g").distinct()
     scored = shared.withColumn("score", likeness("a_name", "b_name")).where(F.col("score") >= least)
-    best = scored.groupBy("a").agg(F.max_by(F.struct("b", "score"), F.struct("score", "b")).alias("m"))
+    best = scored.groupBy("a").agg(F.max_by(F.struct("b", "score"), F.struct("score", "b")).alias("m")).union(same)
     return left.join(best, F.col(key) == F.col("a"), "left").select(*left.columns, F.col("m.b").alias("match"), F.col("m.score").alias("score"))
 
 

@@ -91,6 +91,32 @@ def test_interval_overlap_of_the_whole_table(spark, sf):
     assert sorted(tuple(r) for r in QUERIES["bbox_overlap_join"](spark, sf).collect()) == want
 
 
+def test_best_match_of_all_names(spark, sf):
+    from tagweave.queries import QUERIES
+
+    names = [r.c_name for r in spark.read.parquet(f"{sf}/customer.parquet").collect()]
+    got = {r.name: r.match for r in QUERIES["fuzzy_merge"](spark, sf).collect()}
+    assert len(names) > 19 and got == {n: n for n in names}
+
+    def likeness(x, y):
+        row = [0] * (len(y) + 1)
+        for c in x:
+            before = row[:]
+            for k, d in enumerate(y, 1):
+                row[k] = before[k - 1] + 1 if c == d else max(before[k], row[k - 1])
+        return 200.0 * row[-1] / (len(x) + len(y))
+
+    right = ["anna_smith", "ana_smith", "bob_stone", "bobby_stones", "carol_reed", "dave_long", "AnnaSmith"]
+    left = ["anna_smth", "annasmith", "bob_stnoe", "carol_reed", "zed", "dave_lnog", "AnnaSmith", "karol_read"]
+    snake = {r.n: r.s for r in spark.createDataFrame([(n,) for n in {*left, *right}], "n string").select("n", S.snake_case(F.col("n")).alias("s")).collect()}
+    want = {}
+    for n in left:
+        score, match = max((likeness(snake[n], snake[m]), m) for m in right)
+        want[n] = (match, pytest.approx(score)) if score >= 80 else (None, None)
+    out = J.best_match(spark.createDataFrame([(n,) for n in left], "name string"), spark.createDataFrame([(n,) for n in right], "name string"), "name")
+    assert {r.name: (r.match, r.score) for r in out.collect()} == want
+
+
 def test_windows(spark):
     tasks = spark.createDataFrame([(1, 1, "succeeded", None), (1, 2, "failed", "prev_succeeded"), (1, 3, "x", "prev_failed"), (1, 4, "x", "prev_succeeded")], "s int, n int, state string, cond string")
     got = {r.n: (r.may_run, r.fatal) for r in W.sequential_gate(tasks, "s", "n", "state", "cond").collect()}
