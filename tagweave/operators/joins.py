@@ -167,20 +167,33 @@ def best_match(left: DataFrame, right: DataFrame, key: str, least: float = 80.0)
     return left.join(best, F.col(key) == F.col("a"), "left").select(*left.columns, F.col("m.b").alias("match"), F.col("m.score").alias("score"))
 
 
-def nearest(points: DataFrame, others: DataFrame, key: str, cell: float) -> DataFrame:
-    """Each point's nearest other in the 27 cells of size ``cell`` around it: exact for distances up to ``cell``; farther ones have none.
+def nearest(points: DataFrame, others: DataFrame, key: str, cell: float, halvings: int = 5, apart: bool = False) -> DataFrame:
+    """Each point's nearest other: exact for distances up to ``cell``; farther ones have none.
 
-    Both sides have ``key`` and ``xyz`` (three doubles).
+    Both sides have ``key`` and ``xyz`` (three doubles). ``apart``: the other with the point's own key is left out.
+    The 27 cells of size s around a point hold all others within s. Small cells come first: a point whose nearest is
+    within s is settled, the rest look in cells of twice the size, up to ``cell``.
     """
-    at = lambda k: F.floor(F.get("xyz", F.lit(k)) / F.lit(cell))
-    here = points.select(F.col(key).alias("point"), F.col("xyz").alias("p"), at(0).alias("i"), at(1).alias("j"), at(2).alias("k"))
+    from tagweave.sources.shared import written
+
     around = F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.lit(c).alias("c")) for a in (-1, 0, 1) for b in (-1, 0, 1) for c in (-1, 0, 1)])
-    there = others.select(F.col(key).alias("other"), F.col("xyz").alias("o"), at(0).alias("i0"), at(1).alias("j0"), at(2).alias("k0"), F.explode(around).alias("d"))
-    there = there.select("other", "o", (F.col("i0") + F.col("d.a")).alias("i"), (F.col("j0") + F.col("d.b")).alias("j"), (F.col("k0") + F.col("d.c")).alias("k"))
     gap = F.sqrt(F.aggregate(F.zip_with("p", "o", lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda s, x: s + x))
-    met = here.join(there, ["i", "j", "k"]).withColumn("distance", gap).where(F.col("distance") <= cell)
-    best = met.groupBy("point").agg(F.min(F.struct("distance", "other")).alias("m"))
-    return best.select("point", F.col("m.other").alias("other"), F.col("m.distance").alias("distance"))
+    open_, out = points.select(F.col(key).alias("point"), F.col("xyz").alias("p")), None
+    for n in range(halvings, -1, -1):
+        size = cell / 2**n
+        at = lambda k: F.floor(F.get("xyz", F.lit(k)) / F.lit(size))  # noqa: B023, E731
+        here = open_.withColumn("xyz", F.col("p")).select("point", "p", at(0).alias("i"), at(1).alias("j"), at(2).alias("k"))
+        there = others.select(F.col(key).alias("other"), F.col("xyz").alias("o"), at(0).alias("i0"), at(1).alias("j0"), at(2).alias("k0"), F.explode(around).alias("d"))
+        there = there.select("other", "o", (F.col("i0") + F.col("d.a")).alias("i"), (F.col("j0") + F.col("d.b")).alias("j"), (F.col("k0") + F.col("d.c")).alias("k"))
+        met = here.join(there, ["i", "j", "k"]).withColumn("distance", gap).where(F.col("distance") <= size)
+        met = met.where(F.col("point") != F.col("other")) if apart else met
+        best = written(met.groupBy("point").agg(F.min(F.struct("distance", "other")).alias("m")))
+        out = best if out is None else out.union(best)
+        if n:
+            open_ = written(open_.join(best, "point", "left_anti"))
+            if open_.isEmpty():
+                break
+    return out.select("point", F.col("m.other").alias("other"), F.col("m.distance").alias("distance"))
 
 
 def matched_optimally(costs: DataFrame, group: list[str]) -> DataFrame:

@@ -398,7 +398,7 @@ d AS (SELECT a.vec_id AS point, c.vec_id AS other, sqrt((a.x - c.x) * (a.x - c.x
 SELECT point, other, round(d, 6) AS distance FROM (SELECT *, row_number() OVER (PARTITION BY point ORDER BY d, other) AS k FROM d) WHERE k = 1 AND d <= 0.5""")
 def nearest_bucket(spark, sf):
     e = table(spark, sf, "embeddings").select("vec_id", F.transform(F.slice("embedding", 1, 3), lambda x: x.cast("double")).alias("xyz"))
-    return J.nearest(e.where("vec_id % 10 = 0"), e.where("vec_id % 10 <> 0"), "vec_id", 0.5).withColumn("distance", F.round("distance", 6))
+    return J.nearest(e, e, "vec_id", 0.5, apart=True).withColumn("distance", F.round("distance", 6))
 
 
 # windows, orders, samples --------------------------------------------------------------------------

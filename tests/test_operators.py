@@ -117,6 +117,19 @@ def test_best_match_of_all_names(spark, sf):
     assert {r.name: (r.match, r.score) for r in out.collect()} == want
 
 
+def test_nearest_among_all_rows(spark, sf):
+    from tagweave.queries import QUERIES
+
+    rows = [(r.vec_id, [float(x) for x in r.embedding[:3]]) for r in spark.read.parquet(f"{sf}/embeddings.parquet").collect()]
+    want = {}
+    for a, p in rows:
+        d, b = min((math.dist(p, o), b) for b, o in rows if b != a)
+        if d <= 0.5:
+            want[a] = (b, pytest.approx(d, abs=1e-6))
+    got = QUERIES["nearest_bucket"](spark, sf).collect()
+    assert len(got) == len(want) and {r.point: (r.other, r.distance) for r in got} == want
+
+
 def test_windows(spark):
     tasks = spark.createDataFrame([(1, 1, "succeeded", None), (1, 2, "failed", "prev_succeeded"), (1, 3, "x", "prev_failed"), (1, 4, "x", "prev_succeeded")], "s int, n int, state string, cond string")
     got = {r.n: (r.may_run, r.fatal) for r in W.sequential_gate(tasks, "s", "n", "state", "cond").collect()}
