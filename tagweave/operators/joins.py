@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from itertools import count
+
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -73,7 +75,7 @@ def not_in(rows: DataFrame, others: DataFrame, on) -> DataFrame:
     return rows.join(others, on, "left_anti")
 
 
-def ancestors(edges: DataFrame, most: int = 20) -> DataFrame:
+def ancestors(edges: DataFrame) -> DataFrame:
     """Transitive closure of (child, parent): rows (node, ancestor, depth) at the least depth; cycles end.
 
     One join a level, over the pairs that are new; stops when a level brings none.
@@ -83,7 +85,7 @@ def ancestors(edges: DataFrame, most: int = 20) -> DataFrame:
     step = edges.select(F.col("child").alias("from_"), F.col("parent").alias("to_"))
     new = written(step.select(F.col("from_").alias("node"), F.col("to_").alias("ancestor"), F.lit(1).alias("depth")).distinct())
     out = new
-    for depth in range(2, most + 1):
+    for depth in count(2):
         new = new.join(step, F.col("ancestor") == F.col("from_")).select("node", F.col("to_").alias("ancestor"), F.lit(depth).alias("depth"))
         new = written(new.distinct().join(out.select("node", "ancestor"), ["node", "ancestor"], "left_anti"))
         if new.isEmpty():

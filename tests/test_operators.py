@@ -130,6 +130,12 @@ def test_nearest_among_all_rows(spark, sf):
     assert len(got) == len(want) and {r.point: (r.other, r.distance) for r in got} == want
 
 
+def test_ancestors_of_a_deep_hierarchy(spark):
+    chain = spark.createDataFrame([(n, n + 1) for n in range(23)], "child int, parent int")
+    got = {(r.node, r.ancestor): r.depth for r in J.ancestors(chain).collect()}
+    assert got == {(a, b): b - a for a in range(24) for b in range(a + 1, 24)}
+
+
 def test_windows(spark):
     tasks = spark.createDataFrame([(1, 1, "succeeded", None), (1, 2, "failed", "prev_succeeded"), (1, 3, "x", "prev_failed"), (1, 4, "x", "prev_succeeded")], "s int, n int, state string, cond string")
     got = {r.n: (r.may_run, r.fatal) for r in W.sequential_gate(tasks, "s", "n", "state", "cond").collect()}
