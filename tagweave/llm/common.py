@@ -7,6 +7,8 @@ readers and writers, so that any store that only Spark can reach will do.
 from __future__ import annotations
 
 import atexit
+import os
+import re
 import shutil
 import tempfile
 import uuid
@@ -21,9 +23,11 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or one of our own where that is unset."""
+    """The folder that driver and executors share: spark.checkpoint.dir; one of our own where that is unset and Spark is local."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir isn't set: no folder is known that driver and executors share")
         found = "file://" + (own := tempfile.mkdtemp(prefix="tagweave-"))
         atexit.register(shutil.rmtree, own, ignore_errors=True)
         spark.conf.set("spark.checkpoint.dir", found)
@@ -39,11 +43,12 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return out
 
 
-def discard(df: DataFrame) -> None:
-    """Delete what ``materialize`` wrote for ``df``; only once nothing that is still to run reads it."""
-    spark = df.sparkSession
-    path = spark._jvm.org.apache.hadoop.fs.Path(df._written_at)
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+def discard(*frames: DataFrame) -> None:
+    """Delete what ``materialize`` wrote for the frames; only once nothing that is still to run reads it."""
+    for df in frames:
+        spark = df.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(df._written_at)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def whole_text(df: DataFrame, column: str = "text") -> Column:
@@ -89,40 +94,57 @@ def slices(batch, column: str, most_bytes: int = 8 << 20):
 
 
 class Kept:
-    """Results of costly work on words, for a bounded number of distinct ones: two generations, of which the older goes.
+    """Results of costly work on words, of bounded size: two generations, of which the older goes.
 
     Words that keep coming back move to the new generation, so only rare ones are worked on again.
+    What a batch needs is all there at once, however much it is; batches are bounded by their readers.
     """
 
-    def __init__(self, most: int):
-        self.most = most
+    #: Bytes that an entry takes beside its word and result.
+    ENTRY = 200
+
+    def __init__(self, most_bytes: int):
+        self.most_bytes, self.held = most_bytes, 0
         self.now: dict = {}
         self.before: dict = {}
 
     def fill(self, words: set, work, at_once: int = 20_000) -> None:
-        """Have ``now`` hold all of ``words``; ``work`` gives the results of a list of them."""
+        """Have ``now`` hold all of ``words``; ``work`` gives the results (numbers or bytes) of a list of them."""
         new = words.difference(self.now)
-        if len(self.now) + len(new) > self.most:
-            self.before, self.now, new = self.now, {}, words
+        if new and self.held > self.most_bytes:
+            self.before, self.now, self.held, new = self.now, {}, 0, words
         known, unknown = self.before, []
         for w in new:
             found = known.get(w)
             if found is None:
                 unknown.append(w)
             else:
-                self.now[w] = found
+                self._keep(w, found)
         for k in range(0, len(unknown), at_once):
             part = unknown[k : k + at_once]
-            self.now.update(zip(part, work(part), strict=True))
+            for w, found in zip(part, work(part), strict=True):
+                self._keep(w, found)
+
+    def _keep(self, word, found) -> None:
+        self.now[word] = found
+        self.held += self.ENTRY + len(word) + (len(found) if isinstance(found, bytes) else 0)
+
+
+def few_threads() -> None:
+    """Before the tokenizers library starts its threads: two in a worker; the tasks are what runs in parallel."""
+    os.environ.setdefault("RAYON_NUM_THREADS", "2")
 
 
 def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     """Connected components of the undirected edges (a, b): rows (node, component), the smallest node reachable.
 
+    The result reads a table that ``discard`` deletes once it isn't needed. No edges give no rows.
+
     Alternating large-star and small-star steps: each node keeps pointing at ever
     smaller nodes, so that the number of edges doesn't grow and long chains take a
-    logarithmic number of rounds. Every round is written to the shared folder. A hub
-    joins its neighbours by aggregation (min of a group), never by collecting them.
+    logarithmic number of rounds. Every round is written to the shared folder, and what the
+    round before wrote is deleted. A hub's least neighbour comes from an aggregation; its
+    neighbours then meet that one row in a join whose hot keys Spark can split.
     """
     state = lambda e: tuple(e.agg(F.count("*"), F.bit_xor(F.xxhash64("hi", "lo"))).first())
     pairs = edges.select(F.greatest("a", "b").alias("hi"), F.least("a", "b").alias("lo")).where("hi <> lo").distinct()
@@ -151,4 +173,6 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     else:
         raise RuntimeError("components did not settle")
     roots = current.select(F.col("lo").alias("node"), F.col("lo").alias("component")).distinct()
-    return current.select(F.col("hi").alias("node"), F.col("lo").alias("component")).union(roots)
+    out = current.select(F.col("hi").alias("node"), F.col("lo").alias("component")).union(roots)
+    out._written_at = current._written_at
+    return out

@@ -1,18 +1,15 @@
 """Rank-synchronous merging of symbol sequences in ragged numpy arrays.
 
 Sequences stand one after the other in one array. Each round applies to every sequence, at once,
-its lowest-rank pair (the leftmost of equals); finished sequences leave, until none is left.
+its lowest-rank pair: at all its places, from the left, where no merge of that rank can bring about a
+pair that would go first, else at the leftmost place. Finished sequences leave, until none is left.
 """
 
 from __future__ import annotations
 
-import heapq
-
 import numpy as np
 
 NEVER = np.int32(2**31 - 1)
-#: Sequences of more symbols than this are merged one by one with a heap: a round for each merge would be too many.
-LONG = 512
 
 
 class RankMerger:
@@ -20,13 +17,13 @@ class RankMerger:
 
     def __init__(self, left: list[int], right: list[int], made: list[int], rank: list[int], size: int):
         self.size = size
-        keys = np.array(left, np.int64) * size + np.array(right, np.int64)
+        left, right, made, rank = np.array(left, np.int64), np.array(right, np.int64), np.array(made, np.int32), np.array(rank, np.int32)
+        keys = left * size + right
         # an open-addressing table with room enough that most probes hit at once
         self.bits = max(4, int(len(keys) * 8).bit_length())
         slots = 1 << self.bits
         self.keys = np.full(slots, -1, np.int64)
         self.made, self.rank = np.zeros(slots, np.int32), np.full(slots, NEVER, np.int32)
-        made, rank = np.array(made, np.int32), np.array(rank, np.int32)
         at, waiting = self._slot(keys), np.arange(len(keys))
         while len(waiting):
             chosen = waiting[self.keys[at[waiting]] == -1]
@@ -35,7 +32,12 @@ class RankMerger:
             self.keys[places], self.made[places], self.rank[places] = keys[won], made[won], rank[won]
             waiting = np.setdiff1d(waiting, won)
             at[waiting] = (at[waiting] + 1) & (slots - 1)
-        self._dict: dict[int, tuple[int, int]] = {}
+        # a rank may go to all its places at once if whatever its symbols can merge with next comes later
+        following = np.full(size, NEVER, np.int32)
+        np.minimum.at(following, left, rank)
+        np.minimum.at(following, right, rank)
+        self.at_once = np.ones(int(rank.max(initial=0)) + 1, bool)
+        self.at_once[rank[following[made] <= rank]] = False
 
     def _slot(self, keys: np.ndarray) -> np.ndarray:
         with np.errstate(over="ignore"):
@@ -64,14 +66,6 @@ class RankMerger:
         """The surviving symbols and their sequences, in order. ``part`` ascends: the number of each symbol's sequence."""
         symbols, rank = symbols.copy(), self.ranks(symbols, part) if rank is None else rank
         done: list[tuple[np.ndarray, np.ndarray]] = []
-        starts, lengths = _runs(part)
-        long = lengths > LONG
-        if long.any():
-            for s, n in zip(starts[long].tolist(), lengths[long].tolist(), strict=True):
-                left = self._merge_long(symbols[s : s + n])
-                done.append((left, np.full(len(left), part[s], part.dtype)))
-            stay = ~np.repeat(long, lengths)
-            symbols, rank, part = symbols[stay], rank[stay], part[stay]
         while len(symbols):
             starts, lengths = _runs(part)
             least = np.minimum.reduceat(rank, starts)
@@ -84,7 +78,7 @@ class RankMerger:
                     break
                 least, lengths = least[~over], lengths[~over]
             hit = np.flatnonzero(rank == np.repeat(least, lengths))
-            hit = hit[np.diff(part[hit], prepend=-1) != 0]  # the leftmost of each sequence
+            hit = self._chosen(hit, part[hit], rank[hit])
             symbols[hit] = self.made[self.find(symbols[hit], symbols[hit + 1])]
             stay = np.ones(len(symbols), bool)
             stay[hit + 1] = False
@@ -101,35 +95,15 @@ class RankMerger:
         order = np.argsort(part, kind="stable")
         return symbols[order], part[order]
 
-    def _merge_long(self, symbols: np.ndarray) -> np.ndarray:
-        """One long sequence, by a heap of its pairs: the same order of merges."""
-        if not self._dict:
-            held = np.flatnonzero(self.keys >= 0)
-            self._dict = dict(zip(self.keys[held].tolist(), zip(self.rank[held].tolist(), self.made[held].tolist(), strict=True), strict=True))
-        own, n, pairs = symbols.tolist(), len(symbols), self._dict
-        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        heap: list[tuple] = []
-
-        def offer(i: int, j: int) -> None:
-            found = pairs.get(own[i] * self.size + own[j])
-            if found:
-                heapq.heappush(heap, (found[0], i, found[1], own[i], own[j]))
-
-        for i in range(n - 1):
-            offer(i, i + 1)
-        while heap:
-            _, i, made, a, b = heapq.heappop(heap)
-            j = after[i]
-            if own[i] != a or j >= n or own[j] != b:
-                continue
-            own[i], own[j] = made, -1
-            after[i] = after[j]
-            if after[j] < n:
-                before[after[j]] = i
-                offer(i, after[i])
-            if before[i] >= 0:
-                offer(before[i], i)
-        return np.array([s for s in own if s >= 0], symbols.dtype)
+    def _chosen(self, hit: np.ndarray, part: np.ndarray, rank: np.ndarray) -> np.ndarray:
+        """Those of the places of each sequence's lowest rank that are merged in this round."""
+        begins = np.diff(part, prepend=-1) != 0  # the leftmost of each sequence
+        if begins.all():
+            return hit
+        # places side by side share a symbol: from the left, every other one of such a run is merged
+        run = begins | (np.diff(hit, prepend=-2) != 1)
+        nth = np.arange(len(hit)) - np.flatnonzero(run)[np.cumsum(run) - 1]
+        return hit[begins | (self.at_once[rank] & (nth % 2 == 0))]
 
 
 def _runs(part: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -3,10 +3,13 @@
 Each distinct shingle set has TOKENS minwise tokens. In each of several independent trees the
 sets walk from node to node: a node picks one or two of the token places at random, and its
 sets move on to the children that their tokens at those places name, so that similar sets keep
-meeting. Small nodes compare all their sets by their tokens. A large node compares its sets with
-one of them, its pivot; sets that are nearly the pivot's copies need go no further, as whatever
-is close to them is close to the pivot too; the others branch on, until comparing all sets of all
-nodes that are left takes a bounded number of comparisons a set. Those are then made, in blocks.
+meeting. A node of up to NODE sets is finished in one task, which goes on branching there until
+nodes are small, and compares all sets of a small node by their tokens. A larger node branches as
+a table. At each branching, there or in a task, the sets of a node are compared with one of them,
+its pivot: sets that are nearly the pivot's copies need go no further, as whatever is close to
+them is close to the pivot too; and a node whose sets are all of one component by the links found
+so far has none left to find. Nothing is dropped: what is still large after LEVELS levels, or is
+little enough, is compared whole, in blocks.
 
 That gives candidate links, of which each node keeps a spanning forest. Their components are then
 verified on the full sets, recomputed from the texts: one task holds a component, or one of
@@ -18,6 +21,7 @@ with all of its blocks. Only exact links, 100 * intersection >= 80 * union, make
 from __future__ import annotations
 
 import hashlib
+from collections import defaultdict
 from collections.abc import Iterator
 from functools import reduce
 
@@ -26,20 +30,20 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tagweave.llm.common import components, materialize, slices, string_buffer, whole_text
+from tagweave.llm.common import components, discard, materialize, slices, string_buffer, whole_text
 
-#: After LEVELS levels whatever is left in large nodes is compared, however much it is.
-TOKENS, TREES, LEVELS = 64, 12, 12
-#: After so many levels, and again after as many more, nodes of one component are taken out.
-SETTLED = 3
-#: Largest node that is compared exhaustively.
-SMALL = 48
-#: Large nodes are compared exhaustively once that takes so many comparisons for each set of the input; sets in a block.
-COMPARISONS, CELL = 4096, 1024
+#: After LEVELS levels of large nodes, or DEPTH in a task, whatever is left is compared, however much it is.
+TOKENS, TREES, LEVELS, DEPTH = 64, 12, 24, 24
+#: Largest node that is finished in one task (256 bytes a set), and largest that is compared exhaustively.
+NODE, SMALL = 4096, 48
+#: Larger nodes are compared exhaustively once that takes so many comparisons for each set of the input; sets in a block.
+COMPARISONS, CELL = 1024, 1024
 #: Estimates from TOKENS tokens (standard error 0.05 at 0.8): candidates, and sets that a pivot stands for.
 CANDIDATE, STANDS_FOR = 0.6, 0.9
 #: Sets and bytes of text that one verification task holds, and pivots in each block of a large component.
-BLOCK_SETS, BLOCK_BYTES, PIVOTS = 256, 16 << 20, 8
+BLOCK_SETS, BLOCK_BYTES, PIVOTS = 256, 8 << 20, 8
+#: Words over so many bytes are hashed one by one.
+LONG_WORD = 256
 U = np.uint64
 
 
@@ -54,19 +58,26 @@ def _odd_numbers(n: int, seed: int) -> np.ndarray:
     return _mixed(np.arange(1, n + 1, dtype=U) * U(0x9E3779B97F4A7C15) + U(seed)) | U(1)
 
 
-BASE, INVERSE = 0xD1342543DE82EF95, pow(0xD1342543DE82EF95, -1, 1 << 64)
+BASE = 0xD1342543DE82EF95
 FACTORS, ADDENDS = _odd_numbers(TOKENS, 11), _odd_numbers(TOKENS, 12)
-_powers: dict[str, np.ndarray] = {}
+#: The first 0 to 8 bytes of a little-endian number.
+FIRST_BYTES = np.array([(1 << 8 * k) - 1 for k in range(9)], U)
 
 
-def _power(base: int, n: int) -> np.ndarray:
-    """base ** 0 .. base ** (n - 1), modulo 2 ** 64; kept for the next batch."""
-    if len(_powers.get(base, ())) < n:
-        with np.errstate(over="ignore"):
-            steps = np.full(max(n, 1), base, U)
-            steps[0] = 1
-            _powers[base] = np.cumprod(steps, dtype=U)
-    return _powers[base][:n]
+def word_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """64-bit hashes of the words at [start, end) of the bytes, eight bytes of all words at a time."""
+    sizes = end - start
+    eight = np.ndarray((len(data) + 1,), "<u8", np.concatenate((data, np.zeros(8, np.uint8))), strides=(1,))
+    out = _mixed(sizes.astype(U))
+    live, k = np.flatnonzero(sizes <= LONG_WORD), 0
+    with np.errstate(over="ignore"):
+        while len(live):
+            left = sizes[live] - k
+            out[live] = _mixed(out[live] * U(BASE) + (eight[start[live] + k] & FIRST_BYTES[np.minimum(left, 8)]))
+            live, k = live[left > 8], k + 8
+    for n in np.flatnonzero(sizes > LONG_WORD).tolist():
+        out[n] = int.from_bytes(hashlib.blake2b(data[start[n] : end[n]].tobytes(), digest_size=8).digest(), "little")
+    return out
 
 
 def shingle_sets(data: np.ndarray, at: np.ndarray, width: int = 4) -> tuple[np.ndarray, np.ndarray]:
@@ -86,11 +97,9 @@ def shingle_sets(data: np.ndarray, at: np.ndarray, width: int = 4) -> tuple[np.n
     lasts = at[1:][at[1:] > 0] - 1
     ends[lasts] = ~white[lasts]
     start, end = np.flatnonzero(begins), np.flatnonzero(ends) + 1
-    low = np.where((data >= 65) & (data <= 90), data + np.uint8(32), data).astype(U) + U(1)
+    low = np.where((data >= 65) & (data <= 90), data + np.uint8(32), data)
+    words = word_hashes(low, start, end)
     with np.errstate(over="ignore"):
-        sums = np.zeros(len(data) + 1, U)
-        np.cumsum(low * _power(BASE, len(data)), out=sums[1:])
-        words = _mixed((sums[end] - sums[start]) * _power(INVERSE, len(data) + 1)[start] + (end - start).astype(U))
         per_text = np.searchsorted(start, at)  # words before each text
         out, offsets = [], np.zeros(texts + 1, np.int64)
         rolled = words[: max(0, len(words) - width + 1)].copy()
@@ -152,19 +161,67 @@ def _roots(n: int, pairs) -> list[int]:
     return parent
 
 
-def _compare_small(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (node, rep, tokens) sorted by node: a spanning forest of each node's candidate links."""
+def _branch(node: int, rows: np.ndarray, reps: np.ndarray, tokens: np.ndarray) -> tuple[list[tuple[int, int]], list[np.ndarray]]:
+    """Go on branching a node of more than SMALL sets: (candidate links found on the way, small nodes that are left)."""
+    links, small, group = [], [], np.arange(len(rows))
+    stack = [(U(node & (1 << 64) - 1), np.arange(len(rows)), 0)]
+
+    def unite(pivot: int, near: np.ndarray) -> None:
+        fresh = near[group[near] != group[pivot]]
+        if len(fresh):
+            _, first = np.unique(group[fresh], return_index=True)  # a spanning forest will do
+            links.extend((int(reps[rows[pivot]]), int(reps[rows[m]])) for m in fresh[first].tolist())
+            group[np.isin(group, group[fresh])] = group[pivot]
+
+    while stack:
+        path, own, depth = stack.pop()
+        if len(own) <= SMALL:
+            if len(own) > 1:
+                small.append(rows[own])
+            continue
+        pivot = own[np.argmin(_mixed(reps[rows[own]].astype(U) ^ path))]
+        alike = np.count_nonzero(tokens[rows[own]] == tokens[rows[pivot]], axis=1)
+        unite(pivot, own[alike >= CANDIDATE * TOKENS])
+        own = own[(alike < STANDS_FOR * TOKENS) | (own == pivot)]
+        if (group[own] == group[own[0]]).all():
+            continue
+        if depth == DEPTH:
+            for k in range(0, len(own), CELL):
+                for m in range(k, len(own), CELL):
+                    x, y = own[k : k + CELL], own[m : m + CELL]
+                    for pivot, near in _forest(tokens[rows[x]], tokens[rows[y]], k == m):
+                        unite(x[pivot], np.concatenate((x[near[0]], y[near[1]])))
+            continue
+        h = _mixed(path ^ np.array([1, 2, 3], U)).tolist()
+        first = h[0] % TOKENS
+        for place in (first, (first + 1 + h[1] % (TOKENS - 1)) % TOKENS)[: 2 if h[2] % 4 == 0 else 1]:
+            named = tokens[rows[own], place]
+            order = np.argsort(named, kind="stable")
+            cuts = np.flatnonzero(np.diff(named[order])) + 1
+            for child in np.split(order, cuts):
+                if len(child) > 1:
+                    name = U(int(named[child[0]]) << 8 | place)
+                    stack.append((_mixed(np.array([path ^ _mixed(np.array([name], U))[0]], U))[0], own[child], depth + 1))
+    return links, small
+
+
+def _compare_nodes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (node, rep, tokens) sorted by node, up to NODE of one: a spanning forest of each node's candidate links."""
 
     def links(ids: np.ndarray, reps: np.ndarray, tokens: np.ndarray) -> list[tuple[int, int]]:
         starts = np.flatnonzero(np.concatenate(([True], ids[1:] != ids[:-1])))
-        sizes, out = np.diff(np.append(starts, len(ids))), []
-        for size in np.unique(sizes).tolist():
-            if size < 2:
-                continue
-            step = max(1, (4 << 20) // (size * size * TOKENS))
-            own = starts[sizes == size]
+        sizes, out, by_size = np.diff(np.append(starts, len(ids))), [], defaultdict(list)
+        for start, size in zip(starts[sizes > SMALL].tolist(), sizes[sizes > SMALL].tolist(), strict=True):
+            found, small = _branch(int(ids[start]), np.arange(start, start + size), reps, tokens)
+            out += found
+            for rows in small:
+                by_size[len(rows)].append(rows)
+        for size in np.unique(sizes[(sizes > 1) & (sizes <= SMALL)]).tolist():
+            by_size[size].append(starts[sizes == size][:, None] + np.arange(size))
+        for size, parts in by_size.items():
+            own, step = np.vstack(parts), max(1, (4 << 20) // (size * size * TOKENS))
             for k in range(0, len(own), step):
-                rows = own[k : k + step, None] + np.arange(size)
+                rows = own[k : k + step]
                 t = tokens[rows]
                 alike = np.count_nonzero(t[:, :, None, :] == t[:, None, :, :], axis=3) >= CANDIDATE * TOKENS
                 alike &= np.triu(np.ones((size, size), bool), 1)
@@ -174,7 +231,7 @@ def _compare_small(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         return out
 
     def result(pairs: list[tuple[int, int]]) -> pa.RecordBatch:
-        a, b = zip(*pairs, strict=True) if pairs else ((), ())
+        a, b = zip(*set(pairs), strict=True) if pairs else ((), ())
         return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
     held = None
@@ -186,34 +243,46 @@ def _compare_small(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
             np.frombuffer(b"".join(batch.column("tokens").to_pylist()), np.uint32).reshape(-1, TOKENS),
         )
         ids, reps, tokens = new if held is None else (np.concatenate(x) for x in zip(held, new, strict=True))
-        last = int(np.searchsorted(ids, ids[-1]))  # the last node may go on in the next batch; nodes are small
+        last = int(np.searchsorted(ids, ids[-1]))  # the last node may go on in the next batch; nodes are bounded
         held = (ids[last:], reps[last:], tokens[last:])
         yield result(links(ids[:last], reps[:last], tokens[:last]))
     if held is not None:
         yield result(links(*held))
 
 
+def _forest(a: np.ndarray, b: np.ndarray, twice: bool) -> Iterator[tuple[int, tuple[np.ndarray, np.ndarray]]]:
+    """Groups of candidates between two blocks of tokens (``twice``: one block, given twice): (a place in a, places in a and in b)."""
+    same, across = np.zeros((len(a), len(b)), np.uint8), np.ascontiguousarray(b.T)
+    for k in range(TOKENS):
+        same += a[:, k][:, None] == across[k]
+    alike = same >= CANDIDATE * TOKENS
+    if twice:
+        np.fill_diagonal(alike, False)
+    new_a, new_b = np.ones(len(a), bool), np.ones(len(b), bool)
+    for k in np.flatnonzero(alike.any(1)).tolist():
+        if not new_a[k]:
+            continue
+        new_a[k] = False
+        at, in_a, in_b = np.array([k]), [], []
+        while len(at):  # from side to side, until the group brings no more
+            there = np.flatnonzero(alike[at].any(0) & new_b)
+            new_b[there] = False
+            in_b.append(there)
+            at = np.flatnonzero(alike[:, there].any(1) & new_a)
+            new_a[at] = False
+            in_a.append(at)
+        yield k, (np.concatenate(in_a), np.concatenate(in_b))
+
+
 def _compare_cell(table: pa.Table) -> pa.Table:
     """Rows of two blocks (or twice one) of a node: a spanning forest of the candidate links between the blocks."""
     block, reps = table["block"].to_numpy(), table["rep"].to_numpy()
     tokens = np.frombuffer(b"".join(table["tokens"].to_pylist()), np.uint32).reshape(-1, TOKENS)
-    x, y = (np.flatnonzero(block == table[side][0].as_py()) for side in ("low", "high"))
+    low, high = table["low"][0].as_py(), table["high"][0].as_py()
+    x, y = np.flatnonzero(block == low), np.flatnonzero(block == high)
     pairs = []
-    if len(x) and len(y):
-        same, across = np.zeros((len(x), len(y)), np.uint8), np.ascontiguousarray(tokens[y].T)
-        for k in range(TOKENS):
-            same += tokens[x, k][:, None] == across[k]
-        alike = same >= CANDIDATE * TOKENS
-        new_x, new_y = np.ones(len(x), bool), np.ones(len(y), bool)
-        for k in np.flatnonzero(alike.any(1)).tolist():
-            at = [k] if new_x[k] else []
-            new_x[k] = False
-            while len(at):  # from side to side, until the group brings no more
-                there = np.flatnonzero(alike[at].any(0) & new_y)
-                new_y[there] = False
-                at = np.flatnonzero(alike[:, there].any(1) & new_x)
-                new_x[at] = False
-                pairs += [(int(reps[x[k]]), int(m)) for m in np.concatenate((reps[y[there]], reps[x[at]])) if m != reps[x[k]]]
+    for k, (in_x, in_y) in _forest(tokens[x], tokens[y], low == high):
+        pairs += [(int(reps[x[k]]), int(m)) for m in np.concatenate((reps[x[in_x]], reps[y[in_y]])) if m != reps[x[k]]]
     a, b = zip(*pairs, strict=True) if pairs else ((), ())
     return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
@@ -259,42 +328,46 @@ def candidate_links(sketches: DataFrame) -> DataFrame:
     """Candidate pairs (a, b) among the sets of ``sketches`` (rep, tokens; materialized): TREES independent trees."""
     roots = F.transform(F.sequence(F.lit(0), F.lit(TREES - 1)), lambda t: F.xxhash64(F.lit("tree"), t))
     walking = sketches.select(F.explode(roots).alias("path"), "rep", "tokens")
-    links, levels = [], []
+    nodes, links, scratch = [], [], []
+
+    def kept(df: DataFrame, name: str) -> DataFrame:
+        scratch.append(materialize(df, name))
+        return scratch[-1]
+
     most = COMPARISONS * sketches.count()
     for level in range(LEVELS):
         at = _children(walking)
-        sizes = at.groupBy("path").agg(F.count("*").alias("n"), F.min_by("rep", F.xxhash64("path", "rep")).alias("pivot")).where("n > 1")
-        at = materialize(at.join(sizes, "path"), "nodes")
-        levels.append(at.where(F.col("n") <= SMALL).groupBy("path").agg(F.sort_array(F.collect_list("rep")).alias("reps")).select("reps"))
-        large = at.where(F.col("n") > SMALL)
+        # which sets a node holds, as two 64-bit sums: nodes of the same sets are finished once
+        sums = [F.bit_xor(F.xxhash64(F.lit(salt), "rep")).alias(salt) for salt in ("s", "t")]
+        sizes = at.groupBy("path").agg(F.count("*").alias("n"), F.min_by("rep", F.xxhash64("path", "rep")).alias("pivot"), *sums).where("n > 1")
+        sizes = kept(sizes, "sizes")
+        once = sizes.where(F.col("n") <= NODE).groupBy("n", "s", "t").agg(F.min("path").alias("path")).select("path")
+        nodes.append(at.join(once, "path").select(F.col("path").alias("node"), "rep"))
+        large = sizes.where(F.col("n") > NODE).select("path", "pivot")
         if large.isEmpty():
             break
-        pivots = sketches.select(F.col("rep").alias("pivot"), F.col("tokens").alias("pivot_tokens")).join(large.select("pivot").distinct(), "pivot")
-        met = large.join(sketches, "rep").join(pivots, "pivot")
-        judged = materialize(_likeness(met), "judged")
+        pivots = sketches.select(F.col("rep").alias("pivot"), F.col("tokens").alias("pivot_tokens"))
+        met = at.join(large.join(pivots, "pivot"), "path").join(sketches, "rep")
+        judged = kept(_likeness(met), "judged")
         links.append(judged.where((F.col("alike") >= CANDIDATE) & (F.col("rep") != F.col("pivot"))).select(F.col("pivot").alias("a"), F.col("rep").alias("b")))
+        # a node whose sets are of one component by the links so far has no link left to find
+        groups = components(_united(links))
         goes_on = (F.col("alike") < STANDS_FOR) | (F.col("rep") == F.col("pivot"))
-        # a node all of whose sets are candidates of its pivot has no link left to find: they are one component already
-        nodes = judged.groupBy("path").agg(F.count_if(goes_on).alias("left"), F.min("alike").alias("least")).where(F.col("least") < CANDIDATE)
-        on = judged.where(goes_on).select("path", "rep").join(nodes.select("path", "left"), "path")
-        if level % SETTLED == SETTLED - 1:
-            # nor has a node whose sets are of one component by the links of all nodes so far
-            groups = components(_united(links))
-            of = on.join(groups, F.col("rep") == F.col("node"), "left").select("path", F.coalesce("component", "rep").alias("component"))
-            mixed = of.groupBy("path").agg(F.min("component").alias("least"), F.max("component").alias("most")).where("least < most")
-            on = on.join(mixed.select("path"), "path", "left_semi")
-        on = materialize(on, "left")
+        of = judged.where(goes_on).join(groups, F.col("rep") == F.col("node"), "left").select("path", "rep", F.coalesce("component", "rep").alias("component"))
+        mixed = of.groupBy("path").agg(F.count("*").alias("left"), F.min("component").alias("least"), F.max("component").alias("most"))
+        on = kept(of.select("path", "rep").join(mixed.where("least < most").select("path", "left"), "path"), "left")
+        discard(groups)
         asked = on.agg(F.sum((F.col("left") - 1) / 2)).first()[0] or 0
         if asked <= most or level == LEVELS - 1:
             # nothing large is dropped: the rest is compared as it is
             links.append(_compare_large(on, sketches))
             break
         walking = on.select("path", "rep").join(sketches, "rep").select("path", "rep", "tokens")
-    nodes = _united(levels).distinct().select(F.xxhash64("reps").alias("node"), F.explode("reps").alias("rep"))
-    nodes = nodes.join(sketches, "rep").select("node", "rep", "tokens")
-    nodes = nodes.repartition("node").sortWithinPartitions("node")
-    found = nodes.mapInArrow(_compare_small, "a long, b long")
-    return materialize(_united([found, *links]).distinct(), "candidates")
+    held = _united(nodes).join(sketches, "rep").select("node", "rep", "tokens")
+    found = held.repartition("node").sortWithinPartitions("node").mapInArrow(_compare_nodes, "a long, b long")
+    out = materialize(_united([found, *links]).distinct(), "candidates")
+    discard(*scratch)
+    return out
 
 
 def _exact_groups(texts: list[bytes], percent: int, width: int, against: int | None = None) -> list[tuple[int, int]]:
@@ -349,18 +422,30 @@ def _query(percent: int, width: int):
 
 
 def exact_links(texts: DataFrame, members: DataFrame, percent: int, width: int) -> DataFrame:
-    """Exact links inside the candidate components ``members`` (node, component), as edges (a, b) of their groups."""
+    """Exact links inside the candidate components ``members`` (node, component), as edges (a, b) of their groups (materialized)."""
+    scratch = []
+
+    def kept(df: DataFrame, name: str) -> DataFrame:
+        scratch.append(materialize(df, name))
+        return scratch[-1]
+
+    def done(edges: DataFrame) -> DataFrame:
+        out = materialize(edges.where("rep <> root").select(F.col("root").alias("a"), F.col("rep").alias("b")), "links")
+        discard(*scratch)
+        return out
+
     # members grow with the corpus: never broadcast, at any size
-    held = texts.join(members.hint("merge"), texts["rep"] == members["node"]).select("rep", "text", "component")
-    held = materialize(held, "verified-texts")
+    held = kept(texts.join(members.hint("merge"), texts["rep"] == members["node"]).select("rep", "text", "component"), "verified-texts")
+    if not held.groupBy("rep").count().where("count > 1").isEmpty():  # rows that repeat their id: each text of it once
+        held = kept(held.groupBy("rep", F.sha2(F.col("text").cast("binary"), 256).alias("of")).agg(F.first("text").alias("text"), F.first("component").alias("component")).drop("of"), "once")
     sizes = held.groupBy("component").agg(F.count("*").alias("n"), F.sum(F.octet_length("text")).alias("bytes"))
     blocks = F.greatest(F.ceil(F.col("n") / BLOCK_SETS), F.ceil(F.col("bytes") / BLOCK_BYTES)).cast("long")
-    sizes = materialize(sizes.select("component", blocks.alias("blocks")), "components")
-    dealt = held.join(sizes, "component").withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")))
+    sizes = kept(sizes.select("component", blocks.alias("blocks")), "components")
+    dealt = held.join(sizes, "component").withColumn("block", F.pmod(F.xxhash64("rep", "text"), F.col("blocks")))
     large = sizes.where("blocks > 1")
     if large.isEmpty():
         found = dealt.select("rep", "text", "component", "block").groupBy("component", "block").applyInArrow(_verify(percent, width), "rep long, root long")
-        return materialize(found.where("rep <> root").select(F.col("root").alias("a"), F.col("rep").alias("b")), "links")
+        return done(found)
     # every block of a large component gets its pivots: the sets of least hash, a fixed number
     many = held.join(large, "component")
     # the least of each of 64 salts: what any task collects is bounded
@@ -369,17 +454,18 @@ def exact_links(texts: DataFrame, members: DataFrame, percent: int, width: int)
     few = few.groupBy("component", "blocks").agg(F.slice(F.array_sort(F.collect_list("head")), 1, PIVOTS).alias("heads"))
     pivots = few.select("component", "blocks", F.explode("heads.rep").alias("pivot")).withColumnRenamed("component", "c")
     pivots = pivots.join(held, F.col("pivot") == F.col("rep")).select("rep", "text", "component", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"))
-    rows = dealt.select("rep", "text", "component", "block").union(pivots).dropDuplicates(["rep", "component", "block"])
-    found = materialize(rows.groupBy("component", "block").applyInArrow(_verify(percent, width), "rep long, root long"), "found")
-    edges = found.where("rep <> root").select(F.col("root").alias("a"), F.col("rep").alias("b"))
+    own = dealt.join(few.select("component", "heads"), "component", "left")
+    own = own.where(~F.coalesce(F.array_contains("heads.rep", F.col("rep")), F.lit(False))).select("rep", "text", "component", "block")
+    found = kept(own.union(pivots).groupBy("component", "block").applyInArrow(_verify(percent, width), "rep long, root long"), "found")
     # groups over the blocks; whatever is outside the largest group of its component is compared with all blocks
-    ids = many.select("rep", "component", "blocks")
-    grouped = ids.join(components(edges).withColumnRenamed("component", "root"), F.col("rep") == F.col("node"), "left")
-    grouped = materialize(grouped.select("rep", F.col("component").alias("c"), "blocks", F.coalesce("root", "rep").alias("root")), "grouped")
+    roots = components(found.select(F.col("root").alias("a"), F.col("rep").alias("b")))
+    grouped = many.select("rep", "component", "blocks").distinct().join(roots.withColumnRenamed("component", "root"), F.col("rep") == F.col("node"), "left")
+    grouped = kept(grouped.select("rep", F.col("component").alias("c"), "blocks", F.coalesce("root", "rep").alias("root")), "grouped")
+    discard(roots)
     largest = grouped.groupBy("c", "root").agg(F.count("*").alias("n")).groupBy("c").agg(F.max_by("root", F.struct("n", "root")).alias("main"))
-    outside = materialize(grouped.join(largest, "c").where("root <> main").select("rep", F.col("c"), "blocks"), "outside")
+    outside = kept(grouped.join(largest, "c").where("root <> main").select("rep", F.col("c"), "blocks"), "outside")
     if outside.isEmpty():
-        return edges
+        return done(found)
     per = outside.groupBy("c").agg(F.count("*").alias("asking")).withColumnRenamed("c", "ac")
     asks = outside.join(per, F.col("c") == F.col("ac")).withColumn("ask", F.pmod(F.xxhash64(F.lit("ask"), "rep"), F.ceil(F.col("asking") / BLOCK_SETS)))
     asking = asks.withColumnRenamed("rep", "asking_rep").join(held, F.col("asking_rep") == F.col("rep"))
@@ -387,7 +473,7 @@ def exact_links(texts: DataFrame, members: DataFrame, percent: int, width: int)
     batches = per.select("ac", F.explode(F.sequence(F.lit(0), F.ceil(F.col("asking") / BLOCK_SETS) - 1)).alias("ask"))
     answering = dealt.join(batches, F.col("component") == F.col("ac")).select(F.lit(False).alias("asks"), "rep", "text", "component", "ask", "block")
     more = asking.union(answering).groupBy("component", "block", "ask").applyInArrow(_query(percent, width), "rep long, root long")
-    return materialize(edges.union(more.where("rep <> root").select(F.col("root").alias("a"), F.col("rep").alias("b"))), "links")
+    return done(found.union(more))
 
 
 def near_dedup(docs: DataFrame, percent: int = 80, width: int = 4, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
@@ -400,23 +486,30 @@ def near_dedup(docs: DataFrame, percent: int = 80, width: int = 4, id_column: st
         percent: two sets are linked if 100 * intersection >= percent * union.
 
     Null and empty texts, and texts of white space, have no shingles and are linked with nothing. Equal sets are
-    linked. Rows with a null doc_id have a null component_id and are kept; they link nothing. Rows that repeat a
-    doc_id share its component. Candidates come from TREES random trees: a pair at exactly the threshold is missed
-    with a probability of about 0.1 %; what is found is exact.
+    linked. Ties are links: at exactly ``percent`` two sets are linked. Rows with a null doc_id have a null
+    component_id and are kept; they link nothing. Rows that repeat a doc_id share its component, whatever their
+    texts. No rows give no rows; other columns aren't read, whatever their names.
+
+    Candidates come from TREES random trees: a pair at exactly the threshold is missed with a probability of about
+    0.1 %; what is found is exact. A worker holds a slice of a batch (4 MB of text, or one longer text) and some
+    bytes for each of its bytes, a node of NODE sets by their tokens, or BLOCK_BYTES of texts that it verifies.
+    Tables that the result doesn't read are deleted; sketches and roots stay, as the result is read later.
     """
     rows = docs.select(docs[id_column].cast("long").alias("doc_id"), whole_text(docs, text_column).alias("text"))
     table = materialize(rows.mapInArrow(_sketches(width), "doc_id long, n_shingles long, print binary, tokens binary"), "sketches")
     linkable = table.where("n_shingles > 0 and doc_id is not null")
     sets = materialize(linkable.groupBy("print").agg(F.min("doc_id").alias("rep"), F.first("tokens").alias("tokens")), "sets")
-    sketches = sets.select("rep", "tokens")
-    members = components(candidate_links(sketches))
+    candidates = candidate_links(sets.select("rep", "tokens"))
+    members = components(candidates)
     links = exact_links(rows.withColumnRenamed("doc_id", "rep"), members, percent, width)
-    groups = components(links).withColumnRenamed("component", "root")
-    sets = sets.select(F.col("print").alias("of"), "rep").join(groups, F.col("rep") == F.col("node"), "left")
-    sets = materialize(sets.select("of", F.coalesce("root", "rep").alias("root")), "roots")
+    groups = components(links)
+    roots = groups.withColumnRenamed("component", "root")
+    roots = sets.select(F.col("print").alias("of"), "rep").join(roots, F.col("rep") == F.col("node"), "left")
+    roots = materialize(roots.select("of", F.coalesce("root", "rep").alias("root")), "roots")
+    discard(candidates, members, links, groups, sets)
     # sets of no shingles and rows without an id look up a key of their own, so that they don't meet in one task
     alone = F.concat(F.lit("-"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))).cast("binary")
     key = F.when((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull(), F.col("print")).otherwise(alone)
-    out = table.select("doc_id", "n_shingles", key.alias("key")).join(sets, F.col("key") == F.col("of"), "left")
+    out = table.select("doc_id", "n_shingles", key.alias("key")).join(roots, F.col("key") == F.col("of"), "left")
     component = F.coalesce("root", "doc_id")
     return out.select("doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))

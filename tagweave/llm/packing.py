@@ -13,7 +13,6 @@ bins, a fixed number, and the rest are done. Every task handles a bounded number
 from __future__ import annotations
 
 import json
-import os
 import re
 import zlib
 from collections.abc import Iterator
@@ -23,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tagweave.llm.common import Kept, materialize, slices, whole_text
+from tagweave.llm.common import Kept, few_threads, materialize, slices, whole_text
 from tagweave.llm.merging import RankMerger
 
 ITEM = "struct<doc_id: bigint, piece: int, start: bigint, length: bigint, ids_crc32: bigint, offset: bigint>"
@@ -33,8 +32,10 @@ ITEM_ARROW = pa.struct(
 BINS = f"unit bigint, sequence_id bigint, fill int, open boolean, items array<{ITEM}>"
 #: Items of a unit in the first round; units that are packed together in a later one; bins that a unit passes on.
 UNIT, FAN_IN, PASSED_ON = 100_000, 8, 256
-#: Ids of so many distinct words are kept in each Python worker, and as many from before.
-MOST_KEPT = 200_000
+#: Bytes of words and their ids that are kept in each Python worker, and as many from before.
+MOST_KEPT = 48 << 20
+#: The pre-tokenizer's pattern for which plain words are known to be cut as they are here.
+CUT_LIKE = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 #: Words of plain Latin letters, with ASCII marks after the last perhaps: the tokenizer always cuts between a letter and
 #: a run of marks, and has nothing to normalise here but the case.
 PLAIN = re.compile(rb"((?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])*)([.,*$%&#|!?;:)]*)")
@@ -48,15 +49,21 @@ class WordEncoder:
     """
 
     def __init__(self, tokenizer_json: str):
-        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # the tasks are what runs in parallel
+        few_threads()
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(tokenizer_json)
         self.ids = Kept(MOST_KEPT)
         spec = json.loads(tokenizer_json)
         model, suffix = spec["model"], spec["model"].get("end_of_word_suffix") or ""
-        steps = [x["type"] for x in (spec["normalizer"] or {}).get("normalizers", [])]
-        self.plain = model["type"] == "BPE" and suffix != "" and steps == ["NFC", "Replace", "Lowercase"] and not model.get("dropout") and not model.get("ignore_merges")
+        normal = [x["type"] for x in (spec["normalizer"] or {}).get("normalizers", [])]
+        cut = (spec["pre_tokenizer"] or {}).get("pretokenizers", [])
+        cut = [(x["type"], x.get("pattern"), x.get("invert"), x.get("use_regex"), x.get("add_prefix_space")) for x in cut]
+        self.plain = (
+            model["type"] == "BPE" and suffix != "" and not model.get("dropout") and not model.get("ignore_merges")
+            and normal == ["NFC", "Replace", "Lowercase"]
+            and cut == [("Split", {"Regex": CUT_LIKE}, True, None, None), ("ByteLevel", None, None, False, False)]
+        )
         if self.plain:
             vocab, merges = model["vocab"], [m if isinstance(m, list) else m.split(" ") for m in model["merges"]]
             left, right, made = ([vocab[f(m)] for m in merges] for f in (lambda m: m[0], lambda m: m[1], "".join))
@@ -102,23 +109,29 @@ class WordEncoder:
         return [next(rest) if m is None else next(merged) for m in found]
 
 
-_encoders: dict[int, WordEncoder] = {}
+_encoders: dict[str, WordEncoder] = {}
 
 
 def pieces(docs: DataFrame, tokenizer_file: str, id_column: str = "doc_id", text_column: str = "text", capacity: int = 2048) -> DataFrame:
-    """doc_id, piece, start, length, ids_crc32 of every document's ids and a last id 0, cut at ``capacity``."""
+    """doc_id, piece, start, length, ids_crc32 of every document's ids and a last id 0, cut at ``capacity``.
+
+    Null and empty texts are one piece of one id; null doc_ids and repeated rows are cut like any other; no rows give
+    none; other columns aren't read, whatever their names. A worker holds a slice of a batch (4 MB of text, or one
+    longer text) with its ids, and MOST_KEPT bytes of words and ids, twice.
+    """
     with open(tokenizer_file, encoding="utf-8") as f:
         held = docs.sparkSession.sparkContext.broadcast(f.read())  # a file of a few MB
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key = hash(held.value)
-        if key not in _encoders:
-            _encoders[key] = WordEncoder(held.value)
+        if held.value not in _encoders:
+            _encoders.clear()
+            _encoders[held.value] = WordEncoder(held.value)
+        encoder = _encoders[held.value]
         for whole in batches:
             for batch in slices(whole, "text", 4 << 20):
                 out: list[tuple] = []
                 texts = [x.as_buffer().to_pybytes() if len(x.as_buffer()) else b"" for x in batch.column("text").cast(pa.binary())]
-                for doc, ids in zip(batch.column("doc_id").to_pylist(), _encoders[key].encode(texts), strict=True):
+                for doc, ids in zip(batch.column("doc_id").to_pylist(), encoder.encode(texts), strict=True):
                     ids += bytes(4)
                     for n, at in enumerate(range(0, len(ids), 4 * capacity)):
                         own = ids[at : at + 4 * capacity]

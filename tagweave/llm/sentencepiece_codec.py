@@ -2,8 +2,9 @@
 
 The model's protobuf is parsed and the same tokenizer rebuilt there: its normaliser, the
 metaspace mark, unigram scores or the merges that BPE scores stand for, and byte fallback.
-Distinct pre-tokens of a batch are encoded at once, multithreaded, by the rebuilt tokenizer and
-by the library itself; where they differ the library's ids stand and the difference is counted.
+Distinct pre-tokens of a batch are encoded at once, multithreaded, by the rebuilt tokenizer, and
+decoded again by its decoder: those ids and texts are the result. The sentencepiece library
+encodes them too, only to verify parity; pre-tokens on which it differs are counted.
 """
 
 from __future__ import annotations
@@ -16,18 +17,19 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tagweave.llm.common import Kept, slices, whole_text
+from tagweave.llm.common import Kept, few_threads, slices, whole_text
 
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNIGRAM, BPE = 1, 2
 MARK = "▁"
-#: Ids of so many distinct pre-tokens are kept in each Python worker, and as many from before.
-MOST_KEPT = 300_000
+#: Bytes of pre-tokens and their ids that are kept in each Python worker, and as many from before.
+MOST_KEPT = 40 << 20
 SCHEMA = "doc_id long, n_tokens long, ids binary, ids_crc32 long, round_trip boolean, mismatches long"
 
 
 def rebuild(model: bytes):
     """A tokenizers.Tokenizer that encodes as the sentencepiece model does."""
+    few_threads()
     from sentencepiece import sentencepiece_model_pb2
     from tokenizers import Tokenizer, decoders, models, normalizers
 
@@ -45,7 +47,8 @@ def rebuild(model: bytes):
             splits = [(piece[:k], piece[k:]) for k in range(1, len(piece)) if piece[:k] in usable and piece[k:] in usable]
             merges += [(-score, n, s) for s in sorted(splits, key=lambda s: (usable[s[0]][1], usable[s[1]][1]))]
         merges = [s for _, _, s in sorted(merges, key=lambda m: m[:2])]
-        body = models.BPE({p: n for n, p in enumerate(names)}, merges, unk_token=names[unknown], fuse_unk=not fallback, byte_fallback=fallback)
+        named = None if unknown is None else names[unknown]
+        body = models.BPE({p: n for n, p in enumerate(names)}, merges, unk_token=named, fuse_unk=not fallback, byte_fallback=fallback)
     else:
         raise ValueError("only unigram and BPE models are rebuilt")
     out, steps = Tokenizer(body), []
@@ -67,12 +70,13 @@ class Codec:
     """Encodes and decodes batches of texts; keeps the ids of distinct pre-tokens."""
 
     def __init__(self, model: bytes):
+        few_threads()
         import sentencepiece
         from sentencepiece import sentencepiece_model_pb2
 
         proto = sentencepiece_model_pb2.ModelProto.FromString(model)
         norm = proto.normalizer_spec
-        self.prefix = norm.add_dummy_prefix
+        self.prefix, self.trims = norm.add_dummy_prefix, norm.remove_extra_whitespaces
         # texts can be cut before a space if nothing that spans one exists and nothing rewrites the text
         self.cuts = (
             proto.trainer_spec.model_type == BPE and norm.escape_whitespaces and not (norm.remove_extra_whitespaces or norm.precompiled_charsmap)
@@ -84,10 +88,9 @@ class Codec:
         self.tokenizer, self.library = rebuild(model), sentencepiece.SentencePieceProcessor(model_proto=model)
         self.line_cuts = self.cuts and not any("\n" in p.piece for p in proto.pieces)
         self.ids = Kept(MOST_KEPT)
-        #: UTF-8 bytes of each id, for decoding: a byte piece is its byte, a control piece nothing.
-        self.bytes_of = [
-            bytes([int(p.piece[3:5], 16)]) if p.type == BYTE else b"" if p.type == CONTROL else p.piece.replace(MARK, " ").encode() for p in proto.pieces
-        ]
+        #: Pre-tokens of this batch and those kept that the library encodes otherwise, and that don't decode to themselves.
+        self.differ: set[str] = set()
+        self.lost: set[str] = set()
 
     def parts(self, text: str) -> list[str]:
         """Pre-tokens that make up the text: a run of spaces goes with the word after it."""
@@ -113,51 +116,71 @@ class Codec:
                 out += [" " + w for w in rest]
         return out
 
-    def encode(self, texts: list[str]) -> Iterator[tuple[bytes, int]]:
-        """(little-endian 32-bit ids, pre-tokens where the two libraries differ) of each text."""
+    def encode(self, texts: list[str]) -> Iterator[tuple[bytes, int, bool]]:
+        """(little-endian 32-bit ids, pre-tokens where the library differs, whether decoding gives the text back) of each text."""
         split = [self.parts(t) for t in texts]
-        self.ids.fill(set().union(*split), self.encode_parts)
-        get = self.ids.now.__getitem__
+        words = set().union(*split)
+        self.ids.fill(words, self.encode_parts)
+        for noted in (self.differ, self.lost):
+            noted.difference_update([p for p in noted if p not in self.ids.now and p not in self.ids.before])
+        get, odd = self.ids.now.__getitem__, not (words.isdisjoint(self.differ) and words.isdisjoint(self.lost))
         for parts in split:
-            found = list(map(get, parts))
-            yield b"".join([ids for ids, _ in found]), sum([differ for _, differ in found])
+            differ = sum(p in self.differ for p in parts) if odd else 0
+            yield b"".join(map(get, parts)), differ, not odd or self.lost.isdisjoint(parts)
 
-    def encode_parts(self, parts: list[str]) -> list[tuple[bytes, bool]]:
-        """(ids, whether the two libraries differ) of each pre-token; the library's own ids stand."""
-        rebuilt = self.tokenizer.encode_batch_fast(parts, add_special_tokens=False)
-        exact = self.library.encode(parts, num_threads=2)
-        return [(np.array(ids, "<u4").tobytes(), e.ids != ids) for e, ids in zip(rebuilt, exact, strict=True)]
+    def encode_parts(self, parts: list[str]) -> list[bytes]:
+        """Ids of each pre-token by the rebuilt tokenizer; notes which the library encodes otherwise, or don't come back."""
+        ids = [e.ids for e in self.tokenizer.encode_batch_fast(parts, add_special_tokens=False)]
+        for part, own, other in zip(parts, ids, self.library.encode(parts, num_threads=2), strict=True):
+            if own != other:
+                self.differ.add(part)
+        # pre-tokens hold whole characters, so they can be decoded one by one
+        for part, back in zip(parts, self.tokenizer.decode_batch(ids, skip_special_tokens=False), strict=True):
+            if (back if self.cuts else self._unprefixed(back)) != part.replace(MARK, " "):
+                self.lost.add(part)
+        return [np.array(own, "<u4").tobytes() for own in ids]
 
-    def decode(self, ids: bytes) -> bytes:
-        """UTF-8 of the text that the ids stand for."""
-        out = b"".join(map(self.bytes_of.__getitem__, np.frombuffer(ids, "<u4").tolist()))
-        return out[1:] if self.prefix and out[:1] == b" " else out
+    def _unprefixed(self, text: str) -> str:
+        return text[1:] if self.prefix and text[:1] == " " else text
 
+    def decode(self, ids: list[bytes]) -> list[str]:
+        """The texts that lists of ids stand for."""
+        whole = self.tokenizer.decode_batch([np.frombuffer(x, "<u4").tolist() for x in ids], skip_special_tokens=False)
+        return [self._unprefixed(t) for t in whole]
 
-_codecs: dict[int, Codec] = {}
+
+_codecs: dict[bytes, Codec] = {}
+
+
+def _codec(model: bytes) -> Codec:
+    if model not in _codecs:
+        _codecs.clear()
+        _codecs[model] = Codec(model)
+    return _codecs[model]
 
 
 def encode(docs: DataFrame, model_file: str, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """Encode every whole text and decode it again; one row for each row of ``docs``.
 
-    Returns doc_id, n_tokens, ids (binary, little-endian unsigned 32-bit), ids_crc32, round_trip (decoding
-    gives the text back, where a mark that stood in it reads as a space) and mismatches (pre-tokens that the
-    rebuilt tokenizer encodes otherwise than the library). Null and empty texts have no ids. Null ids and
-    repeated rows are encoded like any other. No shuffle.
+    Returns doc_id, n_tokens, ids (binary, little-endian unsigned 32-bit, of the rebuilt tokenizer), ids_crc32,
+    round_trip (decoding gives the text back, where a mark that stood in it reads as a space) and mismatches
+    (pre-tokens that the sentencepiece library encodes otherwise; 0 where parity holds).
+
+    Null and empty texts have no ids, no mismatches and a true round_trip. Null ids, ties and repeated rows are
+    encoded like any other; no rows give no rows; other columns aren't read, whatever their names. A worker holds
+    one slice of a batch (4 MB of text, or one longer text) with its pre-tokens, and MOST_KEPT bytes of ids, twice.
+    No shuffle.
     """
     with open(model_file, "rb") as f:
         held = docs.sparkSession.sparkContext.broadcast(f.read())  # some hundred KB
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key = hash(held.value)
-        if key not in _codecs:
-            _codecs[key] = Codec(held.value)
-        codec = _codecs[key]
+        codec = _codec(held.value)
         for whole in batches:
             for batch in slices(whole, "text", 4 << 20):
-                texts, out = batch.column("text").to_pylist(), []
-                for text, (ids, differ) in zip(texts, codec.encode(texts), strict=True):
-                    out.append((len(ids) // 4, ids, zlib.crc32(ids), codec.decode(ids) == text.replace(MARK, " ").encode(), differ))
+                out = []
+                for ids, differ, back in codec.encode(batch.column("text").to_pylist()):
+                    out.append((len(ids) // 4, ids, zlib.crc32(ids), back, differ))
                 kinds = [pa.int64(), pa.binary(), pa.int64(), pa.bool_(), pa.int64()]
                 columns = [pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)]
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *columns], ["doc_id", "n_tokens", "ids", "ids_crc32", "round_trip", "mismatches"])
@@ -166,15 +189,14 @@ def encode(docs: DataFrame, model_file: str, id_column: str = "doc_id", text_col
 
 
 def decode(encoded: DataFrame, model_file: str, ids_column: str = "ids") -> DataFrame:
-    """Add ``text``, what ``ids_column`` decodes to; null ids give a null text."""
+    """Add ``text``, what ``ids_column`` decodes to, by the rebuilt tokenizer's decoder; null ids give a null text, none an empty one."""
     with open(model_file, "rb") as f:
         held = encoded.sparkSession.sparkContext.broadcast(f.read())
 
     @F.pandas_udf("string")
     def text_of(ids):
-        key = hash(held.value)
-        if key not in _codecs:
-            _codecs[key] = Codec(held.value)
-        return ids.map(lambda x: None if x is None else _codecs[key].decode(x).decode("utf-8", "replace"))
+        out, known = ids.astype(object), ids.notna()
+        out[known] = _codec(held.value).decode(ids[known].tolist())
+        return out.where(known, None)
 
     return encoded.withColumn("text", text_of(ids_column))

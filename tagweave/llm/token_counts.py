@@ -20,8 +20,8 @@ from tagweave.llm.merging import NEVER, RankMerger
 
 NORMAL, UNKNOWN, CONTROL, BYTE = 1, 2, 3, 6
 MARK = "▁"
-#: Counts of so many distinct pre-tokens are kept in each Python worker, and as many from before.
-MOST_KEPT = 500_000
+#: Bytes of pre-tokens and their counts that are kept in each Python worker, and as many from before.
+MOST_KEPT = 64 << 20
 
 
 class PieceCounter:
@@ -120,7 +120,7 @@ class PieceCounter:
         return [len(lines) - 1 + sum(sum(map(get, words)) for words in lines) if lines else 0 for lines in split]
 
 
-_counters: dict[int, PieceCounter] = {}
+_counters: dict[bytes, PieceCounter] = {}
 
 
 def count_tokens(docs: DataFrame, model_file: str, id_column: str = "doc_id", text_column: str = "text", limit: int = 4096) -> DataFrame:
@@ -131,18 +131,19 @@ def count_tokens(docs: DataFrame, model_file: str, id_column: str = "doc_id", te
         limit: n_tokens above this sets over_limit.
 
     Returns doc_id, n_bytes (UTF-8), n_tokens, over_limit. Null and empty texts have no bytes and no tokens.
-    Null ids and repeated rows are counted like any other. No shuffle; memory is a batch's pre-tokens and
-    the counts of some million distinct ones.
+    Null ids, ties and repeated rows are counted like any other; no rows give no rows; other columns aren't read,
+    whatever their names. Texts of any length are counted whole. No shuffle; a worker holds a slice of a batch
+    (4 MB of text, or one longer text) with its pre-tokens, and MOST_KEPT bytes of counts, twice.
     """
     with open(model_file, "rb") as f:
         model = f.read()
     held = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key = hash(held.value)
-        if key not in _counters:
-            _counters[key] = PieceCounter(held.value)
-        counter = _counters[key]
+        if held.value not in _counters:
+            _counters.clear()
+            _counters[held.value] = PieceCounter(held.value)
+        counter = _counters[held.value]
         for whole in batches:
             for batch in slices(whole, "text", 4 << 20):
                 counts = counter.count_all(batch.column("text").to_pylist())

@@ -88,9 +88,9 @@ def test_pieces_match_the_library_on_odd_strings():
     texts = ["".join(r.choice(alphabet) for _ in range(r.randrange(50))) for _ in range(500)] + ["a" * 2000, " " * 300 + "x", "ab" * 900]
     want = sp.encode(texts)
     assert counter.count_all(texts) == [len(x) for x in want]
-    for t, (ids, differ), w in zip(texts, codec.encode(texts), want, strict=True):
-        assert np.frombuffer(ids, "<u4").tolist() == w and differ == 0
-        assert codec.decode(ids).decode() == t.replace("▁", " ")
+    for t, (ids, differ, back), w in zip(texts, codec.encode(texts), want, strict=True):
+        assert np.frombuffer(ids, "<u4").tolist() == w and differ == 0 and back
+        assert codec.decode([ids]) == [t.replace("▁", " ")]
 
 
 def test_sentencepiece(docs, empty, spark):
@@ -175,7 +175,7 @@ def test_near_dedup(docs, empty):
 
 def test_near_dedup_of_a_large_group(spark, monkeypatch):
     """Blocks and large nodes: small limits, a long chain of near copies and many that are close to one."""
-    for name, value in (("SMALL", 6), ("BLOCK_SETS", 8), ("LEVELS", 5)):
+    for name, value in (("SMALL", 6), ("NODE", 12), ("BLOCK_SETS", 8), ("LEVELS", 5)):
         monkeypatch.setattr(near_dedup, name, value)
     texts = {}
     for n in range(60):  # each differs a little more from the first: a chain
