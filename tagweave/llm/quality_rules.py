@@ -78,18 +78,22 @@ def failing_line(line: Column) -> Column:
 
 def judge(
     docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", least_words: int = 50,
-    most_repeat_percent: int = 50, most_lost_percent: int = 30, keep: list[str] = (),
+    most_repeat_percent: int = 50, most_lost_percent: int = 30, keep: list[str] = (), cleaned: bool = False,
 ) -> DataFrame:
     """Count and judge every text; one row for each row of ``docs``.
 
     Args:
         most_lost_percent: a document that loses more of its words than this to the line rules is rejected.
-        keep: further columns of ``docs`` to carry through, for a filter on the verdict.
+        keep: further columns of ``docs`` to carry through, for a filter on the verdict, as kept_<name>.
+        cleaned: return ``cleaned`` too, the text without the lines that fail.
 
     Returns doc_id, the carried columns, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
     base_failed (too few words, or too many in repeated windows), n_lines_removed, n_words_lost and
-    kept (neither base_failed nor rejected for what the line rules removed). Null and empty texts have
-    no words, so they fail; null ids and repeated rows are judged like any other.
+    kept (neither base_failed nor rejected for what the line rules removed).
+
+    Null and empty texts have no words, so they fail; null ids, ties and repeated rows are judged like any
+    other; no rows give no rows; columns that aren't named aren't read. A text is judged whole by one task,
+    in memory of some ten times its size. No shuffle.
     """
     rows = docs.select(docs[id_column].alias("doc_id"), *[docs[c].alias(f"kept_{c}") for c in keep], whole_text(docs, text_column).alias("body"))
     rows = computed_once(
@@ -101,13 +105,17 @@ def judge(
         F.length(F.array_join("words", "")).cast("long").alias("word_chars"),
         F.length(F.regexp_replace("body", r"[^#*$%&|<>]+", "")).cast("long").alias("n_symbols"),
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
-        F.filter("lines", failing_line).alias("removed"),
+        F.filter("lines", failing_line).alias("removed"), *([F.col("body")] if cleaned else []),
     )
     rows = computed_once(
         rows, n_lines_removed=F.size("removed").cast("long"),
         n_words_lost=F.when(F.size("removed") == 0, F.lit(0)).otherwise(
             F.regexp_count(F.array_join("removed", "\n"), F.lit(f"[^{SPACE}]+"))).cast("long"),
-    ).drop("removed")
+    )
+    if cleaned:  # a line that fails does so wherever it stands
+        left = F.array_join(F.filter(F.split("body", "\n", -1), lambda x: ~F.array_contains("removed", x)), "\n")
+        rows = rows.withColumn("cleaned", F.when(F.size("removed") == 0, F.col("body")).otherwise(left)).drop("body")
+    rows = rows.drop("removed")
     rows = _with_repeats(rows).drop("words")
     failed = (F.col("n_words") < least_words) | (F.col("n_repeat_words") * 100 > F.col("n_words") * most_repeat_percent)
     rejected = F.col("n_words_lost") * 100 > F.col("n_words") * most_lost_percent
