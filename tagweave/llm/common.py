@@ -135,26 +135,38 @@ def few_threads() -> None:
     os.environ.setdefault("RAYON_NUM_THREADS", "2")
 
 
+#: Rows of a small table that one task writes: fewer files, where Spark would have as many as partitions.
+ROWS_A_FILE = 500_000
+
+
 def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     """Connected components of the undirected edges (a, b): rows (node, component), the smallest node reachable.
 
-    The result reads a table that ``discard`` deletes once it isn't needed. No edges give no rows.
-
     Alternating large-star and small-star steps: each node keeps pointing at ever
     smaller nodes, so that the number of edges doesn't grow and long chains take a
     logarithmic number of rounds. Every round is written to the shared folder, and what the
     round before wrote is deleted. A hub's least neighbour comes from an aggregation; its
     neighbours then meet that one row in a join whose hot keys Spark can split.
+
+    The result reads a table that ``discard`` deletes once it isn't needed. No edges give no rows.
     """
-    state = lambda e: tuple(e.agg(F.count("*"), F.bit_xor(F.xxhash64("hi", "lo"))).first())
+
+    def state(e: DataFrame) -> tuple:
+        return tuple(e.agg(F.count("*"), F.bit_xor(F.xxhash64("hi", "lo"))).first())
+
+    def kept(df: DataFrame, rows: int) -> DataFrame:
+        return materialize(df.coalesce(8 + rows // ROWS_A_FILE), "edges")
+
     pairs = edges.select(F.greatest("a", "b").alias("hi"), F.least("a", "b").alias("lo")).where("hi <> lo").distinct()
     current = materialize(pairs, "edges")
     before = state(current)
     for _ in range(rounds):
+        if not before[0]:
+            break
         both = current.select(F.col("hi").alias("n"), F.col("lo").alias("m")).union(current.select("lo", "hi"))
         least = both.groupBy("n").agg(F.least(F.min("m"), F.col("n")).alias("least"))
         large = both.where("m > n").join(least, "n").select(F.col("m").alias("hi"), F.col("least").alias("lo"))
-        large = materialize(large.distinct(), "edges")
+        large = kept(large, before[0])  # as many rows as edges
         small = large.groupBy("hi").agg(F.min("lo").alias("least"))
         linked = large.join(small, "hi").select(
             F.inline(
@@ -164,9 +176,8 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
                 )
             )
         )
-        after = materialize(linked.where("hi <> lo").distinct(), "edges")
-        discard(large)
-        discard(current)
+        after = kept(linked.where("hi <> lo").distinct(), before[0])
+        discard(large, current)
         current, last, before = after, before, state(after)
         if before == last:
             break

@@ -1,10 +1,10 @@
 """License scans by a positional index of rare words.
 
-Templates are short phrases of licence texts. Their words are weighted by inverse document
-frequency over all texts scanned; each template is looked up by its rarest words. A text's
-occurrences of those words give, through the templates' postings (word, place in the template),
-the places where a template could begin; where all its looked-up words agree on one beginning,
-the words in between are verified, and so are the key phrases that the template demands.
+Templates are phrases and whole sentences of licence texts. Their words are weighted by inverse document
+frequency over all texts scanned. Each file looks up its licence words, the one of highest weight first: the
+index's postings (template, place in it) give the places where a template could begin, and the places that the
+next words give are intersected with them, until LOOKED_UP words of a template agree. What is left is verified
+word by word, and so are the key phrases that a template demands anywhere in the file.
 """
 
 from __future__ import annotations
@@ -46,9 +46,44 @@ TEMPLATES = [
     Template("cc by nc", "cc-by-nc", weight=0.7),
     Template("cc by sa", "cc-by-sa", weight=0.7),
     Template("cc by nd", "cc-by-nd", weight=0.7),
-    Template("permission is hereby granted free of charge to any person obtaining a copy", "mit", keys=("the software is provided as is",), weight=1.0),
-    Template("redistribution and use in source and binary forms", "bsd", keys=("redistributions of source code must retain",), weight=1.0),
+    Template("eclipse public license", "epl", weight=0.8),
+    Template("boost software license", "bsl", weight=0.9),
+    Template("creative commons attribution", "cc-by", weight=0.6),
     Template("all rights reserved", "proprietary", weight=0.4),
+    Template(
+        "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files the software to deal in the software without restriction",
+        "mit", keys=("the software is provided as is without warranty of any kind", "permission notice shall be included in all copies"), weight=1.0,
+    ),
+    Template(
+        "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted",
+        "isc", keys=("the software is provided as is", "this permission notice appear in all copies"), weight=1.0,
+    ),
+    Template(
+        "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met",
+        "bsd", keys=("redistributions of source code must retain", "this software is provided by"), weight=1.0,
+    ),
+    Template("redistribution and use in source and binary forms", "bsd-like", keys=("must retain the above copyright notice",), weight=0.8),
+    Template("neither the name of", "bsd-3", keys=("redistributions of source code must retain", "used to endorse or promote products"), weight=0.9),
+    Template(
+        "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation",
+        "gpl", keys=("without any warranty",), weight=1.0,
+    ),
+    Template(
+        "this library is free software you can redistribute it and or modify it under the terms of the gnu lesser general public license",
+        "lgpl", keys=("without any warranty",), weight=1.0,
+    ),
+    Template(
+        "you may not use this file except in compliance with the license you may obtain a copy of the license at",
+        "apache", keys=("licensed under the apache license version 2 0", "without warranties or conditions of any kind"), weight=1.0,
+    ),
+    Template("this source code form is subject to the terms of the mozilla public license v 2 0", "mpl", keys=("a copy of the mpl was not distributed",), weight=1.0),
+    Template("this is free and unencumbered software released into the public domain", "unlicense", keys=("anyone is free to copy modify publish use compile sell or distribute this software",), weight=1.0),
+    Template(
+        "permission is granted to anyone to use this software for any purpose including commercial applications and to alter it and redistribute it freely",
+        "zlib", keys=("the origin of this software must not be misrepresented",), weight=1.0,
+    ),
+    Template("boost software license version 1 0", "bsl", keys=("permission is hereby granted free of charge to any person or organization",), weight=1.0),
+    Template("has waived all copyright and related or neighboring rights", "cc0", keys=("cc0",), weight=1.0),
 ]
 #: Words looked up for each template.
 LOOKED_UP = 3
@@ -71,15 +106,16 @@ def words_of(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray,
 
 
 class Index:
-    """The templates by their rarest words."""
+    """Postings of the templates' rarest words, and the weights that say which of a file's words is looked up first."""
 
     def __init__(self, templates: list[Template], idf: dict[str, float]):
         self.templates, self.postings = templates, defaultdict(list)
+        weight = lambda w: (-idf.get(w, math.inf), w)
         for n, t in enumerate(templates):
             words = t.words.split()
-            rare = sorted(range(len(words)), key=lambda k: (-idf.get(words[k], math.inf), k))[:LOOKED_UP]
-            for k in rare:
+            for k in sorted(range(len(words)), key=lambda k: (weight(words[k]), k))[:LOOKED_UP]:
                 self.postings[words[k].encode()].append((n, k))
+        self.order = {w: n for n, w in enumerate(sorted(self.postings, key=lambda w: weight(w.decode())))}
         self.needed = [min(LOOKED_UP, len(t.words.split())) for t in templates]
         self.words = [[w.encode() for w in t.words.split()] for t in templates]
         self.keys = [[[w.encode() for w in k.split()] for k in t.keys] for t in templates]
@@ -89,19 +125,24 @@ class Index:
 
     def places(self, hits: list[tuple[int, bytes]], word: Callable[[int], bytes], count: int) -> dict[int, list[int]]:
         """Verified beginnings of each template, from the text's (place, word) hits; ``word(k)`` is its k-th word."""
-        votes: dict[tuple[int, int], int] = defaultdict(int)
+        standing: dict[bytes, list[int]] = defaultdict(list)
         for place, w in hits:
+            standing[w].append(place)
+        begins: dict[int, set[int]] = {}
+        looked_up: dict[int, int] = defaultdict(int)
+        for w in sorted(standing, key=self.order.__getitem__):  # the rarest of the file's licence words first
             for n, k in self.postings[w]:
-                votes[n, place - k] += 1
-        found = defaultdict(list)
-        for (n, begin), agreed in votes.items():
+                could = {p - k for p in standing[w]}
+                begins[n] = begins[n] & could if n in begins else could
+                looked_up[n] += 1
+        found = {}
+        for n, could in begins.items():
             own = self.words[n]
-            if agreed == self.needed[n] and begin >= 0 and begin + len(own) <= count and all(word(begin + k) == w for k, w in enumerate(own)):
-                found[n].append(begin)
-        for n in [n for n in found if self.keys[n]]:
-            if not all(any(all(word(p + k) == w for k, w in enumerate(key)) for p in range(count - len(key) + 1)) for key in self.keys[n]):
-                del found[n]
-        return {n: sorted(p) for n, p in found.items()}
+            if looked_up[n] == self.needed[n]:
+                real = [b for b in could if b >= 0 and b + len(own) <= count and all(word(b + k) == w for k, w in enumerate(own))]
+                if real and all(any(all(word(p + k) == w for k, w in enumerate(key)) for p in range(count - len(key) + 1)) for key in self.keys[n]):
+                    found[n] = sorted(real)
+        return found
 
 
 def _document_frequencies(rows: DataFrame, words: list[str]) -> dict[str, int]:
@@ -132,8 +173,10 @@ def scan(docs: DataFrame, templates: list[Template] = TEMPLATES, id_column: str
     of those places, words from 0; else null), base_labels, labels (distinct, sorted, comma-joined; empty if
     none) and score: 1 less the product of (1 - weight) over the templates found, so 0 where there are none.
 
-    Null and empty texts have no words. Null ids and repeated rows are scanned like any other. Two passes
-    over the texts and no shuffle of them: the first counts in how many texts the templates' words stand.
+    Null and empty texts have no words. Null ids and repeated rows are scanned like any other; no rows give no
+    rows; other columns aren't read, whatever their names; words of equal weight are looked up in their own order.
+    Two passes over the texts and no shuffle of them: the first counts in how many texts the templates' words stand.
+    A worker holds a slice of a batch (4 MB of text, or one longer text) and some bytes for each of its bytes.
     """
     rows = docs.select(docs[id_column].cast("long").alias("doc_id"), whole_text(docs, text_column).alias("text"))
     frequency = _document_frequencies(rows, sorted({w for t in templates for w in t.words.split()}))

@@ -35,7 +35,7 @@ from tagweave.llm.common import components, discard, materialize, slices, string
 #: After LEVELS levels of large nodes, or DEPTH in a task, whatever is left is compared, however much it is.
 TOKENS, TREES, LEVELS, DEPTH = 64, 12, 24, 24
 #: Largest node that is finished in one task (256 bytes a set), and largest that is compared exhaustively.
-NODE, SMALL = 4096, 48
+NODE, SMALL = 16_384, 48
 #: Larger nodes are compared exhaustively once that takes so many comparisons for each set of the input; sets in a block.
 COMPARISONS, CELL = 1024, 1024
 #: Estimates from TOKENS tokens (standard error 0.05 at 0.8): candidates, and sets that a pivot stands for.
@@ -226,8 +226,11 @@ def _compare_nodes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
                 alike = np.count_nonzero(t[:, :, None, :] == t[:, None, :, :], axis=3) >= CANDIDATE * TOKENS
                 alike &= np.triu(np.ones((size, size), bool), 1)
                 for g in np.flatnonzero(alike.any((1, 2))).tolist():
-                    parent = _roots(size, np.argwhere(alike[g]).tolist())
-                    out += [(int(reps[rows[g, p]]), int(reps[rows[g, m]])) for m, p in enumerate(parent) if p != m]
+                    own_reps = reps[rows[g]].tolist()
+                    place = sorted(range(size), key=own_reps.__getitem__)  # groups point at their smallest set
+                    rank = np.argsort(place)
+                    parent = _roots(size, rank[np.argwhere(alike[g])].tolist())
+                    out += [(own_reps[place[p]], own_reps[place[m]]) for m, p in enumerate(parent) if p != m]
         return out
 
     def result(pairs: list[tuple[int, int]]) -> pa.RecordBatch:
@@ -421,31 +424,42 @@ def _query(percent: int, width: int):
     return run
 
 
-def exact_links(texts: DataFrame, members: DataFrame, percent: int, width: int) -> DataFrame:
-    """Exact links inside the candidate components ``members`` (node, component), as edges (a, b) of their groups (materialized)."""
+def exact_groups(texts: DataFrame, members: DataFrame, percent: int, width: int) -> DataFrame:
+    """Groups by exact links inside the candidate components ``members`` (node, component): rows (node, root), materialized.
+
+    The root is the smallest of its group; nodes that are their own root may be missing. A component that one task
+    verifies comes out as whole groups; only those of several blocks have to be put together.
+    """
     scratch = []
 
     def kept(df: DataFrame, name: str) -> DataFrame:
         scratch.append(materialize(df, name))
         return scratch[-1]
 
-    def done(edges: DataFrame) -> DataFrame:
-        out = materialize(edges.where("rep <> root").select(F.col("root").alias("a"), F.col("rep").alias("b")), "links")
+    def joined(found: DataFrame) -> DataFrame:
+        scratch.append(components(found.select(F.col("root").alias("a"), F.col("rep").alias("b"))))
+        return scratch[-1].withColumnRenamed("component", "root")
+
+    def done(groups: DataFrame) -> DataFrame:
+        out = materialize(groups, "groups")
         discard(*scratch)
         return out
 
     # members grow with the corpus: never broadcast, at any size
     held = kept(texts.join(members.hint("merge"), texts["rep"] == members["node"]).select("rep", "text", "component"), "verified-texts")
-    if not held.groupBy("rep").count().where("count > 1").isEmpty():  # rows that repeat their id: each text of it once
+    repeated = not held.groupBy("rep").count().where("count > 1").isEmpty()
+    if repeated:  # rows that repeat their id: each text of it once
         held = kept(held.groupBy("rep", F.sha2(F.col("text").cast("binary"), 256).alias("of")).agg(F.first("text").alias("text"), F.first("component").alias("component")).drop("of"), "once")
     sizes = held.groupBy("component").agg(F.count("*").alias("n"), F.sum(F.octet_length("text")).alias("bytes"))
     blocks = F.greatest(F.ceil(F.col("n") / BLOCK_SETS), F.ceil(F.col("bytes") / BLOCK_BYTES)).cast("long")
     sizes = kept(sizes.select("component", blocks.alias("blocks")), "components")
     dealt = held.join(sizes, "component").withColumn("block", F.pmod(F.xxhash64("rep", "text"), F.col("blocks")))
-    large = sizes.where("blocks > 1")
+    whole = dealt.where("blocks = 1").select("rep", "text", "component", "block").groupBy("component", "block").applyInArrow(_verify(percent, width), "rep long, root long")
+    whole = kept(whole.where("rep <> root"), "whole")
+    large, groups = sizes.where("blocks > 1"), whole.select(F.col("rep").alias("node"), "root")
     if large.isEmpty():
-        found = dealt.select("rep", "text", "component", "block").groupBy("component", "block").applyInArrow(_verify(percent, width), "rep long, root long")
-        return done(found)
+        return done(joined(whole) if repeated else groups)
+    dealt = dealt.where("blocks > 1")
     # every block of a large component gets its pivots: the sets of least hash, a fixed number
     many = held.join(large, "component")
     # the least of each of 64 salts: what any task collects is bounded
@@ -454,18 +468,17 @@ def exact_links(texts: DataFrame, members: DataFrame, percent: int, width: int)
     few = few.groupBy("component", "blocks").agg(F.slice(F.array_sort(F.collect_list("head")), 1, PIVOTS).alias("heads"))
     pivots = few.select("component", "blocks", F.explode("heads.rep").alias("pivot")).withColumnRenamed("component", "c")
     pivots = pivots.join(held, F.col("pivot") == F.col("rep")).select("rep", "text", "component", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"))
-    own = dealt.join(few.select("component", "heads"), "component", "left")
+    own = dealt.join(few.select("component", "heads"), "component")
     own = own.where(~F.coalesce(F.array_contains("heads.rep", F.col("rep")), F.lit(False))).select("rep", "text", "component", "block")
     found = kept(own.union(pivots).groupBy("component", "block").applyInArrow(_verify(percent, width), "rep long, root long"), "found")
     # groups over the blocks; whatever is outside the largest group of its component is compared with all blocks
-    roots = components(found.select(F.col("root").alias("a"), F.col("rep").alias("b")))
-    grouped = many.select("rep", "component", "blocks").distinct().join(roots.withColumnRenamed("component", "root"), F.col("rep") == F.col("node"), "left")
+    roots = joined(found)
+    grouped = many.select("rep", "component", "blocks").distinct().join(roots, F.col("rep") == F.col("node"), "left")
     grouped = kept(grouped.select("rep", F.col("component").alias("c"), "blocks", F.coalesce("root", "rep").alias("root")), "grouped")
-    discard(roots)
     largest = grouped.groupBy("c", "root").agg(F.count("*").alias("n")).groupBy("c").agg(F.max_by("root", F.struct("n", "root")).alias("main"))
     outside = kept(grouped.join(largest, "c").where("root <> main").select("rep", F.col("c"), "blocks"), "outside")
     if outside.isEmpty():
-        return done(found)
+        return done(joined(found.union(whole)) if repeated else groups.union(roots))
     per = outside.groupBy("c").agg(F.count("*").alias("asking")).withColumnRenamed("c", "ac")
     asks = outside.join(per, F.col("c") == F.col("ac")).withColumn("ask", F.pmod(F.xxhash64(F.lit("ask"), "rep"), F.ceil(F.col("asking") / BLOCK_SETS)))
     asking = asks.withColumnRenamed("rep", "asking_rep").join(held, F.col("asking_rep") == F.col("rep"))
@@ -473,7 +486,8 @@ def exact_links(texts: DataFrame, members: DataFrame, percent: int, width: int)
     batches = per.select("ac", F.explode(F.sequence(F.lit(0), F.ceil(F.col("asking") / BLOCK_SETS) - 1)).alias("ask"))
     answering = dealt.join(batches, F.col("component") == F.col("ac")).select(F.lit(False).alias("asks"), "rep", "text", "component", "ask", "block")
     more = asking.union(answering).groupBy("component", "block", "ask").applyInArrow(_query(percent, width), "rep long, root long")
-    return done(found.union(more))
+    found = found.union(more)
+    return done(joined(found.union(whole)) if repeated else groups.union(joined(found)))
 
 
 def near_dedup(docs: DataFrame, percent: int = 80, width: int = 4, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
@@ -501,12 +515,10 @@ def near_dedup(docs: DataFrame, percent: int = 80, width: int = 4, id_column: st
     sets = materialize(linkable.groupBy("print").agg(F.min("doc_id").alias("rep"), F.first("tokens").alias("tokens")), "sets")
     candidates = candidate_links(sets.select("rep", "tokens"))
     members = components(candidates)
-    links = exact_links(rows.withColumnRenamed("doc_id", "rep"), members, percent, width)
-    groups = components(links)
-    roots = groups.withColumnRenamed("component", "root")
-    roots = sets.select(F.col("print").alias("of"), "rep").join(roots, F.col("rep") == F.col("node"), "left")
+    groups = exact_groups(rows.withColumnRenamed("doc_id", "rep"), members, percent, width)
+    roots = sets.select(F.col("print").alias("of"), "rep").join(groups, F.col("rep") == F.col("node"), "left")
     roots = materialize(roots.select("of", F.coalesce("root", "rep").alias("root")), "roots")
-    discard(candidates, members, links, groups, sets)
+    discard(candidates, members, groups, sets)
     # sets of no shingles and rows without an id look up a key of their own, so that they don't meet in one task
     alone = F.concat(F.lit("-"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))).cast("binary")
     key = F.when((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull(), F.col("print")).otherwise(alone)

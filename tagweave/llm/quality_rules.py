@@ -9,13 +9,26 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tagweave.llm.common import SPACE, computed_once, whole_text
+from tagweave.llm.common import SPACE, ascii_lower, computed_once, whole_text
 
-#: Phrases that make a line boilerplate, as Java patterns.
+#: Phrases that make a short line boilerplate, in English, German, French and Spanish: patterns on which
+#: Java and RE2 agree, over lines with A-Z lower-cased.
 BOILERPLATE = [
-    "all rights reserved", "cookie policy", "privacy policy", "terms of (use|service)", "click here",
-    "subscribe to our newsletter", "enable javascript", "lorem ipsum", "skip to content", "share this",
+    "all rights reserved", "cookie policy", "privacy policy", "terms of (use|service)", "terms (and|&) conditions", "click here", "accept (all )?cookies",
+    "(this|our) (web)?site uses cookies", "subscribe to our newsletter", "sign up for our newsletter", "enable javascript", "javascript is disabled", "lorem ipsum",
+    "skip to (main )?content", "share this", "powered by [a-z]+", "page not found", "add to (cart|basket)", "follow us on",
+    "alle rechte vorbehalten", "datenschutz(erkl[äÄ]rung|richtlinie)", "nutzungsbedingungen", "hier klicken", "klicken sie hier", "cookies akzeptieren", "newsletter abonnieren", "zum inhalt springen",
+    "tous droits r[éÉ]serv[éÉ]s", "politique de confidentialit[éÉ]", "mentions l[éÉ]gales", "conditions d.utilisation", "cliquez ici", "accepter les cookies", "aller au contenu",
+    "todos los derechos reservados", "pol[íÍ]tica de (privacidad|cookies)", "aviso legal", "t[éÉ]rminos de (uso|servicio)", "haga clic aqu[íÍ]", "aceptar (las )?cookies", "saltar al contenido",
 ]
+#: What a line of a menu says alone, and the marks between the entries of one.
+MENU = [
+    "home", "menu", "search", "contact( us)?", "about( us)?", "log ?in", "sign (in|up)", "register", "next( page)?", "previous( page)?", "back to top", "read more", "share", "print", "sitemap",
+    "startseite", "suche", "kontakt", "anmelden", "weiterlesen", "impressum", "accueil", "rechercher", "connexion", "lire la suite", "inicio", "buscar", "contacto", "leer m[áÁ]s",
+]
+BARS, ODD, ENDS = "|•»›·", r"#*$%&|<>{}\[\]=_~^", r""".!?…:;,"'”’»)\]。！？；」』）।؟"""
+#: A line with so many words can be boilerplate, and with so few needs a mark at its end.
+SHORT, TINY = 12, 3
 #: Windows of so many words; positions of packed windows have so many bits.
 WINDOW, PLACE_BITS = 3, 20
 
@@ -65,14 +78,21 @@ def _with_repeats(rows: DataFrame) -> DataFrame:
 
 
 def failing_line(line: Column) -> Column:
-    """Whether a line is to go: navigation (mostly cells between bars), boilerplate, or no letters or digits to speak of."""
-    shape = F.regexp_replace(line, f"[{SPACE}]+", "")
-    bars = F.length(F.regexp_replace(line, r"[^|•»]+", ""))
+    """Whether a line is to go.
+
+    Navigation: cells between bars, or what menus say alone. Punctuation: signs make up a quarter of it or all, or a few
+    words have no mark at their end. Boilerplate: a phrase that says nothing of the text, in a short line.
+    """
+    low = F.trim(ascii_lower(F.regexp_replace(line, f"[{SPACE}]+", " ")))
+    shape = F.length(F.regexp_replace(line, f"[{SPACE}]+", ""))
+    bars = F.length(F.regexp_replace(line, f"[^{BARS}]+", ""))
     words = F.regexp_count(line, F.lit(f"[^{SPACE}]+"))
-    odd = F.length(F.regexp_replace(line, r"[^#*$%&|<>{}\[\]=_~^]+", ""))
-    navigation = (bars >= 2) & (bars * 5 >= words)
-    punctuation = (odd * 4 >= F.length(shape)) & (F.length(shape) > 0)
-    boilerplate = line.rlike("(?i)(" + "|".join(BOILERPLATE) + ")") & (words <= 12)
+    odd = F.length(F.regexp_replace(line, f"[^{ODD}]+", ""))
+    navigation = ((bars >= 2) & (bars * 5 >= words)) | ((words <= TINY) & low.rlike(f"^({'|'.join(MENU)})$"))
+    signs_only = (shape > 0) & ~line.rlike(r"[A-Za-z0-9\x{80}-\x{10FFFF}]")
+    no_end = (words > 0) & (words <= TINY) & ~line.rlike(f"[{ENDS}][{SPACE}]*$")
+    punctuation = ((odd * 4 >= shape) & (shape > 0)) | signs_only | no_end
+    boilerplate = (words <= SHORT) & low.rlike("|".join(BOILERPLATE))
     return navigation | punctuation | boilerplate
 
 

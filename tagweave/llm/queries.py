@@ -77,8 +77,6 @@ QUERIES = {
 }
 
 WORD = r"[^\x20\x09-\x0D]+"
-_BOILERPLATE = "|".join(quality_rules.BOILERPLATE)
-
 _quoted = lambda x: x.replace("'", "''")
 _RULES = [*secret_scans.BASE, *secret_scans.MORE]
 #: The texts between matches and the matches in turn give the matches' places.
@@ -104,6 +102,16 @@ SELECT doc_id, coalesce(n_assign, 0)::BIGINT AS n_assign, coalesce(n_access, 0):
 FROM d LEFT JOIN g USING (doc_id)
 """
 
+_LOW = r"trim(translate(regexp_replace(l, '[\x20\x09-\x0D]+', ' ', 'g'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'))"
+_BARS = f"length(regexp_replace(l, '[^{quality_rules.BARS}]+', '', 'g'))"
+_COUNT = f"len(regexp_extract_all(l, '{WORD}'))"
+_FAILING = rf"""
+           ({_BARS} >= 2 AND {_BARS} * 5 >= {_COUNT})
+           OR ({_COUNT} <= {quality_rules.TINY} AND regexp_matches({_LOW}, '^({"|".join(quality_rules.MENU)})$'))
+           OR length(regexp_replace(l, '[^{quality_rules.ODD}]+', '', 'g')) * 4 >= length(regexp_replace(l, '[\x20\x09-\x0D]+', '', 'g'))
+           OR NOT regexp_matches(l, '[A-Za-z0-9\x{{80}}-\x{{10FFFF}}]')
+           OR ({_COUNT} <= {quality_rules.TINY} AND NOT regexp_matches(l, '[{_quoted(quality_rules.ENDS)}][\x20\x09-\x0D]*$'))
+           OR ({_COUNT} <= {quality_rules.SHORT} AND regexp_matches({_LOW}, '{"|".join(quality_rules.BOILERPLATE)}'))"""
 OP7_SQL = rf"""
 WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
 w AS (
@@ -119,11 +127,7 @@ x AS (
   SELECT doc_id, len(words) AS n_words, length(array_to_string(words, '')) AS word_chars,
          length(regexp_replace(t, '[^#*$%&|<>]+', '', 'g')) AS n_symbols,
          len(lines) - len(list_distinct(lines)) AS n_dup_lines,
-         list_filter(lines, lambda l:
-           (length(regexp_replace(l, '[^|•»]+', '', 'g')) >= 2
-            AND length(regexp_replace(l, '[^|•»]+', '', 'g')) * 5 >= len(regexp_extract_all(l, '{WORD}')))
-           OR length(regexp_replace(l, '[^#*$%&|<>{{}}\[\]=_~^]+', '', 'g')) * 4 >= length(regexp_replace(l, '[\x20\x09-\x0D]+', '', 'g'))
-           OR (regexp_matches(l, '(?i)({_BOILERPLATE})') AND len(regexp_extract_all(l, '{WORD}')) <= 12)) AS removed
+         list_filter(lines, lambda l: {_FAILING}) AS removed
   FROM w),
 y AS (
   SELECT x.doc_id, n_words, word_chars, n_symbols, n_dup_lines, coalesce(r.n, 0) AS n_repeat_words,

@@ -24,8 +24,9 @@ _parser = re._parser
 
 @dataclass(frozen=True)
 class Rule:
-    """A kind of secret: matches of ``pattern`` (Java, Python and RE2 agree on it), leftmost and not overlapping,
-    of which those stay whose ``group`` has ``least`` code points at least."""
+    """A kind of secret: matches of ``pattern``, leftmost and not overlapping, of which those stay whose ``group`` has
+    ``least`` code points at least. Java, Python and RE2 must agree on the pattern, so letters in either case are
+    classes: a flag for that lets some engines take U+017F for s and U+212A for k."""
 
     kind: str
     pattern: str
@@ -33,10 +34,16 @@ class Rule:
     least: int = 1
 
 
+
+def either_case(pattern: str) -> str:
+    """The pattern with each letter as a class of both its cases."""
+    return re.sub("[a-z]", lambda m: f"[{m[0].upper()}{m[0]}]", pattern)
+
+
 #: The base rules, in the order that breaks ties. A hexadecimal run below 16 digits can't
 #: be a match, and a match is always a whole run, so the least length stands in the pattern.
 BASE = [
-    Rule("assign", r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 2, 12),
+    Rule("assign", f"({either_case('password|passwd|secret|token|api_?key')})" + r"""["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 2, 12),
     Rule("access", r"AKIA[A-Z0-9]+", 0, 18),
     Rule("hex", r"[0-9a-f]{16,}", 0, 16),
 ]
@@ -178,8 +185,9 @@ def scan(
             above it, texts and candidates meet by a shuffle.
 
     Returns doc_id, the carried columns as kept_<name>, body (the text), found: the spans, an array of
-    (start, order, end, kind) by start, then by the order of the rules. Null texts count as empty and
-    have none. Null ids and repeated rows are scanned like any other.
+    (start, order, end, kind) by start; ties go by the order of the rules. Null texts count as empty and
+    have none. Null ids and repeated rows are scanned like any other; no rows give no rows; columns that
+    aren't named aren't read. Texts of any length are scanned whole, each by one task.
     """
     rules = [*BASE, *more]
     rows = docs.select(docs[id_column].alias("doc_id"), *[docs[c].alias(f"kept_{c}") for c in keep], whole_text(docs, text_column).alias("body"))

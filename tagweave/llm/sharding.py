@@ -3,7 +3,9 @@
 Main path: DataFrame functions only. Rows of each source are put in a seeded random
 order; a row's fractional rank in its source says where it stands in the whole. Sorting
 all rows by fractional rank mixes the sources evenly at every point, so equal cuts give
-shards of one size, each with the mixture of the whole.
+shards of one size, each with the mixture of the whole. Ranks of a source begin at its own share
+of a step, and these shares are spread evenly over the sources in a random order, so that many
+sources of few rows don't stand at the same points but fill the whole as evenly.
 
 Ranks come from counts: the random key is uniform, so its leading part deals each source
 (and later the whole) into small slices; a window ranks inside a slice and the counts of
@@ -33,16 +35,17 @@ def _ranked(rows: DataFrame, stratum: str, slice_of: Column, order: list[str], n
 
 def shard(
     docs: DataFrame, shards: int = 8, seed: int = 20240229, id_column: str = "doc_id",
-    source_column: str = "source", text_column: str = "text", rows_a_slice: int = 20_000,
+    source_column: str = "source", text_column: str = "text", rows_a_slice: int = 4_000,
 ) -> DataFrame:
     """Deal all rows into ``shards`` shards of equal row counts (at most one apart), each with the mixture of sources.
 
     Returns doc_id, size (UTF-8 bytes of the text plus 1; null text: 1), text_crc32, source, law ``rows``,
     shard, slot (gapless from 0 in its shard) and grown_shard (null: only the law ``key`` has one).
 
-    Null sources form a stratum of their own; null ids are dealt by their text. Repeated rows are dealt
-    one by one: each takes a slot. Fewer rows than shards leave the last shards empty; no rows, no shards.
-    Reads the text once; what is shuffled has no text.
+    Null sources form a stratum of their own; null ids are dealt by their text. Rows that repeat in all that counts
+    are dealt one by one, in any order among themselves: each takes a slot. Fewer rows than shards leave the last
+    shards empty; no rows, no shards. Other columns aren't read, whatever their names. Reads the text once, whatever
+    its length; what is shuffled has no text.
     """
     data = whole_text(docs, text_column).cast("binary")
     rows = docs.select(
@@ -50,8 +53,16 @@ def shard(
         F.coalesce(F.concat(F.lit("is "), docs[source_column].cast("string")), F.lit("null")).alias("stratum"),
         (F.octet_length(data).cast("long") + 1).alias("size"), F.crc32(data).alias("text_crc32"),
     )
-    rows = rows.withColumn("key", F.xxhash64(F.lit(seed), "doc_id", "text_crc32", "size"))
-    rows = materialize(rows, "shard-rows")
+    rows = materialize(rows.withColumn("number", F.monotonically_increasing_id()), "shard-rows")
+    # rows that are all alike would have one key and meet in one slice: their numbers in the table tell them apart
+    alike = rows.groupBy("doc_id", "text_crc32", "size").count().where("count > 1")
+    if alike.isEmpty():
+        twin = F.lit(None).cast("long")
+    else:
+        alike = alike.select(F.col("doc_id").alias("id2"), F.col("text_crc32").alias("crc2"), F.col("size").alias("size2"))
+        rows = rows.join(alike, F.col("doc_id").eqNullSafe(F.col("id2")) & (F.col("text_crc32") == F.col("crc2")) & (F.col("size") == F.col("size2")), "left")
+        twin = F.when(F.col("size2").isNotNull(), F.col("number"))
+    rows = rows.select("doc_id", "source", "stratum", "size", "text_crc32", F.xxhash64(F.lit(seed), "doc_id", "text_crc32", "size", twin).alias("key"))
     n = rows.count()
     slices = max(1, -(-n // rows_a_slice))
     part = lambda u: F.least(F.floor(u * slices), F.lit(slices - 1)).cast("long")
@@ -59,7 +70,12 @@ def shard(
     rows = rows.withColumn("key", F.shiftrightunsigned("key", 1))
     uniform = F.col("key").cast("double") / float(1 << 63)
     rows = _ranked(rows, "stratum", part(uniform), ["key", "doc_id", "size", "text_crc32"], "rank")
-    rows = rows.withColumn("fraction", (F.col("rank") * 2 + 1).cast("double") / (F.col("total") * 2).cast("double")).drop("rank", "total")
+    strata = rows.select(F.col("stratum").alias("of_stratum"), F.lit("all").alias("all")).distinct()
+    strata = strata.withColumn("key", F.shiftrightunsigned(F.xxhash64(F.lit(seed), F.lit("begin"), "of_stratum"), 1))
+    strata = _ranked(strata, "all", part(uniform), ["key", "of_stratum"], "nth_stratum")
+    strata = strata.select("of_stratum", ((F.col("nth_stratum") * 2 + 1) / (F.col("total") * 2)).alias("begin"))
+    rows = rows.join(strata, F.col("stratum") == F.col("of_stratum"))
+    rows = rows.withColumn("fraction", (F.col("rank") + F.col("begin")) / F.col("total")).drop("rank", "total", "begin", "of_stratum")
     rows = rows.withColumn("stratum", F.lit("all"))
     rows = _ranked(rows, "stratum", part(F.col("fraction")), ["fraction", "key", "source", "doc_id", "size", "text_crc32"], "place")
     at = F.expr(f"(place * {shards}L) div {max(n, 1)}L")

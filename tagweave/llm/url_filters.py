@@ -80,10 +80,12 @@ def filter_urls(
             Above it both joins shuffle, and URLs that the filter turns away get spread keys.
 
     Returns page_id, host, path, canonical, rule, possible (passed the Bloom filter), listed, verdict.
-    Null or malformed URLs have empty host and path, no rule and verdict ``allow``. Repeated rows
-    come out as often as they went in. An empty list or table gives the obvious result.
+    Null or malformed URLs have empty host and path, no rule and verdict ``allow``; an empty URL in the list
+    lists nothing. Of rules that fit the longest wins, of equally long ones the last in order. Repeated rows come out
+    as often as they went in; null ids are judged like any other; an empty list or table gives the obvious result.
+    Whatever is turned away, and rows without a host, get keys of their own, so they don't meet in one task.
     """
-    exact = listed.select(F.col("url").cast("string").alias("k")).where("k is not null").distinct()
+    exact = listed.select(F.col("url").cast("string").alias("k")).where("k <> ''").distinct()
     n, longest = exact.agg(F.count("*"), F.coalesce(F.max(F.octet_length("k")), F.lit(0))).first()
     blocks = max(1, n * bits_per_url // 64)
     held = lambda df, size: F.broadcast(df) if size <= broadcast_bytes else df
@@ -95,6 +97,8 @@ def filter_urls(
     rows = pages.select(pages[id_column].alias("page_id"), host.alias("host"), path.alias("path"))
     rows = rows.withColumn("canonical", canonical_url(F.col("host"), F.col("path")))
     block, mask = bloom_key(F.col("canonical"), blocks)
+    nowhere = F.bitwise_not(F.shiftrightunsigned(F.xxhash64("page_id", "host"), 1))
+    block = F.when(F.col("canonical") == "", nowhere).otherwise(block)
     rows = rows.withColumns({"block": block, "mask": mask}).join(held(words, blocks * 32), "block", "left")
     rows = rows.withColumn("possible", F.coalesce(F.col("word").bitwiseAND(F.col("mask")) == F.col("mask"), F.lit(False)))
     away = F.concat(F.lit("\0"), F.xxhash64("page_id", "host", "path").cast("string"))

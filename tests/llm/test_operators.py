@@ -103,6 +103,61 @@ def test_sentencepiece(docs, empty, spark):
     assert sentencepiece_codec.encode(empty, path).count() == 0
 
 
+def small_model(kind, fallback):
+    """A piece model made by hand."""
+    from sentencepiece import sentencepiece_model_pb2
+
+    proto = sentencepiece_model_pb2.ModelProto()
+    proto.trainer_spec.model_type, proto.trainer_spec.byte_fallback, proto.trainer_spec.unk_surface = kind, fallback, " ? "
+    proto.normalizer_spec.name, proto.normalizer_spec.add_dummy_prefix = "identity", True
+    proto.normalizer_spec.remove_extra_whitespaces, proto.normalizer_spec.escape_whitespaces = False, True
+    pieces = [("<unk>", 0.0, 2), ("<s>", 0.0, 3), ("</s>", 0.0, 3)]
+    pieces += [(f"<0x{b:02X}>", 0.0, 6) for b in range(256)] if fallback else []
+    words = ["▁", "▁the", "▁th", "he", "e", "t", "h", "a", "ab", "abc", "b", "c", "bc", "▁a", "▁ab", "cab", "é"]
+    pieces += [(w, -float(1 + n % 7) - 0.25 * n, 1) for n, w in enumerate(words)]
+    for piece, score, t in pieces:
+        proto.pieces.add(piece=piece, score=score, type=t)
+    return proto.SerializeToString()
+
+
+@pytest.mark.parametrize("kind", [sentencepiece_codec.UNIGRAM, sentencepiece_codec.BPE])
+@pytest.mark.parametrize("fallback", [True, False])
+def test_models_made_by_hand_keep_parity(kind, fallback):
+    import random
+
+    import sentencepiece
+
+    model = small_model(kind, fallback)
+    sp, codec, r = sentencepiece.SentencePieceProcessor(model_proto=model), sentencepiece_codec.Codec(model), random.Random(3)
+    known = [*"abcthe ", "é", "the", "abc"]
+    texts = ["".join(r.choice([*known, "日", "z"] if fallback else known) for _ in range(r.randrange(40))) for _ in range(300)]
+    for t, (ids, differ, back) in zip(texts, codec.encode(texts), strict=True):
+        assert np.frombuffer(ids, "<u4").tolist() == sp.encode(t) and differ == 0, t
+        assert back and codec.decode([ids]) == [t]
+
+
+def test_a_difference_between_the_libraries_is_counted():
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    codec = sentencepiece_codec.Codec(open(path, "rb").read())
+
+    class Other:
+        def encode(self, parts, num_threads):
+            return [[7] if p == " odd" else [e for e in codec.tokenizer.encode(p).ids] for p in parts]
+
+    codec.library = Other()
+    assert [(d, back) for _, d, back in codec.encode(["odd odd one", "even", "odd"])] == [(2, True), (0, True), (1, True)]
+
+
+def test_kept_is_bounded():
+    from tagweave.llm.common import Kept
+
+    kept, asked = Kept(10_000), []
+    for n in range(200):
+        kept.fill({f"w{n}", "often"}, lambda ws: asked.extend(ws) or [w.encode() for w in ws])
+        assert kept.now[f"w{n}"] == f"w{n}".encode() and kept.held <= 10_000 + 1000 and len(kept.before) <= 60
+    assert asked.count("often") == 1
+
+
 def secrets_of(t):
     out = []
     for m in re.finditer(r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", t):
@@ -122,6 +177,8 @@ def test_secret_scans(docs, empty, spark):
     shuffled = by_id(secret_scans.digests(secret_scans.scan(docs, broadcast_bytes=-1)))
     assert {k: v.spans for k, v in shuffled.items()} == {k: v.spans for k, v in found.items()}
     assert secret_scans.scan(empty).count() == 0
+    lookalikes = spark.createDataFrame([(1, "pa\u017f\u017fword=abcdefghijklmn to\u212aen=abcdefghijklmn TOKEN=abcdefghijklmn")], "doc_id long, text string")
+    assert secret_scans.digests(secret_scans.scan(lookalikes)).first().spans == "assign:45:65"
     clean = spark.createDataFrame([(1, "a token: abcdefghijklmnop! and deadbeefdeadbeef")], "doc_id long, text string")
     assert secret_scans.scan(clean).select(secret_scans.redacted()).first()[0] == "a [SECRET]! and [SECRET]"
 
@@ -298,6 +355,13 @@ def test_sharding(docs, empty, spark):
         t = ("without an id" if r.doc_id is None else TEXTS[r.doc_id]) or ""
         assert (r.size, r.text_crc32, r.law, r.grown_shard) == (len(t.encode()) + 1, zlib.crc32(t.encode()), "rows", None)
     assert sharding.shard(empty).count() == 0
+    # many sources of one row each, and rows that are all alike: shares and counts hold
+    single = spark.range(900).selectExpr("id AS doc_id", "'t' AS text", "'s' || id AS source").union(spark.range(300).selectExpr("7L", "'same'", "'hot'"))
+    out = sharding.shard(single, 8, rows_a_slice=50).collect()
+    by_shard = Counter(r.shard for r in out)
+    assert set(by_shard.values()) == {150} and len({(r.shard, r.slot) for r in out}) == 1200
+    hot = Counter(r.shard for r in out if r.source == "hot")
+    assert all(abs(hot[s] - 300 / 8) <= 2 for s in range(8)) and max(Counter(r.shard for r in out if r.source != "hot").values()) < 130
     many = spark.range(4000).selectExpr("id AS doc_id", "'t' AS text", "CASE WHEN id % 3 = 0 THEN 'hot' ELSE 's' || id % 10 END AS source")
     out = sharding.shard(many, 8, rows_a_slice=100)
     whole = {r.source: r["count"] for r in many.groupBy("source").count().collect()}
@@ -305,6 +369,27 @@ def test_sharding(docs, empty, spark):
         assert abs(r["count"] - whole[r.source] / 8) <= 1.5
 
 
+def test_sharding_against_brute_force(docs):
+    seed, shards = 20240229, 3
+    got = sharding.shard(docs.where("doc_id is null or doc_id <> 6"), shards, rows_a_slice=4).collect()
+    size, crc = F.octet_length(F.coalesce("text", F.lit(""))).cast("long") + 1, F.crc32(F.coalesce("text", F.lit("")).cast("binary"))
+    stratum = F.coalesce(F.concat(F.lit("is "), F.col("source")), F.lit("null"))
+    rows = docs.where("doc_id is null or doc_id <> 6").select(
+        "doc_id", "source", stratum.alias("stratum"), F.shiftrightunsigned(F.xxhash64(F.lit(seed), "doc_id", crc, size), 1).alias("key"),
+        F.shiftrightunsigned(F.xxhash64(F.lit(seed), F.lit("begin"), stratum), 1).alias("turn"),
+    ).collect()
+    strata = defaultdict(list)
+    for r in rows:
+        strata[r.stratum].append(r)
+    begin = {s: (2 * n + 1) / (2 * len(strata)) for n, s in enumerate(sorted(strata, key=lambda s: strata[s][0].turn))}
+    placed = sorted(((k + begin[r.stratum]) / len(own), r.key, r.doc_id) for own in strata.values() for k, r in enumerate(sorted(own, key=lambda r: r.key)))
+    want, first = {}, {}
+    for n, (_, _, doc) in enumerate(placed):
+        shard = n * shards // len(placed)
+        want[doc] = (shard, n - first.setdefault(shard, n))
+    assert {r.doc_id: (r.shard, r.slot) for r in got} == want
+
+
 def counted(t):
     w = re.findall(r"[^\x20\x09-\x0D]+", t)
     windows = [tuple(w[k : k + 3]) for k in range(len(w) - 2)]
@@ -334,6 +419,11 @@ def test_quality_keeps_clean_and_drops_junk(spark):
     noise = " ".join(f"word{k}{'***' if k % 2 else '$$$'}" for k in range(90))
     rows = spark.createDataFrame([(1, clean), (2, junk), (3, noise), (4, clean + "\nAll rights reserved.")], "doc_id long, text string")
     assert {r.doc_id: r.kept for r in quality_rules.judge(rows).collect()} == {1: True, 2: False, 3: False, 4: True}
+    assert {r.doc_id: r.cleaned for r in quality_rules.judge(rows, cleaned=True).collect()} == {1: clean, 2: "", 3: "", 4: clean}
+    lines = ["A word here.", "Home", "home | news | mail", "*** --- ***", "no mark", "Datenschutzerklärung lesen.", "Aviso Legal y Términos de uso.", "Politique de confidentialité de ce site.",
+             "We read the privacy policy of the firm and wrote a long line of text on what it says.", "Nächste Seite folgt bald.", "«", "日本語の文。", "Accueil", "READ MORE"]
+    got = spark.createDataFrame([(x,) for x in lines], "l string").select("l", quality_rules.failing_line(F.col("l")).alias("f")).collect()
+    assert [r.l for r in got if not r.f] == [lines[0], lines[8], lines[9], lines[11]]
 
 
 def test_license_scans(docs, empty, spark):
@@ -352,6 +442,10 @@ def test_license_scans(docs, empty, spark):
     # words at the edges of neighbouring texts
     edge = spark.createDataFrame([(1, "xgnu"), (2, "gnu general public license"), (3, "mit"), (4, "license"), (5, "a mit license")], "doc_id long, text string").coalesce(1)
     assert {r.doc_id: r.n_base for r in license_scans.scan(edge).collect()} == {1: 0, 2: 1, 3: 0, 4: 0, 5: 1}
+    text = "Copyright (c) 2020 A. Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction, and so on. "
+    text += "The above copyright notice and this permission notice shall be included in all copies. THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND."
+    whole = spark.createDataFrame([(1, text), (2, text.replace("included", "left out")), (3, text.replace("any person", "some person"))], "doc_id long, text string")
+    assert {r.doc_id: r.labels for r in license_scans.scan(whole).collect()} == {1: "mit", 2: "", 3: ""}
     keyed = license_scans.Template("redistribution and use in source and binary forms", "bsd", keys=("must retain",))
     two = spark.createDataFrame([(1, "Redistribution and use in source and binary forms"), (2, "redistribution and use in source and binary forms must retain")], "doc_id long, text string")
     assert {r.doc_id: r.labels for r in license_scans.scan(two, [keyed]).collect()} == {1: "", 2: "bsd"}
