@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 
 
 def snake_case(name: Column) -> Column:
-    """camelCase to snake_case, lower-cased."""
-    return F.lower(F.regexp_replace(F.regexp_replace(name, r"(.)([A-Z][a-z]+)", "$1_$2"), r"([a-z0-9])([A-Z])", "$1_$2"))
+    """A path's last part, lower-cased, with an underscore before each capital that a lower-case letter follows."""
+    return F.lower(F.regexp_replace(F.substring_index(name, "/", -1), r"(?<!^)(?=[A-Z][a-z])", "_"))
 
 
 def short_reason(reason: Column, n: int = 60) -> Column:
@@ -21,9 +21,10 @@ def short_reason(reason: Column, n: int = 60) -> Column:
 
 
 def asset_name(name: Column) -> Column:
-    """STRUCT<kind, factory, seed, number> of ``Kind(seed).spawn_asset(number)``-like names; nulls where it isn't one."""
-    part = lambda k: F.nullif(F.regexp_extract(name, r"^(?:(\w+):)?(\w+)\((\d+)\)(?:\.\w+\((\d+)\))?", k), F.lit(""))
-    return F.struct(part(1).alias("kind"), part(2).alias("factory"), part(3).cast("bigint").alias("seed"), part(4).cast("bigint").alias("number"))
+    """STRUCT<factory, seed, kind, number> of ``Factory(seed).kind_part(number)`` names; nulls where it isn't one."""
+    part = lambda k: F.when(name.rlike(form), F.regexp_extract(name, form, k))
+    form = r"^(.*)\((\d+)\)\..*_(.*)\((\d+)\)$"
+    return F.struct(part(1).alias("factory"), part(2).cast("bigint").alias("seed"), part(3).alias("kind"), part(4).cast("bigint").alias("number"))
 
 
 def room_name(name: Column) -> Column:
@@ -67,9 +68,19 @@ def clock_seconds(text: Column) -> Column:
 
 
 def clock_text(seconds: Column) -> Column:
-    """``H:MM:SS`` of whole seconds."""
-    s = seconds.cast("bigint")
-    return F.format_string("%d:%02d:%02d", F.expr("0") + F.floor(s / 3600), F.floor(s / 60) % 60, s % 60)
+    """``HH:MM:SS`` of seconds; hours go on beyond 99."""
+    s = F.floor(seconds).cast("bigint")
+    return F.format_string("%02d:%02d:%02d", F.floor(s / 3600), F.floor(s / 60) % 60, s % 60)
+
+
+def parsed_time(text: Column, pattern: str = "yyyy-MM-dd'T'HH:mm:ss") -> Column:
+    """A timestamp in the given layout; null if it is none."""
+    return F.try_to_timestamp(text, F.lit(pattern))
+
+
+def ended(start: Column, seconds: Column) -> Column:
+    """``seconds`` after ``start``."""
+    return start + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), seconds)
 
 
 def days_before(day: Column, n: int) -> Column:
@@ -137,19 +148,24 @@ def linear_decay(step: Column, start: float, end: float, begin: int, finish: int
     return map_range(step, begin, finish, start, end)
 
 
+#: Binary units of sizes, and what a memory suffix is in decimal GB.
+SIZE_UNITS = ["", "Ki", "Mi", "Gi", "Ti", "Pi", "Ei", "Zi"]
+MEMORY_GB = {"K": 1e-6, "M": 1e-3, "G": 1.0}
+
+
 def sizeof_text(n: Column) -> Column:
-    """Bytes as text with a binary unit."""
-    out = F.format_string("%.1fTi", n / float(1 << 40))
-    for k, unit in reversed(list(enumerate(["", "Ki", "Mi", "Gi"]))):
-        out = F.when(F.abs(n) < float(1 << (10 * (k + 1))), F.format_string(f"%.1f{unit}", n / float(1 << (10 * k)))).otherwise(out)
-    return F.concat(out, F.lit("B"))
+    """Bytes with one decimal and a binary unit, as in ``2.0 KiB``."""
+    x = n.cast("double")
+    out = F.format_string("%.1fYiB", x / float(1 << 80))
+    for k, unit in reversed(list(enumerate(SIZE_UNITS))):
+        out = F.when(F.abs(x) / float(1 << 10 * k) < 1024.0, F.format_string(f"%.1f {unit}B", x / float(1 << 10 * k))).otherwise(out)
+    return out
 
 
 def memory_gb(text: Column) -> Column:
-    """Memory with a unit suffix K, M, G or T (none: bytes), in binary GB; null for empty or malformed text."""
-    number, unit = F.regexp_extract(text, r"^([\d.]+)([KMGT]?)", 1), F.regexp_extract(text, r"^([\d.]+)([KMGT]?)", 2)
-    power = F.when(unit == "K", -20).when(unit == "M", -10).when(unit == "G", 0).when(unit == "T", 10).otherwise(-30)
-    return F.nullif(number, F.lit("")).cast("double") * F.pow(F.lit(2.0), power)
+    """Memory with a unit suffix K, M or G in decimal GB; null for anything else."""
+    number = F.regexp_extract(text, r"^([\d.]+)[KMG]$", 1).try_cast("double")
+    return number * F.create_map(*[F.lit(x) for kv in MEMORY_GB.items() for x in kv])[F.right(text, F.lit(1))]
 
 
 # seeds ----------------------------------------------------------------------------------------

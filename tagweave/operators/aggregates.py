@@ -150,13 +150,17 @@ def face_values(faces: DataFrame, vertices: DataFrame) -> DataFrame:
 
 
 def grid_line_count(rows: DataFrame, by: list[str], x: Column, unit: float) -> DataFrame:
-    """Distinct grid lines that coordinates fall on."""
-    return rows.groupBy(*by).agg(F.count_distinct(F.floor(x / F.lit(unit))).alias("lines"))
+    """Distinct grid lines that coordinates fall on; a coordinate falls towards zero."""
+    return rows.groupBy(*by).agg(F.count_distinct((x / F.lit(unit)).cast("bigint")).alias("lines"))
 
 
-def control_state(total: int, in_flight: int, most: int, warm_up: float) -> int:
-    """How many more to launch: the ramp's share of ``most``, less what is in flight; more in flight than allowed is an error."""
-    allowed = min(most, math.ceil(warm_up * total))
-    if in_flight > max(allowed, most):
+def control_state(in_flight: int, concurrent: int, elapsed: float, warm_up: float) -> tuple[int, int]:
+    """(most in flight now, how many more to launch): ``concurrent``, ramped up over the first ``warm_up`` seconds.
+
+    More in flight than the ramp allows is an error.
+    """
+    share = min(elapsed / warm_up, 1.0) if warm_up > 0 else 1.0
+    allowed = math.ceil(share * concurrent)
+    if in_flight > allowed:
         raise ValueError(f"{in_flight} in flight, {allowed} allowed")
-    return max(0, allowed - in_flight)
+    return allowed, allowed - in_flight

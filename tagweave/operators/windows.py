@@ -14,18 +14,25 @@ def differences(rows: DataFrame, by: list[str], order: list[str], columns: list[
 
 
 def sequential_gate(tasks: DataFrame, by: str, order: str, state: str, condition: str) -> DataFrame:
-    """Whether each task of a sequence may run: all before it may, and the state before it is as its condition asks.
+    """Which tasks of a sequence may run, and whose failure is fatal: one that the next task doesn't ask for.
 
-    Conditions: null (always), prev_succeeded, prev_failed, prev_redundant. A failure is fatal unless the next task asks for it.
+    Conditions look at the state of the last task before that wasn't skipped (before the first: succeeded).
+    ``prev_succeeded`` (also a null) bars the task and all after it unless that one succeeded; ``prev_failed`` skips
+    only the task itself unless that one failed; ``prev_redundant`` asks for nothing.
+
+    Skips come in runs of ``prev_failed`` tasks after one of another kind: such a task is reached only while all
+    states since that one are failures. So two windows give the answer and nothing is folded over.
     """
     w = Window.partitionBy(by).orderBy(order)
-    before, after = F.lag(state).over(w), F.lead(condition).over(w)
-    asks = F.col(condition)
-    ok = F.when(before.isNull() | asks.isNull(), F.lit(True)).when(asks == "prev_succeeded", before == "succeeded")
-    ok = ok.when(asks == "prev_failed", before == "failed").when(asks == "prev_redundant", before.isin("succeeded", "failed")).otherwise(F.lit(False))
-    rows = tasks.withColumns({"_ok": F.coalesce(ok, F.lit(False)).cast("int"), "fatal": (F.col(state) == "failed") & F.coalesce(after != "prev_failed", F.lit(True))})
-    open_ = F.min("_ok").over(w.rowsBetween(Window.unboundedPreceding, 0)) == 1
-    return rows.withColumn("may_run", open_).drop("_ok")
+    until = lambda *more: Window.partitionBy(by, *more).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    rows = tasks.withColumns({"_asks": F.coalesce(condition, F.lit("prev_succeeded")), "_state": F.coalesce(state, F.lit("not_queued"))})
+    rows = rows.withColumns({"_run": F.count_if(F.col("_asks") != "prev_failed").over(w), "fatal": F.coalesce(F.lead("_asks").over(w) != "prev_failed", F.lit(True))})
+    only_failures = F.coalesce(F.min((F.col("_state") == "failed").cast("int")).over(until("_run")) == 1, F.lit(False))
+    rows = rows.withColumn("_reached", (F.col("_asks") != "prev_failed") | only_failures)
+    before = F.coalesce(F.last(F.when(F.col("_reached"), F.col("_state")), ignorenulls=True).over(until()), F.lit("succeeded"))
+    rows = rows.withColumn("_barred", ((F.col("_asks") == "prev_succeeded") & (before != "succeeded")).cast("int"))
+    open_ = F.max("_barred").over(w.rowsBetween(Window.unboundedPreceding, 0)) == 0
+    return rows.withColumn("may_run", open_ & F.col("_reached")).drop("_asks", "_state", "_run", "_reached", "_barred")
 
 
 def roundrobin(rows: DataFrame, place: str, weights: list[tuple[str, int]]) -> DataFrame:
@@ -82,12 +89,25 @@ def by_angle(points: DataFrame, by: list[str], x: str = "x", y: str = "y") -> Da
     return rows.withColumn("place", F.row_number().over(mid.orderBy("_a", x, y)) - 1).drop("_a")
 
 
-def rotational_asymmetry(points: DataFrame, by: list[str], angle: str) -> DataFrame:
-    """How far each group's orientations, turned back by their places around the circle, are from one another: 1 - length of the mean direction."""
-    n, turn = F.count("*").over(Window.partitionBy(*by)), 6.283185307179586
-    at = F.col(angle) - F.col("place") * turn / n
-    rows = points.withColumns({"_c": F.cos(at), "_s": F.sin(at)})
-    return rows.groupBy(*by).agg(F.round(1 - F.sqrt(F.pow(F.avg("_c"), 2) + F.pow(F.avg("_s"), 2)), 9).alias("asymmetry"))
+def rotational_asymmetry(points: DataFrame, by: list[str], angle: str, x: str = "x", y: str = "y") -> DataFrame:
+    """How far each group is from looking the same after each turn by 1 / n: the mean of a part for places and one for headings.
+
+    Rows have their ``place`` around the centroid (see ``by_angle``). Both parts turn each vector back by its place and
+    take the mean squared distance to their mean, which is the mean square less the square of the mean; places count
+    from the centroid, in units of the farthest one. A group that is all in one point has no asymmetry of places.
+    """
+    g = Window.partitionBy(*by)
+    n = F.count("*").over(g)
+    turn = -F.col("place") * 6.283185307179586 / n
+    dx, dy = F.col(x) - F.avg(x).over(g), F.col(y) - F.avg(y).over(g)
+    rows = points.withColumns({"_t": turn, "_dx": dx, "_dy": dy})
+    turned = lambda a, b: (a * F.cos("_t") - b * F.sin("_t"), a * F.sin("_t") + b * F.cos("_t"))
+    px, py = turned(F.col("_dx"), F.col("_dy"))
+    hx, hy = turned(F.cos(angle), F.sin(angle))
+    rows = rows.select(*by, px.alias("_px"), py.alias("_py"), hx.alias("_hx"), hy.alias("_hy"), (F.col("_dx") ** 2 + F.col("_dy") ** 2).alias("_r"))
+    spread = lambda square, a, b: square - F.avg(a) ** 2 - F.avg(b) ** 2
+    places = F.coalesce(F.try_divide(spread(F.avg("_r"), "_px", "_py"), F.max("_r")), F.lit(0.0))
+    return rows.groupBy(*by).agg(F.round((places + spread(F.lit(1.0), "_hx", "_hy")) / 2, 9).alias("asymmetry"))
 
 
 def principal_order(points: DataFrame, by: list[str], key: str) -> DataFrame:
@@ -173,10 +193,14 @@ def capped_launch(tasks: DataFrame, key: str, order: str, cap: int, stuck: str)
     return tasks.withColumns({"_n": F.when(~F.col(stuck), F.row_number().over(w.orderBy(F.col(stuck), order))), "_room": room}).where(F.col("_n") <= F.col("_room")).drop("_n", "_room")
 
 
-def bound_order(rows: DataFrame, low: str, high: str, count: str) -> DataFrame:
-    """Bounds that can take more: those below their low first, then those between; full ones are dropped."""
-    level = F.when(F.col(count) < F.col(low), -1).when(F.col(count) < F.col(high), 0).otherwise(1)
-    return rows.withColumn("level", level).where("level < 1").orderBy("level")
+def bound_order(rows: DataFrame, low: str, high: str, count: str, reverse: bool = False) -> DataFrame:
+    """Bounds in the order in which they are served: those below their low first, then those inside; over-full ones are dropped.
+
+    A bound that is just full stays. A null low or high is no bound. ``reverse`` serves the over-full ones first and drops
+    those below their low.
+    """
+    level = F.when(F.col(high) < F.col(count), 1).when(F.col(low) > F.col(count), -1).otherwise(0)
+    return rows.withColumn("level", -level if reverse else level).where("level < 1").orderBy("level")
 
 
 def grid_place(rows: DataFrame, place: str, columns: int) -> DataFrame:

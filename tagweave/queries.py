@@ -223,9 +223,9 @@ def loss_before_after_delta(spark, sf):
     return scored_deletions(orders, F.col("o_orderkey") % 4, F.lit(1.0), spark.range(4).select(F.col("id").alias("candidate")))
 
 
-@query("SELECT l_returnflag, count(DISTINCT floor(l_extendedprice / 1000))::BIGINT AS lines FROM lineitem GROUP BY 1")
+@query("SELECT l_returnflag, count(DISTINCT trunc((l_extendedprice - 20000) / 1000))::BIGINT AS lines FROM lineitem GROUP BY 1")
 def grid_line_count(spark, sf):
-    return A.grid_line_count(table(spark, sf, "lineitem"), ["l_returnflag"], F.col("l_extendedprice"), 1000.0)
+    return A.grid_line_count(table(spark, sf, "lineitem"), ["l_returnflag"], F.col("l_extendedprice") - 20000, 1000.0)
 
 
 @query("""SELECT n_nationkey, round(CASE c WHEN 0 THEN -ln(0.2 + 1e-20) WHEN 1 THEN -ln(0.3 + 1e-20) WHEN 2 THEN -ln(0.5 + 1e-20) ELSE -ln(1e-100) END, 6)::DOUBLE AS nll FROM (
@@ -414,13 +414,23 @@ _STATE = "CASE WHEN event_type = 'error' THEN 'failed' WHEN event_type = 'click'
 _COND = "CASE WHEN event_id % 7 = 0 THEN 'prev_failed' WHEN event_id % 3 = 0 THEN 'prev_succeeded' WHEN event_id % 5 = 0 THEN 'prev_redundant' END"
 
 
-@query(f"""WITH t AS (SELECT event_id, user_id, ts, {_STATE} AS state, {_COND} AS cond FROM events),
-x AS (SELECT *, lag(state) OVER w AS p, lead(cond) OVER w AS nc FROM t WINDOW w AS (PARTITION BY user_id ORDER BY ts)),
-y AS (SELECT *, CASE WHEN p IS NULL OR cond IS NULL THEN 1 WHEN cond = 'prev_succeeded' THEN (p = 'succeeded')::INT WHEN cond = 'prev_failed' THEN (p = 'failed')::INT ELSE (p IN ('succeeded', 'failed'))::INT END AS ok FROM x)
-SELECT event_id, min(ok) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) = 1 AS may_run, state = 'failed' AND coalesce(nc <> 'prev_failed', true) AS fatal FROM y""")
+@query(f"""WITH RECURSIVE t AS (
+  SELECT event_id, user_id, {_STATE} AS state, coalesce({_COND}, 'prev_succeeded') AS cond, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS k FROM events),
+r AS (
+  SELECT user_id, 0::BIGINT AS k, 'succeeded' AS prev, true AS going, NULL::BIGINT AS event_id, false AS may_run FROM (SELECT DISTINCT user_id FROM t)
+  UNION ALL
+  SELECT t.user_id, t.k,
+         CASE WHEN cond = 'prev_failed' AND prev <> 'failed' THEN prev ELSE state END,
+         going AND NOT (cond = 'prev_succeeded' AND prev <> 'succeeded'),
+         t.event_id,
+         going AND (cond <> 'prev_succeeded' OR prev = 'succeeded') AND (cond <> 'prev_failed' OR prev = 'failed')
+  FROM r JOIN t ON t.user_id = r.user_id AND t.k = r.k + 1),
+n AS (SELECT event_id, coalesce(lead(cond) OVER (PARTITION BY user_id ORDER BY k) <> 'prev_failed', true) AS fatal FROM t)
+SELECT event_id, may_run, fatal FROM r JOIN n USING (event_id)""")
 def sequential_gate(spark, sf):
-    tasks = table(spark, sf, "events").select("event_id", "user_id", "ts", F.expr(_STATE).alias("state"), F.expr(_COND).alias("cond"))
-    return W.sequential_gate(tasks, "user_id", "ts", "state", "cond").select("event_id", "may_run", "fatal")
+    place = F.struct("ts", "event_id").alias("place")
+    tasks = table(spark, sf, "events").select("event_id", "user_id", place, F.expr(_STATE).alias("state"), F.expr(_COND).alias("cond"))
+    return W.sequential_gate(tasks, "user_id", "place", "state", "cond").select("event_id", "may_run", "fatal")
 
 
 @query("SELECT n_nationkey, CASE WHEN n_nationkey % 6 < 3 THEN 'a' WHEN n_nationkey % 6 < 5 THEN 'b' ELSE 'c' END AS pick FROM nation")
@@ -500,13 +510,19 @@ def crash_reason_rules(spark, sf):
     return table(spark, sf, "documents").select("doc_id", first_reason(rules, "unknown").alias("reason"))
 
 
-@query("""SELECT page_id, split_part(u, '_', 1)::INT AS cam_rig, split_part(u, '_', 2)::INT AS resample, split_part(u, '_', 3)::INT AS frame, split_part(u, '_', 4)::INT AS subcam
-  FROM (SELECT page_id, page_id % 3 || '_0_' || lpad((page_id % 97)::VARCHAR, 4, '0') || '_' || page_id % 2 AS u FROM pages)""")
+@query("""WITH n AS (SELECT page_id, CASE WHEN page_id % 4 = 0 AND page_id % 5 <> 0 THEN 'Image_' WHEN page_id % 4 = 1 THEN '_' ELSE '' END || page_id % 3 || '_0_' || lpad((page_id % 97)::VARCHAR, 4, '0')
+    || CASE WHEN page_id % 5 = 0 THEN '' ELSE '_' || page_id % 2 END || CASE page_id % 3 WHEN 0 THEN '.png' WHEN 1 THEN '_.tar.gz' ELSE '' END AS name FROM pages),
+p AS (SELECT page_id, string_split(trim(split_part(name, '.', 1), '_'), '_') AS w FROM n),
+q AS (SELECT page_id, CASE WHEN len(w) = 5 THEN w[2:] WHEN len(w) = 4 THEN w END AS w FROM p)
+SELECT page_id, w[1]::INT AS cam_rig, w[2]::INT AS resample, w[3]::INT AS frame, w[4]::INT AS subcam FROM q""")
 def suffix_parse(spark, sf):
     from tagweave.sources.frames import parsed_suffix
 
     n = F.col("page_id")
-    name = F.concat_ws("_", (n % 3).cast("string"), F.lit("0"), F.lpad((n % 97).cast("string"), 4, "0"), (n % 2).cast("string"))
+    before = F.when((n % 4 == 0) & (n % 5 != 0), F.lit("Image_")).when(n % 4 == 1, F.lit("_")).otherwise(F.lit(""))
+    last = F.when(n % 5 == 0, F.lit("")).otherwise(F.concat(F.lit("_"), (n % 2).cast("string")))
+    end = F.when(n % 3 == 0, ".png").when(n % 3 == 1, "_.tar.gz").otherwise("")
+    name = F.concat(before, (n % 3).cast("string"), F.lit("_0_"), F.lpad((n % 97).cast("string"), 4, "0"), last, end)
     return table(spark, sf, "pages").select("page_id", parsed_suffix(name).alias("s")).select("page_id", "s.cam_rig", "s.resample", "s.frame", "s.subcam")
 
 
@@ -516,9 +532,12 @@ def embedding_norm_dot(spark, sf):
     return e.select("vec_id", F.round(V.norm(F.col("e")), 4).alias("norm"), F.round(V.dot(F.col("e"), F.reverse("e")), 4).alias("folded"))
 
 
-@query("""SELECT p_partkey, lower(regexp_replace(regexp_replace(x, '(.)([A-Z][a-z]+)', '\\1_\\2', 'g'), '([a-z0-9])([A-Z])', '\\1_\\2', 'g')) AS snake FROM (SELECT p_partkey, replace(p_brand, '#', 'No') || 'PartName' AS x FROM part)""")
+@query("""SELECT p_partkey, lower(x[1] || array_to_string(list_transform(range(2, len(x) + 1), lambda i:
+    CASE WHEN x[i] BETWEEN 'A' AND 'Z' AND x[i + 1] BETWEEN 'a' AND 'z' THEN '_' ELSE '' END || x[i]), '')) AS snake
+  FROM (SELECT p_partkey, string_split('KitchenNEW' || replace(p_brand, '#', 'No') || 'PartNAMEs', '') AS x FROM part)""")
 def snake_case_names(spark, sf):
-    return table(spark, sf, "part").select("p_partkey", S.snake_case(F.concat(F.replace("p_brand", F.lit("#"), F.lit("No")), F.lit("PartName"))).alias("snake"))
+    name = F.concat(F.lit("rooms/Old/KitchenNEW"), F.replace("p_brand", F.lit("#"), F.lit("No")), F.lit("PartNAMEs"))
+    return table(spark, sf, "part").select("p_partkey", S.snake_case(name).alias("snake"))
 
 
 @query("SELECT event_type, date_trunc('hour', ts) AS start, count(*)::BIGINT AS n, round(sum(value), 4)::DOUBLE AS total FROM events GROUP BY 1, 2")

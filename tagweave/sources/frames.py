@@ -15,15 +15,16 @@ PARTS = ["cam_rig", "resample", "frame", "subcam"]
 
 
 def parsed_suffix(text: Column) -> Column:
-    """STRUCT of the four whole numbers of ``rig_resample_frame_subcam``.
+    """STRUCT of the four whole numbers of ``rig_resample_frame_subcam``, as in ``Image_0_0_0048_1.png``.
 
-    Missing ones are 0; of five parts the first goes; a text of another shape gives null.
+    What follows the first point and underscores at the ends go, and so does the first of five parts. Fewer parts than
+    four give null; more than five, and parts that aren't numbers, are errors.
     """
-    parts = F.split(text, "_")
+    parts = F.split(F.trim(F.lit("_"), F.substring_index(text, ".", 1)), "_")
     parts = F.when(F.size(parts) == 5, F.slice(parts, 2, 4)).otherwise(parts)
-    ok = (F.size(parts) <= 4) & F.forall(parts, lambda p: p.rlike(r"^\d+$"))
-    number = lambda k: F.coalesce(F.get(parts, F.lit(k)).try_cast("int"), F.lit(0))
-    return F.when(ok, F.struct(*[number(k).alias(n) for k, n in enumerate(PARTS)]))
+    number = lambda k: F.get(parts, F.lit(k)).cast("int")
+    too_many = F.raise_error(F.concat(F.lit("no suffix: "), text)).cast("struct<" + ", ".join(f"{n}: int" for n in PARTS) + ">")
+    return F.when(F.size(parts) > 5, too_many).when(F.size(parts) == 4, F.struct(*[number(k).alias(n) for k, n in enumerate(PARTS)]))
 
 
 def formatted_suffix(rig: Column, resample: Column, frame: Column, subcam: Column) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tagweave.functions.scalar import clock_seconds, memory_gb, resource_map
+from tagweave.functions.scalar import clock_seconds, ended, memory_gb, parsed_time, resource_map
 
 
 def lines(spark: SparkSession, path: str) -> DataFrame:
@@ -19,10 +19,24 @@ def parsed(rows: DataFrame, pattern: str, names: list[str], column: str = "raw")
     return rows.where(F.col(column).rlike(pattern)).withColumns(groups)
 
 
-def crashes(rows: DataFrame) -> DataFrame:
-    """``time path job stage reason node`` lines of a crash summary: [ts] log_path job_id stage - reason (node)."""
-    pattern = r"^\[([^\]]*)\] (\S+) (\d+) (\w+) - (.*?)(?: \(node ([\w.-]+)\))?$"
-    return parsed(rows, pattern, ["ts", "log_path", "job_id", "stage", "reason", "node"])
+def crashes(rows: DataFrame, scripts: DataFrame | None = None) -> DataFrame:
+    """Crash summaries: ``... PATH/JOB/logs/STAGE_0_0.err reason="..." node='...'`` lines; others are dropped.
+
+    The stage is the log's name up to its first point or underscore. ``scripts`` (folder, text) are the pipeline scripts
+    of scene folders: ``configs`` is what stands between ``-g`` and ``-p`` in the first line that runs the stage, and
+    ``scenetype`` the first word of it; null where there is none.
+    """
+    form = r"""^.*\s.*\s(.*/([a-zA-Z0-9]*)/logs/(.*))\sreason=["'](.*)["']\snode='(.*)'"""
+    out = parsed(rows, form, ["log_path", "job_id", "log", "reason", "node"])
+    out = out.withColumn("stage", F.substring_index(F.substring_index("log", ".", 1), "_", 1)).drop("log")
+    if scripts is None:
+        return out
+    out = out.withColumn("folder", F.regexp_extract("log_path", r"^(.*)/[^/]*/[^/]*$", 1))
+    runs = scripts.select("folder", F.posexplode(F.split("text", "\n")).alias("n", "line")).where(F.col("line").rlike("--task .*") & F.col("line").rlike("-g(.*)-p"))
+    met = out.select("folder", "stage").distinct().join(runs, "folder").where(F.contains("line", F.concat(F.lit("--task "), F.col("stage"))))
+    first = met.groupBy("folder", "stage").agg(F.min_by(F.regexp_extract("line", "-g(.*)-p", 1), "n").alias("configs"))
+    first = first.withColumn("scenetype", F.regexp_extract("configs", r"^\s*(\S+)", 1))
+    return out.join(first, ["folder", "stage"], "left").drop("folder")
 
 
 def stage_times(rows: DataFrame, least_seconds: int = 1) -> DataFrame:
@@ -39,27 +53,44 @@ def chunk_times(rows: DataFrame, column: str = "raw") -> DataFrame:
     return rows.withColumn("seconds", g(1) * 3600 + g(2) * 60 + g(3))
 
 
-#: Layouts of job records: names and pattern.
+#: Layouts of job records: names and pattern. Both ``raw`` layouts have seconds and differ in what a status
+#: may hold; ``completed`` has a clock and only jobs that ended well.
 JOB_DIALECTS = {
-    "wide": (["job_id", "name", "tres", "elapsed", "status", "node", "start", "mem"], r"^(\d+)\s+(\S+)\s+(\S*=\S*)\s+([\d:-]+)\s+(\w+)\s+(\S+)\s+(\S+)(?:\s+([\d.]+[KMGT]?))?\s*$"),
-    "piped": (["job_id", "name", "elapsed", "status", "tres", "mem"], r"^(\d+)\|([^|]*)\|([\d:-]+)\|([^|]*)\|([^|]*)\|([^|]*)\|?$"),
-    "short": (["job_id", "name", "status", "elapsed"], r"^(\d+)\s+(\S+)\s+([A-Z_+]+)\s+([\d:-]+)\s*$"),
+    "raw": (["job_id", "name", "tres", "elapsed", "status", "node", "start"], r"^([0-9]+) +(\S+) +(\S+) +([0-9]+) +([A-Z_]+) +(node[0-9]+) +(\S+).*$"),
+    "raw_letters": (["job_id", "name", "tres", "elapsed", "status", "node", "start"], r"^([0-9]+) +([^ ]+) +([^ ]+) +([0-9]+) +([A-Z]+) +(node[0-9]+) +([^ ]+).*$"),
+    "completed": (["job_id", "name", "elapsed", "tres"], r"^(\d+) +(\S+) +(\d{2}:\d{2}:\d{2}) +\S*cpu=(.*),mem=\S+ +COMPLETED *$"),
 }
+#: Layouts of the lines that have a job's greatest memory.
+MEMORY_LINES = {"raw": r"^([0-9]+)\.0 +.* +([0-9]*.?[0-9]*[KMG])", "completed": r"^(\d+).0 +python +([.\d]+[KMG]) .*COMPLETED *$"}
+
+
+def jobs(rows: DataFrame, dialect: str = "raw") -> DataFrame:
+    """Job records: job_id, name, elapsed seconds, cpus and gpus, and as the layout has them status, node, start and the request.
+
+    ``raw`` layouts: the request is a map of ``key=value`` parts; no ``gpu`` in it is 0. ``completed``: CPUs are the first
+    of the parts after ``cpu=``, and ``gpu`` and ``gpus`` come from ``gres/gpu:kind=n``, null where there is none.
+    """
+    names, form = JOB_DIALECTS[dialect]
+    out = parsed(rows, form, names).withColumn("job_id", F.col("job_id").cast("bigint"))
+    if dialect == "completed":
+        gpu = r"(?:^|.*,)gres/gpu:([^,=]*)=(\d+),gres/gpu=.*"
+        out = out.withColumns({"elapsed": clock_seconds(F.col("elapsed")), "cpus": F.substring_index("tres", ",", 1).try_cast("int")})
+        return out.withColumns({"gpu": F.nullif(F.regexp_extract("tres", gpu, 1), F.lit("")), "gpus": F.regexp_extract("tres", gpu, 2).try_cast("int")}).drop("tres")
+    out = out.withColumns({"elapsed": F.col("elapsed").cast("bigint"), "tres": resource_map(F.col("tres")), "start": parsed_time(F.col("start"))})
+    out = out.withColumns({"cpus": F.col("tres")["cpu"].try_cast("int"), "gpus": F.coalesce(F.col("tres")["gpu"], F.lit("0")).try_cast("int"), "req_memory": F.col("tres")["mem"]})
+    return out.withColumn("ended", ended(F.col("start"), F.col("elapsed")))
 
 
-def jobs(rows: DataFrame, dialect: str = "wide") -> DataFrame:
-    """Job records: elapsed seconds, resources as a map with cpus and gpus, memory in binary GB."""
-    names, pattern = JOB_DIALECTS[dialect]
-    out = parsed(rows, pattern, names).withColumns({"job_id": F.col("job_id").cast("bigint"), "elapsed": clock_seconds(F.col("elapsed"))})
-    if "tres" in names:
-        out = out.withColumn("tres", resource_map(F.col("tres")))
-        out = out.withColumns({"cpus": F.col("tres")["cpu"].cast("int"), "gpus": F.col("tres")["gres/gpu"].cast("int")})
-    return out.withColumn("mem", memory_gb(F.col("mem"))) if "mem" in names else out
+def job_memory(rows: DataFrame, dialect: str = "raw") -> DataFrame:
+    """(job_id, mem): greatest memory in decimal GB from the lines of jobs' first steps; of several lines of a job the last counts."""
+    found = parsed(rows.withColumn("_at", F.monotonically_increasing_id()), MEMORY_LINES[dialect], ["job_id", "mem"])
+    last = found.groupBy(F.col("job_id").cast("bigint").alias("job_id")).agg(F.max_by("mem", "_at").alias("mem"))
+    return last.withColumn("mem", memory_gb(F.col("mem")))
 
 
 def pending(rows: DataFrame, prefix: str) -> DataFrame:
-    """Queue lines ``id name PENDING`` whose names begin with ``prefix``."""
-    return parsed(rows, r"^\s*(\d+)\s+(\S+)\s+(PENDING|PD)\b", ["job_id", "name", "state"]).where(F.startswith("name", F.lit(prefix)))
+    """Queue lines ``id name (Reason)`` whose names begin with ``prefix``."""
+    return parsed(rows, r"([0-9]+) +(\S+) +(\([a-zA-Z]+\))", ["job_id", "name", "state"]).where(F.startswith("name", F.lit(prefix)))
 
 
 def nodes(rows: DataFrame, skip: str = "all") -> DataFrame:
@@ -76,7 +107,7 @@ def key_values(rows: DataFrame, column: str = "raw") -> DataFrame:
 
 
 def with_jobs(stages: DataFrame, found: DataFrame, groups: DataFrame) -> DataFrame:
-    """Stages with their jobs' memory and their nodes' groups, where known."""
+    """Stages with their jobs' memory and their nodes' groups, where known (see ``jobs`` and ``job_memory``)."""
     return stages.join(found.select("job_id", "mem", "elapsed"), "job_id", "left").join(groups.select("node", "grp").dropDuplicates(["node"]), "node", "left")
 
 

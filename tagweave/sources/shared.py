@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import re
 import shutil
 import tempfile
 import uuid
@@ -11,9 +12,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def folder(spark: SparkSession) -> str:
-    """spark.checkpoint.dir, or where it is unset a folder of our own for this process."""
+    """spark.checkpoint.dir; where it is unset and Spark is local, a folder of our own for this process."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir isn't set: no folder is known that driver and executors share")
         own = tempfile.mkdtemp(prefix="tagweave-")
         atexit.register(shutil.rmtree, own, ignore_errors=True)
         spark.conf.set("spark.checkpoint.dir", found := f"file://{own}")

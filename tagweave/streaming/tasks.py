@@ -12,27 +12,45 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-#: States of a task that are final, and the order of a scene's phases.
+#: States of a task that are final, the order of a scene's phases, what a queue calls a job that waits,
+#: and what stands for the job of a task that succeeded before.
 FINAL = ["succeeded", "failed", "cancelled"]
 PHASES = ["coarse", "populate", "fine", "render", "ground_truth", "finalize"]
+QUEUED = ["PENDING", "REQUEUED"]
+SUCCEEDED_MARK = "MARK_AS_SUCCEEDED"
 
 
-def task_state(submitted: Column, job_state: Column, has_finish: Column) -> Column:
-    """A task's state from whether it was submitted, what the queue says, and whether its finish file is there."""
+def task_state(submitted: Column, job_state: Column, has_finish: Column, crash_recorded: Column | None = None, force_cancelled: Column | None = None) -> Column:
+    """A task's state: what was recorded of it comes first, then what the queue says, then whether its finish file is there.
+
+    ``crash_recorded`` and ``force_cancelled`` may be left out (never). A job object that is the mark of success stands
+    for a job that succeeded earlier.
+    """
+    said = lambda c: F.coalesce(c, F.lit(False)) if c is not None else F.lit(False)
     return (
-        F.when(~F.coalesce(submitted, F.lit(False)), "not_queued")
-        .when(has_finish, "succeeded")
-        .when(job_state.isin("PENDING", "PD"), "queued")
-        .when(job_state.isin("RUNNING", "R"), "running")
-        .when(job_state.startswith("CANCELLED"), "cancelled")
+        F.when(~said(submitted), "not_queued")
+        .when(said(crash_recorded), "failed")
+        .when(said(force_cancelled), "cancelled")
+        .when(job_state == SUCCEEDED_MARK, "succeeded")
+        .when(job_state.isin(QUEUED), "queued")
+        .when(job_state == "RUNNING", "running")
+        .when(said(has_finish), "succeeded")
         .otherwise("failed")
     )
 
 
+def _event_state(rows: DataFrame, at: str = "") -> Column:
+    """``task_state`` over the columns of events, of which the recorded ones may be missing."""
+    names = rows.schema["e"].dataType.names if at else rows.columns
+    col = lambda c: F.col(at + c) if c in names else None
+    return task_state(col("submitted"), col("job_state"), col("has_finish"), col("crash_recorded"), col("force_cancelled"))
+
+
 def latest_states(events: DataFrame) -> DataFrame:
     """The last event of each (seed, task), as a state; ties by event number."""
-    last = events.groupBy("seed", "task").agg(F.max_by(F.struct("submitted", "job_state", "has_finish"), F.struct("ts", "event_id")).alias("e"))
-    return last.select("seed", "task", task_state(F.col("e.submitted"), F.col("e.job_state"), F.col("e.has_finish")).alias("state"))
+    said = [c for c in ("submitted", "job_state", "has_finish", "crash_recorded", "force_cancelled") if c in events.columns]
+    last = events.groupBy("seed", "task").agg(F.max_by(F.struct(*said), F.struct("ts", "event_id")).alias("e"))
+    return last.select("seed", "task", _event_state(last, "e.").alias("state"))
 
 
 def task_table(scenes: DataFrame, frames: int, block: int, cameras: int) -> DataFrame:
@@ -75,27 +93,35 @@ def to_launch(candidates: DataFrame, slots: int, stuck_limit: int, disk_share: f
     return held.orderBy("seed", "step", "task").limit(slots)
 
 
-def streamed_states(events: DataFrame) -> DataFrame:
-    """The state of each (seed, task) each time it changes, from a stream of events (seed, task, ts, submitted, job_state, has_finish).
+def streamed_states(events: DataFrame, forget_after_ms: int = 7 * 86_400_000) -> DataFrame:
+    """The state of each (seed, task) each time it changes, from a stream of events (seed, task, ts, submitted, job_state, has_finish, ...).
 
-    Custom state: the last state and its time, so that late events don't turn a task back.
+    Custom state: the last state and the time of the last event, so that late events don't turn a task back. A task
+    without events for ``forget_after_ms`` of processing time is forgotten, so the state doesn't grow for ever.
     """
     kind = "seed string, task string, state string, ts timestamp"
 
     def step(key, tables: Iterator[pd.DataFrame], held):
+        if held.hasTimedOut:
+            held.remove()
+            return
         state, at = held.get if held.exists else ("not_queued", pd.Timestamp(0).value)
         out = []
         for t in tables:
             for r in t.sort_values("ts").itertuples():
-                if r.ts.value >= at and r.state != state:
-                    state, at = r.state, r.ts.value
+                if r.ts.value < at:
+                    continue
+                at = r.ts.value
+                if r.state != state:
+                    state = r.state
                     out.append((*key, state, r.ts))
         held.update((state, at))
+        held.setTimeoutDuration(forget_after_ms)
         if out:
             yield pd.DataFrame(out, columns=["seed", "task", "state", "ts"])
 
-    rows = events.select("seed", "task", F.col("ts").cast("timestamp").alias("ts"), task_state(F.col("submitted"), F.col("job_state"), F.col("has_finish")).alias("state"))
-    return rows.groupBy("seed", "task").applyInPandasWithState(step, kind, "state string, at bigint", "append", "NoTimeout")
+    rows = events.select("seed", "task", F.col("ts").cast("timestamp").alias("ts"), _event_state(events).alias("state"))
+    return rows.groupBy("seed", "task").applyInPandasWithState(step, kind, "state string, at bigint", "append", "ProcessingTimeTimeout")
 
 
 def text_stream(spark: SparkSession, path: str) -> DataFrame:

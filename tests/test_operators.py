@@ -23,15 +23,16 @@ def one(spark, **columns):
 def test_scalar_functions(spark):
     r = one(
         spark, clock=S.clock_seconds(F.lit("1 day, 2:03:04")), days=S.clock_seconds(F.lit("2-01:00:00")), none=S.clock_seconds(F.lit("x")), text=S.clock_text(F.lit(3725)), room=S.room_name(F.lit("living-room_0/1")),
-        asset=S.asset_name(F.lit("Chair:Factory(12).spawn(3)")), tres=S.resource_map(F.lit("cpu=4,mem=24G")), mem=S.memory_gb(F.lit("2048M")), empty=S.memory_gb(F.lit("")), size=S.sizeof_text(F.lit(2048)),
+        asset=S.asset_name(F.lit("ChairFactory(12).spawn_asset(3)")), other=S.asset_name(F.lit("Chair:12")), late=S.clock_text(F.lit(360000.9)), tres=S.resource_map(F.lit("cpu=4,mem=24G")), mem=S.memory_gb(F.lit("2048M")), kilo=S.memory_gb(F.lit("3000000K")), bare=S.memory_gb(F.lit("7")), empty=S.memory_gb(F.lit("")), size=S.sizeof_text(F.lit(2048)), small=S.sizeof_text(F.lit(-5)), huge=S.sizeof_text(F.lit(3.5e15)), more=S.sizeof_text(F.lit(2.0**81)), snake=S.snake_case(F.lit("rooms/fooBAR")), snakes=S.snake_case(F.lit("DiningTableLamp")),
         even=S.round_to_nearest(F.lit(2.5), 1), lit=S.python_literal(F.lit("['a', 'b']"), "array<string>"), wrap=S.wrapped(F.lit(370.0), F.lit(0.0), F.lit(360.0)), hexed=S.seed_of(F.lit("ff")), decay=S.linear_decay(F.lit(5), 1.0, 0.0, 0, 10),
         quoted=S.quoted_override(F.lit("a.b=word")), number=S.quoted_override(F.lit("a=12")), lin=S.linvec((F.lit(2.0), [1.0, 0.0]), (F.lit(3.0), [0.0, 1.0])), hash=S.int_hash(F.lit("a"), F.lit(1)),
     )
     import hashlib
 
-    assert (r.clock, r.days, r.none, r.text) == (93784, 176400, None, "1:02:05")
-    assert r.room.asDict() == {"type": "living-room", "level": 0, "number": 1} and r.asset.factory == "Factory" and r.asset.seed == 12
-    assert r.tres == {"cpu": "4", "mem": "24G"} and (r.mem, r.empty, r.size, r.even) == (2.0, None, "2.0KiB", 2)
+    assert (r.clock, r.days, r.none, r.text) == (93784, 176400, None, "01:02:05") and r.late == "100:00:00"
+    assert r.room.asDict() == {"type": "living-room", "level": 0, "number": 1} and tuple(r.asset) == ("ChairFactory", 12, "asset", 3) and tuple(r.other) == (None,) * 4
+    assert r.tres == {"cpu": "4", "mem": "24G"} and (r.mem, r.kilo, r.bare, r.empty, r.size, r.even) == (2.048, 3.0, None, None, "2.0 KiB", 2)
+    assert (r.small, r.huge, r.more, r.snake, r.snakes) == ("-5.0 B", "3.1 PiB", "2.0YiB", "foobar", "dining_table_lamp")
     assert r.lit == ["a", "b"] and r.wrap == 10 and r.hexed == 255 and r.decay == 0.5 and r.quoted == 'a.b="word"' and r.number == "a=12" and r.lin == [2.0, 3.0]
     assert r.hash == int(hashlib.md5(b"a1").hexdigest(), 16) % (2**32 - 1)
 
@@ -136,10 +137,32 @@ def test_ancestors_of_a_deep_hierarchy(spark):
     assert got == {(a, b): b - a for a in range(24) for b in range(a + 1, 24)}
 
 
+def rotation_score(points):
+    """The mean of both asymmetries, vector by vector."""
+    n, cx, cy = len(points), sum(p[0] for p in points) / len(points), sum(p[1] for p in points) / len(points)
+    own = sorted(((complex(x - cx, y - cy), complex(math.cos(a), math.sin(a))) for x, y, a in points), key=lambda p: math.atan2(p[0].imag, p[0].real))
+    far, out = max(abs(p) for p, _ in own), 0.0
+    for vectors in ([p / far for p, _ in own], [h for _, h in own]):
+        turn = [complex(math.cos(2 * math.pi * k / n), math.sin(2 * math.pi * k / n)) for k in range(n)]
+        q = sum(v / t for v, t in zip(vectors, turn, strict=True)) / n
+        out += sum(abs(q * t - v) ** 2 for v, t in zip(vectors, turn, strict=True)) / n / 2
+    return out
+
+
 def test_windows(spark):
     tasks = spark.createDataFrame([(1, 1, "succeeded", None), (1, 2, "failed", "prev_succeeded"), (1, 3, "x", "prev_failed"), (1, 4, "x", "prev_succeeded")], "s int, n int, state string, cond string")
     got = {r.n: (r.may_run, r.fatal) for r in W.sequential_gate(tasks, "s", "n", "state", "cond").collect()}
-    assert got == {1: (True, False), 2: (True, False), 3: (True, False), 4: (False, False)}
+    assert got == {1: (True, True), 2: (True, False), 3: (True, True), 4: (False, True)}
+    asks = {"s": "prev_succeeded", "f": "prev_failed", "r": "prev_redundant", "-": None}
+    results = {"+": "succeeded", "x": "failed", ".": None}
+    for program, outcomes, want in [
+        ("sfs", "+++", "101"),  # what asks for a failure is skipped, and the task after it sees the state before
+        ("sfs", "x+.", "111"), ("sffs", "xx+.", "1111"), ("sffs", "x+..", "1101"), ("s-s", "+x.", "110"),
+        ("srs", "x+.", "111"), ("srs", ".+.", "111"), ("srr", "xx.", "111"), ("ss r".replace(" ", ""), "x..", "100"), ("sfrs", "+.x.", "1010"), ("sfr", "...", "101"),
+    ]:
+        rows = [(1, n, results[o], asks[c]) for n, (c, o) in enumerate(zip(program, outcomes, strict=True))]
+        ran = W.sequential_gate(spark.createDataFrame(rows, "s int, n int, state string, cond string"), "s", "n", "state", "cond").orderBy("n").collect()
+        assert "".join(str(int(r.may_run)) for r in ran) == want, (program, outcomes)
     series = spark.createDataFrame([(0, 0.0), (1, 10.0), (2, 30.0)], "k int, x double")
     assert W.inverse_interpolated(series, "k", "x", 20.0).first().place == 1.5
     keys = spark.createDataFrame([(1, 0.0, 0.0, "LINEAR"), (1, 2.0, 4.0, "CONSTANT"), (1, 3.0, 9.0, "LINEAR")], "g int, t double, v double, mode string")
@@ -147,6 +170,9 @@ def test_windows(spark):
     assert W.bezier_value(0, 0, (1 / 3, 1 / 3), (2 / 3, 2 / 3), 1, 1, 0.25) == pytest.approx(0.25)
     ring = spark.createDataFrame([(1, math.cos(k * math.pi / 2), math.sin(k * math.pi / 2), k * math.pi / 2) for k in range(4)], "g int, x double, y double, a double")
     assert W.rotational_asymmetry(W.by_angle(ring, ["g"]), ["g"], "a").first().asymmetry == pytest.approx(0, abs=1e-6)
+    pts = [(0.0, 0.0, 0.3), (2.0, 0.5, 1.0), (1.5, 3.0, -2.0), (-1.0, 2.0, 0.0), (0.5, -1.0, 2.5)]
+    got = W.rotational_asymmetry(W.by_angle(spark.createDataFrame([(1, *p) for p in pts], "g int, x double, y double, a double"), ["g"]), ["g"], "a").first().asymmetry
+    assert got == pytest.approx(rotation_score(pts), abs=1e-8)
     line = spark.createDataFrame([(1, "c", 2.0, 2.1), (1, "a", 0.0, 0.0), (1, "b", 1.0, 0.9)], "g int, name string, x double, y double")
     assert {(r.name, r.next_name) for r in W.principal_order(line, ["g"], "name").collect()} in ({("a", "b"), ("b", "c"), ("c", None)}, {("c", "b"), ("b", "a"), ("a", None)})
     values = spark.createDataFrame([("a", 0.0), ("b", 3.0), ("z", 7.0)], "node string, value double")
@@ -154,7 +180,11 @@ def test_windows(spark):
     assert out["a"] == pytest.approx(1.5) and out["b"] == pytest.approx(1.5) and out["z"] == 7
     capped = W.capped_launch(spark.createDataFrame([(k, 1 if k < 4 else 2, k == 0) for k in range(6)], "k int, g int, stuck boolean"), "g", "k", 2, "stuck")
     assert sorted(r.k for r in capped.collect()) == [1, 4, 5]
-    assert [r.n for r in W.bound_order(spark.createDataFrame([(1, 5, 9), (2, 0, 9), (3, 0, 3)], "n int, low int, high int").withColumn("c", F.col("n")), "low", "high", "c").collect()] == [1, 2]
+    assert [r.n for r in W.bound_order(spark.createDataFrame([(1, 5, 9), (2, 0, 9), (3, 0, 3)], "n int, low int, high int").withColumn("c", F.col("n")), "low", "high", "c").collect()] == [1, 2, 3]
+    bounds = spark.createDataFrame([(1, 5, 9, 4), (2, 0, 3, 4), (3, None, 3, 3), (4, 5, None, 9), (5, None, None, 0)], "n int, low int, high int, c int")
+    assert [r.n for r in W.bound_order(bounds, "low", "high", "c").collect()][0] == 1 and {r.n for r in W.bound_order(bounds, "low", "high", "c").collect()} == {1, 3, 4, 5}
+    back = [r.n for r in W.bound_order(bounds, "low", "high", "c", reverse=True).collect()]
+    assert back[0] == 2 and set(back) == {2, 3, 4, 5}
 
 
 def test_aggregates(spark):
@@ -163,9 +193,11 @@ def test_aggregates(spark):
     assert got["a", None, 1] == 2 and got["a", "x", 0] == 1
     low, high = A.binomial_interval(30, 100, 0.01)
     assert 0.17 < low < 0.22 and 0.40 < high < 0.44 and A.binomial_interval(0, 10)[0] == 0
-    assert A.control_state(100, 3, 50, 0.1) == 7 and A.control_state(100, 30, 50, 0.1) == 0
+    assert A.control_state(3, 50, 10.0, 100.0) == (5, 2) and A.control_state(5, 50, 10.0, 100.0) == (5, 0) and A.control_state(0, 50, 500.0, 100.0) == (50, 50) and A.control_state(1, 7, 0.0, 0.0) == (7, 6)
     with pytest.raises(ValueError):
-        A.control_state(10, 60, 50, 1.0)
+        A.control_state(6, 50, 10.0, 100.0)
+    below = spark.createDataFrame([(-0.5,), (0.5,), (-1.5,)], "x double").withColumn("g", F.lit(1))
+    assert A.grid_line_count(below, ["g"], F.col("x"), 1.0).first().lines == 2  # towards zero
     faces = spark.createDataFrame([(0, [0, 1, 2])], "face int, corners array<int>")
     verts = spark.createDataFrame([(0, 1.0), (1, 2.0), (2, 6.0)], "vertex int, value double")
     assert A.face_values(faces, verts).first()[1:] == (3.0, 6.0)
@@ -220,8 +252,10 @@ def test_geometry(spark):
 
 def test_annealing_and_moves():
     schedule = Schedule(steps=60)
-    assert schedule.temperature(0) == 3 and schedule.temperature(59) == pytest.approx(0.001)
-    assert schedule.accepts(0, (1, 5), (0, 9), 0.9) and not schedule.accepts(0, (0, 1), (1, 0), 0.0) and not schedule.accepts(59, (0, 1), (0, 2), 0.0)
+    assert schedule.temperature(0) == 3 and schedule.temperature(51) == pytest.approx(0.001) and schedule.temperature(59) == 0.001
+    assert schedule.temperature(17) == pytest.approx(3 * (0.001 / 3) ** (17 / 51))
+    assert schedule.accepts(0, (1, 5), (0, 9), 0.9) and not schedule.accepts(0, (0, 1), (1, 0), 0.0)
+    assert schedule.accepts(59, (0, 1), (0, 1.0005), 0.5) and not schedule.accepts(59, (0, 1), (0, 2), 0.5)  # Metropolis to the end
     search = Annealing(schedule, lambda s, k: {"up": s + 1, "down": s - 1}, lambda s, m: {k: (0.0, float(v * v)) for k, v in m.items()}, lambda s, c: c)
     best, scores = search.run(9, (0.0, 81.0))
     assert best == 0 and scores == (0.0, 0.0) and len(search.log) == 60

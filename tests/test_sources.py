@@ -17,15 +17,34 @@ def raw(spark, *lines):
 
 
 def test_logs(spark):
-    out = logs.crashes(raw(spark, "[01-02 03:04] /logs/a.err 123 fine - out of memory (node n7)", "[x] /logs/b.err 9 coarse - ", "nothing here")).collect()
-    assert [(r.job_id, r.stage, r.reason, r.node) for r in out] == [("123", "fine", "out of memory", "n7"), ("9", "coarse", None, None)]
+    summary = raw(
+        spark, """2024-01-02 03:04:05 /runs/a/7f3a/logs/finebig_0_0.err reason="out of memory" node='node7'""",
+        "seed crash /runs/a/12/logs/coarse.err reason='it broke' node='node1'", "nothing here",
+    )
+    scripts = spark.createDataFrame([("/runs/a/7f3a", "#!/bin/sh\nrun --task coarse -g plain -p x\nrun --task finebig -g desert simple -p y")], "folder string, text string")
+    out = {r.job_id: r for r in logs.crashes(summary, scripts).collect()}
+    assert {k: (r.log_path, r.stage, r.reason, r.node) for k, r in out.items()} == {
+        "7f3a": ("/runs/a/7f3a/logs/finebig_0_0.err", "finebig", "out of memory", "node7"), "12": ("/runs/a/12/logs/coarse.err", "coarse", "it broke", "node1"),
+    }
+    assert (out["7f3a"].configs, out["7f3a"].scenetype, out["12"].configs) == (" desert simple ", "desert", None)
     times = logs.stage_times(raw(spark, "[t] [INFO] | [coarse] finished in 0:01:05", "[t] [INFO] | [tiny] finished in 0:00:00.4", "[t] [INFO] | [long] finished in 1 day, 2:00:00"))
     assert {r.stage: r.seconds for r in times.collect()} == {"coarse": 65, "long": 93600}
     assert [r.seconds for r in logs.chunk_times(raw(spark, "a 01h:02m:03s b 00h:00m:09s")).orderBy("place").collect()] == [3723, 9]
-    jobs = logs.jobs(raw(spark, "12 seed_1 cpu=4,mem=24G,gres/gpu=1 01:00:00 COMPLETED n1 2024-01-01T00:00:00 2048M", "13 seed_2 cpu=2 00:00:10 FAILED n2 2024-01-01T00:00:00", "bad"))
-    assert [(r.job_id, r.elapsed, r.cpus, r.gpus, r.mem) for r in jobs.collect()] == [(12, 3600, 4, 1, 2.0), (13, 10, 2, None, None)]
-    assert logs.jobs(raw(spark, "5|a|1-00:00:01|DONE|cpu=1|3G"), "piped").first().elapsed == 86401 and logs.jobs(raw(spark, "5 a FAILED 0:1:1"), "short").first().status == "FAILED"
-    assert logs.pending(raw(spark, "1 abc PENDING", "2 xbc PENDING", "3 abd RUNNING"), "ab").count() == 1
+    lines = raw(
+        spark, "12   run_ab12_coarse  billing=4,cpu=4,gpu=1,mem=24G,node=1   3600  COMPLETED  node012  2024-01-01T00:00:00   ", "12.0  python   cpu=4,mem=24G  3600  COMPLETED  node012  2024-01-01T00:00:00  2048M",
+        "13  run_cd34_fine  cpu=2,mem=8G  10  OUT_OF_MEMORY  node3  2024-01-01T00:00:00", "14  pending  cpu=2,mem=8G  10  PENDING  None  Unknown", "bad",
+    )
+    got = {r.job_id: r for r in logs.jobs(lines).collect()}
+    assert {k: (r.elapsed, r.cpus, r.gpus, r.req_memory, r.status) for k, r in got.items()} == {12: (3600, 4, 1, "24G", "COMPLETED"), 13: (10, 2, 0, "8G", "OUT_OF_MEMORY")}
+    assert str(got[12].ended) == "2024-01-01 01:00:00" and [r.job_id for r in logs.jobs(lines, "raw_letters").collect()] == [12]
+    assert [tuple(r) for r in logs.job_memory(lines).collect()] == [(12, 2.048)]
+    done = raw(spark, "5  run_AB_render  01:02:03  billing=8,cpu=8,gres/gpu:a100=2,gres/gpu=2,mem=48G,node=1  COMPLETED  ", "6  run_CD_fine  00:00:10  cpu=4,mem=24G,node=1  COMPLETED", "7  run_x  00:00:10  cpu=4,mem=24G,node=1  FAILED", "5.0  python  1500000K  01:02:03  COMPLETED ")
+    assert [(r.job_id, r.elapsed, r.cpus, r.gpu, r.gpus) for r in logs.jobs(done, "completed").orderBy("job_id").collect()] == [(5, 3723, 8, "a100", 2), (6, 10, 4, None, None)]
+    assert [tuple(r) for r in logs.job_memory(done, "completed").collect()] == [(5, 1.5)]
+    groups = spark.createDataFrame([("node012", "gpu")], "node string, grp string")
+    joined = logs.with_jobs(spark.createDataFrame([(12, "coarse", "node012"), (99, "fine", "node4")], "job_id long, stage string, node string"), logs.jobs(lines).join(logs.job_memory(lines), "job_id", "left"), groups)
+    assert {(r.job_id, r.mem, r.elapsed, r.grp) for r in joined.collect()} == {(12, 2.048, 3600, "gpu"), (99, None, None, None)}
+    assert logs.pending(raw(spark, "1 abc   (Resources)", "2 xbc (Priority)", "3 abd node12"), "ab").count() == 1
     assert {(r.node, r.cpus) for r in logs.nodes(raw(spark, "n1 gpu 3/1/0/4", "n1 all 3/1/0/4")).collect()} == {("n1", 4)}
     assert {(r.key, r.value) for r in logs.key_values(raw(spark, "a: 3", "b:x:y", "c")).collect()} == {("a", 3.0)}
     r = raw(spark, "fine\nFooError: bad\nBarError: skip me\n").select(logs.error_lines(F.col("raw"), ["skip"]).alias("e")).first()
@@ -33,9 +52,13 @@ def test_logs(spark):
 
 
 def test_suffixes(spark):
-    rows = spark.createDataFrame([("1_0_0048_2",), ("1",), ("x_1_2_3_4",), ("a_b",), ("1_2_3_4_5_6",)], "s string").select("s", frames.parsed_suffix(F.col("s")).alias("p"))
+    names = ["1_0_0048_2", "1", "Image_1_2_3_4.png", "a_b", "_1_2_0003_4_", "_0_0_0001_0.tar.gz", "", "1_2_3"]
+    rows = spark.createDataFrame([(n,) for n in names], "s string").select("s", frames.parsed_suffix(F.col("s")).alias("p"))
     got = {r.s: tuple(r.p) if r.p else None for r in rows.collect()}
-    assert got == {"1_0_0048_2": (1, 0, 48, 2), "1": (1, 0, 0, 0), "x_1_2_3_4": (1, 2, 3, 4), "a_b": None, "1_2_3_4_5_6": None}
+    assert got == dict(zip(names, [(1, 0, 48, 2), None, (1, 2, 3, 4), None, (1, 2, 3, 4), (0, 0, 1, 0), None, None], strict=True))
+    for bad in ("1_2_3_4_5_6", "a_b_c_d"):
+        with pytest.raises(Exception, match="no suffix|CAST_INVALID_INPUT"):
+            spark.range(1).select(frames.parsed_suffix(F.lit(bad))).collect()
     assert spark.range(1).select(frames.formatted_suffix(F.lit(1), F.lit(0), F.lit(48), F.lit(2))).first()[0] == "1_0_0048_2"
 
 
@@ -108,6 +131,12 @@ def test_tasks(spark):
     assert {(r.seed, r.state) for r in states.collect()} == {("s1", "succeeded"), ("s2", "failed")}
     assert {(r.seed, r.phase) for r in tasks.runnable(plan, states).collect()} == {("s1", "populate")}
     assert {r.seed: r.scene_state for r in tasks.scene_states(plan, states).collect()} == {"s1": "not_done", "s2": "crashed"}
+    said = spark.createDataFrame(
+        [(False, None, True, None, None), (True, "RUNNING", True, True, True), (True, "RUNNING", True, None, True), (True, "MARK_AS_SUCCEEDED", False, None, None), (True, "REQUEUED", True, None, None), (True, "RUNNING", True, None, None), (True, "CANCELLED", False, None, None), (True, "TIMEOUT", True, None, None)],
+        "s boolean, j string, f boolean, c boolean, k boolean",
+    )
+    got = [r[0] for r in said.select(tasks.task_state(*map(F.col, "sjfck"))).collect()]
+    assert got == ["not_queued", "failed", "cancelled", "succeeded", "queued", "running", "failed", "succeeded"]
     assert tasks.to_launch(plan, 3, 5, 0.5).count() == 3 and tasks.to_launch(plan, 3, 5, 0.995).count() == 0
 
 
@@ -116,6 +145,13 @@ def test_streams(spark, tmp_path):
     t = lambda n: __import__("datetime").datetime(2024, 1, 1, 0, n)
     rows = [("s", "a", t(1), True, "PENDING", False), ("s", "a", t(2), True, "RUNNING", False), ("s", "a", t(3), True, "COMPLETED", True), ("s", "b", t(1), False, None, False)]
     spark.createDataFrame(rows, kind).coalesce(1).write.parquet(str(tmp_path / "in"))
+    # an event in a later batch that is older than the last one, which changed nothing, doesn't turn a task back
+    for n, (job, at) in enumerate((("RUNNING", 10), ("RUNNING", 20), ("TIMEOUT", 15))):
+        spark.createDataFrame([("s", "c", t(at), True, job, False)], kind).coalesce(1).write.parquet(str(tmp_path / f"later{n}"))
+    late = spark.readStream.schema(kind).option("maxFilesPerTrigger", 1).option("latestFirst", False).parquet(str(tmp_path / "later*"))
+    q = tasks.streamed_states(late).writeStream.format("memory").queryName("late").option("checkpointLocation", str(tmp_path / "ck0")).outputMode("append").trigger(availableNow=True).start()
+    q.awaitTermination(120)
+    assert [r.state for r in spark.table("late").collect()] == ["running"]
     stream = spark.readStream.schema(kind).parquet(str(tmp_path / "in"))
     q = tasks.streamed_states(stream).writeStream.format("memory").queryName("states").option("checkpointLocation", str(tmp_path / "ck")).outputMode("append").trigger(availableNow=True).start()
     q.awaitTermination(120)
