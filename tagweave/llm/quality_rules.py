@@ -9,10 +9,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tagweave.llm.common import SPACE, ascii_lower, computed_once, whole_text
+from tagweave.llm.common import SPACE, computed_once, whole_text
 
 #: Phrases that make a short line boilerplate, in English, German, French and Spanish: patterns on which
-#: Java and RE2 agree, over lines with A-Z lower-cased.
+#: Java and RE2 agree, over lower-cased lines.
 BOILERPLATE = [
     "all rights reserved", "cookie policy", "privacy policy", "terms of (use|service)", "terms (and|&) conditions", "click here", "accept (all )?cookies",
     "(this|our) (web)?site uses cookies", "subscribe to our newsletter", "sign up for our newsletter", "enable javascript", "javascript is disabled", "lorem ipsum",
@@ -77,23 +77,29 @@ def _with_repeats(rows: DataFrame) -> DataFrame:
     return rows.drop("windows", "repeats", "packed", "close", "whole", "pairs", "places")
 
 
-def failing_line(line: Column) -> Column:
-    """Whether a line is to go.
+def failing_lines(lines: Column) -> Column:
+    """Those of an array of lines that are to go.
 
     Navigation: cells between bars, or what menus say alone. Punctuation: signs make up a quarter of it or all, or a few
     words have no mark at their end. Boilerplate: a phrase that says nothing of the text, in a short line.
+
+    What several rules ask of a line is worked out once; most lines have no signs and many words, and are done with that.
     """
-    low = F.trim(ascii_lower(F.regexp_replace(line, f"[{SPACE}]+", " ")))
-    shape = F.length(F.regexp_replace(line, f"[{SPACE}]+", ""))
-    bars = F.length(F.regexp_replace(line, f"[^{BARS}]+", ""))
-    words = F.regexp_count(line, F.lit(f"[^{SPACE}]+"))
-    odd = F.length(F.regexp_replace(line, f"[^{ODD}]+", ""))
-    navigation = ((bars >= 2) & (bars * 5 >= words)) | ((words <= TINY) & low.rlike(f"^({'|'.join(MENU)})$"))
-    signs_only = (shape > 0) & ~line.rlike(r"[A-Za-z0-9\x{80}-\x{10FFFF}]")
-    no_end = (words > 0) & (words <= TINY) & ~line.rlike(f"[{ENDS}][{SPACE}]*$")
-    punctuation = ((odd * 4 >= shape) & (shape > 0)) | signs_only | no_end
-    boilerplate = (words <= SHORT) & low.rlike("|".join(BOILERPLATE))
-    return navigation | punctuation | boilerplate
+    signs = F.lit(f"[{BARS}{ODD}]")
+    seen = F.transform(lines, lambda x: F.struct(x.alias("line"), F.regexp_count(x, F.lit(f"[^{SPACE}]+")).alias("words"), F.rlike(x, signs).alias("signs")))
+
+    def fails(x: Column) -> Column:
+        line, words = x["line"], x["words"]
+        only = lambda kept: F.length(F.regexp_replace(line, f"[^{kept}]+", ""))
+        bars, shape = only(BARS), F.length(F.regexp_replace(line, f"[{SPACE}]+", ""))
+        by_signs = x["signs"] & (((bars >= 2) & (bars * 5 >= words)) | ((only(ODD) * 4 >= shape) & (shape > 0)))
+        bare = (words > 0) & ~line.rlike(r"[A-Za-z0-9\x{80}-\x{10FFFF}]")
+        low = F.lower(line)
+        no_end = (words > 0) & ~line.rlike(f"[{ENDS}][{SPACE}]*$")
+        tiny = (words <= TINY) & (no_end | low.rlike(f"^[{SPACE}]*({'|'.join(MENU)})[{SPACE}]*$"))
+        return by_signs | bare | tiny | ((words <= SHORT) & low.rlike("|".join(BOILERPLATE)))
+
+    return F.transform(F.filter(seen, fails), lambda x: x["line"])
 
 
 def judge(
@@ -125,7 +131,7 @@ def judge(
         F.length(F.array_join("words", "")).cast("long").alias("word_chars"),
         F.length(F.regexp_replace("body", r"[^#*$%&|<>]+", "")).cast("long").alias("n_symbols"),
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
-        F.filter("lines", failing_line).alias("removed"), *([F.col("body")] if cleaned else []),
+        failing_lines(F.col("lines")).alias("removed"), *([F.col("body")] if cleaned else []),
     )
     rows = computed_once(
         rows, n_lines_removed=F.size("removed").cast("long"),

@@ -102,12 +102,12 @@ SELECT doc_id, coalesce(n_assign, 0)::BIGINT AS n_assign, coalesce(n_access, 0):
 FROM d LEFT JOIN g USING (doc_id)
 """
 
-_LOW = r"trim(translate(regexp_replace(l, '[\x20\x09-\x0D]+', ' ', 'g'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'))"
+_LOW = "lower(l)"
 _BARS = f"length(regexp_replace(l, '[^{quality_rules.BARS}]+', '', 'g'))"
 _COUNT = f"len(regexp_extract_all(l, '{WORD}'))"
 _FAILING = rf"""
            ({_BARS} >= 2 AND {_BARS} * 5 >= {_COUNT})
-           OR ({_COUNT} <= {quality_rules.TINY} AND regexp_matches({_LOW}, '^({"|".join(quality_rules.MENU)})$'))
+           OR ({_COUNT} <= {quality_rules.TINY} AND regexp_matches({_LOW}, '^[\x20\x09-\x0D]*({"|".join(quality_rules.MENU)})[\x20\x09-\x0D]*$'))
            OR length(regexp_replace(l, '[^{quality_rules.ODD}]+', '', 'g')) * 4 >= length(regexp_replace(l, '[\x20\x09-\x0D]+', '', 'g'))
            OR NOT regexp_matches(l, '[A-Za-z0-9\x{{80}}-\x{{10FFFF}}]')
            OR ({_COUNT} <= {quality_rules.TINY} AND NOT regexp_matches(l, '[{_quoted(quality_rules.ENDS)}][\x20\x09-\x0D]*$'))

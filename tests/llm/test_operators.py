@@ -422,8 +422,8 @@ def test_quality_keeps_clean_and_drops_junk(spark):
     assert {r.doc_id: r.cleaned for r in quality_rules.judge(rows, cleaned=True).collect()} == {1: clean, 2: "", 3: "", 4: clean}
     lines = ["A word here.", "Home", "home | news | mail", "*** --- ***", "no mark", "Datenschutzerklärung lesen.", "Aviso Legal y Términos de uso.", "Politique de confidentialité de ce site.",
              "We read the privacy policy of the firm and wrote a long line of text on what it says.", "Nächste Seite folgt bald.", "«", "日本語の文。", "Accueil", "READ MORE"]
-    got = spark.createDataFrame([(x,) for x in lines], "l string").select("l", quality_rules.failing_line(F.col("l")).alias("f")).collect()
-    assert [r.l for r in got if not r.f] == [lines[0], lines[8], lines[9], lines[11]]
+    gone = spark.createDataFrame([(lines,)], "l array<string>").select(quality_rules.failing_lines(F.col("l")).alias("gone")).first().gone
+    assert [x for x in lines if x not in gone] == [lines[0], lines[8], lines[9], lines[11]]
 
 
 def test_license_scans(docs, empty, spark):
