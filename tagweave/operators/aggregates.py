@@ -7,6 +7,8 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tagweave.operators.windows import numbered
+
 
 def value_counts(rows: DataFrame, value: Column, name: str = "value", within: list[str] = ()) -> DataFrame:
     """How often each value stands, within groups if given."""
@@ -14,10 +16,47 @@ def value_counts(rows: DataFrame, value: Column, name: str = "value", within: li
 
 
 def quantiles(rows: DataFrame, by: list[str], x: Column, digits: int = 6) -> DataFrame:
-    """n, mean, median, p90, p95 and p99 by linear interpolation, all rounded."""
-    out = rows.groupBy(*by).agg(F.count(x).alias("n"), F.avg(x).alias("mean"), F.percentile(x, F.array(*map(F.lit, (0.5, 0.9, 0.95, 0.99)))).alias("q"))
-    named = [F.round(F.get("q", F.lit(k)), digits).alias(c) for k, c in enumerate(["median", "p90", "p95", "p99"])]
-    return out.select(*by, "n", F.round("mean", digits).alias("mean"), *named)
+    """n, mean, median, p90, p95 and p99 by linear interpolation, all rounded; a group without values has none.
+
+    Values are counted by group and value first, and the counts ranked in ranges of (group, value): a rank is a group's
+    running count, so no task holds a group. Each quantile lies between two ranks, whose values are looked up.
+    """
+    wanted = {"median": 0.5, "p90": 0.9, "p95": 0.95, "p99": 0.99}
+    counted = rows.select(*by, x.alias("_x")).groupBy(*by, "_x").agg(F.count("*").alias("_c"))
+    totals = counted.where("_x is not null").groupBy(*by).agg(F.sum("_c").alias("_n"), (F.sum(F.col("_x") * F.col("_c")) / F.sum("_c")).alias("_mean"))
+    ranked = running(counted.where("_x is not null"), [*by, "_x"], "_c", "_upto")
+    first = running_start(ranked, by)
+    ranked = ranked.join(first, by).join(totals, by) if by else ranked.crossJoin(first).crossJoin(totals)  # one row
+    ranked = ranked.withColumn("_high", F.col("_upto") - F.col("_base"))  # ranks _high - _c to _high - 1 have this value
+    out = []
+    for q in wanted.values():
+        at = (F.col("_n") - 1) * F.lit(q)
+        down = F.floor(at)
+        held = lambda k: (k >= F.col("_high") - F.col("_c")) & (k < F.col("_high"))
+        low, high = F.max(F.when(held(down), F.col("_x"))), F.max(F.when(held(F.least(down + 1, F.col("_n") - 1)), F.col("_x")))
+        out.append(low + (high - low) * F.max(at - down))
+    found = ranked.groupBy(*by).agg(F.max("_n").alias("n"), F.round(F.max("_mean"), digits).alias("mean"), *[F.round(v, digits).alias(c) for c, v in zip(wanted, out, strict=True)])
+    empty = counted.select(*by).distinct()
+    return empty.join(found, by, "left").fillna(0, ["n"]) if by else found
+
+
+def running(rows: DataFrame, order: list[str], weight: str, name: str) -> DataFrame:
+    """Add the running sum of ``weight`` in the given order, over all rows: sums within ranges and of the ranges before."""
+    from tagweave.sources.shared import written
+
+    ranges = rows.repartitionByRange(*order).withColumn("_part", F.spark_partition_id())
+    ranges = written(ranges)
+    sums = ranges.groupBy("_part").agg(F.sum(weight).alias("_s"))
+    before = F.coalesce(F.sum("_s").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    starts = sums.select(F.col("_part").alias("_of"), before.alias("_start"))  # a row a range
+    inside = F.sum(weight).over(Window.partitionBy("_part").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0))
+    out = ranges.withColumn("_inside", inside).join(F.broadcast(starts), F.col("_part") == F.col("_of"))
+    return out.select(*rows.columns, (F.col("_inside") + F.col("_start")).alias(name))
+
+
+def running_start(ranked: DataFrame, by: list[str]) -> DataFrame:
+    """Where each group's running count begins."""
+    return ranked.groupBy(*by).agg(F.min(F.col("_upto") - F.col("_c")).alias("_base"))
 
 
 def shares(rows: DataFrame, by: list[str], x: Column, within: list[str] = (), digits: int = 6) -> DataFrame:
@@ -102,12 +141,12 @@ def regrouped(rows: DataFrame, name: Column, x: Column) -> DataFrame:
 
 
 def dictionary_encoded(rows: DataFrame, column: str) -> DataFrame:
-    """Add ``code``, the place of the value among the sorted distinct values, from 0.
+    """Add ``code``, the place of the value among the sorted distinct values, from 0; null for null.
 
-    The codes are worked out on the distinct values and joined back, so no window holds the whole table.
+    The codes are worked out on the distinct values, in ranges, and joined back: no window holds the whole table.
     """
     words = rows.select(F.col(column).alias("word")).where("word is not null").distinct()
-    coded = words.withColumn("code", F.dense_rank().over(Window.orderBy("word")) - 1)
+    coded = numbered(words, ["word"], "code").withColumn("code", F.col("code").cast("int"))
     return rows.join(coded, F.col(column) == F.col("word"), "left").drop("word")
 
 

@@ -114,22 +114,89 @@ def symmetrised(pairs: DataFrame, a: str, b: str) -> DataFrame:
     return pairs.select(a, b).union(pairs.select(F.col(b).alias(a), F.col(a).alias(b))).distinct()
 
 
-def assignments(variables: list[tuple[str, DataFrame, Column | None]], limit: int | None = None) -> DataFrame:
+def with_children(candidates: DataFrame, barred: str = "sem:no-children") -> DataFrame:
+    """Candidates (with ``tags``) that may have children; the tags go, as they are asked no more."""
+    return candidates.where(~F.array_contains("tags", barred)).drop("tags")
+
+
+def assignments(variables: list[tuple[str, DataFrame, Column | None]], limit: int | dict[str, int] | None = None) -> DataFrame:
     """Values for each variable in turn: (name, candidates with a column of that name, condition on the earlier ones).
 
-    With ``limit``, so many candidates for each assignment of the variables before, by their order.
+    With ``limit``, so many candidates for each assignment of the variables before, by their order; a table of limits has
+    one for some of the variables.
     """
     out = None
     for name, rows, on in variables:
+        most = limit.get(name) if isinstance(limit, dict) else limit
         if out is None:
-            out = rows
-            before: list[str] = []
+            out = rows if most is None else rows.orderBy(name).limit(most)
+            continue
+        before = list(out.columns)
+        out = out.join(rows, on) if on is not None else out.crossJoin(rows)
+        if most is not None:
+            w = Window.partitionBy(*before).orderBy(name)
+            out = out.withColumn("_n", F.row_number().over(w)).where(F.col("_n") <= most).drop("_n")
+    return out
+
+
+def relation_assignments(database, wanted: list, planes: DataFrame) -> DataFrame:
+    """Every way to give each wanted (relation, domain) a parent and one of its planes: columns target_K, plane_K.
+
+    Relations that others prove are left out, and those of one kind are put together first. A parent is an entity of the
+    domain; its planes (name, plane, tags) are those with the tags that the relation asks of its parent. A relation
+    without a kind has no parent to look for and is an error.
+    """
+    from tagweave.plans.algebra import Predicate, normalised, satisfied_by
+    from tagweave.plans.compile import Compiler
+    from tagweave.plans.lang import scene
+
+    out = None
+    for k, (relation, domain) in enumerate(normalised([Predicate(*w) for w in wanted])):
+        if relation.kind == "any":
+            raise ValueError(f"a relation of no kind to {domain}")
+        if relation.negated:
+            continue
+        parents = Compiler(database).members(scene().in_domain(domain)).select(F.col("name").alias(f"target_{k}"))
+        there = planes.where(satisfied_by(relation.parent, planes["tags"])).select(F.col("name").alias(f"target_{k}"), F.col("plane").alias(f"plane_{k}"))
+        found = parents.join(there, f"target_{k}")
+        out = found if out is None else out.crossJoin(found)  # all combinations are what is asked for
+    return out
+
+
+def active_flags(database, assignment: dict, objects: DataFrame | None = None) -> DataFrame:
+    """(name, active) of objects for an assignment: ``{"room": (name, domain)}``, ``{"obj": (name, domain)}`` or both.
+
+    An object's ancestors of a type are the first of that type on each way along its relations, or the object itself.
+    It is active if the room is among its ancestors of the room's type, and if no other object is among those of the
+    object's type.
+    """
+    from tagweave.plans.compile import Compiler
+    from tagweave.plans.lang import scene
+    from tagweave.sources.shared import written
+
+    out = (objects if objects is not None else database.objects).select("name").withColumn("active", F.lit(True))
+    steps = database.relations.select(F.col("src").alias("at"), F.col("dst").alias("next"))
+    for variable, (name, domain) in assignment.items():
+        if variable not in ("room", "obj"):
+            raise ValueError(f"no variable of a stage: {variable}")
+        of_type = written(Compiler(database).members(scene().in_domain(domain)).select(F.col("name").alias("at")))
+        front = out.select("name", F.col("name").alias("at"))
+        seen, found = written(front), []
+        front = seen
+        while not front.isEmpty():
+            found.append(front.join(of_type, "at", "left_semi").select("name", F.col("at").alias("ancestor")))
+            on = front.join(of_type, "at", "left_anti").join(steps, "at").select("name", F.col("next").alias("at")).distinct()
+            front = written(on.join(seen, ["name", "at"], "left_anti"))
+            seen = seen.union(front)
+        ancestors = found[0]
+        for more in found[1:]:
+            ancestors = ancestors.union(more)
+        if variable == "room":
+            good = ancestors.where(F.col("ancestor") == name).select("name").distinct().withColumn("_ok", F.lit(True))
+            out = out.join(good, "name", "left").select("name", (F.col("active") & F.coalesce("_ok", F.lit(False))).alias("active"))
         else:
-            before = list(out.columns)
-            out = out.join(rows, on) if on is not None else out.crossJoin(rows)
-        if limit is not None:
-            w = Window.partitionBy(*before).orderBy(name) if before else Window.orderBy(name)
-            out = out.withColumn("_n", F.row_number().over(w)).where(F.col("_n") <= limit).drop("_n")
+            own = ancestors.groupBy("name").agg(F.bool_or(F.col("ancestor") == F.col("name")).alias("_own"))
+            out = out.join(own, "name", "left").select("name", (F.col("active") & F.coalesce("_own", F.lit(True))).alias("active"))
     return out
 
 
@@ -169,20 +236,24 @@ def best_match(left: DataFrame, right: DataFrame, key: str, least: float = 80.0)
     return left.join(best, F.col(key) == F.col("a"), "left").select(*left.columns, F.col("m.b").alias("match"), F.col("m.score").alias("score"))
 
 
-def nearest(points: DataFrame, others: DataFrame, key: str, cell: float, halvings: int = 5, apart: bool = False) -> DataFrame:
-    """Each point's nearest other: exact for distances up to ``cell``; farther ones have none.
+def nearest(points: DataFrame, others: DataFrame, key: str, cell: float, most: float | None = None, apart: bool = False) -> DataFrame:
+    """Each point's nearest other, the one with the smaller key of equally near ones; with ``most``, none that is farther.
 
     Both sides have ``key`` and ``xyz`` (three doubles). ``apart``: the other with the point's own key is left out.
-    The 27 cells of size s around a point hold all others within s. Small cells come first: a point whose nearest is
-    within s is settled, the rest look in cells of twice the size, up to ``cell``.
+    The 27 cells of size s around a point hold all others within s. A point whose nearest is within s is settled; the
+    rest, fewer each time, look in cells of twice the size, until all are settled or the cells are as wide as everything.
     """
     from tagweave.sources.shared import written
 
     around = F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.lit(c).alias("c")) for a in (-1, 0, 1) for b in (-1, 0, 1) for c in (-1, 0, 1)])
     gap = F.sqrt(F.aggregate(F.zip_with("p", "o", lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda s, x: s + x))
-    open_, out = points.select(F.col(key).alias("point"), F.col("xyz").alias("p")), None
-    for n in range(halvings, -1, -1):
-        size = cell / 2**n
+    side = lambda k: F.max(F.get("xyz", F.lit(k))) - F.min(F.get("xyz", F.lit(k)))
+    both = points.select("xyz").union(others.select("xyz"))
+    wide = both.agg(F.sqrt(side(0) * side(0) + side(1) * side(1) + side(2) * side(2))).first()[0] or 0.0
+    open_, found, size = points.select(F.col(key).alias("point"), F.col("xyz").alias("p")), [], cell
+    while True:
+        last = size >= (wide if most is None else min(most, wide))
+        size = most if last and most is not None else size
         at = lambda k: F.floor(F.get("xyz", F.lit(k)) / F.lit(size))  # noqa: B023, E731
         here = open_.withColumn("xyz", F.col("p")).select("point", "p", at(0).alias("i"), at(1).alias("j"), at(2).alias("k"))
         there = others.select(F.col(key).alias("other"), F.col("xyz").alias("o"), at(0).alias("i0"), at(1).alias("j0"), at(2).alias("k0"), F.explode(around).alias("d"))
@@ -190,11 +261,14 @@ def nearest(points: DataFrame, others: DataFrame, key: str, cell: float, halving
         met = here.join(there, ["i", "j", "k"]).withColumn("distance", gap).where(F.col("distance") <= size)
         met = met.where(F.col("point") != F.col("other")) if apart else met
         best = written(met.groupBy("point").agg(F.min(F.struct("distance", "other")).alias("m")))
-        out = best if out is None else out.union(best)
-        if n:
-            open_ = written(open_.join(best, "point", "left_anti"))
-            if open_.isEmpty():
-                break
+        found.append(best)
+        open_ = written(open_.join(best, "point", "left_anti"))
+        if last or open_.isEmpty():
+            break
+        size *= 2
+    out = found[0]
+    for more in found[1:]:
+        out = out.union(more)
     return out.select("point", F.col("m.other").alias("other"), F.col("m.distance").alias("distance"))
 
 

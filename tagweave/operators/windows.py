@@ -13,6 +13,24 @@ def differences(rows: DataFrame, by: list[str], order: list[str], columns: list[
     return rows.withColumns({f"{c}_diff": F.col(c) - F.lag(c).over(w) for c in columns})
 
 
+def numbered(rows: DataFrame, order: list, name: str) -> DataFrame:
+    """Add the rows' places in the given order, from 0: ranges of the order are sorted apart and counted, so no task sees all rows.
+
+    Rows that are equal in ``order`` come in any order. The ranges are written once, as they are drawn by sampling.
+    """
+    from tagweave.sources.shared import written
+
+    if not rows.columns:
+        raise ValueError("rows without columns have no order")
+    ranges = rows.repartitionByRange(*order).sortWithinPartitions(*order)
+    ranges = written(ranges.select("*", F.spark_partition_id().alias("_part"), F.monotonically_increasing_id().alias("_in")))
+    counts = ranges.groupBy("_part").agg(F.count("*").alias("_n"), F.min("_in").alias("_first"))
+    before = F.coalesce(F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    starts = counts.select(F.col("_part").alias("_of"), (before - F.col("_first")).alias("_shift"))  # a row a range
+    out = ranges.join(F.broadcast(starts), F.col("_part") == F.col("_of"))
+    return out.select(*rows.columns, (F.col("_in") + F.col("_shift")).alias(name))
+
+
 def sequential_gate(tasks: DataFrame, by: str, order: str, state: str, condition: str) -> DataFrame:
     """Which tasks of a sequence may run, and whose failure is fatal: one that the next task doesn't ask for.
 
@@ -28,7 +46,7 @@ def sequential_gate(tasks: DataFrame, by: str, order: str, state: str, condition
     rows = tasks.withColumns({"_asks": F.coalesce(condition, F.lit("prev_succeeded")), "_state": F.coalesce(state, F.lit("not_queued"))})
     rows = rows.withColumns({"_run": F.count_if(F.col("_asks") != "prev_failed").over(w), "fatal": F.coalesce(F.lead("_asks").over(w) != "prev_failed", F.lit(True))})
     only_failures = F.coalesce(F.min((F.col("_state") == "failed").cast("int")).over(until("_run")) == 1, F.lit(False))
-    rows = rows.withColumn("_reached", (F.col("_asks") != "prev_failed") | only_failures)
+    rows = rows.withColumn("_reached", (F.col("_asks") != "prev_failed") | ((F.col("_run") > 0) & only_failures))
     before = F.coalesce(F.last(F.when(F.col("_reached"), F.col("_state")), ignorenulls=True).over(until()), F.lit("succeeded"))
     rows = rows.withColumn("_barred", ((F.col("_asks") == "prev_succeeded") & (before != "succeeded")).cast("int"))
     open_ = F.max("_barred").over(w.rowsBetween(Window.unboundedPreceding, 0)) == 0
@@ -46,22 +64,29 @@ def roundrobin(rows: DataFrame, place: str, weights: list[tuple[str, int]]) -> D
 
 
 def lerp_sampled(rows: DataFrame, by: list[str], order: str, x: str, at: DataFrame, place: str) -> DataFrame:
-    """Values of each group's series at fractional places (from 0); beyond the last it stays."""
+    """Values of each group's series at fractional places (from 0); beyond the last it stays.
+
+    ``at`` has one row a place and is the same for all groups: each row of a series meets the places between it and the
+    next by equality, and a group's last row those beyond, so nothing is compared that doesn't meet.
+    """
     w = Window.partitionBy(*by).orderBy(order)
-    series = rows.select(*by, (F.row_number().over(w) - 1).alias("_k"), F.col(x).alias("_x"), F.coalesce(F.lead(x).over(w), F.col(x)).alias("_y"), (F.lead(x).over(w)).isNull().alias("_end"))
-    asked = at.withColumn("_f", F.floor(place))
-    hit = (F.col("_k") == F.col("_f")) | (F.col("_end") & (F.col("_f") > F.col("_k")))
-    out = asked.join(series, hit)
-    return out.select(*by, *at.columns, (F.col("_x") + (F.col("_y") - F.col("_x")) * F.least(F.col(place) - F.col("_k"), F.lit(1.0))).alias("value"))
+    series = rows.select(*by, (F.row_number().over(w) - 1).alias("_k"), F.col(x).alias("_x"), F.coalesce(F.lead(x).over(w), F.col(x)).alias("_y"), F.lead(x).over(w).isNull().alias("_end"))
+    asked = at.withColumn("_f", F.floor(place).cast("int"))
+    within = series.join(asked, F.col("_k") == F.col("_f"))
+    last = series.where("_end")
+    beyond = last.crossJoin(asked).where(F.col("_f") > F.col("_k"))  # a row a group and place: what is asked for
+    value = F.col("_x") + (F.col("_y") - F.col("_x")) * F.least(F.col(place) - F.col("_k"), F.lit(1.0))
+    return within.unionByName(beyond).select(*by, *at.columns, value.alias("value"))
 
 
 def inverse_interpolated(series: DataFrame, order: str, x: str, wanted: float) -> DataFrame:
-    """The fractional place where an ascending series first reaches ``wanted``."""
-    w = Window.partitionBy(F.lit(0)).orderBy(order)
-    rows = series.select((F.row_number().over(w) - 1).alias("k"), F.col(x).alias("x"), F.lag(x).over(w).alias("before"))
-    first = rows.where(F.col("x") >= wanted).agg(F.min(F.struct("k", "x", "before")).alias("m"))
-    step = F.try_divide(F.lit(wanted) - F.col("m.before"), F.col("m.x") - F.col("m.before"))
-    return first.select((F.when(F.col("m.before").isNull(), F.lit(0.0)).otherwise(F.col("m.k") - 1 + step)).alias("place"))
+    """The fractional place where an ascending series first reaches ``wanted``: one row, null if it never does."""
+    rows = numbered(series.select(F.col(order).alias("_order"), F.col(x).alias("_x")), ["_order"], "_k")
+    reached = rows.where(F.col("_x") >= wanted).agg(F.min("_k").alias("_k"), F.min_by("_x", "_k").alias("_x"))
+    before = rows.select((F.col("_k") + 1).alias("_next"), F.col("_x").alias("_before"))
+    step = F.try_divide(F.lit(wanted) - F.col("_before"), F.col("_x") - F.col("_before"))
+    out = reached.join(before, F.col("_k") == F.col("_next"), "left")  # one row meets one
+    return out.select(F.when(F.col("_k") == 0, F.lit(0.0)).otherwise(F.col("_k") - 1 + step).alias("place"))
 
 
 def keyframed(keys: DataFrame, by: list[str], time: str, value: str, mode: str) -> DataFrame:
@@ -153,21 +178,15 @@ def top(rows: DataFrame, order: list, k: int) -> DataFrame:
     return rows.orderBy(*order).limit(k)
 
 
-def split(rows: DataFrame, key: str, parts: list[tuple[str, int]], seed: int = 0, buckets: int = 256) -> DataFrame:
-    """Shuffled parts of exact sizes, the rest nulls. The shuffled order is by md5; its first byte deals the rows into
-    buckets, whose counts give each row's place, so no window holds all rows."""
-    rows = rows.withColumns({"_h": F.md5(F.concat(F.lit(f"{seed}/"), F.col(key).cast("string")))})
-    rows = rows.withColumn("_b", F.conv(F.substring("_h", 1, 2), 16, 10).cast("int"))
-    counts = rows.groupBy("_b").agg(F.count("*").alias("_c"))
-    before = F.coalesce(F.sum("_c").over(Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    counts = counts.select(F.col("_b").alias("_b2"), before.alias("_before"))
-    place = F.row_number().over(Window.partitionBy("_b").orderBy("_h", key)) + F.col("_before")
-    rows = rows.join(F.broadcast(counts), F.col("_b") == F.col("_b2")).withColumn("_place", place)  # as many rows as buckets
+def split(rows: DataFrame, key: str, parts: list[tuple[str, int]], seed: int = 0) -> DataFrame:
+    """Shuffled parts of exact sizes, the rest nulls: places in the order of md5, see ``numbered``."""
+    rows = rows.withColumn("_h", F.md5(F.concat(F.lit(f"{seed}/"), F.col(key).cast("string"))))
+    rows = numbered(rows, ["_h", key], "_place")
     run, out = 0, None
     for name, n in parts:
         run += n
-        out = F.when(F.col("_place") <= run, name) if out is None else out.when(F.col("_place") <= run, name)
-    return rows.withColumn("split", out).drop("_h", "_b", "_b2", "_before", "_place")
+        out = F.when(F.col("_place") < run, name) if out is None else out.when(F.col("_place") < run, name)
+    return rows.withColumn("split", out).drop("_h", "_place")
 
 
 def paged(rows: DataFrame, by: list[str], order: list[str], size: int) -> DataFrame:

@@ -5,21 +5,45 @@ inside quantifiers is worked out for all loop entities at once: its aggregates a
 loop variables that they depend on and left-joined to the quantifier's members, with the values of
 empty sets filled in. Nothing is looped over and no Python runs per row, so Catalyst sees one
 relational plan: semi joins for relations, partial aggregation before every shuffle.
+
+A program is compiled once. Filters by tags are peeled off its sets, so that aggregates of one set
+under different filters become conditional aggregates of one pass; quantifiers over one set get
+one variable and share its members; what is written twice is worked out once.
+
+``register`` adds an implementation for a class of sets or of scalars, in this module or elsewhere.
 """
 
 from __future__ import annotations
 
 import math
-from dataclasses import dataclass
+from collections.abc import Callable
+from dataclasses import dataclass, fields, replace
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tagweave.plans import lang as L
-from tagweave.plans.algebra import SEMANTICS, Domain, Relation, decompose, implied_kinds, satisfied_by, tags
+from tagweave.plans.algebra import SEMANTICS, Domain, Relation, decompose, implied_kinds, satisfied_by
+
+EMPTY = {"count": 0, "volume": 0.0, "total": 0.0, "sum": 0.0, "mean": 0.0, "all": True}
+#: What compiles each class of sets (compiler, node) -> members, and of scalars that aren't made of others
+#: (compiler, node) -> (rows of its free variables and ``value``, the value where there is no row).
+IMPLEMENTATIONS: dict[type, Callable] = {}
+
+
+def register(node: type) -> Callable:
+    """Register the decorated function for a class of nodes; subclasses without one of their own use it too."""
+
+    def put(f: Callable) -> Callable:
+        IMPLEMENTATIONS[node] = f
+        return f
+
+    return put
+
 
-EMPTY = {"count": 0, "volume": 0.0, "total": 0.0, "sum": 0.0, "mean": 0.0, "all": True, "distance": 0.0}
+def implementation(node: L.Node) -> Callable | None:
+    return next((IMPLEMENTATIONS[c] for c in type(node).__mro__ if c in IMPLEMENTATIONS), None)
 
 
 @dataclass(frozen=True)
@@ -31,6 +55,8 @@ class Bindings:
     relations: DataFrame
     #: Names of the classes, if the entities have one.
     classes: frozenset[str] = frozenset()
+    #: Whether no two relations of one kind lead from one entity to the same other one.
+    single_edges: bool = False
 
     def active(self) -> DataFrame:
         return self.objects.where("active") if "active" in self.objects.columns else self.objects
@@ -57,75 +83,96 @@ def intersects_column(relation: Relation, edges: DataFrame) -> Column:
     return out
 
 
+@dataclass(frozen=True)
+class Filter:
+    """A test of a set's members by their own columns, peeled off a set."""
+
+    what: str
+    of: frozenset | Domain
+
+
+def peeled(s: L.Objects) -> tuple[L.Objects, tuple[Filter, ...]]:
+    """The set without the filters that look at nothing but its members, and these; through relations of the members too."""
+    if isinstance(s, L.AnyTagged):
+        base, filters = peeled(s.objs)
+        return base, (*filters, Filter("any", s.tags))
+    if isinstance(s, L.Tagged):
+        base, filters = peeled(s.objs)
+        return base, (*filters, Filter("tags", s.tags))
+    if isinstance(s, L.InDomain) and not s.domain.relations:
+        base, filters = peeled(s.objs)
+        return base, (*filters, Filter("tags", s.domain.tags))
+    if isinstance(s, L.Related):
+        base, filters = peeled(s.objs)
+        return replace(s, objs=base), filters
+    return s, ()
+
+
+def _part(e: L.Node, change: Callable) -> L.Node:
+    """The node with ``change`` made to the nodes that it is made of."""
+    new = {}
+    for f in fields(e):
+        v = getattr(e, f.name)
+        if isinstance(v, L.Node):
+            new[f.name] = change(v)
+        elif isinstance(v, tuple) and v and all(isinstance(x, L.Node) for x in v):
+            new[f.name] = tuple(map(change, v))
+    return replace(e, **new) if new else e
+
+
+def shape(e: L.Node):
+    """A key that is equal for nodes that are written alike."""
+    if isinstance(e, L.Objects):
+        return e
+    own = []
+    for f in fields(e):
+        v = getattr(e, f.name)
+        own.append(shape(v) if isinstance(v, L.Node) else tuple(map(shape, v)) if isinstance(v, tuple) and v and isinstance(v[0], L.Node) else (type(v), v))
+    return (type(e), *own)
+
+
 class Compiler:
     """Compiles expressions over one database."""
 
     def __init__(self, database: Bindings):
         self.db = database
-        #: For each loop variable the set it runs over.
+        #: For each loop variable the set it runs over, without filters, and the filters that its quantifiers have.
         self.loops: dict[str, L.Objects] = {}
-        self.names = 0
+        self.filters: dict[str, list[tuple[Filter, ...]]] = {}
+        self.variables: dict = {}
 
     # sets
 
     def members(self, s: L.Objects) -> DataFrame:
         """Members of ``s`` with their attributes, and a column for each of its free variables."""
-        if isinstance(s, L.Scene):
-            return self.db.active()
-        if isinstance(s, L.Item):
-            at = self.at(s.variable)
-            return at.join(self.db.objects, F.col(s.variable) == F.col("name"))
-        if isinstance(s, L.AnyTagged):
-            own = self.members(s.objs)
-            asks, bars = decompose(s.tags)
-            stored = F.arrays_overlap(F.array(*[F.lit(str(t)) for t in sorted(asks)]).cast("array<string>"), own["tags"])
-            return own.where(reduce(lambda a, b: a | b, [~F.array_contains(own["tags"], str(t)) for t in sorted(bars)], stored))
-        if isinstance(s, L.Tagged):
-            own = self.members(s.objs)
-            if "class" in own.columns:  # a plain comparison reaches the scans and drops whole tables
-                known = F.col("class").isin([t.name for t in decompose(s.tags)[0] if t.kind == SEMANTICS])
-                own = own.where(known) if self.asks_class(s) else own
-            return own.where(satisfied_by(s.tags, own["tags"], own["neg_tags"] if "neg_tags" in own.columns else None))
-        if isinstance(s, L.InDomain):
-            return self.in_domain(self.members(s.objs), s.domain)
-        if isinstance(s, L.SameLevel):
-            keys = sorted(s.free())
-            levels = self.members(s.objs).select(*keys, F.col("level").alias("this_level")).distinct()
-            return self.db.active().join(levels, F.col("level") == F.col("this_level")).drop("this_level")
-        if isinstance(s, L.Related):
-            return self.related(s)
-        raise TypeError(f"no set: {s}")
-
-    def asks_class(self, s: L.Tagged) -> bool:
-        """Whether a tag that the filter asks for is a class."""
-        return any(t.kind == SEMANTICS and t.name in self.db.classes for t in decompose(s.tags)[0])
-
-    def related(self, s: L.Related) -> DataFrame:
-        edges = self.db.relations
-        edges = edges.where(implies_column(s.relation, edges)).select("src", "dst")
-        child, parent = s.objs.free(), s.parents.free()
-        if isinstance(s.parents, L.Item):  # its name is all that is asked for
-            ends = self.at(s.parents.variable)
-            ends = ends.select(F.col(s.parents.variable).alias("parent_name"), F.col(s.parents.variable).alias(f"p_{s.parents.variable}"))
-        else:
-            ends = self.members(s.parents).select(F.col("name").alias("parent_name"), *[F.col(k).alias(f"p_{k}") for k in sorted(parent)])
-        heads = edges.join(ends, F.col("dst") == F.col("parent_name")).select("src", *[f"p_{k}" for k in sorted(parent)])
-        own = self.members(s.objs)
-        on = own["name"] == F.col("src")
-        for k in sorted(child & parent):
-            on = on & (own[k] == F.col(f"p_{k}"))
-        new = sorted(parent - child)
-        if not new:
-            return own.join(heads, on, "left_semi")
-        out = own.join(heads.distinct(), on).select(*[own[c] for c in own.columns], *[F.col(f"p_{k}").alias(k) for k in new])
+        how = implementation(s)
+        if how is None:
+            raise TypeError(f"no implementation for {type(s).__name__}")
+        return how(self, s)
+
+    def test(self, filters: tuple[Filter, ...], rows: DataFrame) -> Column:
+        """The filters as one condition. A class that is asked for is a plain comparison too: it reaches the scans and drops whole tables."""
+        out = F.lit(True)
+        denied = rows["neg_tags"] if "neg_tags" in rows.columns else None
+        for f in filters:
+            asks, bars = decompose(f.of)
+            if f.what == "any":
+                stored = F.arrays_overlap(F.array(*[F.lit(str(t)) for t in sorted(asks)]).cast("array<string>"), rows["tags"])
+                out = out & reduce(lambda a, b: a | b, [~F.array_contains(rows["tags"], str(t)) for t in sorted(bars)], stored)
+                continue
+            names = [t.name for t in asks if t.kind == SEMANTICS and t.name in self.db.classes]
+            if names and "class" in rows.columns:
+                out = out & rows["class"].isin(names)
+            out = out & satisfied_by(f.of, rows["tags"], denied)
         return out
 
+    def filtered(self, rows: DataFrame, filters: list[tuple[Filter, ...]]) -> DataFrame:
+        """Rows that pass some of the filters, if none of them lets all pass."""
+        return rows.where(reduce(lambda a, b: a | b, [self.test(f, rows) for f in filters])) if filters and all(filters) else rows
+
     def in_domain(self, rows: DataFrame, domain: Domain) -> DataFrame:
         """Rows whose entity is in the domain: tags, then a semi join for each relation and an anti join for each denied one."""
-        denied = rows["neg_tags"] if "neg_tags" in rows.columns else None
-        names = [t.name for t in decompose(domain.tags)[0] if t.kind == SEMANTICS and t.name in self.db.classes]
-        rows = rows.where(F.col("class").isin(names)) if names else rows
-        out = rows.where(satisfied_by(domain.tags, rows["tags"], denied))
+        out = rows.where(self.test((Filter("tags", domain.tags),), rows))
         for rel, inner in domain.relations:
             edges = self.db.relations
             asked = -rel if rel.negated else rel
@@ -136,9 +183,11 @@ class Compiler:
         return out
 
     def loop(self, variable: str) -> DataFrame:
-        """The members of the variable's set, under its name, with the variables that the set depends on."""
-        s = self.loops[variable]
-        return self.members(s).select(*sorted(s.free()), F.col("name").alias(variable))
+        """The members of the variable's set, under its name, with the variables that the set depends on and a flag for each filter."""
+        s, filters = self.loops[variable], self.filters[variable]
+        rows = self.filtered(self.members(s), filters)
+        flags = [self.test(f, rows).alias(f"{variable}_{n}") for n, f in enumerate(filters) if f]
+        return rows.select(*sorted(s.free()), F.col("name").alias(variable), *flags)
 
     def at(self, variable: str) -> DataFrame:
         """The entities that the variable stands for, once each."""
@@ -163,72 +212,174 @@ class Compiler:
 
     # scalars
 
-    def leaf(self, e: L.Scalar) -> tuple[DataFrame, frozenset[str], Column]:
-        """(values grouped by the loop variables it depends on, these, the value for a group that isn't there)."""
-        keys = e.free()
-        by = sorted(keys)
-        if isinstance(e, L.Distance):
-            return self.distance(e), keys, F.lit(0.0)
-        if e.what in ("all", "sum", "mean"):
-            self.loops[e.variable] = e.objs
-            body = self.frame(e.body, keys | {e.variable})
-            agg = {"all": F.bool_and, "sum": F.sum, "mean": F.avg}[e.what]
-            value = F.col("value") if e.what == "all" else F.col("value").cast("int" if e.body.kind is bool else e.body.kind is int and "bigint" or "double")
-            return body.groupBy(*by).agg(agg(value).alias("value")), keys, F.lit(EMPTY[e.what])
-        own = self.members(e.objs)
-        if e.what == "count":
-            agg = F.count_distinct("name")
-        elif e.what == "volume":
-            agg = F.sum(volume_of(F.col("dims"), e.option))
-        else:
-            agg = F.sum(F.col(e.option).cast("double"))
-        return own.groupBy(*by).agg(agg.alias("value")), keys, F.lit(EMPTY[e.what])
-
-    def distance(self, e: L.Distance) -> DataFrame:
-        """Least distance of boxes [lows, highs]; an entity isn't compared with itself."""
-        a, b = self.members(e.objs), self.members(e.others)
-        left = a.select(*[F.col(k).alias(f"a_{k}") for k in sorted(e.objs.free())], F.col("name").alias("a_name"), F.col("lows").alias("a_lows"), F.col("highs").alias("a_highs"))
-        right = b.select(*[F.col(k).alias(f"b_{k}") for k in sorted(e.others.free())], F.col("name").alias("b_name"), F.col("lows").alias("b_lows"), F.col("highs").alias("b_highs"))
-        on = F.col("a_name") != F.col("b_name")
-        for k in sorted(e.objs.free() & e.others.free()):
-            on = on & (F.col(f"a_{k}") == F.col(f"b_{k}"))
-        keys = [F.col(f"a_{k}" if k in e.objs.free() else f"b_{k}").alias(k) for k in sorted(e.free())]
-        gap = box_distance(F.col("a_lows"), F.col("a_highs"), F.col("b_lows"), F.col("b_highs"))
-        return left.join(right, on).groupBy(*keys).agg(F.min(gap).alias("value"))
-
-    def frame(self, e: L.Scalar, keys: frozenset[str]) -> DataFrame:
-        """``e`` as column value for every combination of the loop entities of ``keys``."""
+    def unified(self, e: L.Node, names: dict[str, str], depth: int = 0) -> L.Node:
+        """The expression with one variable for all quantifiers over one set at one depth; notes the sets and the filters."""
+        if isinstance(e, L.Item):
+            return L.Item(names.get(e.variable, e.variable))
+        if not (isinstance(e, L.Aggregate) and e.variable):
+            return _part(e, lambda x: self.unified(x, names, depth))
+        objs = self.unified(e.objs, names, depth)
+        base, filters = peeled(objs)
+        variable = self.variables.setdefault((base, depth), f"v{len(self.variables)}")
+        self.loops[variable] = base
+        held = self.filters.setdefault(variable, [])
+        if filters not in held:
+            held.append(filters)
+        return replace(e, objs=objs, variable=variable, body=self.unified(e.body, names | {e.variable: variable}, depth + 1))
+
+    def aggregates(self, leaves: list[L.Aggregate], by: list[str]) -> DataFrame:
+        """Aggregates of one set under different filters: one pass, a column for each."""
+        filters = [peeled(e.objs)[1] for e in leaves]
+        own = self.filtered(self.members(peeled(leaves[0].objs)[0]), filters)
+        columns = []
+        for n, (e, f) in enumerate(zip(leaves, filters, strict=True)):
+            chosen = (lambda x, f=f: F.when(self.test(f, own), x)) if f else (lambda x: x)
+            if e.what == "count":  # members are distinct
+                value = F.count(chosen(F.lit(1)))
+            elif e.what == "volume":
+                value = F.sum(chosen(volume_of(F.col("dims"), e.option)))
+            else:
+                value = F.sum(chosen(F.col(e.option).cast("double")))
+            columns.append(value.alias(f"value{n}"))
+        return own.groupBy(*by).agg(*columns)
+
+    def quantified(self, leaves: list[L.Aggregate], by: list[str]) -> DataFrame:
+        """Quantifiers of one variable: their bodies together, for each of its entities, then a column for each."""
+        variable, columns = leaves[0].variable, []
+        bodies = self.frames([e.body for e in leaves], frozenset(by) | {variable})
+        for n, e in enumerate(leaves):
+            value = F.col(f"e{n}")
+            if e.what != "all":
+                value = value.cast("int" if e.body.kind is bool else "bigint" if e.body.kind is int else "double")
+            place = self.filters[variable].index(peeled(e.objs)[1])
+            if self.filters[variable][place]:
+                value = F.when(F.col(f"{variable}_{place}"), value)
+            columns.append({"all": F.bool_and, "sum": F.sum, "mean": F.avg}[e.what](value).alias(f"value{n}"))
+        return bodies.groupBy(*by).agg(*columns)
+
+    def frames(self, exprs: list[L.Scalar], keys: frozenset[str]) -> DataFrame:
+        """The expressions as columns e0, e1, ... for every combination of the loop entities of ``keys``, beside these and their flags."""
         keys = self.closed(keys)
-        out, columns = self.grid(keys), {}
-        for part in _leaves(e):
-            if id(part) in columns:
-                continue
-            rows, by, empty = self.leaf(part)
-            self.names += 1
-            name = f"v{self.names}"
-            rows = rows.withColumnRenamed("value", name)
-            out = out.join(rows, sorted(by), "left") if by else out.crossJoin(rows)
-            columns[id(part)] = F.coalesce(F.col(name), empty)
-        return out.select(*sorted(keys), self.column(e, columns).alias("value"))
-
-    def column(self, e: L.Scalar, leaves: dict[int, Column]) -> Column:
-        if id(e) in leaves:
-            return leaves[id(e)]
+        out, columns, groups = self.grid(keys), {}, {}
+        flags = [c for c in out.columns if c not in keys and c != "one"]
+        for leaf in {shape(x): x for e in exprs for x in _leaves(e)}.values():
+            by = tuple(sorted(leaf.free()))
+            if type(leaf) is L.Aggregate and leaf.variable:
+                groups.setdefault(("quantifier", leaf.variable, by), []).append(leaf)
+            elif type(leaf) is L.Aggregate:
+                groups.setdefault(("set", peeled(leaf.objs)[0], by), []).append(leaf)
+            else:
+                groups.setdefault((shape(leaf), None, by), []).append(leaf)
+        for g, ((kind, _, by), leaves) in enumerate(groups.items()):
+            if kind in ("quantifier", "set"):
+                rows = (self.quantified if kind == "quantifier" else self.aggregates)(leaves, list(by))
+                empty = [F.lit(EMPTY[e.what]) for e in leaves]
+            else:
+                rows, default = implementation(leaves[0])(self, leaves[0])
+                rows, empty = rows.withColumnRenamed("value", "value0"), [default]
+            rows = rows.withColumnsRenamed({f"value{n}": f"g{g}_{n}_{len(keys)}" for n in range(len(leaves))})
+            out = out.join(rows, list(by), "left") if by else out.crossJoin(rows)  # one row
+            for n, e in enumerate(leaves):
+                columns[shape(e)] = F.coalesce(F.col(f"g{g}_{n}_{len(keys)}"), empty[n])
+        return out.select(*sorted(keys), *flags, *[self.column(e, columns).alias(f"e{n}") for n, e in enumerate(exprs)])
+
+    def column(self, e: L.Scalar, leaves: dict) -> Column:
+        if implementation(e) is not None or isinstance(e, L.Aggregate):
+            return leaves[shape(e)]
         if isinstance(e, L.Const):
             return F.lit(e.value)
+        if not isinstance(e, L.Call) or e.op not in OPERATIONS:
+            raise TypeError(f"no implementation for {type(e).__name__} {getattr(e, 'op', '')}")
         return OPERATIONS[e.op](e, *[self.column(a, leaves) for a in e.args])
 
+    def values(self, exprs: list[L.Scalar]) -> DataFrame:
+        """One row: columns e0, e1, ..."""
+        return self.frames([self.unified(e, {}) for e in exprs], frozenset())
+
+    def for_each(self, objs: L.Objects, body: Callable[[L.Objects], L.Scalar]) -> DataFrame:
+        """Rows (name, value): the scalar that ``body`` makes of each member of a set."""
+        e = self.unified(objs.sum(body), {})
+        rows, place = self.frames([e.body], frozenset([e.variable])), self.filters[e.variable].index(peeled(e.objs)[1])
+        rows = rows.where(F.col(f"{e.variable}_{place}")) if self.filters[e.variable][place] else rows
+        return rows.select(F.col(e.variable).alias("name"), F.col("e0").alias("value"))
+
     def value(self, e: L.Scalar) -> DataFrame:
         """One row, one column value."""
-        return self.frame(e, frozenset()).select("value")
+        return self.values([e]).withColumnRenamed("e0", "value")
 
 
 def _leaves(e: L.Scalar) -> list[L.Scalar]:
-    if isinstance(e, L.Aggregate | L.Distance):
+    if isinstance(e, L.Aggregate) or implementation(e) is not None:
         return [e]
     return [x for c in e.children() for x in _leaves(c)]
 
 
+@register(L.Scene)
+def _scene(c: Compiler, s: L.Scene) -> DataFrame:
+    return c.db.active()
+
+
+@register(L.Item)
+def _item(c: Compiler, s: L.Item) -> DataFrame:
+    return c.at(s.variable).join(c.db.objects, F.col(s.variable) == F.col("name"))
+
+
+@register(L.Tagged)
+def _tagged(c: Compiler, s: L.Tagged) -> DataFrame:
+    base, filters = peeled(s)
+    own = c.members(base)
+    return own.where(c.test(filters, own))
+
+
+@register(L.InDomain)
+def _in_domain(c: Compiler, s: L.InDomain) -> DataFrame:
+    return c.in_domain(c.members(s.objs), s.domain)
+
+
+@register(L.SameLevel)
+def _same_level(c: Compiler, s: L.SameLevel) -> DataFrame:
+    levels = c.members(s.objs).select(*sorted(s.free()), F.col("level").alias("this_level")).distinct()
+    return c.db.active().join(levels, F.col("level") == F.col("this_level")).drop("this_level")
+
+
+@register(L.Related)
+def _related(c: Compiler, s: L.Related) -> DataFrame:
+    edges = c.db.relations
+    edges = edges.where(implies_column(s.relation, edges)).select("src", "dst")
+    child, parent = s.objs.free(), s.parents.free()
+    own = c.members(s.objs)
+    if isinstance(s.parents, L.Item):  # whatever isn't one of its entities meets no row of the loop
+        heads = edges.select("src", F.col("dst").alias(f"p_{s.parents.variable}"))
+    else:
+        ends = c.members(s.parents).select(F.col("name").alias("parent_name"), *[F.col(k).alias(f"p_{k}") for k in sorted(parent)])
+        heads = edges.join(ends, F.col("dst") == F.col("parent_name")).select("src", *[f"p_{k}" for k in sorted(parent)])
+    on = own["name"] == F.col("src")
+    for k in sorted(child & parent):
+        on = on & (own[k] == F.col(f"p_{k}"))
+    new = sorted(parent - child)
+    if not new:
+        return own.join(heads, on, "left_semi")
+    heads = heads if c.db.single_edges and isinstance(s.parents, L.Item) else heads.distinct()
+    return own.join(heads, on).select(*[own[x] for x in own.columns], *[F.col(f"p_{k}").alias(k) for k in new])
+
+
+@register(L.Distance)
+def _distance(c: Compiler, e: L.Distance) -> tuple[DataFrame, Column]:
+    """Least distance of boxes [lows, highs]; an entity isn't compared with itself. Empty sets are at 0.
+
+    All boxes of one set meet all of the other, within groups of the variables that both depend on.
+    """
+    a, b = c.members(e.objs), c.members(e.others)
+    side = lambda rows, s, free: rows.select(*[F.col(k).alias(f"{s}_{k}") for k in sorted(free)], F.col("name").alias(f"{s}_name"), F.col("lows").alias(f"{s}_lows"), F.col("highs").alias(f"{s}_highs"))
+    left, right = side(a, "a", e.objs.free()), side(b, "b", e.others.free())
+    on = F.col("a_name") != F.col("b_name")
+    for k in sorted(e.objs.free() & e.others.free()):
+        on = on & (F.col(f"a_{k}") == F.col(f"b_{k}"))
+    keys = [F.col(f"a_{k}" if k in e.objs.free() else f"b_{k}").alias(k) for k in sorted(e.free())]
+    gap = box_distance(F.col("a_lows"), F.col("a_highs"), F.col("b_lows"), F.col("b_highs"))
+    return left.join(right, on).groupBy(*keys).agg(F.min(gap).alias("value")), F.lit(0.0)
+
+
 def volume_of(dims: Column, option: int | tuple[int, ...]) -> Column:
     """Product of the largest ``option`` extents (or of those at its places), and a little."""
     ordered = F.sort_array(dims.cast("array<double>"), asc=False)
@@ -294,15 +445,13 @@ OPERATIONS = {
 
 
 def evaluate(problem: L.Problem, database: Bindings) -> DataFrame:
-    """Rows (name, kind, value): each constraint's violation and each term's score."""
+    """Rows (name, kind, value): each constraint's violation and each term's score, all from one plan."""
     rows = [(k, "violation", L.violation(v)) for k, v in problem.constraints.items()] + [(k, "loss", v) for k, v in problem.terms.items()]
     if not rows:
         return database.objects.sparkSession.createDataFrame([], "name string, kind string, value double")
-    parts = [
-        Compiler(database).value(e).select(F.lit(name).alias("name"), F.lit(kind).alias("kind"), F.col("value").cast("int" if e.kind is bool else "double").cast("double").alias("value"))
-        for name, kind, e in rows
-    ]
-    return reduce(DataFrame.unionByName, parts)
+    number = lambda n, e: F.col(f"e{n}").cast("int" if e.kind is bool else "double").cast("double")
+    parts = [F.struct(F.lit(name).alias("name"), F.lit(kind).alias("kind"), number(n, e).alias("value")) for n, (name, kind, e) in enumerate(rows)]
+    return Compiler(database).values([e for _, _, e in rows]).select(F.inline(F.array(*parts)))
 
 
 def totals(result: DataFrame) -> DataFrame:

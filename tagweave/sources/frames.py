@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import io
+import re
+import tarfile
 import zipfile
 from collections.abc import Iterator
-from fnmatch import translate
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -20,7 +22,7 @@ def parsed_suffix(text: Column) -> Column:
     What follows the first point and underscores at the ends go, and so does the first of five parts. Fewer parts than
     four give null; more than five, and parts that aren't numbers, are errors.
     """
-    parts = F.split(F.trim(F.lit("_"), F.substring_index(text, ".", 1)), "_")
+    parts = F.split(F.trim(F.substring_index(text, ".", 1), F.lit("_")), "_")
     parts = F.when(F.size(parts) == 5, F.slice(parts, 2, 4)).otherwise(parts)
     number = lambda k: F.get(parts, F.lit(k)).cast("int")
     too_many = F.raise_error(F.concat(F.lit("no suffix: "), text)).cast("struct<" + ", ".join(f"{n}: int" for n in PARTS) + ">")
@@ -48,9 +50,17 @@ def frame_bounds(files: DataFrame) -> DataFrame:
 
 
 def summary(files: DataFrame) -> DataFrame:
-    """The nested index of one scene as JSON, a row for each data type: rig -> subcam -> frame -> path."""
-    inner = files.groupBy("data_type", "ext", "cam_rig", "subcam").agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct(F.format_string("%04d", "frame").alias("k"), F.col("path").alias("v"))))).alias("frames"))
-    return inner.select("data_type", "ext", "cam_rig", "subcam", F.to_json("frames").alias("frames"))
+    """The nested index of one scene as JSON, a row for each data type: extension -> resample -> rig -> subcam -> frame -> path."""
+    level = files.select("data_type", "ext", *[F.col(c).cast("string").alias(c) for c in ("resample", "cam_rig", "subcam")], F.format_string("%04d", "frame").alias("frame"), F.col("path").alias("v"))
+    keys = ["data_type", "ext", "resample", "cam_rig", "subcam", "frame"]
+    while len(keys) > 1:
+        *keys, last = keys
+        level = level.groupBy(*keys).agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct(F.col(last).alias("k"), F.col("v"))), _by_key)).alias("v"))
+    return level.select("data_type", F.to_json("v").alias("index"))
+
+
+def _by_key(a: Column, b: Column) -> Column:
+    return F.when(a["k"] < b["k"], -1).when(a["k"] > b["k"], 1).otherwise(0)
 
 
 def missing_frames(files: DataFrame, first: int, last: int, types: list[str]) -> DataFrame:
@@ -112,13 +122,82 @@ def zipped(entries: DataFrame, by: str) -> DataFrame:
     return entries.select(by, "entry", "data").groupBy(by).applyInPandas(run, f"{by} {entries.schema[by].dataType.simpleString()}, content binary")
 
 
+def glob_form(glob: str) -> str:
+    """The pattern of a glob whose marks don't reach across folders; a folder stands for all that is in it."""
+    parts = {"*": "[^/]*", "?": "[^/]"}
+    return "^" + "".join(parts.get(c, re.escape(c)) for c in glob) + "(/.*)?$"
+
+
+def matching(files: DataFrame, glob: str, exclude: list[str] = (), path: str = "path") -> DataFrame:
+    """Paths that a glob fits, folder by folder, without those that hold a text of ``exclude``."""
+    out = files.where(F.col(path).rlike(glob_form(glob)))
+    return reduce(lambda d, x: d.where(~F.contains(path, F.lit(x))), exclude, out)
+
+
 def kept_paths(files: DataFrame, rules: list[tuple[str, str]], path: str = "path") -> DataFrame:
-    """Add ``action``: that of the first rule (KEEP or DELETE, glob) that fits the path, else UNCOVERED."""
-    out = None
+    """Add ``action``, KEEP, DELETE or UNCOVERED, by rules (action, glob) in their order, over paths from the scene's folder.
+
+    A DELETE takes what no KEEP before it has kept. What is deleted and kept only later is an error, as is an unknown
+    action or, once run, a KEEP_MANDATORY that fits no path.
+    """
+    keep = delete = F.lit(False)
     for action, glob in rules:
-        fits = F.col(path).rlike(translate(glob).replace(r"\Z", "$").replace(r"\z", "$"))
-        out = F.when(fits, action) if out is None else out.when(fits, action)
-    return files.withColumn("action", out.otherwise("UNCOVERED"))
+        fits = F.col(path).rlike(glob_form(glob))
+        if action not in ("KEEP", "KEEP_MANDATORY", "DELETE"):
+            raise ValueError(f"no action: {action}")
+        if action == "KEEP_MANDATORY" and files.where(fits).isEmpty():
+            raise ValueError(f"nothing fits {glob}")
+        if action == "DELETE":
+            delete = delete | (fits & ~keep)
+        else:
+            keep = keep | fits
+    both = F.raise_error(F.concat(F.lit("deleted and kept: "), F.col(path))).cast("string")
+    return files.withColumn("action", F.when(keep & delete, both).when(keep, "KEEP").when(delete, "DELETE").otherwise("UNCOVERED"))
+
+
+def listing(lines: DataFrame, parent: str) -> DataFrame:
+    """Entries of a remote folder from the lines of its listing (raw): path, is_dir. Hidden entries and the summary line go."""
+    words = F.split(F.trim("raw"), r"\s+")
+    rows = lines.where(~F.contains("raw", F.lit("blocks of size")) & (F.trim("raw") != "")).select(words.alias("w"))
+    rows = rows.where(~F.startswith(F.get("w", F.lit(0)), F.lit(".")))
+    return rows.select(F.concat(F.lit(parent.rstrip("/") + "/"), F.get("w", F.lit(0))).alias("path"), F.coalesce(F.get("w", F.lit(1)).startswith("D"), F.lit(False)).alias("is_dir"))
+
+
+def listed(spark: SparkSession, root: str, glob: str | None = None) -> DataFrame:
+    """All files below ``root``, whatever store it is in: path, length, modified; those whose names fit ``glob`` if given. Contents aren't read."""
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+    rows = (reader.option("pathGlobFilter", glob) if glob else reader).load(root)
+    return rows.select("path", "length", F.col("modificationTime").alias("modified"))
+
+
+def uploaded(files: DataFrame, root: str, target: str) -> DataFrame:
+    """Copy files (path) from below ``root`` to the same places below ``target``, through the stores' own clients.
+
+    Returns rows (path, target). The list goes through the driver one by one; the bytes go from store to store.
+    """
+    spark, copied = files.sparkSession, []
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    for r in files.select("path").toLocalIterator():
+        to = target.rstrip("/") + "/" + r.path.split(root.rstrip("/") + "/", 1)[1]
+        a, b = jvm.org.apache.hadoop.fs.Path(r.path), jvm.org.apache.hadoop.fs.Path(to)
+        jvm.org.apache.hadoop.fs.FileUtil.copy(a.getFileSystem(conf), a, b.getFileSystem(conf), b, False, True, conf)
+        copied.append((r.path, to))
+    return spark.createDataFrame(copied, "path string, target string")
+
+
+def tarred(entries: DataFrame, by: str) -> DataFrame:
+    """A tar archive of the entries (entry, data) of each group: a scene's files, which one task holds."""
+
+    def run(t: pd.DataFrame) -> pd.DataFrame:
+        buffer = io.BytesIO()
+        with tarfile.open(fileobj=buffer, mode="w:gz") as z:
+            for name, data in sorted(zip(t["entry"], t["data"], strict=True)):
+                info = tarfile.TarInfo(name)
+                info.size = len(data)
+                z.addfile(info, io.BytesIO(data))
+        return pd.DataFrame({by: [t[by].iloc[0]], "content": [buffer.getvalue()]})
+
+    return entries.select(by, "entry", "data").groupBy(by).applyInPandas(run, f"{by} {entries.schema[by].dataType.simpleString()}, content binary")
 
 
 def chosen(files: DataFrame, types: list[str], seeds: list[str] | None = None, rigs: list[int] | None = None) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType
 
 from tagweave.functions.scalar import python_literal
 
@@ -15,7 +16,9 @@ def state_from_collections(members: DataFrame) -> DataFrame:
 
 
 def state_json(objects: DataFrame, relations: DataFrame) -> DataFrame:
-    """One JSON text for each entity, fields by name, with its relations."""
+    """One JSON text for each entity, fields by name, with its relations; what has no JSON form says so."""
+    plain = lambda f: F.lit("<not-serialized>") if isinstance(f.dataType, BinaryType) else F.col(f.name)
+    objects = objects.select(*[plain(f).alias(f.name) for f in objects.schema.fields])
     own = relations.groupBy(F.col("src").alias("name")).agg(F.array_sort(F.collect_list(F.struct(F.col("kind").alias("relation"), F.col("dst").alias("target")))).alias("relations"))
     rows = objects.join(own, "name", "left")
     return rows.select("name", F.to_json(F.struct(*[F.col(c) for c in sorted(rows.columns)])).alias("json"))
@@ -31,6 +34,12 @@ def wide_status(statuses: DataFrame, tasks: list[str]) -> DataFrame:
     return statuses.groupBy("seed").pivot("task", tasks).agg(F.first("state"))
 
 
+def stage_records(spark: SparkSession, results: list[dict]) -> DataFrame:
+    """Stages of a run as a table, to be written as CSV: name, ran, mem_at_finish, obj_count, instance_count."""
+    kind = "name string, ran boolean, mem_at_finish bigint, obj_count bigint, instance_count bigint"
+    return spark.createDataFrame([tuple(r.get(c.split()[0]) for c in kind.split(", ")) for r in results], kind)
+
+
 def write_csv(rows: DataFrame, path: str, append: bool = False) -> None:
     rows.write.mode("append" if append else "overwrite").csv(path, header=True)
 

@@ -38,4 +38,4 @@ def database(spark: SparkSession, sf_dir: str) -> Bindings:
     edges = edges.union(links(t["customer"], "touching", "customer", "c_custkey", "nation", "c_nationkey"))
     edges = edges.union(links(t["supplier"], "touching", "supplier", "s_suppkey", "nation", "s_nationkey"))
     edges = edges.union(links(t["orders"], "supported_by", "order", "o_orderkey", "customer", "o_custkey"))
-    return Bindings(objects, edges, frozenset(["region", "nation", "customer", "supplier", "order"]))
+    return Bindings(objects, edges, frozenset(["region", "nation", "customer", "supplier", "order"]), single_edges=True)

@@ -85,6 +85,43 @@ def scene_states(tasks: DataFrame, states: DataFrame) -> DataFrame:
     return out.withColumn("scene_state", F.when(F.col("n_failed") > 0, "crashed").when(F.col("n_succeeded") == F.col("n"), "done").otherwise("not_done"))
 
 
+def progress(tasks: DataFrame) -> DataFrame:
+    """For each seed, over its tasks in order (seed, place, task, state, fatal): how many run and are concluded, the last
+    concluded one, the first that failed fatally, and whether there is one."""
+    concluded, going = F.col("state").isin(FINAL), ~F.col("state").isin([*FINAL, "not_queued"])
+    broken = (F.col("state") == "failed") & F.col("fatal")
+    return tasks.groupBy("seed").agg(
+        F.count_if(going).alias("num_running"), F.count_if(concluded).alias("num_done"), F.max_by(F.when(concluded, F.col("task")), F.when(concluded, F.col("place"))).alias("last_concluded"),
+        F.min_by(F.when(broken, F.col("task")), F.when(broken, F.col("place"))).alias("first_fatal"), F.coalesce(F.bool_or(broken), F.lit(False)).alias("any_fatal"),
+    )
+
+
+def next_launches(scenes: list[dict], queued: dict[str, int], greedy: bool = True, max_queued_task: int | None = None, max_queued_total: int | None = None, max_stuck_at_task: int | None = None) -> list[tuple[str, str]]:
+    """(seed, task) to launch next, over scenes that aren't done or fatally broken (seed, in_flight, waiting: names of tasks
+    that may run): those with most in flight first, if greedy.
+
+    ``queued`` counts queued jobs by kind of task and grows with each launch; the counters are why this is a loop. A scene
+    whose next place is taken by too many others waits.
+    """
+    order = sorted(scenes, key=lambda s: -s["in_flight"]) if greedy else list(scenes)
+    at_place: dict[int, int] = {}
+    for s in scenes:
+        at_place[s["in_flight"]] = at_place.get(s["in_flight"], 0) + 1
+    counts, out = dict(queued), []
+    for s in order:
+        if max_stuck_at_task is not None and at_place.get(s["in_flight"] + 1, 0) >= max_stuck_at_task:
+            continue
+        for task in s["waiting"]:
+            kind = task.split("_")[0]
+            if max_queued_task is not None and counts.get(kind, 0) >= max_queued_task:
+                continue
+            if max_queued_total is not None and sum(counts.values()) >= max_queued_total:
+                continue
+            out.append((s["seed"], task))
+            counts[kind] = counts.get(kind, 0) + 1
+    return out
+
+
 def to_launch(candidates: DataFrame, slots: int, stuck_limit: int, disk_share: float, full: float = 0.99) -> DataFrame:
     """The next tasks for ``slots`` free slots: scenes in seed order, none for a kind that is stuck, none if the disk is full."""
     if disk_share >= full:
@@ -97,7 +134,8 @@ def streamed_states(events: DataFrame, forget_after_ms: int = 7 * 86_400_000) ->
     """The state of each (seed, task) each time it changes, from a stream of events (seed, task, ts, submitted, job_state, has_finish, ...).
 
     Custom state: the last state and the time of the last event, so that late events don't turn a task back. A task
-    without events for ``forget_after_ms`` of processing time is forgotten, so the state doesn't grow for ever.
+    whose last event is ``forget_after_ms`` behind the watermark, which is as far behind the newest event, is forgotten,
+    so the state doesn't grow for ever.
     """
     kind = "seed string, task string, state string, ts timestamp"
 
@@ -116,12 +154,13 @@ def streamed_states(events: DataFrame, forget_after_ms: int = 7 * 86_400_000) ->
                     state = r.state
                     out.append((*key, state, r.ts))
         held.update((state, at))
-        held.setTimeoutDuration(forget_after_ms)
+        held.setTimeoutTimestamp(at // 1_000_000 + forget_after_ms)
         if out:
             yield pd.DataFrame(out, columns=["seed", "task", "state", "ts"])
 
     rows = events.select("seed", "task", F.col("ts").cast("timestamp").alias("ts"), _event_state(events).alias("state"))
-    return rows.groupBy("seed", "task").applyInPandasWithState(step, kind, "state string, at bigint", "append", "ProcessingTimeTimeout")
+    rows = rows.withWatermark("ts", f"{forget_after_ms} milliseconds")
+    return rows.groupBy("seed", "task").applyInPandasWithState(step, kind, "state string, at bigint", "append", "EventTimeTimeout")
 
 
 def text_stream(spark: SparkSession, path: str) -> DataFrame:

@@ -13,7 +13,7 @@ from tagweave.operators import geometry as G
 from tagweave.operators import joins as J
 from tagweave.operators import raster as R
 from tagweave.operators import windows as W
-from tagweave.plans.solver import Annealing, Move, Schedule, addition, deletion, pick_weighted, reassigned, rotated, translated
+from tagweave.plans.solver import RECORD, Annealing, Move, Schedule, addition, deletion, pick_weighted, reassigned, rotated, translated
 
 
 def one(spark, **columns):
@@ -125,8 +125,7 @@ def test_nearest_among_all_rows(spark, sf):
     want = {}
     for a, p in rows:
         d, b = min((math.dist(p, o), b) for b, o in rows if b != a)
-        if d <= 0.5:
-            want[a] = (b, pytest.approx(d, abs=1e-6))
+        want[a] = (b, pytest.approx(d, abs=1e-6))
     got = QUERIES["nearest_bucket"](spark, sf).collect()
     assert len(got) == len(want) and {r.point: (r.other, r.distance) for r in got} == want
 
@@ -158,7 +157,7 @@ def test_windows(spark):
     for program, outcomes, want in [
         ("sfs", "+++", "101"),  # what asks for a failure is skipped, and the task after it sees the state before
         ("sfs", "x+.", "111"), ("sffs", "xx+.", "1111"), ("sffs", "x+..", "1101"), ("s-s", "+x.", "110"),
-        ("srs", "x+.", "111"), ("srs", ".+.", "111"), ("srr", "xx.", "111"), ("ss r".replace(" ", ""), "x..", "100"), ("sfrs", "+.x.", "1010"), ("sfr", "...", "101"),
+        ("srs", "x+.", "111"), ("srs", ".+.", "111"), ("srr", "xx.", "111"), ("ss r".replace(" ", ""), "x..", "100"), ("sfrs", "+.x.", "1010"), ("sfr", "...", "101"), ("ffs", "xx+", "001"),
     ]:
         rows = [(1, n, results[o], asks[c]) for n, (c, o) in enumerate(zip(program, outcomes, strict=True))]
         ran = W.sequential_gate(spark.createDataFrame(rows, "s int, n int, state string, cond string"), "s", "n", "state", "cond").orderBy("n").collect()
@@ -258,6 +257,9 @@ def test_annealing_and_moves():
     assert schedule.accepts(59, (0, 1), (0, 1.0005), 0.5) and not schedule.accepts(59, (0, 1), (0, 2), 0.5)  # Metropolis to the end
     search = Annealing(schedule, lambda s, k: {"up": s + 1, "down": s - 1}, lambda s, m: {k: (0.0, float(v * v)) for k, v in m.items()}, lambda s, c: c)
     best, scores = search.run(9, (0.0, 81.0))
+    assert set(search.log[0]) == set(RECORD) and search.log[0]["retry"] == 0
+    barred = Annealing(schedule, search.propose, search.score, search.apply, valid=lambda s, m: m != 8, retries=1)
+    assert barred.run(9, (0.0, 81.0))[0] == 9 and all(r["retry"] == 1 for r in barred.log if r["move_gen"] != "up") and len(barred.log) == 60
     assert best == 0 and scores == (0.0, 0.0) and len(search.log) == 60
     assert pick_weighted({"a": 1, "b": 3}, 0.3) == "b"
     state = {"a": {"loc": (0.0, 0.0, 0.0), "relations": [{"parent": "t", "plane": 0}]}}

@@ -75,12 +75,28 @@ def test_frame_files(spark, tmp_path):
     assert {(r.data_type, r.frame) for r in frames.missing_frames(files, 1, 4, ["Image", "Depth"]).collect()} == {("Image", 3), ("Depth", 3)}
     arrays = frames.decoded(files).collect()
     assert len(arrays) == 3 and all(list(r["shape"]) == [2, 2] for r in arrays)
-    assert frames.summary(files).count() == 2 and frames.chained([files, files]).select("scene").distinct().count() == 2
+    import json
+
+    nested = {r.data_type: json.loads(r["index"]) for r in frames.summary(files).collect()}
+    assert set(nested) == {"Image", "Depth"} and set(nested["Image"]["png"]["0"]["0"]["0"]) == {"0001", "0002", "0004"} and nested["Depth"]["npy"]["0"]["0"]["0"]["0001"].endswith("Depth_0_0_0001_0.npy")
+    assert frames.chained([files, files]).select("scene").distinct().count() == 2
     assert frames.chosen(files.withColumn("seed", F.lit("s")), ["Image"], ["s"], [0]).count() == 3
     with pytest.raises(ValueError):
         frames.chosen(files, ["Nothing"])
-    kept = frames.kept_paths(files, [("DELETE", "*_0004_*"), ("KEEP", "*.npy")]).groupBy("action").count().collect()
-    assert {r.action: r["count"] for r in kept} == {"DELETE": 2, "KEEP": 2, "UNCOVERED": 2}
+    here = files.withColumn("path", F.regexp_extract("path", "(frames/.*)$", 1))
+    kept = frames.kept_paths(here, [("KEEP", "frames/*/*/*_0004_0.npy"), ("DELETE", "frames/*/*/*_0004_*"), ("KEEP_MANDATORY", "frames/Image/*/*_0001_*")])
+    assert {r.action: r["count"] for r in kept.groupBy("action").count().collect()} == {"DELETE": 1, "KEEP": 2, "UNCOVERED": 3}
+    assert frames.kept_paths(here, [("KEEP", "frames/Image")]).where("action = 'KEEP'").count() == 3 and frames.kept_paths(here, [("KEEP", "*.npy")]).where("action = 'KEEP'").count() == 0
+    with pytest.raises(ValueError):
+        frames.kept_paths(here, [("KEEP_MANDATORY", "nothing*")])
+    with pytest.raises(Exception, match="deleted and kept"):
+        frames.kept_paths(here, [("DELETE", "frames"), ("KEEP", "frames/Image")]).collect()
+    assert frames.matching(here, "frames/*/camera_?/*.npy", ["_0002_"]).count() == 2
+    assert frames.listed(spark, str(tmp_path), "*.npy").count() == 3
+    copied = frames.uploaded(frames.listed(spark, str(tmp_path / "frames"), "*.npy"), str(tmp_path / "frames"), f"file://{tmp_path}/there").collect()
+    assert len(copied) == 3 and len(list((tmp_path / "there").rglob("*.npy"))) == 3
+    lines = raw(spark, "  .   D  0 x", "  a.txt   A  12 Mon", "  sub   D  0 Mon", "", "  123 blocks of size 4096")
+    assert {tuple(r) for r in frames.listing(lines, "/base/").collect()} == {("/base/a.txt", False), ("/base/sub", True)}
     assert frames.to_delete(files, ["npy"]).count() == 3
 
 
@@ -92,6 +108,10 @@ def test_archives(spark):
     files = spark.createDataFrame([("p.zip", bytearray(buffer.getvalue()))], "path string, content binary")
     entries = frames.zip_entries(files, content=True)
     assert {(r.entry, r.size) for r in entries.collect()} == {("frames/Image/camera_0/a.png", 2), ("frames/Depth/camera_0/a.npy", 3)}
+    import tarfile
+
+    packed = frames.tarred(entries, "path").first().content
+    assert sorted(m.name for m in tarfile.open(fileobj=io.BytesIO(packed))) == ["frames/Depth/camera_0/a.npy", "frames/Image/camera_0/a.png"]
     again = frames.zipped(entries.where(F.col("entry").contains("/Image/camera_0/")), "path")
     assert [r.entry for r in frames.zip_entries(again).collect()] == ["frames/Image/camera_0/a.png"]
 
@@ -102,6 +122,10 @@ def test_state(spark, tmp_path):
     assert {r["name"]: r.tags for r in objects.collect()} == {"a": ["obj:a", "sem:chair", "sem:old"], "b": ["obj:b", "sem:chair"]}
     text = {r["name"]: r.json for r in state.state_json(objects, spark.createDataFrame([("a", "b", "touching")], "src string, dst string, kind string")).collect()}
     assert '"relations":[{"relation":"touching","target":"b"}]' in text["a"] and text["b"].index("active") < text["b"].index("name")
+    blob = objects.withColumn("mesh", F.lit(b"x"))
+    assert '"mesh":"<not-serialized>"' in state.state_json(blob, spark.createDataFrame([], "src string, dst string, kind string")).first().json
+    state.write_csv(state.stage_records(spark, [{"name": "coarse", "ran": True, "mem_at_finish": 5, "obj_count": 2, "instance_count": 3}, {"name": "fine", "ran": False}]), str(tmp_path / "stages"))
+    assert sorted((r["name"], r.ran, r.obj_count) for r in spark.read.csv(str(tmp_path / "stages"), header=True).collect()) == [("coarse", "true", "2"), ("fine", "false", None)]
     wide = state.wide_status(spark.createDataFrame([("s", "coarse", "done"), ("s", "fine", "failed")], "seed string, task string, state string"), ["coarse", "fine"])
     state.write_csv(wide.withColumn("configs", F.lit("['a', 'b']")), str(tmp_path / "db"))
     back = state.scene_table(spark, str(tmp_path / "db")).first()
@@ -137,6 +161,11 @@ def test_tasks(spark):
     )
     got = [r[0] for r in said.select(tasks.task_state(*map(F.col, "sjfck"))).collect()]
     assert got == ["not_queued", "failed", "cancelled", "succeeded", "queued", "running", "failed", "succeeded"]
+    flying = [{"seed": "a", "in_flight": 0, "waiting": ["coarse_0"]}, {"seed": "b", "in_flight": 2, "waiting": ["fine_1", "fine_2"]}, {"seed": "c", "in_flight": 0, "waiting": ["coarse_0"]}]
+    assert tasks.next_launches(flying, {}) == [("b", "fine_1"), ("b", "fine_2"), ("a", "coarse_0"), ("c", "coarse_0")]
+    assert tasks.next_launches(flying, {"fine": 1}, max_queued_task=2) == [("b", "fine_1"), ("a", "coarse_0"), ("c", "coarse_0")]
+    assert tasks.next_launches(flying, {"fine": 1}, max_queued_total=3, greedy=False) == [("a", "coarse_0"), ("b", "fine_1")]
+    assert [s for s, _ in tasks.next_launches([*flying, {"seed": "d", "in_flight": 1, "waiting": []}], {}, max_stuck_at_task=1)] == ["b", "b"]
     assert tasks.to_launch(plan, 3, 5, 0.5).count() == 3 and tasks.to_launch(plan, 3, 5, 0.995).count() == 0
 
 
