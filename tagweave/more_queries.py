@@ -15,8 +15,9 @@ from tagweave.operators import joins as J
 from tagweave.operators import raster as R
 from tagweave.operators import runs as N
 from tagweave.operators import windows as W
+from tagweave.plans import analysis
 from tagweave.plans import lang as L
-from tagweave.plans.algebra import Domain, tags
+from tagweave.plans.algebra import Domain, tag, tags
 from tagweave.plans.compile import Bindings, Compiler, evaluate, totals
 from tagweave.plans.lang import Problem, scene
 from tagweave.queries import SCORECARD_SQL, SUPPORTED, TOUCHING, members, query, scorecard
@@ -630,3 +631,77 @@ def tag_set_algebra(spark, sf):
     own = F.array("c_mktsegment", F.concat(F.lit("n"), (F.col("c_nationkey") % 3).cast("string")), F.when(F.col("c_custkey") % 2 == 0, "-even").otherwise("-odd"))
     b, text = F.array(*map(F.lit, ("BUILDING", "n1", "-odd", "-big"))), lambda a: F.array_join(a, ",")
     return table(spark, sf, "customer").select("c_custkey", text(Y.tags_union(own, b)).alias("either"), text(Y.tags_intersection(own, b)).alias("both"), text(Y.tags_difference(own, b)).alias("rest"))
+
+
+@query("""WITH k AS (SELECT vec_id, label, embedding[1]::DOUBLE AS v0, embedding[2]::DOUBLE AS v1, embedding[3]::DOUBLE AS h0, embedding[4]::DOUBLE AS h1 FROM embeddings), s AS (SELECT *, 0.25::DOUBLE AS s FROM k)
+SELECT vec_id, round(CASE label % 3 WHEN 0 THEN v0 WHEN 1 THEN v0 + (v1 - v0) * s ELSE pow(1 - s, 3) * v0 + 3 * pow(1 - s, 2) * s * h0 + 3 * (1 - s) * s * s * h1 + pow(s, 3) * v1 END, 6) AS value,
+  round(CASE label % 3 WHEN 0 THEN 0 WHEN 1 THEN (v1 - v0) / 3 ELSE (3 * pow(1 - s, 2) * (h0 - v0) + 6 * (1 - s) * s * (h1 - h0) + 3 * s * s * (v1 - h1)) / 3 END, 6) AS velocity FROM s""")
+def keyframe_curves(spark, sf):
+    """Curves of two frames at times 0 and 3 with handles at 1 and 2, where time and place on the curve are one; at time 0.75."""
+    at = lambda k: F.get("embedding", F.lit(k)).cast("double")
+    e = table(spark, sf, "embeddings")
+    mode = F.when(F.col("label") % 3 == 0, "CONSTANT").when(F.col("label") % 3 == 1, "LINEAR").otherwise("BEZIER").alias("mode")
+    start = e.select("vec_id", F.lit(0.0).alias("t"), at(0).alias("value"), mode, F.lit(-1.0).alias("left_time"), at(0).alias("left_value"), F.lit(1.0).alias("right_time"), at(2).alias("right_value"))
+    end = e.select("vec_id", F.lit(3.0).alias("t"), at(1).alias("value"), mode, F.lit(2.0).alias("left_time"), at(3).alias("left_value"), F.lit(4.0).alias("right_time"), at(1).alias("right_value"))
+    out = W.keyframe_values(start.union(end), e.select("vec_id", F.lit(0.75).alias("t")), ["vec_id"], "t")
+    return out.select("vec_id", F.round("value", 6).alias("value"), F.round("velocity", 6).alias("velocity"))
+
+
+_ACTIONS = [(0, 4, "max"), (1, 2, "mean"), (2, 8, "mask"), (3, 4, "min")]
+
+
+@query(f"""WITH a(frame, factor, how) AS (VALUES {", ".join(f"({t}, {f}, '{h}')" for t, f, h in _ACTIONS)}), p AS ({_PIXEL})
+SELECT frame AS data_type, (y // factor)::INT AS y, (x // factor)::INT AS x, round(CASE any_value(how) WHEN 'max' THEN max(value) WHEN 'mean' THEN avg(value) WHEN 'min' THEN min(value) ELSE (max(value) > 0.01)::INT END, 5)::DOUBLE AS value
+FROM p JOIN a USING (frame) GROUP BY frame, y // factor, x // factor""")
+def pooled_by_type(spark, sf):
+    actions = spark.createDataFrame(_ACTIONS, "data_type int, factor int, how string")
+    out = R.pooled_by_type(_pixels(spark, sf).withColumnRenamed("frame", "data_type"), actions)
+    return out.withColumn("value", F.round("value", 5))
+
+
+# programs before they are compiled ----------------------------------------------------------------
+
+
+def _bounded() -> Problem:
+    count = lambda *t: scene()[t].count()
+    return Problem({
+        "paid": count("order", "status-F").in_range(100, 8000), "builders": count("customer", "BUILDING") * 2 + 10 <= 901, "nations": 40 - count("nation") >= 10,
+        "urgent": scene()["order", "1-URGENT"].related_to(scene()["customer", "BUILDING"], SUPPORTED).count() > 3,
+    })
+
+
+@query("""SELECT 0 AS k, 100::DOUBLE AS low, 8000::DOUBLE AS high, (SELECT count(*) FROM orders WHERE o_orderstatus = 'F')::BIGINT AS n
+UNION ALL SELECT 1, NULL, 445, (SELECT count(*) FROM customer WHERE c_mktsegment = 'BUILDING') UNION ALL SELECT 2, NULL, 30, (SELECT count(*) FROM nation)
+UNION ALL SELECT 3, 4, NULL, (SELECT count(*) FROM orders JOIN customer ON c_custkey = o_custkey WHERE o_orderpriority = '1-URGENT' AND c_mktsegment = 'BUILDING')""")
+def bounds_and_counts(spark, sf):
+    """Each bound that the program puts on a domain, by undoing its arithmetic, beside how many entities the domain has."""
+    db, out = database(spark, sf), None
+    for k, b in enumerate(analysis.bounds(_bounded())):
+        n = Compiler(db).members(scene().in_domain(b.domain)).agg(F.count("*").alias("n"))
+        end = lambda x: F.lit(None if x is None else float(x)).cast("double")
+        row = n.select(F.lit(k).alias("k"), end(b.low).alias("low"), end(b.high).alias("high"), "n")
+        out = row if out is None else out.union(row)
+    return out
+
+
+@query("""SELECT 'paid' AS name, 'violation' AS kind, greatest(100 - n, n - 8000, 0)::DOUBLE AS value FROM (SELECT count(*) AS n FROM orders WHERE o_orderstatus = 'F')
+UNION ALL SELECT 'urgent', 'violation', greatest(4 - n, 0)::DOUBLE FROM (SELECT count(*) AS n FROM orders JOIN customer ON c_custkey = o_custkey WHERE o_orderpriority = '1-URGENT' AND c_mktsegment = 'BUILDING')""")
+def relevant_part(spark, sf):
+    """The part of a program that concerns orders: the others have tags that orders are known not to have."""
+    orders = Domain(tags("order", "-customer", "-nation"))
+    return evaluate(analysis.filtered(_bounded(), orders), database(spark, sf))
+
+
+@query("SELECT n_nationkey, count(c_custkey)::BIGINT AS n FROM nation LEFT JOIN customer ON c_nationkey = n_nationkey AND c_mktsegment = 'MACHINERY' WHERE n_nationkey IN (2, 3, 5, 7, 11) GROUP BY 1")
+def substituted_domains(spark, sf):
+    """A domain with a variable, once for each of five nations in its place."""
+    db = database(spark, sf)
+    named = Bindings(db.objects.withColumn("tags", F.array_append("tags", F.concat(F.lit("obj:"), "name"))), db.relations, db.classes)
+    x, out = tag("var:x"), None
+    domain = Domain(tags("customer", "MACHINERY"), ((TOUCHING, Domain(frozenset([x]) | tags("nation"))),))
+    for d in analysis.substitutions(domain, {x: [f"nation:{k}" for k in (2, 3, 5, 7, 11)]}):
+        (name,) = d.objects_named()
+        n = Compiler(named).members(scene().in_domain(d)).agg(F.count("*").alias("n"))
+        row = n.select(F.lit(int(name.split(":")[1])).alias("n_nationkey"), "n")
+        out = row if out is None else out.union(row)
+    return out

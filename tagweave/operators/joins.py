@@ -205,22 +205,27 @@ def best_match(left: DataFrame, right: DataFrame, key: str, least: float = 80.0)
 
     Likeness is 200 * (longest common subsequence) / (sum of lengths), over snake-cased names. Names are compared only
     if they share two characters in a row (ends count as characters): a pair of 80 % or more always does, as its
-    insertions and deletions are too few to break all of them. The subsequence runs as an Arrow function: no built-in counts it.
+    insertions and deletions are too few to break all of them; lengths that differ too much are left out first. The subsequence
+    runs as an Arrow function, a step a character over the bits of the other name: no built-in counts it.
     A name with an equal one on the right takes that, as no other is as like; only the names without are searched for.
     """
     from tagweave.functions.scalar import snake_case
 
     @F.pandas_udf("double")
     def likeness(a: pd.Series, b: pd.Series) -> pd.Series:
+        places: dict[str, dict[str, int]] = {}  # of each character in a name, as bits: names meet many others
+
         def one(x: str, y: str) -> float:
             if not x and not y:
                 return 100.0
-            row = [0] * (len(y) + 1)
-            for c in x:
-                diagonal = 0
-                for k, d in enumerate(y, 1):
-                    diagonal, row[k] = row[k], diagonal + 1 if c == d else max(row[k], row[k - 1])
-            return 200.0 * row[-1] / (len(x) + len(y))
+            if x not in places:
+                places[x] = {c: sum(1 << k for k, d in enumerate(x) if c == d) for c in set(x)}
+            at, open_ = places[x], (1 << len(x)) - 1  # a bit of ``open_`` falls for each character that the subsequence has
+            for c in y:
+                hit = open_ & at.get(c, 0)
+                open_ = (open_ + hit) | (open_ - hit)
+            common = len(x) - (open_ & ((1 << len(x)) - 1)).bit_count()
+            return 200.0 * common / (len(x) + len(y))
 
         return pd.Series([one(x, y) for x, y in zip(a, b, strict=True)])
 
@@ -230,7 +235,9 @@ def best_match(left: DataFrame, right: DataFrame, key: str, least: float = 80.0)
     equal = b.groupBy(F.col("b_name").alias("same")).agg(F.max("b").alias("b")).where(F.lit(least <= 100.0))
     same = a.distinct().join(equal, F.col("a_name") == F.col("same")).select("a", F.struct("b", F.lit(100.0).alias("score")).alias("m"))
     a = a.join(equal, F.col("a_name") == F.col("same"), "left_anti")
-    shared = a.withColumn("g", F.explode(grams(F.col("a_name")))).join(b.withColumn("g", F.explode(grams(F.col("b_name")))), "g").drop("g").distinct()
+    shared = a.withColumn("g", F.explode(grams(F.col("a_name")))).join(b.withColumn("g", F.explode(grams(F.col("b_name")))), "g").drop("g")
+    # a subsequence is no longer than the shorter name
+    shared = shared.where(200 * F.least(F.length("a_name"), F.length("b_name")) >= least * (F.length("a_name") + F.length("b_name"))).distinct()
     scored = shared.withColumn("score", likeness("a_name", "b_name")).where(F.col("score") >= least)
     best = scored.groupBy("a").agg(F.max_by(F.struct("b", "score"), F.struct("score", "b")).alias("m")).union(same)
     return left.join(best, F.col(key) == F.col("a"), "left").select(*left.columns, F.col("m.b").alias("match"), F.col("m.score").alias("score"))

@@ -101,6 +101,20 @@ def pooled(pixels: DataFrame, by: list[str], factor: int, how: str) -> DataFrame
     return rows.groupBy(*by, "y", "x").agg(value.alias("value"))
 
 
+def pooled_by_type(pixels: DataFrame, actions: DataFrame) -> DataFrame:
+    """Rasters (data_type, y, x, value, ...) made smaller as a table of actions says: data_type, factor, how (see ``pooled``).
+
+    ``how`` is mean, max, min, first or mask (1 where any of a cell is over 0.01). Types without an action stay out.
+    """
+    rows = pixels.join(F.broadcast(actions), "data_type")  # a row a type of data
+    cell = lambda c: F.floor(F.col(c) / F.col("factor")).cast("int").alias(c)
+    rows = rows.select("data_type", "how", cell("y"), cell("x"), F.col("y").alias("y0"), F.col("x").alias("x0"), "value")
+    how, mask = F.first("how"), (F.max("value") > 0.01).cast("double")
+    first = F.min_by("value", F.struct("y0", "x0"))
+    value = F.when(how == "mean", F.avg("value")).when(how == "max", F.max("value")).when(how == "min", F.min("value")).when(how == "mask", mask).otherwise(first)
+    return rows.groupBy("data_type", "y", "x").agg(value.alias("value"))
+
+
 def dark(pixels: DataFrame, by: list[str], least: float = 20.0) -> DataFrame:
     """Images whose mean is below ``least``."""
     return pixels.groupBy(*by).agg(F.avg("value").alias("mean")).where(F.col("mean") < least)

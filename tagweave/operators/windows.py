@@ -107,6 +107,46 @@ def bezier_value(t0: float, v0: float, h0: tuple[float, float], h1: tuple[float,
     return curve(v0, h0[1], h1[1], v1, low)
 
 
+def bezier_at(times: list[Column], values: list[Column], t: Column, steps: int = 50) -> Column:
+    """STRUCT<value, velocity> of a Bezier segment with four times and values (ends and handles) at time ``t``: the place on
+    the curve is found by halving, as the times of sane handles ascend; both are built-in expressions."""
+    power = lambda s: ((1 - s) * (1 - s) * (1 - s), 3 * (1 - s) * (1 - s) * s, 3 * (1 - s) * s * s, s * s * s)
+    curve = lambda c, s: sum((p * x for p, x in zip(power(s)[1:], c[1:], strict=True)), power(s)[0] * c[0])
+    slope = lambda c, s: 3 * (1 - s) * (1 - s) * (c[1] - c[0]) + 6 * (1 - s) * s * (c[2] - c[1]) + 3 * s * s * (c[3] - c[2])
+
+    def halve(at: Column, _: Column) -> Column:
+        middle = (at["low"] + at["high"]) / 2
+        before = curve(times, middle) < t
+        return F.struct(F.when(before, middle).otherwise(at["low"]).alias("low"), F.when(before, at["high"]).otherwise(middle).alias("high"))
+
+    place = F.aggregate(F.sequence(F.lit(1), F.lit(steps)), F.struct(F.lit(0.0).alias("low"), F.lit(1.0).alias("high")), halve, lambda at: at["low"])
+    # worked out once: the place stands in an array of one, which the value and the velocity are made of
+    both = F.transform(F.array(place), lambda s: F.struct(curve(values, s).alias("value"), F.try_divide(slope(values, s), slope(times, s)).alias("velocity")))
+    return F.get(both, F.lit(0))
+
+
+def keyframe_values(keys: DataFrame, at: DataFrame, by: list[str], time: str) -> DataFrame:
+    """Value and velocity at the times of ``at`` (by..., time) of curves through keyframes (by..., time, value, mode,
+    left_time, left_value, right_time, right_value: the handles); mode CONSTANT, LINEAR or BEZIER to the next frame.
+
+    Before the first frame there is no value; from the last one on the value stays.
+    """
+    from tagweave.operators.joins import asof
+
+    w = Window.partitionBy(*by).orderBy(time)
+    ahead = {"t1": time, "v1": "value", "h1t": "left_time", "h1v": "left_value"}
+    segments = keys.withColumns({n: F.lead(c).over(w) for n, c in ahead.items()})
+    rows = asof(at, segments, by, time, ["value", "mode", "right_time", "right_value", *ahead], "k_", strict=False)
+    c = lambda n: F.col(f"k_{n}")
+    t, last = F.col(time), c("t1").isNull()
+    line = F.try_divide(c("v1") - c("value"), c("t1") - c(time))
+    bent = bezier_at([c(time), c("right_time"), c("h1t"), c("t1")], [c("value"), c("right_value"), c("h1v"), c("v1")], t)
+    still, none = last | (c("mode") == "CONSTANT"), c("value").isNull()
+    value = F.when(none | still, c("value")).when(c("mode") == "LINEAR", c("value") + line * (t - c(time))).otherwise(bent["value"])
+    velocity = F.when(none, F.lit(None).cast("double")).when(still, F.lit(0.0)).when(c("mode") == "LINEAR", line).otherwise(bent["velocity"])
+    return rows.select(*by, time, value.alias("value"), velocity.alias("velocity"))
+
+
 def by_angle(points: DataFrame, by: list[str], x: str = "x", y: str = "y") -> DataFrame:
     """Number each group's points by their angle around its centroid."""
     mid = Window.partitionBy(*by)

@@ -19,6 +19,10 @@ def parsed(rows: DataFrame, pattern: str, names: list[str], column: str = "raw")
     return rows.where(F.col(column).rlike(pattern)).withColumns(groups)
 
 
+#: The layout of a line of a crash summary.
+CRASH_LINE = r"""^.*\s.*\s(.*/([a-zA-Z0-9]*)/logs/(.*))\sreason=["'](.*)["']\snode='(.*)'"""
+
+
 def crashes(rows: DataFrame, scripts: DataFrame | None = None) -> DataFrame:
     """Crash summaries: ``... PATH/JOB/logs/STAGE_0_0.err reason="..." node='...'`` lines; others are dropped.
 
@@ -26,8 +30,7 @@ def crashes(rows: DataFrame, scripts: DataFrame | None = None) -> DataFrame:
     of scene folders: ``configs`` is what stands between ``-g`` and ``-p`` in the first line that runs the stage, and
     ``scenetype`` the first word of it; null where there is none.
     """
-    form = r"""^.*\s.*\s(.*/([a-zA-Z0-9]*)/logs/(.*))\sreason=["'](.*)["']\snode='(.*)'"""
-    out = parsed(rows, form, ["log_path", "job_id", "log", "reason", "node"])
+    out = parsed(rows, CRASH_LINE, ["log_path", "job_id", "log", "reason", "node"])
     out = out.withColumn("stage", F.substring_index(F.substring_index("log", ".", 1), "_", 1)).drop("log")
     if scripts is None:
         return out

@@ -167,6 +167,13 @@ def test_windows(spark):
     keys = spark.createDataFrame([(1, 0.0, 0.0, "LINEAR"), (1, 2.0, 4.0, "CONSTANT"), (1, 3.0, 9.0, "LINEAR")], "g int, t double, v double, mode string")
     assert [(r.slope) for r in W.keyframed(keys, ["g"], "t", "v", "mode").orderBy("t0").collect()] == [2.0, 0.0, 0.0]
     assert W.bezier_value(0, 0, (1 / 3, 1 / 3), (2 / 3, 2 / 3), 1, 1, 0.25) == pytest.approx(0.25)
+    frames = [(1, 0.0, 0.0, "BEZIER", -1.0, 0.0, 0.2, 3.0), (1, 1.0, 4.0, "LINEAR", 0.9, 3.5, 1.1, 4.0), (1, 2.0, 6.0, "CONSTANT", 1.9, 6.0, 2.1, 6.0), (1, 3.0, 1.0, "BEZIER", 2.9, 1.0, 3.1, 1.0)]
+    curve = spark.createDataFrame(frames, "g int, t double, value double, mode string, left_time double, left_value double, right_time double, right_value double")
+    asked = spark.createDataFrame([(1, t) for t in (-1.0, 0.0, 0.5, 1.5, 2.5, 9.0)], "g int, t double")
+    got = {r.t: (r.value, r.velocity) for r in W.keyframe_values(curve, asked, ["g"], "t").collect()}
+    bent = lambda t: W.bezier_value(0.0, 0.0, (0.2, 3.0), (0.9, 3.5), 1.0, 4.0, t)
+    assert got[-1.0] == (None, None) and got[1.5] == (5.0, 2.0) and got[2.5] == (6.0, 0.0) and got[9.0] == (1.0, 0.0) and got[0.0][0] == pytest.approx(0, abs=1e-9)
+    assert got[0.5][0] == pytest.approx(bent(0.5)) and got[0.5][1] == pytest.approx((bent(0.50001) - bent(0.49999)) / 0.00002, rel=1e-4)
     ring = spark.createDataFrame([(1, math.cos(k * math.pi / 2), math.sin(k * math.pi / 2), k * math.pi / 2) for k in range(4)], "g int, x double, y double, a double")
     assert W.rotational_asymmetry(W.by_angle(ring, ["g"]), ["g"], "a").first().asymmetry == pytest.approx(0, abs=1e-6)
     pts = [(0.0, 0.0, 0.3), (2.0, 0.5, 1.0), (1.5, 3.0, -2.0), (-1.0, 2.0, 0.0), (0.5, -1.0, 2.5)]
@@ -222,6 +229,9 @@ def test_raster(spark):
     image = spark.createDataFrame([(y, x, float(y * 4 + x)) for y in range(4) for x in range(4)], "y int, x int, value double")
     assert {(r.y, r.x): r.value for r in R.pooled(image, [], 2, "max").collect()}[1, 1] == 15 and R.pooled(image, [], 2, "first").where("y = 0 and x = 1").first().value == 2
     cams = spark.createDataFrame([("c", eye, move, 10.0, 10.0)], "camera string, K array<array<double>>, T array<array<double>>, width double, height double")
+    corners = [[x, y, z] for x in (-1.0, 1.0) for y in (0.0, 2.0) for z in (-1.0, 2.0)]
+    boxes = spark.createDataFrame([("b", corners, eye), ("behind", [[0.0, 0.0, -1.0]], eye)], "id string, corners array<array<double>>, K array<array<double>>")
+    assert [tuple(r) for r in R.boxes_in_view(boxes).collect()] == [("b", -0.5, 0.5, 0.0, 1.0, 4)]
     pts = spark.createDataFrame([("near", [0.0, 1.0, 1.0]), ("far", [0.0, 0.0, 99.0]), ("off", [50.0, 0.0, 1.0])], "point string, xyz array<double>")
     assert [r.point for r in R.in_view(pts, cams, 10.0, 1.0).collect()] == ["near"]
 
@@ -246,7 +256,10 @@ def test_geometry(spark):
     assert angles["r"] == 0 and angles["a"] == pytest.approx(math.pi / 2, abs=1e-3) and angles["b"] == pytest.approx(math.pi / 4, abs=1e-3)
     rooms = spark.createDataFrame([(10.0,), (5.0,)], "area double")
     asked = spark.createDataFrame([("a", "b", False), ("a", "x", True)], "a string, b string, exterior boolean")
-    assert G.coherence(rooms, asked, spark.createDataFrame([("b", "a")], "a string, b string"), 16.0).first().violations == 3
+    there = spark.createDataFrame([("b", "a")], "a string, b string")
+    assert G.coherence(rooms, asked, there, 16.0).first().violations == 3
+    floors = spark.createDataFrame([([0.0, 0.0], [4.0, 4.0], [0.0, 0.0], [4.0, 5.0]), ([0.0, 0.0], [4.0, 6.0], [0.0, 0.0], [4.0, 5.0])], "lows array<double>, highs array<double>, below_lows array<double>, below_highs array<double>")
+    assert G.coherence(rooms, asked, there, 16.0, floors).first().violations == 4
 
 
 def test_annealing_and_moves():

@@ -134,6 +134,9 @@ def test_state(spark, tmp_path):
     state.write_lines(series, F.col("value"), str(tmp_path / "imu"))
     state.write_lines(spark.createDataFrame([("# note",)], "value string"), F.col("value"), str(tmp_path / "imu"))
     assert sorted(tuple(r) for r in state.read_series(spark, str(tmp_path / "imu"), ["timestamp", "x"]).collect()) == [(1.0, 3.0), (2.0, 1.0)]
+    disk = state.disk_report(spark.createDataFrame([("total used free",), (f"/dev/a {4 << 20} {1 << 20} {3 << 20} 25% /",)], "raw string")).first()
+    assert tuple(disk) == (4.0, 1.0, 3.0, 0.25)
+    assert spark.range(1).select(state.tag_dictionary(F.lit('{"a.b": 3, "c": 4}'))).first()[0] == {"a.b": 3, "c": 4}
     faces = spark.createDataFrame([(0, 1), (1, 2), (2, None)], "face int, tag long")
     names = spark.createDataFrame([(1, "a.b"), (2, "a")], "id long, name string")
     assert {r.face: r.hit for r in state.tagged_faces(faces, names, ["a"], ["b"]).collect()} == {0: False, 1: True, 2: False}
