@@ -12,6 +12,8 @@ import re
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -40,9 +42,24 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     df.write.parquet(path)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     out._written_at = path
+    for tables in _noted:
+        tables.append(out)
     return out
 
 
+_noted: list[list[DataFrame]] = []
+
+
+@contextmanager
+def written_tables() -> Iterator[list[DataFrame]]:
+    """The tables that ``materialize`` writes inside the block: for whoever has read all that they are for, to discard them."""
+    _noted.append([])
+    try:
+        yield _noted[-1]
+    finally:
+        _noted.pop()
+
+
 def discard(*frames: DataFrame) -> None:
     """Delete what ``materialize`` wrote for the frames; only once nothing that is still to run reads it."""
     for df in frames:
