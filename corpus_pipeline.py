@@ -3,7 +3,7 @@
 Each stage takes (spark, docs, sf_dir), works on all documents that the one before kept, and
 returns documents again; the last returns the packed pieces. ``run`` writes each stage's result
 to the shared folder and reads it back, so a lost executor costs one stage's work at most; a
-stage's table is deleted once the next one is written.
+stage's table is deleted once the next one is written, and with it what its operators wrote.
 
 Null texts count as empty, and the quality rules reject them, as they do texts of few words. Texts
 of any length are handled whole. Rows are what is kept or dropped: where ids repeat or are null,
@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tagweave.llm import exact_dedup, near_dedup, packing, quality_rules, queries, secret_scans
-from tagweave.llm.common import discard, materialize
+from tagweave.llm.common import discard, materialize, written_tables
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -82,12 +82,10 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the documents of ``sf_dir``."""
-    docs, last = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
-    for n, (_, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
-        if n + 1 < len(STAGES):
-            docs = materialize(docs, f"stage-{n}")
-            if last is not None:
-                discard(last)
-            last = docs
-    return docs
+    docs, last = spark.read.parquet(f"{sf_dir}/documents.parquet"), []
+    for n, (_, stage) in enumerate(STAGES[:-1]):
+        with written_tables() as tables:
+            docs = materialize(stage(spark, docs, sf_dir), f"stage-{n}")
+        discard(*last, *tables[:-1])  # what the operators wrote for this stage, and the stage before
+        last = [docs]
+    return STAGES[-1][1](spark, docs, sf_dir)
