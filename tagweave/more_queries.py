@@ -273,7 +273,8 @@ def _mesh(spark, sf):
 
 
 @query("""WITH n AS (SELECT count(*) AS n FROM part), v AS (SELECT p_partkey AS old, row_number() OVER (ORDER BY p_size % 4, p_partkey % 13, p_size % 5, p_partkey) - 1 AS new FROM part),
-f AS (SELECT va.new AS a, vb.new AS b, vc.new AS c FROM part, n JOIN v va ON va.old = p_partkey JOIN v vb ON vb.old = (p_partkey * 7 + 1) % n JOIN v vc ON vc.old = (p_partkey * 13 + 2) % n)
+g AS (SELECT p_partkey AS a, (p_partkey * 7 + 1) % n AS b, (p_partkey * 13 + 2) % n AS c FROM part, n),
+f AS (SELECT va.new AS a, vb.new AS b, vc.new AS c FROM g JOIN v va ON va.old = g.a JOIN v vb ON vb.old = g.b JOIN v vc ON vc.old = g.c)
 SELECT a::BIGINT AS a, b::BIGINT AS b, c::BIGINT AS c, (row_number() OVER (ORDER BY c, b, a) - 1)::BIGINT AS face FROM f""")
 def mesh_sorted(spark, sf):
     return N.sorted_mesh(*_mesh(spark, sf))[1].select("a", "b", "c", "face")

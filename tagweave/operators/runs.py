@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tagweave.functions.scalar import clock_text
+from tagweave.operators.aggregates import quantiles
 from tagweave.operators.windows import numbered
 
 
@@ -54,14 +55,13 @@ def asset_times(rows: DataFrame, scenes: int, text: bool = False) -> DataFrame:
 
     Quantiles interpolate between ranks. With ``text``, times are ``HH:MM:SS``. An asset stands in one step.
     """
-    q = F.percentile("seconds", F.array(*map(F.lit, (0.5, 0.9, 0.95, 0.99))))
-    out = rows.groupBy("asset").agg(
-        F.avg("seconds").alias("mean"), q.alias("q"), F.sum("seconds").alias("total"), F.try_divide(100.0 * F.sum("seconds"), F.sum("scene_seconds").cast("double")).alias("scene_percent"),
+    sums = rows.groupBy("asset").agg(
+        F.sum("seconds").alias("total"), F.try_divide(100.0 * F.sum("seconds"), F.sum("scene_seconds").cast("double")).alias("scene_percent"),
         F.try_divide(100.0 * F.sum("seconds"), F.sum("step_seconds").cast("double")).alias("step_percent"), F.min("step").alias("step"), (F.count("*") / F.lit(scenes)).alias("chance"),
     )
-    shown = lambda c: clock_text(F.bround(c)) if text else F.bround(c)
-    times = {"mean": F.col("mean"), **{n: F.get("q", F.lit(k)) for k, n in enumerate(("median", "p90", "p95", "p99"))}, "total": F.col("total")}
-    return out.select("asset", *[shown(c).alias(n) for n, c in times.items()], "scene_percent", "step_percent", "step", "chance")
+    shown = lambda c: (clock_text(F.bround(c)) if text else F.bround(c)).alias(c)
+    out = quantiles(rows, ["asset"], F.col("seconds"), 9).drop("n").join(sums, "asset")
+    return out.select("asset", *map(shown, ("mean", "median", "p90", "p95", "p99", "total")), "scene_percent", "step_percent", "step", "chance")
 
 
 def polygons(objects: DataFrame) -> DataFrame:

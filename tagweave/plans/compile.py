@@ -151,7 +151,7 @@ class Compiler:
         return how(self, s)
 
     def test(self, filters: tuple[Filter, ...], rows: DataFrame) -> Column:
-        """The filters as one condition. A class that is asked for is a plain comparison too: it reaches the scans and drops whole tables."""
+        """The filters as one condition. A class that is asked for is a plain comparison: it reaches the scans and drops whole tables."""
         out = F.lit(True)
         denied = rows["neg_tags"] if "neg_tags" in rows.columns else None
         for f in filters:
@@ -160,10 +160,12 @@ class Compiler:
                 stored = F.arrays_overlap(F.array(*[F.lit(str(t)) for t in sorted(asks)]).cast("array<string>"), rows["tags"])
                 out = out & reduce(lambda a, b: a | b, [~F.array_contains(rows["tags"], str(t)) for t in sorted(bars)], stored)
                 continue
-            names = [t.name for t in asks if t.kind == SEMANTICS and t.name in self.db.classes]
-            if names and "class" in rows.columns:
-                out = out & rows["class"].isin(names)
-            out = out & satisfied_by(f.of, rows["tags"], denied)
+            of_class = [t for t in asks if t.kind == SEMANTICS and t.name in self.db.classes] if "class" in rows.columns else []
+            for t in of_class:  # an entity has the tag of its class and of no other
+                out = out & (rows["class"] == t.name)
+            rest = f.of - frozenset(of_class)
+            if rest:
+                out = out & satisfied_by(rest, rows["tags"], denied)
         return out
 
     def filtered(self, rows: DataFrame, filters: list[tuple[Filter, ...]]) -> DataFrame:
