@@ -7,6 +7,7 @@ readers and writers, so that any store that only Spark can reach will do.
 from __future__ import annotations
 
 import atexit
+import ctypes
 import os
 import re
 import shutil
@@ -16,6 +17,7 @@ from collections.abc import Iterator
 from contextlib import contextmanager
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -130,21 +132,39 @@ class Kept:
         new = words.difference(self.now)
         if new and self.held > self.most_bytes:
             self.before, self.now, self.held, new = self.now, {}, 0, words
-        known, unknown = self.before, []
-        for w in new:
-            found = known.get(w)
-            if found is None:
-                unknown.append(w)
-            else:
-                self._keep(w, found)
+        known = self.before.keys() & new
+        self._keep(known, list(map(self.before.__getitem__, known)))
+        unknown = list(new - known)
         for k in range(0, len(unknown), at_once):
             part = unknown[k : k + at_once]
-            for w, found in zip(part, work(part), strict=True):
-                self._keep(w, found)
+            self._keep(part, work(part))
 
-    def _keep(self, word, found) -> None:
-        self.now[word] = found
-        self.held += self.ENTRY + len(word) + (len(found) if isinstance(found, bytes) else 0)
+    def _keep(self, words, found: list) -> None:
+        self.now.update(zip(words, found, strict=True))
+        self.held += self.ENTRY * len(found) + sum(map(len, words)) + (sum(map(len, found)) if found and isinstance(found[0], bytes) else 0)
+
+
+def let_go() -> None:
+    """At a task's end: give memory that is free again back to the system, as a worker may wait long for its next task."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another system's library: its own business
+        pass
+
+
+@contextmanager
+def one_thread() -> Iterator[None]:
+    """Inside, the tokenizers library starts no threads of its own: for small batches, where handing out costs more than it brings."""
+    before = os.environ.get("TOKENIZERS_PARALLELISM")
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    try:
+        yield
+    finally:
+        if before is None:
+            del os.environ["TOKENIZERS_PARALLELISM"]
+        else:
+            os.environ["TOKENIZERS_PARALLELISM"] = before
 
 
 def few_threads() -> None:

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tagweave.llm.common import components, discard, materialize, slices, string_buffer, whole_text
+from tagweave.llm.common import components, discard, let_go, materialize, slices, string_buffer, whole_text
 
 #: After LEVELS levels of large nodes, or DEPTH in a task, whatever is left is compared, however much it is.
 TOKENS, TREES, LEVELS, DEPTH = 64, 12, 24, 24
@@ -143,6 +143,7 @@ def _sketches(width: int):
                 prints = [hashlib.blake2b(sets[a:b].tobytes(), digest_size=16).digest() for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
                 columns = [batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(prints, pa.binary()), pa.array([t.tobytes() for t in tokens], pa.binary())]
                 yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_shingles", "print", "tokens"])
+        let_go()
 
     return run
 
@@ -251,6 +252,7 @@ def _compare_nodes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         yield result(links(ids[:last], reps[:last], tokens[:last]))
     if held is not None:
         yield result(links(*held))
+    let_go()
 
 
 def _forest(a: np.ndarray, b: np.ndarray, twice: bool) -> Iterator[tuple[int, tuple[np.ndarray, np.ndarray]]]:

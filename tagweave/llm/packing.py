@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tagweave.llm.common import Kept, few_threads, materialize, slices, whole_text
+from tagweave.llm.common import Kept, few_threads, let_go, materialize, one_thread, slices, whole_text
 from tagweave.llm.merging import RankMerger
 
 ITEM = "struct<doc_id: bigint, piece: int, start: bigint, length: bigint, ids_crc32: bigint, offset: bigint>"
@@ -87,7 +87,8 @@ class WordEncoder:
         other = [w for w, m in zip(words, found, strict=True) if m is None]
         by_library: list[bytes] = []
         for k in range(0, len(other), 5_000):
-            batch = self.tokenizer.encode_batch_fast([w.decode() for w in other[k : k + 5_000]], add_special_tokens=False)
+            with one_thread():
+                batch = self.tokenizer.encode_batch_fast([w.decode() for w in other[k : k + 5_000]], add_special_tokens=False)
             by_library += [np.array(e.ids, "<u4").tobytes() for e in batch]
         if len(other) == len(words):
             return by_library
@@ -139,6 +140,7 @@ def pieces(docs: DataFrame, tokenizer_file: str, id_column: str = "doc_id", text
                 columns = list(zip(*out, strict=True))
                 kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()]
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["doc_id", "piece", "start", "length", "ids_crc32"])
+        let_go()
 
     rows = docs.select(docs[id_column].cast("long").alias("doc_id"), whole_text(docs, text_column).alias("text"))
     return rows.mapInArrow(run, "doc_id long, piece int, start long, length long, ids_crc32 long")
