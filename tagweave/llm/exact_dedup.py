@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tagweave.llm.common import materialize, slices, string_buffer, whole_text
+from tagweave.llm.common import let_go, materialize, slices, string_buffer, whole_text
 
 SCHEMA = "doc_id long, text_sha256 string, recipe binary, chunks array<struct<digest: binary, body: binary>>"
 #: Chunk sizes in bytes: none but a text's last is under LEAST, none over MOST, and cuts come about every 2 ** BITS.
@@ -80,7 +80,7 @@ def chunk_bounds(places: np.ndarray, start: int, end: int) -> list[int]:
 
 def _recipes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for whole in batches:
-        for batch in slices(whole, "text"):
+        for batch in slices(whole, "text", 2 << 20):
             data, at = squeeze(*string_buffer(batch.column("text")))
             places, raw = cut_places(data), data.tobytes()
             shas, recipes, digests, bodies, counts = [], [], [], [], [0]
@@ -98,6 +98,7 @@ def _recipes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 [batch.column("doc_id"), pa.array(shas, pa.string()), pa.array(recipes, pa.binary()), pa.ListArray.from_arrays(pa.array(counts, pa.int32()), chunks)],
                 ["doc_id", "text_sha256", "recipe", "chunks"],
             )
+    let_go()
 
 
 def exact_dedup(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
@@ -108,7 +109,9 @@ def exact_dedup(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
 
     Null texts count as empty; empty texts form a group. A null doc_id is never kept unless its whole
     group has none (then keep_id is null and kept true). Rows that repeat both id and text are each
-    counted and share their verdict. Very long texts are chunked like any other.
+    counted and share their verdict. No rows give no rows; other columns aren't read, whatever their names. Very long
+    texts are chunked like any other; a worker holds a slice of a batch (2 MB of text, or one longer text) and some
+    twenty bytes for each of its bytes.
 
     A chunk digest that two different bodies share (none is known to exist) is found by the byte
     comparison; documents with such a chunk are then compared by their bodies as well.
