@@ -5,7 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tagweave.llm import exact_dedup, license_scans, near_dedup, packing, quality_rules, secret_scans, sentencepiece_codec, sharding, token_counts, url_filters
+from tagweave.llm import (
+    exact_dedup,
+    license_scans,
+    near_dedup,
+    ngram_join,
+    packing,
+    quality_rules,
+    secret_scans,
+    sentencepiece_codec,
+    sharding,
+    source_audit,
+    token_counts,
+    url_filters,
+    vector_codes,
+)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -63,6 +77,18 @@ def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.digests(*vector_codes.compress(_table(spark, sf_dir, "embeddings")))
+
+
+def op12_source_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_audit.audit(_table(spark, sf_dir, "documents"))
+
+
+def op13_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.ngram_join(_table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
 QUERIES = {
     "op1_token_counts": op1_token_counts,
     "op2_secret_scans": op2_secret_scans,
@@ -74,6 +100,9 @@ QUERIES = {
     "op8_license_scans": op8_license_scans,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_url_filters": op10_url_filters,
+    "op11_vector_codes": op11_vector_codes,
+    "op12_source_audit": op12_source_audit,
+    "op13_ngram_join": op13_ngram_join,
 }
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -194,4 +223,72 @@ SELECT page_id, host, path, canonical, rule, canonical IN (SELECT url FROM l) AS
 FROM q
 """
 
-SQL = {"op2_secret_scans": OP2_SQL, "op7_quality_rules": OP7_SQL, "op8_license_scans": OP8_SQL, "op9_exact_dedup": OP9_SQL, "op10_url_filters": OP10_SQL}
+_PARTS = vector_codes.PARTS
+
+
+def _assigned(n: int) -> str:
+    """Every part's nearest entry of codebook ``n``: one number that orders by distance, then index."""
+    d = "list_sum(list_transform(list_zip(x, c), lambda z: (z[1] - z[2]) * (z[1] - z[2])))"
+    return f"a{n} AS (SELECT r, parts.p, any_value(x) AS x, min({d}::HUGEINT * {vector_codes.ENTRIES} + i) AS best FROM parts JOIN c{n} ON parts.p = c{n}.p GROUP BY r, parts.p)"
+
+
+def _entries(n: int) -> str:
+    """Codebook ``n`` from the assignment before: floors of means, and the old entries that nothing chose."""
+    return f"""m{n} AS (SELECT p, i, list(((s - ((s % k) + k) % k) // k)::BIGINT ORDER BY j) AS c FROM (
+    SELECT p, best % {vector_codes.ENTRIES} AS i, j, sum(x[j]) AS s, count(*) AS k FROM a{n - 1}, range(1, len(x) + 1) AS t(j) GROUP BY ALL) GROUP BY p, i),
+c{n} AS (SELECT b.p, b.i, coalesce(m.c, b.c) AS c FROM c{n - 1} AS b LEFT JOIN m{n} AS m ON b.p = m.p AND b.i = m.i)"""
+
+
+OP11_SQL = rf"""
+WITH k AS (
+  SELECT row_number() OVER (ORDER BY vec_id, embedding) AS r, vec_id, label, list_transform(embedding, lambda x: floor({vector_codes.SCALE} * x::DOUBLE)::BIGINT) AS v
+  FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+parts AS (SELECT r, p, v[p * (len(v) // {_PARTS}) + 1 : (p + 1) * (len(v) // {_PARTS})] AS x FROM k, range({_PARTS}) AS t(p)),
+c0 AS (SELECT p, r - 1 AS i, x AS c FROM parts WHERE r <= {vector_codes.ENTRIES}),
+{_assigned(0)},
+{_entries(1)},
+{_assigned(1)},
+{_entries(2)},
+{_assigned(2)},
+o AS (SELECT r, string_agg(printf('%02x', (best % {vector_codes.ENTRIES})::INTEGER), '' ORDER BY p) AS code, sum(best // {vector_codes.ENTRIES})::BIGINT AS error FROM a2 GROUP BY r),
+e AS (SELECT label, sum(error)::BIGINT AS label_error FROM k JOIN o USING (r) GROUP BY label),
+h AS (SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY p, i)) AS codebooks_sha256 FROM c2)
+SELECT vec_id, code, error, label_error, codebooks_sha256
+FROM k JOIN o USING (r) JOIN e ON k.label IS NOT DISTINCT FROM e.label, h
+"""
+
+_share = lambda count, total: f"1 + ({source_audit.WHOLE}::HUGEINT * ({count} + 1)) // {total}"
+OP12_SQL = rf"""
+WITH d AS (SELECT row_number() OVER () AS r, coalesce(text, '') AS t, coalesce(lang, '') AS lang, coalesce(source, '') AS source FROM documents),
+g AS (SELECT DISTINCT lang, source FROM d),
+w AS (
+  SELECT r, lang, source, unnest(regexp_extract_all(translate(t, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                 '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d),
+k AS (SELECT lang, term, count(*) AS times FROM w GROUP BY lang, term HAVING count(DISTINCT r) >= {source_audit.LEAST_DOCS}),
+v AS (SELECT lang, count(*) AS v, sum(times) AS n FROM k GROUP BY lang),
+c AS (SELECT w.lang, source, w.term, count(*) AS times FROM w JOIN k ON w.lang = k.lang AND w.term = k.term GROUP BY ALL),
+n AS (SELECT lang, source, sum(times) AS n FROM c GROUP BY ALL),
+s AS (
+  SELECT g.lang, g.source, k.term, coalesce(c.times, 0) AS times, {_share("coalesce(c.times, 0)", "(coalesce(n.n, 0) + v.v)")} AS p, {_share("k.times", "(v.n + v.v)")} AS q
+  FROM g JOIN k ON g.lang = k.lang JOIN v ON g.lang = v.lang
+  LEFT JOIN n ON g.lang = n.lang AND g.source = n.source LEFT JOIN c ON g.lang = c.lang AND g.source = c.source AND k.term = c.term),
+f AS (SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p) AS value
+      FROM s AS a JOIN s AS b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+u AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(f.value, 0) AS value
+  FROM g AS a JOIN g AS b ON a.lang = b.lang AND a.source <> b.source LEFT JOIN f ON a.lang = f.lang AND a.source = f.source AND b.source = f.item
+  UNION ALL SELECT lang, source, 'term', term, (p - q) * (p - q) // q FROM s WHERE times > 0 AND p > q)
+SELECT lang, source, part, item, value::BIGINT AS value, rank::INTEGER AS rank
+FROM (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM u)
+WHERE part = 'pair' OR rank <= {source_audit.TOP}
+"""
+
+SQL = {
+    "op2_secret_scans": OP2_SQL,
+    "op7_quality_rules": OP7_SQL,
+    "op8_license_scans": OP8_SQL,
+    "op9_exact_dedup": OP9_SQL,
+    "op10_url_filters": OP10_SQL,
+    "op11_vector_codes": OP11_SQL,
+    "op12_source_audit": OP12_SQL,
+}
