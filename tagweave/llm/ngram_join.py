@@ -352,7 +352,8 @@ def ngram_join(docs: DataFrame, percent: int = PERCENT, width: int = WIDTH, id_c
 
     found = rows.mapInArrow(_prefixes(width, percent, classes), PREFIXES)
     prefixes = materialize(found.dropDuplicates(), "prefixes")
-    sets = materialize(table.where("n_shingles > 0 and doc_id is not null").groupBy("print").agg(F.min("doc_id").alias("rep"), F.first("row").alias("row")), "sets")
+    linkable = table.where("n_shingles > 0 and doc_id is not null")
+    sets = materialize(linkable.groupBy("print").agg(F.min("doc_id").alias("rep"), F.first("row").alias("row")), "sets")
     links = candidate_links(prefixes, percent, sure)
     named = lambda c: sets.select(F.col("row").alias(f"row_{c}"), F.col("rep").alias(f"rep_{c}"))
     links_of = links.join(named("a"), F.col("a") == F.col("row_a")).join(named("b"), F.col("b") == F.col("row_b")).select(F.col("rep_a").alias("a"), F.col("rep_b").alias("b"))
@@ -361,6 +362,14 @@ def ngram_join(docs: DataFrame, percent: int = PERCENT, width: int = WIDTH, id_c
     links_of = links_of.union(same.join(sets, F.col("of") == F.col("row")).where("a <> rep").select("a", F.col("rep").alias("b")))
     members = components(links_of)
     groups = exact_groups(rows.withColumnRenamed("doc_id", "rep"), members, percent, width)
+    several = linkable.groupBy("doc_id").agg(F.min("print").alias("least"), F.max("print").alias("most")).where("least < most")
+    if not several.isEmpty():  # texts of one id: linked by it, whatever they are
+        of_id = several.select(F.col("doc_id").alias("id")).join(linkable, F.col("id") == F.col("doc_id")).select("id", F.col("print").alias("of"))
+        of_id = of_id.join(sets, F.col("of") == F.col("print")).select(F.col("id").alias("a"), F.col("rep").alias("b"))
+        joined = components(of_id.union(groups.select(F.col("root").alias("a"), F.col("node").alias("b"))))
+        discard(groups)
+        groups = joined.withColumnRenamed("component", "root")
+        groups._written_at = joined._written_at
     roots = sets.select(F.col("print").alias("of"), "rep").join(groups, F.col("rep") == F.col("node"), "left")
     roots = materialize(roots.select("of", F.coalesce("root", "rep").alias("root")), "roots")
     discard(links, members, groups, sets, prefixes)
