@@ -13,7 +13,7 @@ import re
 import shutil
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
 import numpy as np
@@ -90,6 +90,31 @@ def computed_once(df: DataFrame, **columns: Column) -> DataFrame:
     return df.select("*", F.inline(F.array(fields)))
 
 
+def folded(items: Column, zero: Column, step: Callable[[Column, Column], Column], emit: Callable[[Column, Column], Column], merge: Callable[[Column, Column], Column], few: int = 64) -> Column:
+    """``emit(state, x)`` of every item x, the state being what ``step`` has made of ``zero`` with the items before x.
+
+    A fold copies its list of results for each one that it adds. So longer arrays are folded in blocks of about the square
+    root of their length, each from the state that ``merge`` gives of the blocks before. ``step(s, x)`` must be the
+    same as ``merge(s, step(zero, x))``. ``items`` is worked out several times: a column, not a costly expression.
+    """
+
+    def let(value: Column, of: Callable[[Column], Column]) -> Column:
+        return F.get(F.transform(F.array(value), of), 0)  # worked out once, however often ``of`` uses it
+
+    def whole(block: Column, state: Column) -> Column:
+        kind = F.transform(F.filter(block, lambda x: F.lit(False)), lambda x: emit(zero, x))  # the type of no results
+        begun = F.struct(state.alias("state"), kind.alias("out"))
+        put = lambda at, x: F.struct(step(at["state"], x).alias("state"), F.array_append(at["out"], emit(at["state"], x)).alias("out"))
+        return F.aggregate(block, begun, put, lambda at: at["out"])
+
+    length = F.greatest(F.ceil(F.sqrt(F.size(items))), F.lit(few)).cast("int")
+    blocks = F.transform(F.sequence(F.lit(0), F.floor((F.size(items) - 1) / length).cast("int")), lambda k: F.slice(items, k * length + 1, length))
+    totals = lambda cut: F.transform(cut, lambda block: F.aggregate(block, zero, step))
+    each = lambda cut, sums: F.transform(cut, lambda block, k: whole(block, F.aggregate(F.slice(sums, 1, k), zero, merge)))
+    in_blocks = let(blocks, lambda cut: let(totals(cut), lambda sums: F.flatten(each(cut, sums))))
+    return F.when(F.size(items) <= few, whole(items, zero)).otherwise(in_blocks)
+
+
 def string_buffer(array) -> tuple[np.ndarray, np.ndarray]:
     """UTF-8 bytes of an Arrow string array without nulls, and the offsets of its values in them."""
     if not len(array):

@@ -2,12 +2,14 @@
 
 Documents become token ids, cut into pieces only where they are longer than a sequence. Pieces
 are packed best-fit, longest first, in units of one partition's rows; bins that are nearly full
-are done. What is left of each unit, a small number of underfull bins, becomes the items of the
-next round, in which several units' bins are packed together; and so on up a tree to one unit.
-
-Inside a unit no two open bins fit together, so at most one is half full or less. Only that one
-can still be placed anywhere, and only where there is room; so each unit passes on its emptiest
-bins, a fixed number, and the rest are done. Every task handles a bounded number of items.
+about a piece of half a sequence or more are done: short pieces stay what gaps are filled with anywhere. What is left of the units goes up, added up by length: however many pieces are left
+anywhere, there are no more lengths than tokens in a sequence. A second best-fit round packs these
+counts, longest first, as if all pieces that are left stood in one unit, and says which of the pieces of a
+length, by their number, go where. Pieces are numbered in their unit, and units by running sums, so
+no task holds more than a unit, and the driver no more than two numbers for each length.
+
+Underfull bins go up as their pieces. As bins they couldn't be mended: where all long pieces are in some
+partitions and all short ones in others, the short ones would stay among themselves, whatever the rounds.
 """
 
 from __future__ import annotations
@@ -19,19 +21,18 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tagweave.llm.common import Kept, few_threads, let_go, materialize, one_thread, slices, whole_text
 from tagweave.llm.merging import RankMerger
 
-ITEM = "struct<doc_id: bigint, piece: int, start: bigint, length: bigint, ids_crc32: bigint, offset: bigint>"
-ITEM_ARROW = pa.struct(
-    [("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64()), ("offset", pa.int64())]
-)
-BINS = f"unit bigint, sequence_id bigint, fill int, open boolean, items array<{ITEM}>"
-#: Items of a unit in the first round; units that are packed together in a later one; bins that a unit passes on.
-UNIT, FAN_IN, PASSED_ON = 100_000, 8, 256
+PIECE = ["doc_id", "piece", "start", "length", "ids_crc32"]
+PLACED = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint, unit bigint, sequence_id bigint, offset bigint, number bigint"
+#: Pieces of a unit. A bin is nearly full if this share of it, or less, is free.
+UNIT, NEARLY_FULL = 100_000, 1 / 256
+#: Numbers of sequences: those of the first round hold the unit, those of the second start here.
+SECOND_ROUND = 1 << 62
 #: Bytes of words and their ids that are kept in each Python worker, and as many from before.
 MOST_KEPT = 48 << 20
 #: The pre-tokenizer's pattern for which plain words are known to be cut as they are here.
@@ -170,68 +171,105 @@ def best_fit(lengths: list[int], capacity: int) -> list[list[int]]:
     return bins
 
 
-def _pack(unit: int, salt: int, fills: list[int], items: list[list[dict]], capacity: int, last: bool) -> pa.RecordBatch:
-    """Pack bins of items into new bins; says which are open: the emptiest, unless this is the last round."""
-    made = best_fit(fills, capacity)
-    held, sizes = [], []
-    for b in made:
-        own, at = [], 0
-        for i in b:
-            own += [x | {"offset": x["offset"] + at} for x in items[i]] if at else items[i]
-            at += fills[i]
-        held.append(own)
-        sizes.append(at)
-    passed = set() if last else set(sorted(range(len(made)), key=sizes.__getitem__)[:PASSED_ON])
-    return pa.RecordBatch.from_arrays(
-        [
-            pa.array([unit] * len(made), pa.int64()), pa.array([salt + n for n in range(len(made))], pa.int64()), pa.array(sizes, pa.int32()),
-            pa.array([n in passed and sizes[n] < capacity for n in range(len(made))], pa.bool_()), pa.array(held, pa.list_(ITEM_ARROW)),
-        ],
-        ["unit", "sequence_id", "fill", "open", "items"],
-    )
-
-
-def _merge(depth: int, capacity: int, last: bool):
-    def merge(table: pa.Table) -> pa.Table:
-        rows = sorted(table.to_pylist(), key=lambda r: (-r["fill"], r["sequence_id"]))
-        unit = rows[0]["into"]
-        return pa.Table.from_batches([_pack(unit, (depth << 58) + (unit << 18), [r["fill"] for r in rows], [r["items"] for r in rows], capacity, last)])
-
-    return merge
+def best_fit_by_length(counts: dict[int, int], capacity: int) -> tuple[list[tuple[int, int, int, int, int, int]], int]:
+    """``best_fit`` over so many pieces of each length, without the pieces: (rows, number of sequences).
+
+    A row (length, low, high, sequence, each, offset) places the pieces of a length numbered from low to below high:
+    number k is in sequence ``sequence + (k - low) // each``, at ``offset + (k - low) % each * length``. Sequences
+    alike are worked on together, so there are a few rows for each length, whatever the counts.
+    """
+    alike: list[list[tuple[int, int]]] = [[] for _ in range(capacity + 1)]  # by free room: (first sequence, how many)
+    rooms, made, rows = 0, 0, []
+
+    def free(room: int, first: int, many: int) -> None:
+        nonlocal rooms
+        if many:
+            alike[room].append((first, many))
+            rooms |= 1 << room
+
+    for n in sorted(counts, reverse=True):
+        low, high = 0, counts[n]
+        while low < high:
+            if fit := rooms >> n:
+                room = n + (fit & -fit).bit_length() - 1
+                first, many = alike[room].pop()
+                if not alike[room]:
+                    rooms ^= 1 << room
+            else:
+                room, first, many = capacity, made, -(-(high - low) // (capacity // n))
+                made += many
+            each = room // n
+            full = min(many, (high - low) // each)
+            if full:
+                rows.append((n, low, low + full * each, first, each, capacity - room))
+                low += full * each
+                free(room - each * n, first, full)
+            if full < many and low < high:
+                rows.append((n, low, high, first + full, high - low, capacity - room))
+                free(room - (high - low) * n, first + full, 1)
+                full, low = full + 1, high
+            free(room, first + full, many - full)
+    return rows, made
+
+
+def _unit(number: int, batches: list[pa.RecordBatch], capacity: int) -> pa.RecordBatch:
+    """Pack a unit: pieces of nearly full bins get their place, all others a number among those of their length."""
+    table = pa.Table.from_batches(batches)
+    lengths = table["length"].to_numpy()
+    sequence, offset, held = np.full(len(lengths), -1, np.int64), np.zeros(len(lengths), np.int64), lengths.tolist()
+    for k, own in enumerate(best_fit(held, capacity)):
+        sizes = [held[i] for i in own]
+        if 2 * sizes[0] >= capacity and capacity - sum(sizes) <= capacity * NEARLY_FULL:
+            sequence[own], offset[own] = (number << 17) + k, np.cumsum([0, *sizes[:-1]])
+    left = np.flatnonzero(sequence < 0)
+    order = left[np.argsort(lengths[left], kind="stable")]
+    _, first, times = np.unique(lengths[order], return_index=True, return_counts=True)
+    numbers = np.zeros(len(lengths), np.int64)
+    numbers[order] = np.arange(len(order)) - np.repeat(first, times)
+    none = sequence < 0
+    more = [pa.array(np.full(len(lengths), number)), pa.array(sequence, mask=none), pa.array(offset, mask=none), pa.array(numbers, mask=~none)]
+    columns = [table[c].combine_chunks() for c in PIECE] + more
+    return pa.RecordBatch.from_arrays(columns, [*PIECE, "unit", "sequence_id", "offset", "number"])
 
 
 def pack(cut: DataFrame, capacity: int = 2048) -> DataFrame:
-    """Pack rows of ``pieces`` into as few sequences of ``capacity`` as it can; adds sequence_id and offset to each piece.
+    """Pack rows of ``pieces`` into as few sequences of ``capacity`` as best fit does; adds sequence_id and offset to each piece.
 
     Offsets are gapless from 0 in each sequence. Null or empty texts are pieces of one id; null doc_ids and
-    repeated rows are packed like any other; no rows give no sequences. Texts don't come here at all.
+    repeated rows are packed like any other; no rows give no sequences. Texts don't come here at all. Two tables are
+    written, which the result reads.
     """
 
     def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        unit, held, count = TaskContext.get().partitionId() << 20, [], 0
+        unit, held, count = TaskContext.get().partitionId() << 16, [], 0
         for batch in batches:
-            held.append(batch)
-            count += batch.num_rows
-            if count >= UNIT:
-                yield local(unit, held)
-                unit, held, count = unit + 1, [], 0
+            for k in range(0, batch.num_rows, UNIT):
+                part = batch.slice(k, UNIT)
+                if count + part.num_rows > UNIT:
+                    yield _unit(unit, held, capacity)
+                    unit, held, count = unit + 1, [], 0
+                held.append(part)
+                count += part.num_rows
         if count:
-            yield local(unit, held)
-
-    def local(unit: int, batches: list[pa.RecordBatch]) -> pa.RecordBatch:
-        rows = [x | {"offset": 0} for x in pa.Table.from_batches(batches).to_pylist()]
-        return _pack(unit, unit << 18, [x["length"] for x in rows], [[x] for x in rows], capacity, False)
-
-    level = materialize(cut.select("doc_id", "piece", "start", "length", "ids_crc32").mapInArrow(first, BINS), "bins")
-    done, depth, last = level.where("not open"), 0, False
-    while not last:
-        waiting, depth = level.where("open"), depth + 1
-        groups = -(-waiting.agg(F.count_distinct("unit")).first()[0] // FAN_IN)
-        last = groups <= 1
-
-        waiting = waiting.withColumn("into", F.pmod(F.xxhash64("unit"), F.lit(max(groups, 1))))
-        level = materialize(waiting.groupBy("into").applyInArrow(_merge(depth, capacity, last), BINS), "bins")
-        done = done.union(level.where("not open"))
-    return done.select("sequence_id", F.inline("items")).select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+            yield _unit(unit, held, capacity)
+        let_go()
+
+    placed = materialize(cut.select(*PIECE).mapInArrow(first, PLACED), "placed")
+    left = placed.where("sequence_id is null")
+    before = Window.partitionBy("length").orderBy("unit").rowsBetween(Window.unboundedPreceding, -1)
+    counts = left.groupBy("length", "unit").agg(F.count("*").alias("pieces"))
+    counts = materialize(counts.withColumn("before", F.coalesce(F.sum("pieces").over(before), F.lit(0))), "lengths")
+    # as many rows as lengths
+    totals = {r.length: r.pieces for r in counts.groupBy("length").agg(F.sum("pieces").alias("pieces")).collect()}
+    rows, _ = best_fit_by_length(totals, capacity)
+    plan = cut.sparkSession.createDataFrame(rows, "of long, low long, high long, first long, each long, at long")
+    # a few rows for each length
+    numbered = left.join(counts.select(F.col("length").alias("l"), F.col("unit").alias("u"), "before"), (F.col("length") == F.col("l")) & (F.col("unit") == F.col("u")))
+    numbered = numbered.withColumn("k", F.col("before") + F.col("number"))
+    found = numbered.join(F.broadcast(plan), (F.col("length") == F.col("of")) & (F.col("k") >= F.col("low")) & (F.col("k") < F.col("high")))
+    nth = F.col("k") - F.col("low")
+    sequence = F.lit(SECOND_ROUND) + F.col("first") + F.floor(nth / F.col("each"))
+    found = found.select(*PIECE, sequence.cast("long").alias("sequence_id"), (F.col("at") + nth % F.col("each") * F.col("length")).alias("offset"))
+    return placed.where("sequence_id is not null").select(*PIECE, "sequence_id", "offset").union(found)

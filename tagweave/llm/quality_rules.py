@@ -6,6 +6,8 @@ Main path: DataFrame functions only.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -77,8 +79,8 @@ def _with_repeats(rows: DataFrame) -> DataFrame:
     return rows.drop("windows", "repeats", "packed", "close", "whole", "pairs", "places")
 
 
-def failing_lines(lines: Column) -> Column:
-    """Those of an array of lines that are to go.
+def judged_lines(lines: Column) -> tuple[Column, Callable[[Column], Column]]:
+    """What is asked of each of an array of lines, as an array of structs with the ``line``, and which of these are to go.
 
     Navigation: cells between bars, or what menus say alone. Punctuation: signs make up a quarter of it or all, or a few
     words have no mark at their end. Boilerplate: a phrase that says nothing of the text, in a short line.
@@ -99,6 +101,12 @@ def failing_lines(lines: Column) -> Column:
         tiny = (words <= TINY) & (no_end | low.rlike(f"^[{SPACE}]*({'|'.join(MENU)})[{SPACE}]*$"))
         return by_signs | bare | tiny | ((words <= SHORT) & low.rlike("|".join(BOILERPLATE)))
 
+    return seen, fails
+
+
+def failing_lines(lines: Column) -> Column:
+    """Those of an array of lines that are to go."""
+    seen, fails = judged_lines(lines)
     return F.transform(F.filter(seen, fails), lambda x: x["line"])
 
 
@@ -126,21 +134,26 @@ def judge(
         rows, words=F.regexp_extract_all("body", F.lit(f"[^{SPACE}]+"), F.lit(0)),
         lines=F.filter(F.split("body", "\n", -1), lambda x: x.rlike(f"[^{SPACE}]")),
     )
+    removed = failing_lines(F.col("lines"))
+    if cleaned:  # every line's verdict, in order; lines without a word never fail
+        seen, fails = judged_lines(F.split("body", "\n", -1))
+        rows = computed_once(rows, judged=F.transform(seen, lambda x: F.struct(x["line"].alias("line"), F.coalesce(fails(x), F.lit(False)).alias("fails"))))
+        removed = F.filter("judged", lambda x: x["fails"])["line"]
     rows = rows.select(
-        *[c for c in rows.columns if c not in ("lines", "body")], F.size("words").cast("long").alias("n_words"),
+        *[c for c in rows.columns if c not in ("lines", "body", "judged")], F.size("words").cast("long").alias("n_words"),
         F.length(F.array_join("words", "")).cast("long").alias("word_chars"),
         F.length(F.regexp_replace("body", r"[^#*$%&|<>]+", "")).cast("long").alias("n_symbols"),
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
-        failing_lines(F.col("lines")).alias("removed"), *([F.col("body")] if cleaned else []),
+        removed.alias("removed"), *([F.col("body"), F.col("judged")] if cleaned else []),
     )
     rows = computed_once(
         rows, n_lines_removed=F.size("removed").cast("long"),
         n_words_lost=F.when(F.size("removed") == 0, F.lit(0)).otherwise(
             F.regexp_count(F.array_join("removed", "\n"), F.lit(f"[^{SPACE}]+"))).cast("long"),
     )
-    if cleaned:  # a line that fails does so wherever it stands
-        left = F.array_join(F.filter(F.split("body", "\n", -1), lambda x: ~F.array_contains("removed", x)), "\n")
-        rows = rows.withColumn("cleaned", F.when(F.size("removed") == 0, F.col("body")).otherwise(left)).drop("body")
+    if cleaned:
+        left = F.array_join(F.filter("judged", lambda x: ~x["fails"])["line"], "\n")
+        rows = rows.withColumn("cleaned", F.when(F.size("removed") == 0, F.col("body")).otherwise(left)).drop("body", "judged")
     rows = rows.drop("removed")
     rows = _with_repeats(rows).drop("words")
     failed = (F.col("n_words") < least_words) | (F.col("n_repeat_words") * 100 > F.col("n_words") * most_repeat_percent)

@@ -17,7 +17,7 @@ from itertools import product
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tagweave.llm.common import computed_once, discard, materialize, whole_text
+from tagweave.llm.common import computed_once, folded, materialize, whole_text
 
 _parser = re._parser
 
@@ -150,26 +150,31 @@ def candidates(rows: DataFrame, rules: list[Rule]) -> DataFrame:
     return met.groupBy("doc_id", "digest").agg(F.collect_set("kind").alias("kinds"))
 
 
-def _spans(rule: Rule, order: int, wanted: Column) -> Column:
-    """The rule's spans in ``body`` as an array of (start, order, end, kind), code points, end exclusive."""
+def _parts(rule: Rule, wanted: Column) -> Column:
+    """For each match of the rule in ``body``, in order: the text before it and the match, in code points and bytes, and its value's length."""
     pattern = F.lit(rule.pattern)
     matches = F.regexp_extract_all("body", pattern, F.lit(0))
     values = F.regexp_extract_all("body", pattern, F.lit(rule.group)) if rule.group else matches
-    kind = "struct<start: int, order: int, end: int, kind: string>"
-    none = F.array().cast(f"array<{kind}>")
-    # the texts between matches give the matches' places
-    between = F.split("body", rule.pattern, -1)
-    parts = F.arrays_zip(F.transform(between, F.length).alias("gap"), F.transform(matches, F.length).alias("len"), F.transform(values, F.length).alias("value"))
+    sizes = lambda a: F.transform(a, lambda x: F.struct(F.length(x).alias("chars"), F.octet_length(x).alias("bytes")))
+    # the texts between matches give the matches' places; the last one has no match after it
+    before = F.slice(sizes(F.split("body", rule.pattern, -1)), 1, F.size(matches))
+    parts = F.arrays_zip(before.alias("gap"), sizes(matches).alias("own"), F.transform(values, F.length).alias("value"))
+    size = "struct<chars: int, bytes: int>"
+    return F.when(wanted & (F.regexp_instr("body", pattern) > 0), parts).otherwise(F.array().cast(f"array<struct<gap: {size}, own: {size}, value: int>>"))
 
-    def step(at: Column, x: Column) -> Column:
-        start = at["at"] + x["gap"]
-        end = start + F.coalesce(x["len"], F.lit(0))
-        span = F.struct(start.alias("start"), F.lit(order).alias("order"), end.alias("end"), F.lit(rule.kind).alias("kind"))
-        return F.struct(end.alias("at"), F.when(x["value"] >= rule.least, F.array_append(at["found"], span)).otherwise(at["found"]).alias("found"))
 
-    begun = F.struct(F.lit(0).alias("at"), none.alias("found"))
-    all_of = F.aggregate(parts, begun, step, lambda at: at["found"])
-    return F.when(wanted & (F.regexp_instr("body", pattern) > 0), all_of).otherwise(none)
+def _spans(rule: Rule, order: int, parts: Column) -> Column:
+    """The rule's spans: an array of (start, order, end, kind, from_byte, to_byte), code points and bytes, ends exclusive."""
+
+    def emit(at: Column, x: Column) -> Column:
+        start, first = at["chars"] + x["gap"]["chars"], at["bytes"] + x["gap"]["bytes"]
+        end, last = start + x["own"]["chars"], first + x["own"]["bytes"]
+        span = F.struct(start.alias("start"), F.lit(order).alias("order"), end.alias("end"), F.lit(rule.kind).alias("kind"), first.alias("from_byte"), last.alias("to_byte"))
+        return F.when(x["value"] >= rule.least, span)
+
+    add = lambda a, b: F.struct(*[(a[c] + b[c]).alias(c) for c in ("chars", "bytes")])
+    zero = F.struct(F.lit(0).alias("chars"), F.lit(0).alias("bytes"))
+    return F.array_compact(folded(parts, zero, lambda at, x: add(add(at, x["gap"]), x["own"]), emit, add))
 
 
 def scan(
@@ -185,7 +190,7 @@ def scan(
             above it, texts and candidates meet by a shuffle.
 
     Returns doc_id, the carried columns as kept_<name>, body (the text), found: the spans, an array of
-    (start, order, end, kind) by start; ties go by the order of the rules. Null texts count as empty and
+    (start, order, end, kind, from_byte, to_byte) by start; ties go by the order of the rules. Null texts count as empty and
     have none. Null ids and repeated rows are scanned like any other; no rows give no rows; columns that
     aren't named aren't read. Texts of any length are scanned whole, each by one task.
     """
@@ -199,8 +204,12 @@ def scan(
     kinds = F.broadcast(kinds) if size <= broadcast_bytes else kinds
     rows = rows.join(kinds, F.col("doc_id").eqNullSafe(F.col("of_id")) & (F.col("digest") == F.col("of_digest")), "left")
     asked = lambda r: F.coalesce(F.array_contains("kinds", r.kind), F.lit(False)) if r in listed else F.lit(True)
-    spans = F.concat(*[_spans(r, n, asked(r)) for n, r in enumerate(rules)])
-    return computed_once(rows, found=F.array_sort(spans)).drop("kinds", "of_id", "of_digest", "digest")
+    rows = computed_once(rows, **{f"parts_{n}": _parts(r, asked(r)) for n, r in enumerate(rules)}).drop("kinds", "of_id", "of_digest", "digest")
+    parts = [F.col(f"parts_{n}") for n in range(len(rules))]
+    spans = [F.when(F.size(p) > 0, _spans(r, n, p)) for n, (r, p) in enumerate(zip(rules, parts, strict=True))]
+    found = F.when(sum(map(F.size, parts[1:]), F.size(parts[0])) > 0, F.array_sort(F.flatten(F.array_compact(F.array(*spans)))))
+    none = F.array().cast("array<struct<start: int, order: int, end: int, kind: string, from_byte: int, to_byte: int>>")
+    return computed_once(rows, found=F.coalesce(found, none)).drop(*[f"parts_{n}" for n in range(len(rules))])
 
 
 def _joined(spans: Column) -> Column:
@@ -216,12 +225,13 @@ def digests(found: DataFrame) -> DataFrame:
 
 def redacted(mark: str = "[SECRET]") -> Column:
     """``body`` with each run of overlapping spans of ``found`` replaced by ``mark``."""
-
-    def step(at: Column, s: Column) -> Column:
-        before = F.substring(F.col("body"), at["at"] + 1, s["start"] - at["at"])
-        fresh = F.concat(at["out"], before, F.lit(mark))
-        return F.struct(F.greatest(at["at"], s["end"]).alias("at"), F.when(s["start"] >= at["at"], fresh).otherwise(at["out"]).alias("out"))
-
-    begun = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-    whole = F.aggregate("found", begun, step, lambda at: F.concat(at["out"], F.substring(F.col("body"), at["at"] + 1, F.length("body"))))
+    raw = F.col("body").cast("binary")
+    between = lambda a, b: F.substring(raw, a + 1, b - a).cast("string")  # noqa: E731  a slice of bytes, wherever it is
+    # before a span that doesn't overlap with an earlier one: the text from the last end on
+    pieces = folded(
+        F.col("found"), F.lit(0), lambda at, s: F.greatest(at, s["to_byte"]),
+        lambda at, s: F.when(s["from_byte"] >= at, F.concat(between(at, s["from_byte"]), F.lit(mark))), lambda a, b: F.greatest(a, b),
+    )
+    end = F.array_max(F.transform("found", lambda s: s["to_byte"]))
+    whole = F.concat(F.array_join(F.array_compact(pieces), ""), between(end, F.octet_length("body")))
     return F.when(F.size("found") == 0, F.col("body")).otherwise(whole)

@@ -107,7 +107,7 @@ class PieceCounter:
                         held = MARK
                     else:
                         held += MARK
-                yield [*words, held] if held != MARK or line.endswith(MARK) else words
+                yield [*words, held[1:]]  # a mark stands between two of what the split gives: one less than was held
             else:
                 first, *rest = line.split(MARK)
                 yield [first, *[MARK + w for w in rest]]
