@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from itertools import accumulate
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -24,9 +26,10 @@ def normal(seed: int, *key: Column) -> Column:
 def draw(spec: tuple, seed: int, *key: Column) -> Column:
     """A draw from ``(kind, *arguments)``; anything that isn't a known kind comes back as it is.
 
-    uniform(a, b), normal(m, s), clip_gaussian(m, s, a, b), power_uniform(p, a, b), log_uniform(a, b),
-    discrete_uniform(a, b) with both ends, bool(p) or bern(p), choice(list), weighted_choice((w, v), ...), cat(p0, p1, ...),
-    spherical_sample(min_elevation).
+    uniform(a, b), normal(m, s), clip_gaussian(m, s, a, b), power_uniform(a, b): 10 to a uniform power, log_uniform(a, b),
+    discrete_uniform(a, b) with both ends, bool(p) or bern(p), choice(list) or choice(list, chances), cat(p0, p1, ...) or
+    categorical(...): a place, weighted_choice((w, spec), ...): what is chosen is drawn in its turn, spherical_sample(min, max):
+    the elevation in degrees, 0 to 90, of a direction spread evenly over the sphere, between limits that may be None.
     """
     if not isinstance(spec, tuple) or not spec or not isinstance(spec[0], str):
         return F.lit(spec)
@@ -41,28 +44,26 @@ def draw(spec: tuple, seed: int, *key: Column) -> Column:
         last = F.least(F.greatest(tries[-1], F.lit(float(a[2]))), F.lit(float(a[3])))
         return F.coalesce(*[F.when(t.between(a[2], a[3]), t) for t in tries], last)
     if kind == "power_uniform":
-        return F.pow(u, F.lit(float(a[0]))) * (a[2] - a[1]) + a[1]
+        return F.pow(F.lit(10.0), u * (a[1] - a[0]) + a[0])
     if kind == "log_uniform":
         return F.exp(u * (F.ln(F.lit(float(a[1]))) - F.ln(F.lit(float(a[0])))) + F.ln(F.lit(float(a[0]))))
     if kind == "discrete_uniform":
         return (F.floor(u * (a[1] - a[0] + 1)) + a[0]).cast("bigint")
     if kind in ("bool", "bern"):
         return u < a[0]
-    if kind == "choice":
+    if kind == "choice" and len(a) == 1:
         return F.get(F.array(*map(F.lit, a[0])), F.floor(u * len(a[0])).cast("int"))
-    if kind in ("weighted_choice", "cat"):
-        pairs = a if kind == "weighted_choice" else list(zip(a, range(len(a)), strict=True))
-        total, run, out = sum(w for w, _ in pairs), 0.0, None
-        for w, v in pairs:
-            run += w
-            out = F.when(u * total < run, F.lit(v)) if out is None else out.when(u * total < run, F.lit(v))
-        return out.otherwise(F.lit(pairs[-1][1]))
+    if kind in ("choice", "weighted_choice", "cat", "categorical"):
+        pairs = a if kind == "weighted_choice" else list(zip(*a[::-1], strict=True)) if kind == "choice" else list(zip(a, range(len(a)), strict=True))
+        drawn = [draw(v, seed, F.lit(f"{n}/"), *key) if kind == "weighted_choice" else F.lit(v) for n, (_, v) in enumerate(pairs)]
+        *upto, total = accumulate(w for w, _ in pairs)
+        out = drawn[-1]
+        for high, v in list(zip(upto, drawn[:-1], strict=True))[::-1]:
+            out = F.when(u * total < high, v).otherwise(out)
+        return out
     if kind == "spherical_sample":
-        low = a[0] if a else -TURN / 4
-        z = F.sin(F.lit(float(low))) + u * (1 - F.sin(F.lit(float(low))))
-        turn = uniform(seed, F.lit("turn"), *key) * TURN
-        flat = F.sqrt(1 - z * z)
-        return F.array(flat * F.cos(turn), flat * F.sin(turn), z)
+        low, high = (F.sin(F.radians(F.lit(float(x)))) if x is not None else F.lit(end) for x, end in zip((*a, None, None), (0.0, 1.0)))  # noqa: B905
+        return F.degrees(F.asin(u * (high - low) + low))
     return F.lit(kind) if not a else F.array(F.lit(kind), *[F.lit(str(x)) for x in a])
 
 

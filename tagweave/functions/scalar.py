@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column
@@ -125,11 +126,31 @@ def convex_combination(maps: list[Column], weights: list[Column]) -> Column:
     return reduce(lambda a, b: F.map_zip_with(a, b, lambda _, x, y: x + y), scaled)
 
 
-def linvec(*parts: tuple[Column, list[float]]) -> Column:
-    """Linear combination of constant vectors."""
-    by = lambda c: lambda x: x * c
-    terms = [F.transform(F.array(*map(F.lit, v)), by(c)) for c, v in parts]
-    return reduce(lambda a, b: F.zip_with(a, b, lambda x, y: x + y), terms)
+def linvec(n: int, low: Column, high: Column) -> Column:
+    """``n`` numbers from low to high in even steps, both ends among them; low alone if n is 1."""
+    return F.transform(F.sequence(F.lit(0), F.lit(n - 1)), lambda k: low + k * ((high - low) / max(n - 1, 1)))
+
+
+def randomspacing(low: float, high: float, n: int, margin: float, u: Callable[[Column], Column]) -> Column:
+    """One number from each of ``n`` equal parts of [low, high), at least ``margin`` (0 to a half) of a part from its ends.
+
+    ``u(k)``: a number in [0, 1) for the k-th; at a margin of a half it isn't asked and the parts' starts come back.
+    """
+    part = (high - low) / n
+    inside = lambda k: F.lit(0.0) if margin >= 0.5 else (margin + u(k) * (1 - 2 * margin)) * part
+    return F.transform(F.sequence(F.lit(0), F.lit(n - 1)), lambda k: low + k * part + inside(k))
+
+
+def new_domain(domain: tuple[Column, Column], a: Column, b: Column) -> Column:
+    """The interval of t for which a * t + b runs through ``domain``, its lower end first."""
+    ends = [(x - b) / a for x in domain]
+    return F.when(a > 0, F.array(*ends)).otherwise(F.array(*ends[::-1]))
+
+
+def affine_to(domain: tuple[Column, Column], new: tuple[Column, Column]) -> Column:
+    """STRUCT<a, b>: a * t + b takes the interval ``new`` to ``domain``."""
+    a = (domain[1] - domain[0]) / (new[1] - new[0])
+    return F.struct(a.alias("a"), (domain[0] - a * new[0]).alias("b"))
 
 
 def wrapped(x: Column, low: Column, high: Column) -> Column:

@@ -441,6 +441,36 @@ def weighted_choice_hashed(spark, sf):
     return table(spark, sf, "customer").select("c_custkey", draw(("weighted_choice", (1, "x"), (3, "y"), (6, "z")), 7, F.col("c_custkey")).alias("pick"))
 
 
+def _hashed(key: str) -> str:
+    """The number in [0, 1) that seed 7 and the key give."""
+    return "((" + " + ".join(f"('0x' || substr(md5('7/' || {key}), {k}, 8))::BIGINT" for k in (1, 9, 17, 25)) + ") % 4294967295) / 4294967295.0::DOUBLE"
+
+
+@query(f"""WITH u AS (SELECT c_custkey, {_hashed("c_custkey")} AS u, {_hashed("'0/' || c_custkey")} AS v, {_hashed("'1/' || c_custkey")} AS w FROM customer)
+SELECT c_custkey, round(pow(10, u * 3 - 1), 6) AS power, round(degrees(asin(u * (sin(radians(60)) - sin(radians(10))) + sin(radians(10)))), 6) AS elevation, CASE WHEN u * 8 < 2 THEN 'a' WHEN u * 8 < 3 THEN 'b' ELSE 'c' END AS pick,
+  round(CASE WHEN u * 4 < 1 THEN v * 2 + 5 WHEN u * 4 < 3 THEN pow(10, w * 2) ELSE -1 END, 6) AS nested, (CASE WHEN u < 0.5 THEN 0 ELSE 1 END)::INT AS place FROM u""")
+def random_draws(spark, sf):
+    from tagweave.functions.sampling import draw
+
+    specs = {"power": ("power_uniform", -1, 2), "elevation": ("spherical_sample", 10, 60), "pick": ("choice", ["a", "b", "c"], [2, 1, 5]), "nested": ("weighted_choice", (1, ("uniform", 5, 7)), (2, ("power_uniform", 0, 2)), (1, -1.0)), "place": ("cat", 0.5, 0.5)}
+    out = table(spark, sf, "customer").select("c_custkey", *[draw(spec, 7, F.col("c_custkey")).alias(k) for k, spec in specs.items()])
+    return out.withColumns({c: F.round(c, 6) for c in ("power", "elevation", "nested")})
+
+
+@query(f"""WITH p AS (SELECT p_partkey AS k, p_size::DOUBLE AS low, p_size + p_retailprice AS high FROM part), e AS (SELECT *, unnest(range(0, 5)) AS i FROM p)
+SELECT k AS p_partkey, i::INT AS i, round(low + i / 4.0::DOUBLE * (high - low), 6) AS even, round(i * 20.0::DOUBLE + (0.1 + {_hashed("k || '/' || i")} * 0.8) * 20, 6) AS spaced,
+  round((CASE WHEN i = 0 THEN least(low / -2, high / -2) ELSE greatest(low / -2, high / -2) END), 6) AS domain, round(-(high - low) / 10 * 2 + low, 6) AS shifted FROM e""")
+def number_series(spark, sf):
+    from tagweave.functions.sampling import uniform
+
+    low, high = F.col("p_size").cast("double"), F.col("p_size") + F.col("p_retailprice")
+    series = F.arrays_zip(S.linvec(5, low, high).alias("even"), S.randomspacing(0.0, 100.0, 5, 0.1, lambda k: uniform(7, F.col("p_partkey"), F.lit("/"), k)).alias("spaced"))
+    domain, affine = S.new_domain((low, high), F.lit(-2.0), F.lit(0.0)), S.affine_to((low, high), (F.lit(2.0), F.lit(12.0)))
+    rows = table(spark, sf, "part").select("p_partkey", F.posexplode(series).alias("i", "s"), domain.alias("d"), affine["b"].alias("shifted"))
+    ends = F.when(F.col("i") == 0, F.get("d", F.lit(0))).otherwise(F.get("d", F.lit(1)))
+    return rows.select("p_partkey", "i", F.round("s.even", 6).alias("even"), F.round("s.spaced", 6).alias("spaced"), F.round(ends, 6).alias("domain"), F.round("shifted", 6).alias("shifted"))
+
+
 @query("""WITH s AS (SELECT user_id, value, lead(value) OVER w AS nv, row_number() OVER w - 1 AS k FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts))
 SELECT user_id, p AS place, round(CASE WHEN nv IS NULL THEN value ELSE value + (nv - value) * least(p - k, 1) END, 6)::DOUBLE AS value FROM s, (VALUES (0.5::DOUBLE), (2.25), (400.0)) a(p)
 WHERE k = floor(p) OR (nv IS NULL AND floor(p) > k)""")

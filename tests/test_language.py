@@ -218,51 +218,3 @@ def test_a_program_is_compiled_once(spark):
     assert {r["name"]: r.value for r in result.collect()} == {"all": 3, "sum": 633, "odd": 211, "mean": 0.5, "count": 36}
     plan = result._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("Aggregate") <= 6
-
-
-def test_proposals():
-    from tagweave.plans import proposals as P
-    from tagweave.plans.solver import Schedule
-
-    on = Relation("supported_by", parent={"sub:top"})
-    table = {"tags": {"table"}, "relations": [], "loc": (0.0, 0.0, 0.0)}
-    state = {"t1": dict(table), "t2": dict(table) | {"tags": {"table", "no-children"}}, "c1": {"tags": {"cup"}, "generator": "Cup", "relations": [{"relation": on, "parent": "t1", "plane": 0}], "freedom": [(1, 0, 0), (0, 1, 0), (0, 0, 0)], "axis": (0, 0, 1), "loc": (0.0, 0.0, 1.0)}}
-    cups, on_table = Domain(tags("cup")), Domain(tags("cup"), ((on, Domain(tags("table"))),))
-    assert P.in_domain(state, on_table) == ["c1"] and P.in_domain(state, Domain(tags("table"))) == ["t1", "t2"]
-    assert P.in_domain(state, Domain(tags("cup"), ((-on, Domain(tags("table", "no-children"))),))) == ["c1"] and P.in_domain(state, Domain(tags("cup"), ((on, Domain(tags("obj:t2"))),))) == []
-    planes = lambda name, wanted: {"t1": 2, "t2": 1}[name]
-    assert sorted((r[0]["parent"], r[0]["plane"]) for r in P.parents_for(state, [(on, Domain(tags("table")))], planes, 0)) == [("t1", 0), ("t1", 1), ("t2", 0)]
-    with pytest.raises(ValueError):
-        list(P.parents_for(state, [(Relation(), Domain())], planes, 0))
-    objs = scene()["cup"].related_to(scene()["table"], on)
-    problem = Problem({"cups": objs.count().in_range(2, 3)})
-    makers = {"Cup": tags("cup"), "Plate": tags("plate")}
-    moves = list(P.additions(problem, state, on_table, makers, planes, 1))
-    assert len(moves) == 3 and all(next(iter(m.put.values()))["generator"] == "Cup" for m in moves)
-    with pytest.raises(ValueError):
-        list(P.additions(problem, state, on_table, {"Plate": tags("plate")}, planes, 1))
-    assert list(P.deletions(problem, state, on_table, 1)) == []  # below its low: nothing is to go
-    fuller = state | {f"c{n}": state["c1"] for n in range(2, 6)}
-    assert len(list(P.deletions(problem, fuller, on_table, 1))) == 5 and list(P.additions(problem, fuller, on_table, makers, planes, 1)) == []
-    assert [m.put["c1"]["relations"][0]["plane"] for m in P.plane_changes(state, cups, planes, 1)] == [1]
-    assert len(list(P.resamples(state, cups, frozenset(), 1))) == 1 and list(P.resamples(state, cups, frozenset(["Cup"]), 1)) == []
-    for m in P.translations(state, cups, 1.0, 3, 5):
-        assert m.put["c1"]["loc"][2] == 1.0 and m.put["c1"]["loc"][0] != 0
-    assert all(abs(m.put["c1"]["yaw"] / P.ANGLE_STEP - round(m.put["c1"]["yaw"] / P.ANGLE_STEP)) < 1e-9 for m in P.rotations(state, cups, 1.0, 3, 5))
-    assert len(list(P.reinits(state, cups, 3, 2))) == 2 and list(P.translations(state, Domain(tags("table")), 1.0, 3, 5)) == []
-    box = P.placed_inside([(0, 0), (10, 0), (10, 4), (4, 4), (4, 10), (0, 10)], 3, 3, 0.5, 1)
-    assert not (box[2] > 4 and box[3] > 4)
-    with pytest.raises(ValueError):
-        P.placed_inside([(0, 0), (2, 0), (0, 2)], 3, 3, 0.5, 1, 50)
-    t = tags("var:t")
-    stage = Domain(tags("cup"), ((on, Domain(tags("table") | t)),))
-    assert list(P.assignments(stage, state, sorted(t))) == [{next(iter(t)): "t1"}]
-
-    def score(part, states):
-        return {k: (float(max(0, 2 - len(P.in_domain(s, on_table)))), 0.0) for k, s in states.items()}
-
-    def propose(part, s, own, step):
-        return {str(k): m for k, m in enumerate(P.additions(problem, s, own, makers, planes, step))}
-
-    end, log = P.solved(problem, state, {"cups": stage}, sorted(t), propose, score, Schedule(steps=4))
-    assert len(P.in_domain(end, on_table)) >= 2 and log and {r["stage"] for r in log} == {"cups_0"}

@@ -25,7 +25,8 @@ def test_scalar_functions(spark):
         spark, clock=S.clock_seconds(F.lit("1 day, 2:03:04")), days=S.clock_seconds(F.lit("2-01:00:00")), none=S.clock_seconds(F.lit("x")), text=S.clock_text(F.lit(3725)), room=S.room_name(F.lit("living-room_0/1")),
         asset=S.asset_name(F.lit("ChairFactory(12).spawn_asset(3)")), other=S.asset_name(F.lit("Chair:12")), late=S.clock_text(F.lit(360000.9)), tres=S.resource_map(F.lit("cpu=4,mem=24G")), mem=S.memory_gb(F.lit("2048M")), kilo=S.memory_gb(F.lit("3000000K")), bare=S.memory_gb(F.lit("7")), empty=S.memory_gb(F.lit("")), size=S.sizeof_text(F.lit(2048)), small=S.sizeof_text(F.lit(-5)), huge=S.sizeof_text(F.lit(3.5e15)), more=S.sizeof_text(F.lit(2.0**81)), snake=S.snake_case(F.lit("rooms/fooBAR")), snakes=S.snake_case(F.lit("DiningTableLamp")),
         even=S.round_to_nearest(F.lit(2.5), 1), lit=S.python_literal(F.lit("['a', 'b']"), "array<string>"), wrap=S.wrapped(F.lit(370.0), F.lit(0.0), F.lit(360.0)), hexed=S.seed_of(F.lit("ff")), decay=S.linear_decay(F.lit(5), 1.0, 0.0, 0, 10),
-        quoted=S.quoted_override(F.lit("a.b=word")), number=S.quoted_override(F.lit("a=12")), lin=S.linvec((F.lit(2.0), [1.0, 0.0]), (F.lit(3.0), [0.0, 1.0])), hash=S.int_hash(F.lit("a"), F.lit(1)),
+        quoted=S.quoted_override(F.lit("a.b=word")), number=S.quoted_override(F.lit("a=12")), lin=S.linvec(5, F.lit(2.0), F.lit(3.0)), lone=S.linvec(1, F.lit(2.0), F.lit(3.0)), spaced=S.randomspacing(0.0, 8.0, 4, 0.25, lambda k: k / 4.0), bare_spaced=S.randomspacing(0.0, 8.0, 4, 0.5, lambda k: k / 4.0),
+        domain=S.new_domain((F.lit(0.0), F.lit(1.0)), F.lit(-2.0), F.lit(3.0)), affine=S.affine_to((F.lit(0.0), F.lit(1.0)), (F.lit(5.0), F.lit(9.0))), hash=S.int_hash(F.lit("a"), F.lit(1)),
     )
     import hashlib
 
@@ -33,7 +34,8 @@ def test_scalar_functions(spark):
     assert r.room.asDict() == {"type": "living-room", "level": 0, "number": 1} and tuple(r.asset) == ("ChairFactory", 12, "asset", 3) and tuple(r.other) == (None,) * 4
     assert r.tres == {"cpu": "4", "mem": "24G"} and (r.mem, r.kilo, r.bare, r.empty, r.size, r.even) == (2.048, 3.0, None, None, "2.0 KiB", 2)
     assert (r.small, r.huge, r.more, r.snake, r.snakes) == ("-5.0 B", "3.1 PiB", "2.0YiB", "foobar", "dining_table_lamp")
-    assert r.lit == ["a", "b"] and r.wrap == 10 and r.hexed == 255 and r.decay == 0.5 and r.quoted == 'a.b="word"' and r.number == "a=12" and r.lin == [2.0, 3.0]
+    assert r.lit == ["a", "b"] and r.wrap == 10 and r.hexed == 255 and r.decay == 0.5 and r.quoted == 'a.b="word"' and r.number == "a=12" and r.lin == [2.0, 2.25, 2.5, 2.75, 3.0] and r.lone == [2.0]
+    assert r.spaced == [0.5, 2.75, 5.0, 7.25] and r.bare_spaced == [0.0, 2.0, 4.0, 6.0] and r.domain == [1.0, 1.5] and tuple(r.affine) == (0.25, -1.25)
     assert r.hash == int(hashlib.md5(b"a1").hexdigest(), 16) % (2**32 - 1)
 
 
@@ -51,9 +53,12 @@ def test_vectors(spark):
 
 
 def test_draws(spark):
-    specs = [("uniform", 2, 3), ("clip_gaussian", 0, 1, -1, 1), ("log_uniform", 1, 10), ("discrete_uniform", 1, 3), ("bool", 0.5), ("choice", ["a", "b"]), ("cat", 0.2, 0.8), ("power_uniform", 2, 0, 1), ("spherical_sample", 0.0), 7]
+    specs = [("uniform", 2, 3), ("clip_gaussian", 0, 1, -1, 1), ("log_uniform", 1, 10), ("discrete_uniform", 1, 3), ("bool", 0.5), ("choice", ["a", "b"]), ("cat", 0.2, 0.8), ("power_uniform", 0, 2), ("spherical_sample", 10, None), 7, ("choice", ["a", "b"], [1, 3]), ("weighted_choice", (1, ("uniform", 5, 6)), (3, 0.0))]
     rows = spark.range(500).select("id", *[draw(s, 1, F.col("id")).alias(f"c{n}") for n, s in enumerate(specs)]).collect()
-    assert all(2 <= r.c0 < 3 and -1 <= r.c1 <= 1 and 1 <= r.c2 <= 10 and r.c3 in (1, 2, 3) and r.c5 in "ab" and r.c6 in (0, 1) and 0 <= r.c7 <= 1 and r.c8[2] >= 0 and r.c9 == 7 for r in rows)
+    assert all(2 <= r.c0 < 3 and -1 <= r.c1 <= 1 and 1 <= r.c2 <= 10 and r.c3 in (1, 2, 3) and r.c5 in "ab" and r.c6 in (0, 1) and 1 <= r.c7 <= 100 and 10 <= r.c8 <= 90 and r.c9 == 7 for r in rows)
+    assert 0.65 < sum(r.c10 == "b" for r in rows) / 500 < 0.85 and all(r.c11 == 0 or 5 <= r.c11 < 6 for r in rows) and 0.65 < sum(r.c11 == 0 for r in rows) / 500 < 0.85
+    assert 40 < sum(r.c7 < 10 for r in rows) / 5 < 60  # the powers are even, not the numbers
+    assert 25 < sum(r.c8 < 30 for r in rows) / 5 < 50  # by the sine of the elevation
     assert 0.4 < sum(r.c4 for r in rows) / 500 < 0.6 and 0.7 < sum(r.c6 for r in rows) / 500 < 0.9
     picked = weighted_pick(spark.range(400), spark.createDataFrame([("a", 1.0), ("b", 3.0)], "item string, weight double"), "id", 3)
     n = {r["item"]: r["count"] for r in picked.groupBy("item").count().collect()}
