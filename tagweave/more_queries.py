@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -12,6 +14,7 @@ from tagweave.functions import vectors as V
 from tagweave.operators import aggregates as A
 from tagweave.operators import geometry as G
 from tagweave.operators import joins as J
+from tagweave.operators import plane as P
 from tagweave.operators import raster as R
 from tagweave.operators import runs as N
 from tagweave.operators import windows as W
@@ -502,6 +505,81 @@ def polygon_measures(spark, sf):
     return rows.select("room", F.round(V.polygon_area(p), 6).alias("area"), F.round(V.polygon_length(p), 6).alias("length"), F.round(V.polygon_aspect(p), 4).alias("aspect"))
 
 
+# polygons and lines in any direction -----------------------------------------------------------------
+# Rooms are put together from rectangles along the axes, whose SQL is plain, and then turned: what is measured must not change.
+
+_TURN = 0.3
+_ROOM = """SELECT p_partkey AS k, unnest([0, 1]) AS part, x0, y0, w, h FROM (SELECT p_partkey, p_partkey % 1009 * 12.0::DOUBLE AS x0, p_partkey // 1009 * 9.0::DOUBLE + p_partkey % 7 AS y0, p_size + 4.0::DOUBLE AS w, 4.0::DOUBLE + p_partkey % 9 AS h FROM part)"""
+_HALF = f"SELECT k, x0, x0 + CASE WHEN part = 0 THEN w ELSE w / 2 END AS x1, y0 + part * h / 2 AS y0, y0 + (part + 1) * h / 2 AS y1 FROM ({_ROOM})"
+
+
+def _turned(x, y, angle: float = _TURN):
+    return x * F.lit(math.cos(angle)) - y * F.lit(math.sin(angle)), x * F.lit(math.sin(angle)) + y * F.lit(math.cos(angle))
+
+
+def _bent_rooms(spark, sf) -> DataFrame:
+    """A bent room for each part: the whole width below, half of it above; turned, every second one with its corners the other way round."""
+    n = F.col("p_partkey")
+    x, y, w, h = n % 1009 * 12.0, F.floor(n / 1009) * 9.0 + n % 7, F.col("p_size") + 4.0, 4.0 + n % 9
+    corners = [(x, y), (x + w, y), (x + w, y + h / 2), (x + w / 2, y + h / 2), (x + w / 2, y + h), (x, y + h)]
+    ring = F.array(*[F.struct(*[c.alias(k) for k, c in zip("xy", _turned(*p), strict=True)]) for p in corners])
+    return table(spark, sf, "part").select(n.alias("key"), F.when(n % 2 == 0, F.reverse(ring)).otherwise(ring).alias("corners"))
+
+
+@query(f"""WITH r AS ({_HALF}), areas AS (SELECT k, sum((x1 - x0) * (y1 - y0)) AS area FROM r GROUP BY k),
+m AS (SELECT a.k AS a, b.k AS b, sum(greatest(least(a.x1, b.x1) - greatest(a.x0, b.x0), 0) * greatest(least(a.y1, b.y1) - greatest(a.y0, b.y0), 0)) AS common FROM r a JOIN r b ON a.k < b.k AND b.x0 < a.x1 AND a.x0 < b.x1 GROUP BY ALL HAVING common > 0.01)
+SELECT a, b, round(common, 5) AS intersection, round(p.area + q.area - common, 5) AS "union", round(p.area - common, 5) AS difference FROM m JOIN areas p ON p.k = a JOIN areas q ON q.k = b""")
+def polygon_overlays(spark, sf):
+    """Intersection, union and difference of all rooms that overlap."""
+    rooms = _bent_rooms(spark, sf)
+    out = P.overlays(rooms, rooms, 40.0, P.KINDS, once=True).where("intersection > 0.01")
+    return out.select("a", "b", *[F.round(k, 5).alias(k) for k in P.KINDS])
+
+
+@query("""WITH s AS (SELECT p_partkey AS room, (p_size % 10)::DOUBLE AS at, p_retailprice::DOUBLE AS low, p_retailprice + p_size AS high FROM part)
+SELECT a.room AS a, b.room AS b, round(least(a.high, b.high) - greatest(a.low, b.low), 5)::DOUBLE AS length FROM s a JOIN s b ON a.at = b.at AND a.room < b.room WHERE least(a.high, b.high) - greatest(a.low, b.low) > 2.005""")
+def shared_walls_turned(spark, sf):
+    """The walls of ``shared_walls``, turned: the same lengths."""
+    n, at = F.col("p_partkey"), (F.col("p_size") % 10) * 40.0
+    low, high = F.col("p_retailprice").cast("double"), F.col("p_retailprice") + F.col("p_size")
+    ends = [*_turned(low, at), *_turned(high, at)]
+    back = n % 3 == 0  # some the other way round
+    lines = table(spark, sf, "part").select(n.alias("room"), *[F.when(back, ends[(k + 2) % 4]).otherwise(ends[k]).alias(c) for k, c in enumerate(("x0", "y0", "x1", "y1"))])
+    return P.shared_walls(lines, 1e-6, 5.0, 2.005).select("a", "b", F.round("length", 5).alias("length"))
+
+
+_EDGE = "SELECT p_partkey AS line, p_partkey % 211 * 9.7::DOUBLE AS x0, p_partkey // 211 * 13.1::DOUBLE AS y0, p_partkey % 211 * 9.7::DOUBLE + p_size * cos(p_partkey) AS x1, p_partkey // 211 * 13.1::DOUBLE + p_size * sin(p_partkey) AS y1 FROM part"
+_POINT = "SELECT c_custkey AS point, c_custkey % 173 * 11.9::DOUBLE + 0.37 AS x, c_custkey // 173 * 14.3::DOUBLE + c_acctbal / 1000 AS y FROM customer"
+_SHARE = "least(greatest(((x - x0) * (x1 - x0) + (y - y0) * (y1 - y0)) / (pow(x1 - x0, 2) + pow(y1 - y0, 2)), 0), 1)"
+_NEAREST = f"""SELECT point, line, d, x0, y0, x1, y1 FROM (SELECT *, row_number() OVER (PARTITION BY point ORDER BY d, line) AS n FROM (
+  SELECT *, sqrt(pow(x0 + t * (x1 - x0) - x, 2) + pow(y0 + t * (y1 - y0) - y, 2)) AS d FROM (SELECT *, {_SHARE} AS t FROM ({_POINT}), ({_EDGE})))) WHERE n = 1"""
+
+
+def _edge_lines(spark, sf) -> DataFrame:
+    n, size = F.col("p_partkey"), F.col("p_size")
+    x, y = n % 211 * 9.7, F.floor(n / 211) * 13.1
+    return table(spark, sf, "part").select(n.alias("line"), x.alias("x0"), y.alias("y0"), (x + size * F.cos(n)).alias("x1"), (y + size * F.sin(n)).alias("y1"))
+
+
+def _standing(spark, sf) -> DataFrame:
+    n = F.col("c_custkey")
+    return table(spark, sf, "customer").select(n.alias("point"), (n % 173 * 11.9 + 0.37).alias("x"), (F.floor(n / 173) * 14.3 + F.col("c_acctbal") / 1000).alias("y"))
+
+
+@query(f"SELECT point, line, round(d, 6) AS distance FROM ({_NEAREST})")
+def nearest_edges(spark, sf):
+    """Every customer's nearest edge of all parts'."""
+    return P.nearest_lines(_standing(spark, sf), _edge_lines(spark, sf)).withColumn("distance", F.round("distance", 6))
+
+
+@query(f"SELECT point AS name, round(0.5 - 0.5 * abs(cos(point / 7.0::DOUBLE) * (y0 - y1) + sin(point / 7.0::DOUBLE) * (x1 - x0)) / sqrt(pow(x1 - x0, 2) + pow(y1 - y0, 2)), 6) AS score FROM ({_NEAREST})")
+def nearest_edge_alignment(spark, sf):
+    """How far each customer's axis is from the normal of the edge that is found to be nearest."""
+    turn = F.col("point") / 7.0
+    entities = _standing(spark, sf).select(F.col("point").alias("name"), "x", "y", F.array(F.cos(turn), F.sin(turn)).alias("axis"))
+    return P.edge_alignment(entities, _edge_lines(spark, sf)).withColumn("score", F.round("score", 6))
+
+
 # orders, picks and states -------------------------------------------------------------------------
 
 
