@@ -17,8 +17,9 @@ from tagweave.operators import joins as J
 from tagweave.operators import plane as P
 from tagweave.operators import raster as R
 from tagweave.operators import runs as N
+from tagweave.operators import solids
 from tagweave.operators import windows as W
-from tagweave.plans import analysis
+from tagweave.plans import analysis, terms  # noqa: F401  terms registers measures
 from tagweave.plans import lang as L
 from tagweave.plans.algebra import Domain, tag, tags
 from tagweave.plans.compile import Bindings, Compiler, evaluate, totals
@@ -165,22 +166,17 @@ def assignments_without_children(spark, sf):
     return chosen.select("n_nationkey", "c_custkey")
 
 
-@query("""WITH t AS (SELECT c_custkey, c_nationkey, range(0, c_custkey % 3 + 1) AS planes FROM customer WHERE c_mktsegment = 'BUILDING' AND c_custkey < 300), s AS (SELECT s_suppkey, s_nationkey FROM supplier WHERE s_suppkey < 60)
+@query("""WITH t AS (SELECT c_custkey, c_nationkey, range(0, c_custkey % 3 + 1) AS planes FROM customer WHERE c_mktsegment = 'BUILDING'), s AS (SELECT s_suppkey, s_nationkey FROM supplier)
 SELECT 'customer:' || c_custkey AS target_0, unnest(planes)::INT AS plane_0, 'supplier:' || s_suppkey AS target_1, 0 AS plane_1 FROM t JOIN s ON c_nationkey = s_nationkey""")
 def relation_assignments(spark, sf):
     """Parents for each of two relations, every plane of each parent, with both parents in one nation."""
     db = database(spark, sf)
     db = Bindings(db.objects.where("class in ('customer', 'supplier')"), db.relations, db.classes)
-    number = F.split_part("name", F.lit(":"), F.lit(2)).cast("bigint")
-    few = Bindings(db.objects.where(((F.col("class") == "customer") & (number < 300)) | ((F.col("class") == "supplier") & (number < 60))), db.relations, db.classes)
-    names = few.objects.select("name", "class", number.alias("k"))
-    count = F.when(F.col("class") == "customer", F.col("k") % 3 + 1).otherwise(F.lit(1)).cast("int")
-    planes = names.select("name", F.explode(F.sequence(F.lit(0), count - 1)).alias("plane"), F.array(F.lit("sub:top")).alias("tags"))
+    nations = [table(spark, sf, t).select(F.concat(F.lit(f"{t}:"), F.col(f"{c}_{k}key").cast("string")).alias("name"), F.col(f"{c}_{k}key").alias("k"), F.col(f"{c}_nationkey").alias("nation"), F.lit(t).alias("of")) for t, c, k in (("customer", "c", "cust"), ("supplier", "s", "supp"))]
+    count = F.when(F.col("of") == "customer", F.col("k") % 3 + 1).otherwise(F.lit(1)).cast("int")
+    planes = nations[0].union(nations[1]).select("name", F.explode(F.sequence(F.lit(0), count - 1)).alias("plane"), F.array(F.lit("sub:top")).alias("tags"), "nation")
     wanted = [(SUPPORTED, Domain(tags("customer", "BUILDING"))), (TOUCHING, Domain(tags("supplier")))]
-    found = J.relation_assignments(few, wanted, planes)
-    nation = table(spark, sf, "customer").select(F.concat(F.lit("customer:"), "c_custkey").alias("target_0"), F.col("c_nationkey").alias("n0"))
-    other = table(spark, sf, "supplier").select(F.concat(F.lit("supplier:"), "s_suppkey").alias("target_1"), F.col("s_nationkey").alias("n1"))
-    return found.join(nation, "target_0").join(other, "target_1").where("n0 = n1").select("target_0", "plane_0", "target_1", "plane_1")
+    return J.relation_assignments(db, wanted, planes, ["nation"]).select("target_0", "plane_0", "target_1", "plane_1")
 
 
 @query("""SELECT o_orderkey, (c_nationkey = 7) AS active FROM orders JOIN customer ON o_custkey = c_custkey""")
@@ -356,7 +352,7 @@ def points_in_view(spark, sf):
     matrix = lambda rows: F.array(*[F.array(*[F.lit(float(x)) for x in r]) for r in rows])
     cameras = spark.range(1).select(F.lit("c").alias("camera"), matrix([[100, 0, 50], [0, 100, 40], [0, 0, 1]]).alias("K"), matrix([[1, 0, 0, 0], [0, 1, 0, 0], [0, 0, 1, 2], [0, 0, 0, 1]]).alias("T"), F.lit(100.0).alias("width"), F.lit(80.0).alias("height"))
     points = table(spark, sf, "embeddings").select(F.col("vec_id").alias("point"), F.transform(F.slice("embedding", 1, 3), lambda x: x.cast("double")).alias("xyz"))
-    return R.in_view(points, cameras, 2.1, 5.0).select("point", F.round("depth", 6).alias("depth"), F.round("away", 6).alias("away"))
+    return solids.points_in_view(points, cameras, 2.1, 5.0, 0.1).select("point", F.round("depth", 6).alias("depth"), F.round("away", 6).alias("away"))
 
 
 @query("""WITH p AS (SELECT vec_id % 40 AS x, vec_id % 30 AS y, 1 + abs(embedding[1]::DOUBLE) AS d, vec_id FROM embeddings)
@@ -580,6 +576,28 @@ def nearest_edge_alignment(spark, sf):
     return P.edge_alignment(entities, _edge_lines(spark, sf)).withColumn("score", F.round("score", 6))
 
 
+_AREAS = f"SELECT k, p_brand AS brand, sum((x1 - x0) * (y1 - y0)) AS area FROM ({_HALF}) JOIN part ON p_partkey = k GROUP BY ALL"
+_COMMON = f"""SELECT a.k AS a, b.k AS b, sum(greatest(least(a.x1, b.x1) - greatest(a.x0, b.x0), 0) * greatest(least(a.y1, b.y1) - greatest(a.y0, b.y0), 0)) AS common
+FROM ({_HALF}) a JOIN ({_HALF}) b ON b.x0 < a.x1 AND a.x0 < b.x1 GROUP BY ALL HAVING common > 0"""
+
+
+@query(f"""WITH r AS ({_AREAS}), m AS (SELECT p.brand AS one, q.brand AS other, sum(common) AS common FROM ({_COMMON}) JOIN r p ON p.k = a JOIN r q ON q.k = b GROUP BY ALL)
+SELECT 'area' AS name, round(sum(area), 3)::DOUBLE AS value FROM r UNION ALL SELECT 'corners', (count(*) * 7)::DOUBLE FROM r UNION ALL SELECT 'small', (count(*) FILTER (area < 60.1))::DOUBLE FROM r
+UNION ALL SELECT 'bent', round(7 / 6::DOUBLE, 3) UNION ALL SELECT 'covered', round(common, 3) FROM m WHERE one = 'Brand#1' AND other = 'Brand#2'
+UNION ALL SELECT 'each', round(avg(c), 3) FROM (SELECT k, sum(coalesce(common, 0)) AS c FROM r LEFT JOIN (SELECT a, common FROM ({_COMMON}) JOIN r ON k = b AND brand = 'Brand#4') ON a = k WHERE brand = 'Brand#3' GROUP BY k)""")
+def room_terms(spark, sf):
+    """Measures of turned rooms as terms of one program, inside and outside of loops."""
+    parts = table(spark, sf, "part").select(F.col("p_partkey").alias("key"), F.array(F.lit("sem:room"), F.concat(F.lit("sem:"), "p_brand")).alias("tags"))
+    rooms = _bent_rooms(spark, sf).join(parts, "key").select(F.concat(F.lit("part:"), F.col("key").cast("string")).alias("name"), "tags", "corners")
+    db = Bindings(rooms, rooms.select(F.col("name").alias("src"), F.col("name").alias("dst"), F.lit("touching").alias("kind")).where("1 = 0"))
+    room, brand = scene()["room"], lambda k: scene()["room", f"Brand#{k}"]
+    small = Problem({"small": room.all(lambda r: r.measure("area") >= 60.1)}, {
+        "area": room.measure("area"), "corners": room.measure("n_verts"), "bent": room.mean(lambda r: r.measure("convexity")), "covered": brand(1).measure("intersection", brand(2)),
+        "each": brand(3).mean(lambda r: r.measure("intersection", brand(4))),
+    })
+    return evaluate(small, db).select("name", F.round("value", 3).alias("value"))
+
+
 # orders, picks and states -------------------------------------------------------------------------
 
 
@@ -663,10 +681,10 @@ def crash_summaries(spark, sf):
     return logs.crashes(rows).select("page_id", "job_id", "stage", "reason", "node")
 
 
-@query("SELECT p_partkey, lpad((p_partkey * 7 // 3600)::VARCHAR, 2, '0') || ':' || lpad((p_partkey * 7 // 60 % 60)::VARCHAR, 2, '0') || ':' || lpad((p_partkey * 7 % 60)::VARCHAR, 2, '0') AS clock, CASE WHEN p_partkey < 1 THEN '0.0 B' WHEN p_size * p_partkey < 1024 THEN (p_size * p_partkey) || '.0 B' END AS size, round(p_partkey / 1000.0, 6)::DOUBLE AS gb FROM part WHERE p_partkey >= 0")
+@query("SELECT p_partkey, lpad((p_partkey * 7 // 3600)::VARCHAR, 2, '0') || ':' || lpad((p_partkey * 7 // 60 % 60)::VARCHAR, 2, '0') || ':' || lpad((p_partkey * 7 % 60)::VARCHAR, 2, '0') AS clock, printf('%.1f', (p_size + 0.373) * (1 + p_partkey % 7)) || [' B', ' KiB', ' MiB', ' GiB', ' TiB', ' PiB', ' EiB', ' ZiB', 'YiB'][p_partkey % 9 + 1] AS size, round(p_partkey / 1000.0, 6)::DOUBLE AS gb FROM part WHERE p_partkey >= 0")
 def formatted_numbers(spark, sf):
     n = F.col("p_partkey")
-    size = F.when(F.col("p_size") * n < 1024, S.sizeof_text(F.col("p_size") * n))
+    size = S.sizeof_text((F.col("p_size") + 0.373) * (1 + n % 7) * F.pow(F.lit(1024.0), n % 9))
     return table(spark, sf, "part").select("p_partkey", S.clock_text(n * 7).alias("clock"), size.alias("size"), F.round(S.memory_gb(F.concat(n.cast("string"), F.lit("M"))), 6).alias("gb"))
 
 

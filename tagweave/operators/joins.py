@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from functools import reduce
 from itertools import count
 
 import pandas as pd
@@ -139,9 +140,11 @@ def assignments(variables: list[tuple[str, DataFrame, Column | None]], limit: in
     return out
 
 
-def relation_assignments(database, wanted: list, planes: DataFrame) -> DataFrame:
+def relation_assignments(database, wanted: list, planes: DataFrame, together: list[str] = ()) -> DataFrame:
     """Every way to give each wanted (relation, domain) a parent and one of its planes: columns target_K, plane_K.
 
+    ``together``: further columns of ``planes`` in which all parents of a way are alike; without any, all combinations are ways.
+
     Relations that others prove are left out, and those of one kind are put together first. A parent is an entity of the
     domain; its planes (name, plane, tags) are those with the tags that the relation asks of its parent. A relation
     without a kind has no parent to look for and is an error.
@@ -157,10 +160,10 @@ def relation_assignments(database, wanted: list, planes: DataFrame) -> DataFrame
         if relation.negated:
             continue
         parents = Compiler(database).members(scene().in_domain(domain)).select(F.col("name").alias(f"target_{k}"))
-        there = planes.where(satisfied_by(relation.parent, planes["tags"])).select(F.col("name").alias(f"target_{k}"), F.col("plane").alias(f"plane_{k}"))
+        there = planes.where(satisfied_by(relation.parent, planes["tags"])).select(F.col("name").alias(f"target_{k}"), F.col("plane").alias(f"plane_{k}"), *together)
         found = parents.join(there, f"target_{k}")
-        out = found if out is None else out.crossJoin(found)  # all combinations are what is asked for
-    return out
+        out = found if out is None else out.join(found, list(together)) if together else out.crossJoin(found)  # all combinations are what is asked for
+    return out.drop(*together) if out is not None and together else out
 
 
 def active_flags(database, assignment: dict, objects: DataFrame | None = None) -> DataFrame:
@@ -200,17 +203,7 @@ def active_flags(database, assignment: dict, objects: DataFrame | None = None) -
     return out
 
 
-def best_match(left: DataFrame, right: DataFrame, key: str, least: float = 80.0) -> DataFrame:
-    """Each left name with the right name of greatest likeness, at ``least`` percent; left rows without one stay.
-
-    Likeness is 200 * (longest common subsequence) / (sum of lengths), over snake-cased names. Names are compared only
-    if they share two characters in a row (ends count as characters): a pair of 80 % or more always does, as its
-    insertions and deletions are too few to break all of them; lengths that differ too much are left out first. The subsequence
-    runs as an Arrow function, a step a character over the bits of the other name: no built-in counts it.
-    A name with an equal one on the right takes that, as no other is as like; only the names without are searched for.
-    """
-    from tagweave.functions.scalar import snake_case
-
+def _likeness():
     @F.pandas_udf("double")
     def likeness(a: pd.Series, b: pd.Series) -> pd.Series:
         places: dict[str, dict[str, int]] = {}  # of each character in a name, as bits: names meet many others
@@ -229,17 +222,58 @@ def best_match(left: DataFrame, right: DataFrame, key: str, least: float = 80.0)
 
         return pd.Series([one(x, y) for x, y in zip(a, b, strict=True)])
 
-    grams = lambda c: F.array_distinct(F.transform(F.sequence(F.lit(1), F.length(c) + 1), lambda k: F.substring(F.concat(F.lit("^"), c, F.lit("$")), k, F.lit(2))))
-    a = left.select(F.col(key).alias("a"), snake_case(F.col(key)).alias("a_name"))
-    b = right.select(F.col(key).alias("b"), snake_case(F.col(key)).alias("b_name"))
-    equal = b.groupBy(F.col("b_name").alias("same")).agg(F.max("b").alias("b")).where(F.lit(least <= 100.0))
-    same = a.distinct().join(equal, F.col("a_name") == F.col("same")).select("a", F.struct("b", F.lit(100.0).alias("score")).alias("m"))
-    a = a.join(equal, F.col("a_name") == F.col("same"), "left_anti")
-    shared = a.withColumn("g", F.explode(grams(F.col("a_name")))).join(b.withColumn("g", F.explode(grams(F.col("b_name")))), "g").drop("g")
-    # a subsequence is no longer than the shorter name
-    shared = shared.where(200 * F.least(F.length("a_name"), F.length("b_name")) >= least * (F.length("a_name") + F.length("b_name"))).distinct()
-    scored = shared.withColumn("score", likeness("a_name", "b_name")).where(F.col("score") >= least)
-    best = scored.groupBy("a").agg(F.max_by(F.struct("b", "score"), F.struct("score", "b")).alias("m")).union(same)
+    return likeness
+
+
+def _rarest(rows: DataFrame, name: str, least: float, counts: DataFrame) -> DataFrame:
+    """Each name once for each of so many of its rarest bigrams that a name as like as ``least`` percent shares one of them.
+
+    Ends count as characters, and a bigram's second place in a name is another one. Of names of lengths x and y with d insertions and
+    deletions between them, x + 1 - 2 * (deletions) - (insertions) bigrams stay, and as many from the other's side:
+    half of x + y + 2 - 3 * d at least are shared; d is at most the share that ``least`` leaves of x + y, and y no less than it allows.
+    """
+    text, n = F.concat(F.lit("^"), F.col(name), F.lit("$")), F.length(name)
+    pairs = F.transform(F.sequence(F.lit(1), n + 1), lambda k: F.substring(text, k, F.lit(2)))
+    numbered = F.transform(pairs, lambda g, k: F.concat(g, F.size(F.filter(F.slice(pairs, 1, k), lambda x: x == g)).cast("string")))
+    both = n + n * (least / (200 - least))
+    shared = F.greatest(F.ceil((both + 2 - 3 * (1 - least / 100) * both) / 2 - 1e-9), F.lit(1))
+    rows = rows.withColumn("gram", F.explode(numbered)).join(counts, "gram", "left").withColumn("of", F.coalesce("of", F.lit(0)))
+    held = rows.groupBy(*[c for c in rows.columns if c not in ("gram", "of")]).agg(F.array_sort(F.collect_list(F.struct("of", "gram"))).alias("grams"))
+    return held.withColumn("g", F.explode(F.slice("grams", 1, (n + 2 - shared).cast("int")))).withColumn("gram", F.col("g.gram")).drop("grams", "g")
+
+
+def best_match(left: DataFrame, right: DataFrame, key: str, least: float = 80.0, steps: tuple[float, ...] = (97.0, 92.0, 86.0)) -> DataFrame:
+    """Each left name with the right name of greatest likeness, at ``least`` percent, the smaller of equally like ones; left rows without one stay.
+
+    Likeness is 200 * (longest common subsequence) / (sum of lengths), over snake-cased names. Equal names are found by a join. The
+    rest are searched for a match of 97 percent first, then of less, down to ``least``: whoever has one is done, as no
+    other is as like. For each percentage names meet by as many of their rarest bigrams as it asks for, few at first.
+    The subsequence runs as an Arrow function, a step a character over the bits of the other name: no built-in counts it.
+    """
+    from tagweave.functions.scalar import snake_case
+    from tagweave.sources.shared import written
+
+    likeness = _likeness()
+    a = left.select(F.col(key).alias("a"), snake_case(F.col(key)).alias("a_name")).where("a is not null").distinct()
+    b = written(right.select(F.col(key).alias("b"), snake_case(F.col(key)).alias("b_name")).where("b is not null").distinct())
+    equal = b.groupBy(F.col("b_name").alias("same")).agg(F.min("b").alias("b")).where(F.lit(least <= 100.0))
+    found = [a.join(equal, F.col("a_name") == F.col("same")).select("a", F.struct("b", F.lit(100.0).alias("score")).alias("m"))]
+    a = written(a.join(equal, F.col("a_name") == F.col("same"), "left_anti"))
+    whole = F.concat(F.lit("^"), F.col("b_name"), F.lit("$"))
+    pairs = F.transform(F.sequence(F.lit(1), F.length("b_name") + 1), lambda k: F.substring(whole, k, F.lit(2)))
+    numbered = F.transform(pairs, lambda g, k: F.concat(g, F.size(F.filter(F.slice(pairs, 1, k), lambda x: x == g)).cast("string")))
+    counts = written(b.select(F.explode(numbered).alias("gram")).groupBy("gram").agg(F.count("*").alias("of")))
+    for percent in [*[s for s in steps if s > least], least]:
+        if a.isEmpty():
+            break
+        met = _rarest(a, "a_name", percent, counts).join(_rarest(b, "b_name", percent, counts), "gram").drop("gram")
+        # a subsequence is no longer than the shorter name
+        met = met.where(200 * F.least(F.length("a_name"), F.length("b_name")) >= percent * (F.length("a_name") + F.length("b_name"))).distinct()
+        scored = met.withColumn("score", likeness("a_name", "b_name")).where(F.col("score") >= percent)
+        best = written(scored.groupBy("a").agg(F.min_by(F.struct("b", "score"), F.struct(-F.col("score"), F.col("b"))).alias("m")))
+        found.append(best)
+        a = written(a.join(best.select("a"), "a", "left_anti"))
+    best = reduce(DataFrame.union, found)
     return left.join(best, F.col(key) == F.col("a"), "left").select(*left.columns, F.col("m.b").alias("match"), F.col("m.score").alias("score"))
 
 

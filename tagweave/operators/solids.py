@@ -216,25 +216,28 @@ def box_bounds(box: Column) -> tuple[Column, Column]:
     return end(-1), end(1)
 
 
-def accessibility(entities: DataFrame, others: DataFrame, reach: float, cell: float) -> DataFrame:
-    """How deep others (name, box) stand in the free space of ``reach`` before each entity (name, box, front): rows (name, cost), 0 if free.
+def access_depths(entities: DataFrame, others: DataFrame, reach: float, cell: float) -> DataFrame:
+    """Depth of each other (name, box) in the free space of ``reach`` before each entity (name, box, front), as far as they are near: rows (a, b, depth).
 
-    Boxes are turned ones and ``front`` is as in ``free_space``; an entity isn't in its own way. Turning the whole scene changes nothing. Spaces
-    and boxes meet in the cells of their upright bounds, each pair in one cell.
+    Spaces and boxes meet in the cells of their upright bounds, each pair in one cell; nothing is in its own way.
     """
 
     def dealt(rows: DataFrame, s: str, box: Column) -> DataFrame:
-        rows = rows.select(F.col("name").alias(f"{s}_name"), box.alias(f"{s}_box"))
+        rows = rows.select(F.col("name").alias(s), box.alias(f"{s}_box"))
         lows, highs = box_bounds(F.col(f"{s}_box"))
         rows = rows.withColumns({f"{s}_lows": lows, f"{s}_highs": highs})
         span = lambda k: F.sequence(F.floor(at(F.col(f"{s}_lows"), k) / cell), F.floor(at(F.col(f"{s}_highs"), k) / cell))
         return reduce(lambda t, k: t.select("*", F.explode(span(k)).alias(CELL[k])), AXES, rows)
 
-    met = dealt(entities, "a", free_space(F.col("box"), F.col("front"), reach)).join(dealt(others, "b", F.col("box")), list(CELL)).where("a_name <> b_name")
+    met = dealt(entities, "a", free_space(F.col("box"), F.col("front"), reach)).join(dealt(others, "b", F.col("box")), list(CELL)).where("a <> b")
     once = [F.floor(F.greatest(at(F.col("a_lows"), k), at(F.col("b_lows"), k)) / cell) == F.col(CELL[k]) for k in AXES]
-    met = met.where(reduce(lambda x, y: x & y, once))
-    found = met.groupBy("a_name").agg(F.max(overlap_depth(F.col("a_box"), F.col("b_box"))).alias("depth"))
-    out = entities.select("name").join(found, F.col("name") == F.col("a_name"), "left")
+    return met.where(reduce(lambda x, y: x & y, once)).select("a", "b", overlap_depth(F.col("a_box"), F.col("b_box")).alias("depth"))
+
+
+def accessibility(entities: DataFrame, others: DataFrame, reach: float, cell: float) -> DataFrame:
+    """The greatest of ``access_depths`` for each entity: rows (name, cost), 0 if its space is free. Turning the whole scene changes nothing."""
+    found = access_depths(entities, others, reach, cell).groupBy("a").agg(F.max("depth").alias("depth"))
+    out = entities.select("name").join(found, F.col("name") == F.col("a"), "left")
     return out.select("name", F.greatest(F.coalesce("depth", F.lit(0.0)), F.lit(0.0)).alias("cost"))
 
 

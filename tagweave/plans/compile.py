@@ -23,6 +23,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tagweave.operators.solids import box_gaps
 from tagweave.plans import lang as L
 from tagweave.plans.algebra import SEMANTICS, Domain, Relation, decompose, implied_kinds, satisfied_by
 
@@ -369,17 +370,11 @@ def _related(c: Compiler, s: L.Related) -> DataFrame:
 def _distance(c: Compiler, e: L.Distance) -> tuple[DataFrame, Column]:
     """Least distance of boxes [lows, highs]; an entity isn't compared with itself. Empty sets are at 0.
 
-    All boxes of one set meet all of the other, within groups of the variables that both depend on.
+    Pairs of cells of boxes go by their bounds before boxes meet, within groups of the variables that both depend on.
     """
-    a, b = c.members(e.objs), c.members(e.others)
-    side = lambda rows, s, free: rows.select(*[F.col(k).alias(f"{s}_{k}") for k in sorted(free)], F.col("name").alias(f"{s}_name"), F.col("lows").alias(f"{s}_lows"), F.col("highs").alias(f"{s}_highs"))
-    left, right = side(a, "a", e.objs.free()), side(b, "b", e.others.free())
-    on = F.col("a_name") != F.col("b_name")
-    for k in sorted(e.objs.free() & e.others.free()):
-        on = on & (F.col(f"a_{k}") == F.col(f"b_{k}"))
-    keys = [F.col(f"a_{k}" if k in e.objs.free() else f"b_{k}").alias(k) for k in sorted(e.free())]
-    gap = box_distance(F.col("a_lows"), F.col("a_highs"), F.col("b_lows"), F.col("b_highs"))
-    return left.join(right, on).groupBy(*keys).agg(F.min(gap).alias("value")), F.lit(0.0)
+    side = lambda s: c.members(s).select(*sorted(s.free()), "name", "lows", "highs")
+    rows = box_gaps(side(e.objs), side(e.others))
+    return (rows if e.free() else rows.agg(F.min("value").alias("value"))), F.lit(0.0)  # outside of loops always one row
 
 
 def volume_of(dims: Column, option: int | tuple[int, ...]) -> Column:
@@ -389,12 +384,6 @@ def volume_of(dims: Column, option: int | tuple[int, ...]) -> Column:
     return F.aggregate(chosen, F.lit(1.0), lambda a, b: a * b) + 1e-10
 
 
-def box_distance(a_lows: Column, a_highs: Column, b_lows: Column, b_highs: Column) -> Column:
-    """Euclidean distance between boxes; 0 where they touch or meet."""
-    gaps = F.zip_with(F.zip_with(a_lows, b_highs, lambda x, y: x - y), F.zip_with(b_lows, a_highs, lambda x, y: x - y), lambda x, y: F.greatest(x, y))
-    return F.sqrt(F.aggregate(gaps, F.lit(0.0), lambda s, g: s + F.greatest(g, F.lit(0.0)) * F.greatest(g, F.lit(0.0))))
-
-
 def _number(kind: type) -> str:
     return "bigint" if kind in (int, bool) else "double"
 
@@ -446,8 +435,16 @@ OPERATIONS = {
 }
 
 
-def evaluate(problem: L.Problem, database: Bindings) -> DataFrame:
-    """Rows (name, kind, value): each constraint's violation and each term's score, all from one plan."""
+def evaluate(problem: L.Problem, database: Bindings, concerning: Domain | None = None) -> DataFrame:
+    """Rows (name, kind, value): each constraint's violation and each term's score, all from one plan.
+
+    ``concerning``: what can't hold an entity of this domain isn't worked out, and is 0.
+    """
+    if concerning is not None:
+        from tagweave.plans.analysis import relevant
+
+        still = lambda given: {k: v if relevant(v, concerning) else L.scalar(v.kind is bool) if v.kind is bool else L.scalar(0.0) for k, v in given.items()}
+        problem = L.Problem(still(problem.constraints), still(problem.terms))
     rows = [(k, "violation", L.violation(v)) for k, v in problem.constraints.items()] + [(k, "loss", v) for k, v in problem.terms.items()]
     if not rows:
         return database.objects.sparkSession.createDataFrame([], "name string, kind string, value double")

@@ -91,6 +91,10 @@ class Objects(Node):
         """Sum of a numeric attribute."""
         return Aggregate("total", self, option=column)
 
+    def measure(self, what: str, others: Objects | None = None, option: float | str | None = None) -> Scalar:
+        """A term of ``plans.terms``: area, n_verts, shared_length and the like."""
+        return Measure(what, self, others, option)
+
     def distance(self, others: Objects) -> Scalar:
         """Least distance between boxes of the two sets; 0 if either is empty."""
         return Distance(self, others)
@@ -342,6 +346,23 @@ class Distance(Scalar):
         return (self.objs, self.others)
 
 
+@dataclass(frozen=True, eq=False)
+class Measure(Scalar):
+    """A measure of a set's entities by their shapes, or of how they stand to ``others``; ``plans.terms`` has what there is."""
+
+    what: str
+    objs: Objects
+    others: Objects | None = None
+    option: float | str | None = None
+
+    def children(self):
+        return (self.objs,) if self.others is None else (self.objs, self.others)
+
+    @property
+    def kind(self):
+        return int if self.what in ("n_verts", "shared_n_verts", "grid_line_count") else float
+
+
 def scalar(value) -> Scalar:
     """Literals become constants; anything but bool, int, float and scalars is an error."""
     return value if isinstance(value, Scalar) else Const(value)

@@ -1,6 +1,7 @@
 """Operators that the queries don't cover, on small inputs."""
 
 import math
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -100,9 +101,12 @@ def test_interval_overlap_of_the_whole_table(spark, sf):
 def test_best_match_of_all_names(spark, sf):
     from tagweave.queries import QUERIES
 
-    names = [r.c_name for r in spark.read.parquet(f"{sf}/customer.parquet").collect()]
-    got = {r.name: r.match for r in QUERIES["fuzzy_merge"](spark, sf).collect()}
-    assert len(names) > 19 and got == {n: n for n in names}
+    short = {r.c_custkey: (r.c_name, r.c_custkey % 18) for r in spark.read.parquet(f"{sf}/customer.parquet").collect()}
+    got = {r.c_custkey: r.match for r in QUERIES["fuzzy_merge"](spark, sf).collect()}
+    for k, (name, at) in short.items():
+        lost = name[:at] + name[at + 1 :]
+        assert got[k] == min(n for n, _ in short.values() if any(n[:i] + n[i + 1 :] == lost for i in range(len(n))))
+    assert len(short) > 19 and set(got) == set(short)
 
     def likeness(x, y):
         row = [0] * (len(y) + 1)
@@ -117,10 +121,18 @@ def test_best_match_of_all_names(spark, sf):
     snake = {r.n: r.s for r in spark.createDataFrame([(n,) for n in {*left, *right}], "n string").select("n", S.snake_case(F.col("n")).alias("s")).collect()}
     want = {}
     for n in left:
-        score, match = max((likeness(snake[n], snake[m]), m) for m in right)
-        want[n] = (match, pytest.approx(score)) if score >= 80 else (None, None)
+        score, match = min((-likeness(snake[n], snake[m]), m) for m in right)  # the first of equally like ones
+        want[n] = (match, pytest.approx(-score)) if -score >= 80 else (None, None)
     out = J.best_match(spark.createDataFrame([(n,) for n in left], "name string"), spark.createDataFrame([(n,) for n in right], "name string"), "name")
     assert {r.name: (r.match, r.score) for r in out.collect()} == want
+    # names of few letters, near the limit, against all pairs
+    r = random.Random(3)
+    word = lambda: "".join(r.choice("abc") for _ in range(r.randrange(1, 14)))
+    left, right = sorted({word() for _ in range(150)}), sorted({word() for _ in range(120)})
+    got = {x.name: (x.match, x.score) for x in J.best_match(spark.createDataFrame([(n,) for n in left], "name string"), spark.createDataFrame([(n,) for n in right], "name string"), "name").collect()}
+    for n in left:
+        score, match = min((-likeness(n, m), m) for m in right)
+        assert got[n] == ((match, pytest.approx(-score)) if -score >= 80 else (None, None)), n
 
 
 def test_nearest_among_all_rows(spark, sf):
